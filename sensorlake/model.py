@@ -18,15 +18,7 @@ ALERT_THRESHOLDS = {
 
 UNITS = {"temperature": "Celsius", "vibration": "mm/s", "pressure": "bar"}
 
-# Timestamp formats tried in order, then Spark's default cast.
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
-)
-# Fraction cut to milliseconds, and the zone suffix that is removed (not applied).
-FRACTION_PATTERN = r"(\.\d{3})\d+"
+# Zone suffix that is removed (not applied) from timestamp text.
 ZONE_SUFFIX_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
 
 # Live-monitor status labels.
@@ -44,7 +36,7 @@ SOURCE_FILE_COLUMN = "source_file"
 
 # Extra zone form the reference regex misses ("...T14:30:45+02"): stripped too,
 # only when a time part precedes it so a bare date keeps its day.
-SHORT_ZONE_PATTERN = r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,3})?)?)[+-]\d{2}$"
+SHORT_ZONE_PATTERN = r"([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)[+-]\d{2}$"
 LEADING_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}"
 
 # Columns that must be present (non-null, non-blank) for a reading to be valid.

@@ -105,9 +105,9 @@ def acceptance_metrics(df: DataFrame, name: str = "acceptance"):
     The counts are filled in by whatever action later consumes the returned
     DataFrame (typically the warehouse write), so no extra job is launched.
     """
-    from pyspark.sql import Observation
+    from sensorlake.session import observation
 
-    obs = Observation(name)
+    obs = observation(name)
     valid = valid_condition(df)
     observed = df.observe(
         obs,

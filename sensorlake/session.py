@@ -23,6 +23,7 @@ def build_session(master: str | None = None, app: str = "sensorlake", shuffle_pa
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -52,3 +53,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/sensorlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def observation(name: str):
+    """An ``Observation`` with a session-unique name (names must not repeat)."""
+    from pyspark.sql import Observation
+
+    return Observation(f"{name}-{uuid.uuid4().hex[:12]}")

@@ -67,18 +67,30 @@ def warehouse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_warehouse(raw_readings(spark, sf_dir))
 
 
-def reading_json_lines(readings: DataFrame, value_as_text: Column | None = None) -> DataFrame:
-    """Raw readings -> one JSON object per row (column ``value``), for landing files.
+def landing_dir_column() -> Column:
+    """Directory a reading lands in: its own type, or (for a type that is
+    not a sensor type) one of the sensor directories picked by its id, as a
+    mis-routed reading would arrive."""
+    types = [F.lit(t) for t in model.SENSOR_TYPES]
+    routed = F.element_at(F.array(*types), (F.pmod(F.xxhash64("sensor_id"), F.lit(len(types))) + 1).cast("int"))
+    return F.when(F.col("type").isin(*types), F.col("type")).otherwise(routed)
 
-    ``value_as_text``: rows where it is true carry ``value`` as a JSON string,
-    a type error the JSON reader sends to the corrupt-record column.
+
+def land_readings(readings: DataFrame, root: str, value_as_text: Column | None = None) -> str:
+    """Write raw readings as line-delimited JSON files under ``root/<type>/``.
+
+    ``value_as_text``: rows for which it holds carry ``value`` as a JSON
+    string (a type error the JSON reader sends to ``_corrupt_record``).
+    Returns ``root``.  Read back with ``multi_line=False``.
     """
-    cols = [c for c, _ in model.RAW_FIELDS]
-    doc = F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
-    if value_as_text is not None:
-        as_text = F.to_json(
-            F.struct(*[F.col(c).cast("string") if c == "value" else F.col(c) for c in cols]),
-            {"ignoreNullFields": "false"},
-        )
-        doc = F.when(value_as_text, as_text).otherwise(doc)
-    return readings.select(doc.alias("value"))
+    routed = readings.withColumn("_dir", landing_dir_column())
+    for t in model.SENSOR_TYPES:
+        part = routed.filter(F.col("_dir") == F.lit(t)).drop("_dir")
+        if value_as_text is None:
+            part.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
+        else:
+            ok = part.filter(~F.coalesce(value_as_text, F.lit(False)))
+            bad = part.filter(F.coalesce(value_as_text, F.lit(False))).withColumn("value", F.col("value").cast("string"))
+            ok.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
+            bad.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
+    return root
