@@ -14,8 +14,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from sensorlake.operators import reports
-from sensorlake.sources.events import warehouse_rows
+from pyspark.sql import functions as F
+
+from sensorlake import model
+from sensorlake.functions import parse_timestamp
+from sensorlake.operators import quality, reports
+from sensorlake.operators.dedup import dedup_stream
+from sensorlake.operators.derive import to_warehouse
+from sensorlake.plans.ingest import ingest_batch
+from sensorlake.session import scratch_path
+from sensorlake.sources.events import land_readings, raw_readings, read_table, time_text_variants, warehouse_rows
+from sensorlake.sources.json_files import read_sensor_dirs, sensor_dirs
+from sensorlake.sources.warehouse import read_warehouse
+from sensorlake.streaming import ingest as stream_ingest
+from sensorlake.streaming import monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,10 +73,196 @@ def registry() -> dict[str, Query]:
         "latest_readings": _report(reports.latest_readings),
         "warehouse_stats": _report(reports.warehouse_stats),
         "value_summary": _report(reports.value_summary),
+        "timestamp_parse": timestamp_parse,
+        "ingest_batch": ingest_batch_query,
+        "ingest_rerun": ingest_rerun,
+        "quarantine": quarantine,
+        "null_profile": null_profile,
+        "reject_reasons": reject_reasons,
+        "valid_by_type": valid_by_type,
+        "schema_drift": schema_drift,
+        "ingest_stream": ingest_stream,
+        "stream_batch_metrics": stream_batch_metrics,
+        "stream_dedup": stream_dedup,
+        "stream_hourly": stream_hourly,
+        "stream_alerts": stream_alerts,
+        "stream_stats_by_type": stream_stats_by_type,
     }
     return out
 
 
+# ---------------------------------------------------------------------------
+# Ingestion, quality and streaming queries.  Each lands the readings derived
+# from ``events`` as line-delimited JSON files in a fresh folder under the
+# session's checkpoint directory, runs the operator on the files, and
+# returns a read of what it wrote.
+# ---------------------------------------------------------------------------
+
+WAREHOUSE_OUT = list(reports.RAW_EXPORT_COLUMNS)
+
+
+def _landing(spark: SparkSession, sf_dir: str, defects: bool = False) -> str:
+    """Readings as JSON files; with ``defects``, 'signup' readings carry their
+    value as a JSON string (corrupt records)."""
+    root = scratch_path(spark, "landing")
+    bad = (F.col("type") == F.lit("signup")) if defects else None
+    return land_readings(raw_readings(spark, sf_dir), root, value_as_text=bad)
+
+
+def _landed_raw(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFrame:
+    return read_sensor_dirs(spark, _landing(spark, sf_dir, defects), multi_line=False)
+
+
+def timestamp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2: every ``events.ts`` written in one of eight text forms, parsed back."""
+    ev = read_table(spark, sf_dir, "events")
+    text = time_text_variants(F.col("ts"), F.col("event_id"))
+    return ev.select(
+        F.col("event_id").cast("string").alias("sensor_id"),
+        parse_timestamp(text).cast("timestamp_ntz").alias("timestamp"),
+    )
+
+
+def ingest_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: JSON files -> validated, de-duplicated, partitioned warehouse."""
+    root = _landing(spark, sf_dir)
+    wh = scratch_path(spark, "warehouse")
+    ingest_batch(spark, root, wh, multi_line=False)
+    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+
+
+def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ingests of the same files, the last with every file twice;
+    the table holds each reading once."""
+    root = _landing(spark, sf_dir)
+    copy = _landing(spark, sf_dir)
+    wh = scratch_path(spark, "warehouse")
+    ingest_batch(spark, root, wh, multi_line=False)
+    ingest_batch(spark, root, wh, multi_line=False)
+    both = sensor_dirs(spark, root) + sensor_dirs(spark, copy)
+    ingest_batch(spark, None, wh, multi_line=False, paths=both)
+    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 + quarantine sink: rejected and corrupt rows, with their reasons."""
+    root = _landing(spark, sf_dir, defects=True)
+    wh, qu = scratch_path(spark, "warehouse"), scratch_path(spark, "quarantine")
+    ingest_batch(spark, root, wh, quarantine_path=qu, multi_line=False)
+    ingest_batch(spark, root, wh, quarantine_path=qu, multi_line=False)  # re-run adds nothing
+    q = spark.read.parquet(qu)
+    return q.select(
+        "sensor_id",
+        "type",
+        "site",
+        "machine",
+        F.array_join("reject_reasons", ",").alias("reasons"),
+        F.col(model.CORRUPT_COLUMN).isNotNull().alias("corrupt"),
+    )
+
+
+def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 on the JSON files (with corrupt records)."""
+    return quality.null_profile(_landed_raw(spark, sf_dir))
+
+
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 on the JSON files (with corrupt records)."""
+    return quality.reject_reason_counts(_landed_raw(spark, sf_dir))
+
+
+def valid_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 on the JSON files (with corrupt records)."""
+    from sensorlake.operators.cleaning import normalise
+
+    return quality.valid_by_type(normalise(_landed_raw(spark, sf_dir)))
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: schema inferred from all files against the declared one."""
+    from sensorlake.sources.json_files import infer_schema
+
+    root = _landing(spark, sf_dir, defects=True)
+    inferred = infer_schema(spark, sensor_dirs(spark, root), multi_line=False)
+    return quality.schema_drift(spark, model.RAW_SCHEMA, inferred)
+
+
+def _run(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files through the streaming ingestion (one file per batch)."""
+    root = _landing(spark, sf_dir)
+    wh = scratch_path(spark, "warehouse")
+    _run(stream_ingest.start_ingest(
+        spark, root, wh, scratch_path(spark, "ckpt"), available_now=True,
+        multi_line=False, max_files_per_trigger=1,
+    ))
+    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+
+
+def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-batch metrics of the streaming ingestion, summed over batches."""
+    root = _landing(spark, sf_dir, defects=True)
+    wh, metrics = scratch_path(spark, "warehouse"), scratch_path(spark, "metrics")
+    _run(stream_ingest.start_ingest(
+        spark, root, wh, scratch_path(spark, "ckpt"), metrics_path=metrics,
+        available_now=True, multi_line=False, max_files_per_trigger=2,
+    ))
+    m = spark.read.parquet(metrics)
+    return m.agg(*[F.sum(c).cast("bigint").alias(c) for c in ("rows_read", "rows_valid", "rows_rejected", "alerts")])
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 streaming: every file landed twice; duplicates dropped within the watermark."""
+    root = _landing(spark, sf_dir)
+    land_readings(raw_readings(spark, sf_dir), root)  # second copy of every reading
+    out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
+    raw = stream_ingest.readings_stream(spark, root, multi_line=False, max_files_per_trigger=None)
+    rows = dedup_stream(to_warehouse(raw).drop("ingestion_timestamp"), delay="1 day")
+    _run(rows.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out)
+         .trigger(availableNow=True).start())
+    return ntz(spark.read.parquet(out).select(*WAREHOUSE_OUT))
+
+
+def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time hourly windows per type (landing files span the whole
+    month, so they are read in one micro-batch: a finite watermark would
+    otherwise drop the other files' older rows as late)."""
+    root = _landing(spark, sf_dir)
+    out = scratch_path(spark, "hourly")
+    _run(monitor.start_hourly_trends(
+        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
+        multi_line=False, max_files_per_trigger=None,
+    ))
+    return ntz(monitor.read_hourly_trends(spark, out))
+
+
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert readings as a stream (one file per batch)."""
+    root = _landing(spark, sf_dir)
+    out = scratch_path(spark, "alerts")
+    _run(stream_ingest.start_alert_stream(
+        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
+        multi_line=False, max_files_per_trigger=1,
+    ))
+    return ntz(spark.read.parquet(out).select(*WAREHOUSE_OUT))
+
+
+def stream_stats_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live per-type figures (complete-mode streaming aggregate)."""
+    root = _landing(spark, sf_dir)
+    out = scratch_path(spark, "monitor")
+    _run(monitor.start_monitor(
+        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
+        multi_line=False, max_files_per_trigger=1,
+    ))
+    return spark.read.parquet(out).drop("batch_id")
+
+
 # ---------------------------------------------------------------------------
 # DuckDB oracle
 # ---------------------------------------------------------------------------
@@ -103,6 +301,9 @@ sensor_data AS (
 )"""
 
 
+WAREHOUSE_SQL = "sensor_id, type, value, unit, site, machine, timestamp, year, month, day, hour, is_alert"
+
+
 def _w(body: str) -> str:
     return f"WITH {SENSOR_DATA_CTE}\n{body.strip()}"
 
@@ -231,4 +432,65 @@ SELECT type, COUNT(*) AS "count", ROUND(AVG(value) + 1e-9, 2) AS mean,
        ROUND(STDDEV_SAMP(value), 2) AS std, ROUND(MIN(value) + 1e-9, 2) AS "min",
        ROUND(MAX(value) + 1e-9, 2) AS "max", {ALERTS} AS alerts
 FROM sensor_data GROUP BY type ORDER BY type"""),
+        "timestamp_parse": """
+SELECT CAST(event_id AS VARCHAR) AS sensor_id,
+       CASE WHEN event_id % 8 IN (2, 3, 5) THEN date_trunc('second', ts)
+            WHEN event_id % 8 = 7 THEN date_trunc('minute', ts)
+            ELSE date_trunc('millisecond', ts) END AS timestamp
+FROM events""",
+        "ingest_batch": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
+        "ingest_rerun": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
+        "quarantine": f"""WITH {RAW_CTE}
+SELECT sensor_id, type, site, machine,
+       CASE WHEN type = 'signup' THEN 'corrupt_record,value_missing,unknown_type'
+            ELSE 'unknown_type' END AS reasons,
+       type = 'signup' AS corrupt
+FROM raw WHERE type NOT IN ('temperature', 'vibration', 'pressure')""",
+        "null_profile": f"""WITH {RAW_CTE}, c AS (
+  SELECT COUNT(*) FILTER (WHERE sensor_id IS NULL) AS sensor_id,
+         COUNT(*) FILTER (WHERE type IS NULL) AS type,
+         COUNT(*) FILTER (WHERE type = 'signup' OR value IS NULL) AS value,
+         COUNT(*) FILTER (WHERE unit IS NULL) AS unit,
+         COUNT(*) FILTER (WHERE site IS NULL) AS site,
+         COUNT(*) FILTER (WHERE machine IS NULL) AS machine,
+         COUNT(*) FILTER (WHERE timestamp IS NULL) AS timestamp,
+         COUNT(*) FILTER (WHERE type <> 'signup') AS _corrupt_record
+  FROM raw)
+SELECT column_name, CAST(null_count AS BIGINT) AS null_count
+FROM c UNPIVOT (null_count FOR column_name IN
+  (sensor_id, type, value, unit, site, machine, timestamp, _corrupt_record))""",
+        "reject_reasons": f"""WITH {RAW_CTE}
+SELECT reason, COUNT(*) AS n FROM (
+  SELECT 'corrupt_record' AS reason FROM raw WHERE type = 'signup'
+  UNION ALL SELECT 'value_missing' FROM raw WHERE type = 'signup'
+  UNION ALL SELECT 'unknown_type' FROM raw WHERE type NOT IN ('temperature', 'vibration', 'pressure')
+) GROUP BY reason""",
+        "valid_by_type": f"""WITH {RAW_CTE}
+SELECT type, COUNT(*) AS total, COUNT(sensor_id) AS with_sensor_id,
+       COUNT(*) FILTER (WHERE type IN ('temperature', 'vibration', 'pressure')) AS valid
+FROM raw GROUP BY type""",
+        "schema_drift": """
+SELECT DISTINCT 'value' AS column_name, 'type_differs' AS issue,
+       'double' AS declared_type, 'string' AS inferred_type
+FROM events WHERE event_type = 'signup'""",
+        "ingest_stream": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
+        "stream_batch_metrics": f"""WITH {SENSOR_DATA_CTE}
+SELECT (SELECT COUNT(*) FROM events) AS rows_read,
+       COUNT(*) AS rows_valid,
+       (SELECT COUNT(*) FROM events) - COUNT(*) AS rows_rejected,
+       {ALERTS} AS alerts
+FROM sensor_data""",
+        "stream_dedup": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
+        "stream_hourly": _w("""
+SELECT date_trunc('hour', timestamp) AS window_start,
+       date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS window_end,
+       type, COUNT(*) AS nombre_mesures, ROUND(AVG(value) + 1e-9, 2) AS valeur_moyenne,
+       COUNT(*) FILTER (WHERE is_alert) AS alertes
+FROM sensor_data GROUP BY 1, 2, type"""),
+        "stream_alerts": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data WHERE is_alert"),
+        "stream_stats_by_type": _w(f"""
+SELECT type, COUNT(*) AS "count", ROUND(AVG(value) + 1e-9, 2) AS avg_value,
+       ROUND(MIN(value) + 1e-9, 2) AS min_value, ROUND(MAX(value) + 1e-9, 2) AS max_value,
+       {ALERTS} AS alerts
+FROM sensor_data GROUP BY type"""),
     }

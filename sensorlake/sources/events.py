@@ -94,3 +94,28 @@ def land_readings(readings: DataFrame, root: str, value_as_text: Column | None =
             ok.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
             bad.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
     return root
+
+
+# Sensor time text in the forms found in the field (separator, fraction,
+# zone suffix, precision), chosen per reading by its id.  Every form keeps
+# the wall clock; the zone suffixes are removed by the parser.
+TIME_TEXT_VARIANTS = (
+    (ISO_MICROS, "", ""),
+    ("yyyy-MM-dd HH:mm:ss,SSS", "", ""),
+    ("yyyy-MM-dd'T'HH:mm:ss", "", ""),
+    ("yyyy-MM-dd HH:mm:ss", "Z", ""),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "+02:00", "  "),
+    ("yyyy-MM-dd'T'HH:mm:ss", "-0500", ""),
+    (ISO_MICROS, "+02", ""),
+    ("yyyy-MM-dd'T'HH:mm", "", " "),
+)
+
+
+def time_text_variants(ts: Column, key: Column) -> Column:
+    """``ts`` rendered as text in the variant ``key % len(TIME_TEXT_VARIANTS)``."""
+    k = F.pmod(key, F.lit(len(TIME_TEXT_VARIANTS)))
+    expr = None
+    for i, (fmt, suffix, pad) in enumerate(TIME_TEXT_VARIANTS):
+        text = F.concat(F.lit(pad), F.date_format(ts, fmt), F.lit(suffix), F.lit(pad))
+        expr = F.when(k == F.lit(i), text) if expr is None else expr.when(k == F.lit(i), text)
+    return expr
