@@ -50,11 +50,14 @@ def _has(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
 
-def rejection_checks(df: DataFrame, include_time: bool = False) -> list[tuple[str, Column]]:
+def rejection_checks(
+    df: DataFrame, include_time: bool = False, parsed_time: str | None = None
+) -> list[tuple[str, Column]]:
     """(reason, failing-condition) pairs, in a fixed order.
 
     ``include_time`` adds the unreadable-time check, which ``derive`` applies
-    anyway after parsing (C7); it is listed for rejection reports.
+    anyway after parsing (C7); it is listed for rejection reports.  Pass
+    ``parsed_time`` (a column already holding the parsed time) to reuse it.
     """
     checks: list[tuple[str, Column]] = []
     if _has(df, model.CORRUPT_COLUMN):
@@ -65,11 +68,12 @@ def rejection_checks(df: DataFrame, include_time: bool = False) -> list[tuple[st
     checks.append(("unknown_type", F.col("type").isNotNull() & ~F.col("type").isin(*types)))
     checks.append(("nan_value", F.isnan(F.col("value"))))
     checks.append(("negative_value", F.col("value") < F.lit(0.0)))
-    if include_time:
+    if include_time or parsed_time:
         from sensorlake.functions import parse_timestamp
 
         ts = F.col("timestamp")
-        checks.append(("timestamp_unreadable", ts.isNotNull() & parse_timestamp(ts).isNull()))
+        parsed = F.col(parsed_time) if parsed_time else parse_timestamp(ts)
+        checks.append(("timestamp_unreadable", ts.isNotNull() & parsed.isNull()))
     return checks
 
 
@@ -84,9 +88,9 @@ def validate(df: DataFrame) -> DataFrame:
     return df.filter(valid_condition(df))
 
 
-def with_reject_reasons(df: DataFrame, column: str = "reject_reasons") -> DataFrame:
+def with_reject_reasons(df: DataFrame, column: str = "reject_reasons", parsed_time: str | None = None) -> DataFrame:
     """Q6: add an array of every failing reason (empty for valid rows)."""
-    checks = rejection_checks(df, include_time=True)
+    checks = rejection_checks(df, include_time=True, parsed_time=parsed_time)
     reasons = [F.when(F.coalesce(cond, F.lit(False)), F.lit(reason)) for reason, cond in checks]
     return df.withColumn(column, F.array_compact(F.array(*reasons)))
 

@@ -33,19 +33,20 @@ def day_column() -> Column:
 def touched_days_predicate(batch: DataFrame) -> Column | None:
     """A predicate on the partition columns selecting every day in ``batch``.
 
-    Only a one-row aggregate, and at most ``MAX_LISTED_DAYS`` dates, reach the
-    driver.  None when the batch is empty.
+    One job lists the distinct days (at most ``MAX_LISTED_DAYS + 1`` rows reach
+    the driver); past that, a one-row min/max aggregate gives the day range.
+    None when the batch is empty.
     """
     d = day_column()
-    stats = batch.agg(
-        F.min(d).alias("lo"), F.max(d).alias("hi"), F.count_distinct(d).alias("n")
-    ).first()
-    if stats is None or stats["n"] == 0:
+    days: list[dt.date] = [
+        r[0] for r in batch.select(d.alias("d")).distinct().limit(MAX_LISTED_DAYS + 1).collect() if r[0] is not None
+    ]
+    if not days:
         return None
-    if stats["n"] <= MAX_LISTED_DAYS:
-        days: list[dt.date] = [r[0] for r in batch.select(d.alias("d")).distinct().collect()]
+    if len(days) <= MAX_LISTED_DAYS:
         return d.isin(*[F.lit(x) for x in days])
-    return d.between(F.lit(stats["lo"]), F.lit(stats["hi"]))
+    lo, hi = batch.agg(F.min(d), F.max(d)).first()
+    return d.between(F.lit(lo), F.lit(hi))
 
 
 def new_readings(batch: DataFrame, existing_keys: DataFrame, key: str = KEY) -> DataFrame:

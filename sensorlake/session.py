@@ -60,3 +60,12 @@ def observation(name: str):
     from pyspark.sql import Observation
 
     return Observation(f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` through Hadoop's FileSystem API (our own scratch only)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        fs.delete(hpath, True)

@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import model
-from sensorlake.functions import alert_flag
-from sensorlake.operators.cleaning import normalise, with_reject_reasons
-from sensorlake.operators.derive import derive, to_warehouse
+from sensorlake.operators.derive import to_warehouse
+from sensorlake.plans.ingest import accepted_rows, rejected_rows, staged_rows
 from sensorlake.sinks.warehouse import append_new, write_quarantine
 from sensorlake.sources.json_files import sensor_glob, stream_json
 
@@ -66,17 +65,16 @@ def start_ingest(
     batch is committed, so the batch is retried on restart, not lost.
     """
     raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-    tagged = with_reject_reasons(normalise(raw))
-    raw_cols = [c for c, _ in model.RAW_FIELDS]
+    staged = staged_rows(raw)
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        # persisted: read by the quarantine, day lookup and warehouse writes;
+        # lost blocks are recomputed from this micro-batch's files
         batch.persist()
         try:
-            valid_flag = F.size("reject_reasons") == 0
             if quarantine_path:
-                write_quarantine(batch.filter(~valid_flag), quarantine_path, fmt)
-            rows = derive(batch.filter(valid_flag).select(*raw_cols))
-            append_new(rows, warehouse_path, fmt)
+                write_quarantine(rejected_rows(batch), quarantine_path, fmt)
+            append_new(accepted_rows(batch), warehouse_path, fmt)
             if metrics_path:
                 write_batch_metrics(batch, batch_id, metrics_path)
             if on_batch is not None:
@@ -84,7 +82,7 @@ def start_ingest(
         finally:
             batch.unpersist()
 
-    writer = tagged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    writer = staged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     return _trigger(writer, available_now, processing_time).start()
@@ -102,7 +100,7 @@ def write_batch_metrics(batch: DataFrame, batch_id: int, path: str) -> None:
             F.count(F.lit(1)).alias("rows_read"),
             F.count_if(valid).alias("rows_valid"),
             F.count_if(~valid).alias("rows_rejected"),
-            F.count_if(valid & alert_flag("type", "value")).alias("alerts"),
+            F.count_if(valid & F.col("is_alert")).alias("alerts"),
         )
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .withColumn("processed_at", F.current_timestamp())
