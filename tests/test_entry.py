@@ -1,0 +1,53 @@
+"""Driver contract: entry, queries and their DuckDB oracles (sf0.001)."""
+
+import datetime as dt
+import math
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.001"
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else repr(v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    return repr(v)
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    rows = df.collect()
+    assert len(rows) == 3 and "total_mesures" in df.columns
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in os.listdir(SF):
+        if name.endswith(".parquet"):
+            con.execute(f"CREATE VIEW {name[:-8]} AS SELECT * FROM read_parquet('{SF}/{name}')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    cols, rows = df.columns, df.collect()
+    cur = duck.execute(E.oracle_sql()[name])
+    ocols, orows = [d[0] for d in cur.description], cur.fetchall()
+    assert sorted(cols) == sorted(ocols)
+    a = Counter(tuple(_norm(r[c]) for c in sorted(cols)) for r in rows)
+    oi = {c: i for i, c in enumerate(ocols)}
+    b = Counter(tuple(_norm(r[oi[c]]) for c in sorted(cols)) for r in orows)
+    assert a == b

@@ -1,0 +1,147 @@
+"""Reports on a small hand-made warehouse, against brute force in Python."""
+
+import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+
+from sensorlake import model
+from sensorlake.operators import reports
+
+
+def half_up(x, n):
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-n), rounding=ROUND_HALF_UP))
+
+
+ROWS = []
+
+
+def _add(sid, t, v, site, machine, ts, alert=None):
+    lo, hi = model.ALERT_THRESHOLDS[t]
+    is_alert = (v < lo or v > hi) if alert is None else alert
+    ROWS.append((sid, t, v, model.UNITS[t], site, machine, ts, ts.year, ts.month, ts.day, ts.hour, is_alert, dt.datetime(2026, 2, 1)))
+
+
+T0 = dt.datetime(2026, 1, 8, 10, 0, 0)
+# exact-half averages: (1.0 + 1.01) / 2 = 1.005 -> 1.01 (HALF_UP on the exact value)
+_add("t1", "temperature", 1.0, "S1", "M1", T0)
+_add("t2", "temperature", 1.01, "S1", "M1", T0 + dt.timedelta(minutes=5))
+_add("t3", "temperature", 2.675, "S1", "M2", T0 + dt.timedelta(days=1))
+_add("t4", "temperature", 90.0, "S2", "M1", T0 + dt.timedelta(hours=3))
+# vibration: two machines with equal spread (tie), one with a single reading
+for i, v in enumerate([1.0, 3.0] * 6):
+    _add(f"v{i}", "vibration", v, "S1", "M1", T0 + dt.timedelta(minutes=i))
+for i, v in enumerate([5.0, 7.0] * 6):
+    _add(f"w{i}", "vibration", v, "S2", "M3", T0 + dt.timedelta(minutes=i))
+_add("x0", "vibration", 8.5, "S3", "M1", T0)
+for i, v in enumerate([0.4, 1.0, 6.5, 3.333]):
+    _add(f"p{i}", "pressure", v, "S1" if i < 2 else "S2", "M1", T0 + dt.timedelta(hours=i))
+
+
+@pytest.fixture(scope="module")
+def wh(spark):
+    return spark.createDataFrame(ROWS, model.WAREHOUSE_SCHEMA)
+
+
+def test_temperature_by_machine_day(wh):
+    rows = {(r.site, r.machine, r.date): r for r in reports.temperature_by_machine_day(wh).collect()}
+    r = rows[("S1", "M1", "2026-01-08")]
+    assert (r.temperature_moyenne, r.temperature_min, r.temperature_max, r.nombre_mesures) == (1.01, 1.0, 1.01, 2)
+    assert rows[("S1", "M2", "2026-01-09")].temperature_min == half_up(2.675, 2) == 2.68
+    ordered = [(r.site, r.machine, r.date) for r in reports.temperature_by_machine_day(wh).collect()]
+    assert ordered == sorted(ordered)
+    doc = reports.temperature_by_machine_day_documented(wh)
+    assert doc.columns == ["site", "machine", "date", "temperature_moyenne", "nombre_mesures"]
+    per_machine = {(r.site, r.machine): r.nb_mesures for r in reports.temperature_by_machine(wh).collect()}
+    assert per_machine == {("S1", "M1"): 2, ("S1", "M2"): 1, ("S2", "M1"): 1}
+
+
+def test_alerts(wh):
+    a = {r.type: (r.total_mesures, r.alertes_critiques) for r in reports.alerts_by_type(wh).collect()}
+    expected = {}
+    for row in ROWS:
+        lo, hi = model.ALERT_THRESHOLDS[row[1]]
+        n, k = expected.get(row[1], (0, 0))
+        expected[row[1]] = (n + 1, k + int(row[2] < lo or row[2] > hi))
+    assert a == expected
+    pct = {r.type_capteur: r.pourcentage for r in reports.alerts_by_type_pct(wh).collect()}
+    assert pct["pressure"] == 50.0 and pct["temperature"] == 25.0
+    vib = [r for r in ROWS if r[1] == "vibration"]
+    assert pct["vibration"] == half_up(sum(r[11] for r in vib) * 100 / len(vib), 2) == 4.0
+
+
+def test_vibration_top5(wh):
+    top = reports.vibration_top5(wh).collect()
+    # equal spread on (S1, M1) and (S2, M3): tie broken by site, machine; single reading excluded
+    assert [(r.site, r.machine) for r in top] == [("S1", "M1"), ("S2", "M3")]
+    import statistics
+
+    assert top[0].ecart_type == round(statistics.stdev([1.0, 3.0] * 6), 3)
+    every = reports.vibration_top5_all(wh).collect()
+    assert [(r.site, r.machine) for r in every] == [("S1", "M1"), ("S2", "M3"), ("S3", "M1")]
+    assert every[-1].ecart_type is None and every[-1].moyenne == 8.5
+
+
+def test_pressure_hourly(wh):
+    rows = [(r.site, r.heure, r.pression_moyenne, r.nombre_mesures) for r in reports.pressure_hourly(wh).collect()]
+    assert rows == [("S1", 10, 0.4, 1), ("S1", 11, 1.0, 1), ("S2", 12, 6.5, 1), ("S2", 13, 3.33, 1)]
+    assert reports.pressure_hourly_std(wh).first().ecart_type is None
+
+
+def test_stats_reports(wh):
+    s = {r.type: r for r in reports.stats_by_type(wh).collect()}
+    assert s["temperature"].valeur_moyenne == half_up((1.0 + 1.01 + 2.675 + 90.0) / 4, 2)
+    assert s["temperature"].derniere_mesure == T0 + dt.timedelta(days=1)
+    assert s["pressure"].nombre_alertes == 2
+    by_site = {(r.site, r.type): r.total_mesures for r in reports.stats_by_site(wh).collect()}
+    assert by_site[("S1", "vibration")] == 12
+    by_machine = reports.stats_by_machine(wh)
+    assert by_machine.count() == len({(r[4], r[5], r[1]) for r in ROWS})
+    trends = reports.hourly_trends(wh).collect()
+    assert sum(r.nombre_mesures for r in trends) == len(ROWS)
+
+
+def test_dashboard(wh, spark):
+    d = reports.dashboard_summary(wh).first()
+    assert d.total_mesures == len(ROWS)
+    assert d.nombre_sites == 3
+    assert d.nombre_machines == 3  # names M1, M2, M3
+    assert d.nombre_machines_site == len({(r[4], r[5]) for r in ROWS})
+    alerts = sum(r[11] for r in ROWS)
+    assert d.total_alertes == alerts and d.taux_alerte_pct == half_up(alerts * 100 / len(ROWS), 2)
+    assert d.export_timestamp is not None
+    empty = reports.dashboard_summary(spark.createDataFrame([], model.WAREHOUSE_SCHEMA)).first()
+    assert (empty.total_mesures, empty.total_alertes, empty.taux_alerte_pct) == (0, 0, None)
+
+
+def test_alert_list_and_exports(wh):
+    alerts = reports.critical_alerts(wh).collect()
+    assert len(alerts) == sum(r[11] for r in ROWS)
+    assert [a.timestamp for a in alerts] == sorted((a.timestamp for a in alerts), reverse=True)
+    raw = reports.raw_export(wh)
+    assert raw.columns == list(reports.RAW_EXPORT_COLUMNS)
+    assert len(reports.raw_export_desc(wh).columns) == 13
+
+
+def test_monitor(wh):
+    m = {r.type: r["count"] for r in reports.monitor_stats(wh).collect()}
+    assert m == {"temperature": 4, "vibration": 25, "pressure": 4}
+    latest = reports.latest_readings(wh, n=3).collect()
+    assert len(latest) == 3
+    assert latest[0].timestamp == T0 + dt.timedelta(days=1)
+    assert {r.status for r in reports.latest_readings(wh, n=50).collect()} == {model.STATUS_ALERT, model.STATUS_OK}
+
+
+def test_warehouse_stats_and_summary(wh):
+    rows = {(r.level, r.type, r.site): r.total_mesures for r in reports.warehouse_stats(wh).collect()}
+    assert rows[("total", None, None)] == len(ROWS)
+    assert rows[("type", "vibration", None)] == 25
+    assert rows[("site", None, "S3")] == 1
+    v = {r.type: (r["count"], r.mean) for r in reports.value_summary(wh).collect()}
+    assert v["pressure"] == (4, half_up((0.4 + 1.0 + 6.5 + 3.333) / 4, 2))
+
+
+def test_report_registry(wh):
+    out = reports.run_all(wh)
+    assert set(out) == set(reports.DECISION_REPORTS)
+    assert set(reports.run_all(wh, reports.BI_EXPORTS)) == set(reports.BI_EXPORTS)
