@@ -33,6 +33,7 @@ PARTITION_COLUMNS = ("site", "type", "year", "month", "day")
 # ---------------------------------------------------------------------------
 CORRUPT_COLUMN = "_corrupt_record"
 SOURCE_FILE_COLUMN = "source_file"
+SOURCE_MODIFIED_COLUMN = "source_modified"
 
 # Extra zone form the reference regex misses ("...T14:30:45+02"): stripped too,
 # only when a time part precedes it so a bare date keeps its day.

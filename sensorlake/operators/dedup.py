@@ -30,14 +30,16 @@ def day_column() -> Column:
     return F.make_date(F.col("year"), F.col("month"), F.col("day"))
 
 
-def touched_days_predicate(batch: DataFrame) -> Column | None:
-    """A predicate on the partition columns selecting every day in ``batch``.
+def touched_days_predicate(batch: DataFrame, d: Column | None = None) -> Column | None:
+    """A predicate selecting every day (``d``, default: the partition columns'
+    date) present in ``batch``; applied to a partitioned table it prunes to
+    those days.
 
     One job lists the distinct days (at most ``MAX_LISTED_DAYS + 1`` rows reach
     the driver); past that, a one-row min/max aggregate gives the day range.
     None when the batch is empty.
     """
-    d = day_column()
+    d = day_column() if d is None else d
     days: list[dt.date] = [
         r[0] for r in batch.select(d.alias("d")).distinct().limit(MAX_LISTED_DAYS + 1).collect() if r[0] is not None
     ]

@@ -18,7 +18,8 @@ from sensorlake.operators.cleaning import valid_condition, with_reject_reasons
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Q1: NULL count of every column, one pass: (column_name, null_count)."""
-    cols = list(columns) if columns else [c for c in df.columns if c != model.SOURCE_FILE_COLUMN]
+    meta = (model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN)
+    cols = list(columns) if columns else [c for c in df.columns if c not in meta]
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     return counts.unpivot([], cols, "column_name", "null_count")
 

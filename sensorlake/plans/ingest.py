@@ -56,7 +56,9 @@ def accepted_rows(staged: DataFrame) -> DataFrame:
 def rejected_rows(staged: DataFrame) -> DataFrame:
     """Rejected staged rows with the raw fields, reasons and source file."""
     keep = [c for c, _ in model.RAW_FIELDS] + [
-        c for c in (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, REASONS) if c in staged.columns
+        c
+        for c in (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN, REASONS)
+        if c in staged.columns
     ]
     return staged.filter(~valid_flag()).select(*keep)
 

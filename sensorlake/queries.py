@@ -87,6 +87,8 @@ def registry() -> dict[str, Query]:
         "stream_hourly": stream_hourly,
         "stream_alerts": stream_alerts,
         "stream_stats_by_type": stream_stats_by_type,
+        "stream_raw_archive": stream_raw_archive,
+        "compaction": compaction,
     }
     return out
 
@@ -252,6 +254,32 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(spark.read.parquet(out).select(*WAREHOUSE_OUT))
 
 
+def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 (re-aimed): raw copy of every landed reading, as Parquet, unvalidated."""
+    root = _landing(spark, sf_dir)
+    out = scratch_path(spark, "archive")
+    _run(stream_ingest.start_raw_archive(
+        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
+        multi_line=False, max_files_per_trigger=1,
+    ))
+    return spark.read.parquet(out).select(*[c for c, _ in model.RAW_FIELDS])
+
+
+def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small-file compaction of the days a stream wrote (one file per micro-batch)."""
+    from sensorlake.sinks.warehouse import compact
+
+    root = _landing(spark, sf_dir)
+    wh = scratch_path(spark, "warehouse")
+    _run(stream_ingest.start_ingest(
+        spark, root, wh, scratch_path(spark, "ckpt"), available_now=True,
+        multi_line=False, max_files_per_trigger=1,
+    ))
+    table = read_warehouse(spark, wh)
+    compact(spark, wh, days=table.select("year", "month", "day"))
+    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+
+
 def stream_stats_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live per-type figures (complete-mode streaming aggregate)."""
     root = _landing(spark, sf_dir)
@@ -488,6 +516,11 @@ SELECT date_trunc('hour', timestamp) AS window_start,
        COUNT(*) FILTER (WHERE is_alert) AS alertes
 FROM sensor_data GROUP BY 1, 2, type"""),
         "stream_alerts": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data WHERE is_alert"),
+        "stream_raw_archive": f"""WITH {RAW_CTE}
+SELECT r.sensor_id, r.type, r.value, r.unit, r.site, r.machine,
+       strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp
+FROM raw r JOIN events e ON r.sensor_id = CAST(e.event_id AS VARCHAR)""",
+        "compaction": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
         "stream_stats_by_type": _w(f"""
 SELECT type, COUNT(*) AS "count", ROUND(AVG(value) + 1e-9, 2) AS avg_value,
        ROUND(MIN(value) + 1e-9, 2) AS min_value, ROUND(MAX(value) + 1e-9, 2) AS max_value,

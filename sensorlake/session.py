@@ -38,12 +38,16 @@ def build_session(master: str | None = None, app: str = "sensorlake", shuffle_pa
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint directory; set a local one only when unset."""
+    """The session's checkpoint directory; set a local one only when unset
+    and the session runs in local mode (tests).  On a cluster the shared
+    ``spark.checkpoint.dir`` must be configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     base = conf_dir or tempfile.mkdtemp(prefix="sensorlake-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base

@@ -3,10 +3,13 @@
 Layout: ``site / type / year / month / day`` (Parquet by default; the
 format is a parameter so ``delta`` works where its package is installed).
 
-Writes use the ``rebalance`` hint on the partition columns: rows of one
-table partition go to few writers (few files per directory), and adaptive
-execution splits a hot partition (one site-day holding a third of the rows)
-across several tasks instead of one.
+Writers are range-partitioned on ``(site, type, year, month, day,
+sensor_id)`` into ``spark.sql.shuffle.partitions`` tasks (the parallelism
+the cluster is sized with).  Range boundaries come from a sample of the
+keys, so every writer gets about the same number of rows; each writer holds
+a contiguous run of table partitions (few files per directory); and the
+unique ``sensor_id`` tail lets a hot table partition (one site-day holding
+a third of all rows) be split across many writers instead of one.
 """
 
 from __future__ import annotations
@@ -19,7 +22,12 @@ from sensorlake.session import observation
 from pyspark.sql import functions as F
 
 from sensorlake import model
-from sensorlake.operators.dedup import KEY, drop_duplicate_readings, new_readings, touched_days_predicate
+from sensorlake.operators.dedup import (
+    KEY,
+    drop_duplicate_readings,
+    new_readings,
+    touched_days_predicate,
+)
 from sensorlake.sources.warehouse import read_warehouse, table_exists
 
 
@@ -29,8 +37,10 @@ class WriteResult:
     alerts: int
 
 
-def _rebalanced(df: DataFrame) -> DataFrame:
-    return df.select(*model.WAREHOUSE_COLUMNS).hint("rebalance", *model.PARTITION_COLUMNS)
+def _for_writers(df: DataFrame) -> DataFrame:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*model.PARTITION_COLUMNS, "sensor_id"]
+    return df.select(*model.WAREHOUSE_COLUMNS).repartitionByRange(n, *keys)
 
 
 def _save(df: DataFrame, path: str, mode: str, fmt: str) -> None:
@@ -40,11 +50,10 @@ def _save(df: DataFrame, path: str, mode: str, fmt: str) -> None:
 def write_warehouse(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> WriteResult:
     """K1: partitioned write (``append`` or whole-table ``overwrite``).
 
-    Rows written and alerts among them are observed on the write itself
-    (placed above the rebalance: below it, an empty input loses the metrics).
+    Rows written and alerts among them are observed on the write itself.
     """
     obs = observation("warehouse_write")
-    out = _rebalanced(df).observe(obs, F.count(F.lit(1)).alias("written"), F.count_if(F.col("is_alert")).alias("alerts"))
+    out = _for_writers(df).observe(obs, F.count(F.lit(1)).alias("written"), F.count_if(F.col("is_alert")).alias("alerts"))
     _save(out, path, mode, fmt)
     m = obs.get
     return WriteResult(int(m.get("written") or 0), int(m.get("alerts") or 0))
@@ -79,17 +88,30 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY) ->
 
 
 QUARANTINE_ID = "quarantine_id"
+SOURCE_DATE = "source_date"
 
 
 def quarantine_rows(rejected: DataFrame) -> DataFrame:
-    """Rejected / corrupt rows with a content id, reasons and source file."""
+    """Rejected / corrupt rows with a content id, reasons and source file.
+
+    ``source_date`` (the source file's modification date, else the day of
+    quarantine) is the table's partition column: re-reading the same files
+    lands in the same partitions, so the re-run check reads only those.
+    """
     cols = [c for c, _ in model.RAW_FIELDS]
-    extra = [c for c in (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, "reject_reasons") if c in rejected.columns]
+    meta = [c for c in (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN) if c in rejected.columns]
+    extra = meta + (["reject_reasons"] if "reject_reasons" in rejected.columns else [])
     content = F.concat_ws(
         "\u0001",
-        *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols + [c for c in extra if c != "reject_reasons"]],
+        *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols + meta],
+    )
+    modified = F.col(model.SOURCE_MODIFIED_COLUMN) if model.SOURCE_MODIFIED_COLUMN in rejected.columns else F.lit(None)
+    return rejected.select(*cols, *extra).withColumns(
+        {
+            QUARANTINE_ID: F.sha2(content, 256),
+            SOURCE_DATE: F.coalesce(F.to_date(modified), F.current_date()),
+        }
     )
-    return rejected.select(*cols, *extra).withColumn(QUARANTINE_ID, F.sha2(content, 256))
 
 
 def write_quarantine(rejected: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -97,9 +119,49 @@ def write_quarantine(rejected: DataFrame, path: str, fmt: str = "parquet") -> in
     spark = rejected.sparkSession
     rows = quarantine_rows(rejected).dropDuplicates([QUARANTINE_ID])
     if table_exists(spark, path):
-        known = spark.read.format(fmt).load(path).select(QUARANTINE_ID)
+        dates = touched_days_predicate(rows, F.col(SOURCE_DATE))
+        if dates is None:
+            return 0
+        known = spark.read.format(fmt).load(path).filter(dates).select(QUARANTINE_ID)
         rows = rows.join(known, QUARANTINE_ID, "left_anti")
     obs = observation("quarantine")
     rows = rows.withColumn("quarantined_at", F.current_timestamp()).observe(obs, F.count(F.lit(1)).alias("n"))
-    rows.write.format(fmt).mode("append").save(path)
+    rows.write.format(fmt).mode("append").partitionBy(SOURCE_DATE).save(path)
     return int(obs.get.get("n") or 0)
+
+
+def compact(spark, path: str, days: DataFrame | None = None, fmt: str = "parquet") -> int:
+    """Rewrite the partitions of the given days as few, large files.
+
+    Stream micro-batches leave many small files per day.  ``days`` is a
+    DataFrame with ``year, month, day`` (e.g. the days a stream touched);
+    None compacts every day.  The partitions are first copied to a staging
+    folder under the shared checkpoint directory — the write never reads the
+    path it overwrites — then replaced with a dynamic partition overwrite.
+    Without a transactional table format the replacement of one partition
+    is not atomic for concurrent readers.  Returns the rows rewritten.
+    """
+    from sensorlake.session import remove_path, scratch_path
+
+    table = read_warehouse(spark, path, fmt)
+    if days is not None:
+        predicate = touched_days_predicate(days.select("year", "month", "day"))
+        if predicate is None:
+            return 0
+        table = table.filter(predicate)
+    stage = scratch_path(spark, "compact-stage")
+    table.write.format(fmt).save(stage)
+    try:
+        staged = spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).load(stage)
+        obs = observation("compact")
+        out = _for_writers(staged).observe(obs, F.count(F.lit(1)).alias("n"))
+        (
+            out.write.format(fmt)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*model.PARTITION_COLUMNS)
+            .save(path)
+        )
+        return int(obs.get.get("n") or 0)
+    finally:
+        remove_path(spark, stage)

@@ -65,8 +65,14 @@ def _reader(spark: SparkSession, schema: T.StructType | None, multi_line: bool,
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the file each row came from (for quarantine and replay)."""
-    return df.withColumn(model.SOURCE_FILE_COLUMN, F.col("_metadata.file_path"))
+    """Add the file each row came from and its modification time (for
+    quarantine and replay)."""
+    return df.withColumns(
+        {
+            model.SOURCE_FILE_COLUMN: F.col("_metadata.file_path"),
+            model.SOURCE_MODIFIED_COLUMN: F.col("_metadata.file_modification_time"),
+        }
+    )
 
 
 def read_json(

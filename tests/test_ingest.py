@@ -119,3 +119,50 @@ def test_stream_and_batch_into_one_table(spark, tmp_path):
     ingest_batch(spark, root, wh)
     start_ingest(spark, root, wh, str(tmp_path / "ck"), available_now=True).awaitTermination()
     assert read_warehouse(spark, wh).count() == 5
+
+
+def test_quarantine_rerun_adds_nothing_and_is_partitioned(spark, tmp_path):
+    root, wh, qu = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "qu")
+    _land(root, 3)
+    write_text(f"{root}/temperature/broken.json", '{"sensor_id": ')
+    write_pretty(f"{root}/temperature/neg.json", reading(sensor_id="neg", value=-1.0))
+    assert ingest_batch(spark, root, wh, quarantine_path=qu).quarantined == 2
+    assert ingest_batch(spark, root, wh, quarantine_path=qu).quarantined == 0
+    assert spark.read.parquet(qu).count() == 2
+    assert all(p.name.startswith("source_date=") for p in (tmp_path / "qu").iterdir() if p.is_dir())
+
+
+def test_compaction_keeps_rows_and_merges_files(spark, tmp_path):
+    from sensorlake.sinks.warehouse import compact
+
+    root, wh = str(tmp_path / "raw"), str(tmp_path / "wh")
+    _land(root, 12)
+    start_ingest(spark, root, wh, str(tmp_path / "ck"), available_now=True, max_files_per_trigger=2).awaitTermination()
+    before = _rows(spark, wh)
+    files_before = len(list((tmp_path / "wh").rglob("*.parquet")))
+    n = compact(spark, wh, days=read_warehouse(spark, wh).select("year", "month", "day"))
+    assert n == 12 and _rows(spark, wh) == before
+    assert len(list((tmp_path / "wh").rglob("*.parquet"))) < files_before
+
+
+def test_export_refresh_after_each_batch(spark, tmp_path):
+    from sensorlake.streaming.monitor import export_refresher
+
+    root, wh, reports_dir = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "reports")
+    _land(root, 6)
+    start_ingest(spark, root, wh, str(tmp_path / "ck"), available_now=True,
+                 on_batch=export_refresher(wh, reports_dir)).awaitTermination()
+    with open(f"{reports_dir}/dashboard_summary.csv") as f:
+        header, row = f.read().strip().splitlines()
+    assert header.startswith("total_mesures,") and row.startswith("6,")
+
+
+def test_raw_archive_stream(spark, tmp_path):
+    from sensorlake.streaming.ingest import start_raw_archive
+
+    root, out = str(tmp_path / "raw"), str(tmp_path / "archive")
+    _land(root, 4)
+    write_text(f"{root}/temperature/broken.json", '{"sensor_id": ')
+    start_raw_archive(spark, root, out, str(tmp_path / "ck"), available_now=True).awaitTermination()
+    archived = spark.read.parquet(out)
+    assert archived.count() == 5 and archived.filter("_corrupt_record IS NOT NULL").count() == 1
