@@ -150,9 +150,9 @@ def compact(spark, path: str, days: DataFrame | None = None, fmt: str = "parquet
             return 0
         table = table.filter(predicate)
     stage = scratch_path(spark, "compact-stage")
-    table.write.format(fmt).save(stage)
+    table.write.parquet(stage)
     try:
-        staged = spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).load(stage)
+        staged = spark.read.schema(model.WAREHOUSE_SCHEMA).parquet(stage)
         obs = observation("compact")
         out = _for_writers(staged).observe(obs, F.count(F.lit(1)).alias("n"))
         (

@@ -8,6 +8,9 @@ from sensorlake import model
 from sensorlake.sources.json_files import path_exists
 
 
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """The warehouse path exists (any format)."""
     return path_exists(spark, path)
@@ -22,7 +25,10 @@ def read_warehouse(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     """
     if not table_exists(spark, path):
         raise FileNotFoundError(f"warehouse table not found: {path}")
-    return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).load(path)
+    if fmt in FILE_FORMATS:
+        return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).load(path)
+    # table formats (delta) keep their own schema and refuse a read schema
+    return spark.read.format(fmt).load(path).select(*model.WAREHOUSE_COLUMNS)
 
 
 def register_view(df: DataFrame, name: str = "sensor_data") -> DataFrame:

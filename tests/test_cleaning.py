@@ -93,3 +93,15 @@ def test_acceptance_metrics_single_pass(spark):
     observed, obs = acceptance_metrics(df)
     observed.agg(F.count(F.lit(1))).collect()
     assert obs.get == {"total": 2, "valid": 1, "rejected": 1}
+
+
+def test_union_all_tolerates_missing_columns(spark):
+    from sensorlake.operators.cleaning import union_all
+
+    a = _frame(spark, [reading(sensor_id="a")])
+    b = spark.createDataFrame([("b", "vibration", 1.0)], "sensor_id string, type string, value double")
+    out = union_all([a, b]).collect()
+    assert sorted(r.sensor_id for r in out) == ["a", "b"]
+    assert [r.site for r in out if r.sensor_id == "b"] == [None]
+    with pytest.raises(ValueError):
+        union_all([])
