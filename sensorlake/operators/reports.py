@@ -7,6 +7,10 @@ hash aggregate (partial aggregation before the shuffle, so a hot key is
 combined map-side) or a top-k; filters on ``type`` prune warehouse
 partitions, and only the referenced columns are read.
 
+Day and hour groupings use the stored ``year, month, day`` (partition
+values, constant per file) and ``hour`` columns; the ``yyyy-MM-dd`` text is
+formatted once per group after the aggregation, not once per row.
+
 Orders carry tie-breakers so results are deterministic.
 """
 
@@ -22,6 +26,14 @@ from sensorlake.functions import alert_flag, avg_half_up, pct_half_up, round_hal
 DAY_FORMAT = "yyyy-MM-dd"
 
 
+DAY_KEYS = ("year", "month", "day")
+
+
+def _day_text() -> F.Column:
+    """``yyyy-MM-dd`` of an aggregated (year, month, day) group."""
+    return F.date_format(F.make_date("year", "month", "day"), DAY_FORMAT).alias("date")
+
+
 def _of_type(df: DataFrame, sensor_type: str) -> DataFrame:
     return df.filter(F.col("type") == F.lit(sensor_type))
 
@@ -41,13 +53,15 @@ def temperature_by_machine_day(df: DataFrame) -> DataFrame:
     """A1: mean / min / max temperature per site, machine and day."""
     return (
         _of_type(df, "temperature")
-        .groupBy("site", "machine", F.date_format("timestamp", DAY_FORMAT).alias("date"))
+        .groupBy("site", "machine", *DAY_KEYS)
         .agg(
             avg_half_up("value", 2).alias("temperature_moyenne"),
             round_half_up(F.min("value"), 2).alias("temperature_min"),
             round_half_up(F.max("value"), 2).alias("temperature_max"),
             _n().alias("nombre_mesures"),
         )
+        .select("site", "machine", _day_text(), "temperature_moyenne", "temperature_min",
+                "temperature_max", "nombre_mesures")
         .orderBy("site", "machine", "date")
     )
 
@@ -142,7 +156,7 @@ def pressure_hourly(df: DataFrame) -> DataFrame:
     """A4: mean pressure per site and hour of day (all days merged)."""
     return (
         _of_type(df, "pressure")
-        .groupBy("site", F.hour("timestamp").alias("heure"))
+        .groupBy("site", F.col("hour").alias("heure"))
         .agg(avg_half_up("value", 2).alias("pression_moyenne"), _n().alias("nombre_mesures"))
         .orderBy("site", "heure")
     )
@@ -152,7 +166,7 @@ def pressure_hourly_std(df: DataFrame) -> DataFrame:
     """A4 plus the standard deviation."""
     return (
         _of_type(df, "pressure")
-        .groupBy("site", F.hour("timestamp").alias("heure"))
+        .groupBy("site", F.col("hour").alias("heure"))
         .agg(
             avg_half_up("value", 2).alias("pression_moyenne"),
             F.round(F.stddev_samp("value"), 2).alias("ecart_type"),
@@ -228,16 +242,13 @@ def stats_by_machine(df: DataFrame) -> DataFrame:
 def hourly_trends(df: DataFrame) -> DataFrame:
     """Per day, hour of day and type."""
     return (
-        df.groupBy(
-            F.date_format("timestamp", DAY_FORMAT).alias("date"),
-            F.hour("timestamp").alias("heure"),
-            "type",
-        )
+        df.groupBy(*DAY_KEYS, F.col("hour").alias("heure"), "type")
         .agg(
             _n().alias("nombre_mesures"),
             avg_half_up("value", 2).alias("valeur_moyenne"),
             _alerts().alias("alertes"),
         )
+        .select(_day_text(), "heure", "type", "nombre_mesures", "valeur_moyenne", "alertes")
         .orderBy("date", "heure", "type")
     )
 
