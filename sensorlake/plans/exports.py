@@ -2,9 +2,10 @@
 
 The reference reloads and counts the table before every export; here the
 caller's snapshot is read once per report and nothing is counted twice.
-Aggregated reports are written as one CSV file each; the raw extract is
-written multi-part (one writer per partition) unless a single file is
-asked for, since a single writer for the whole table does not scale.
+Aggregated reports (bounded by their number of groups) are written as one
+CSV file each.  Row-level extracts (every reading, every alert) grow with
+the table, so they are written multi-part, one writer per partition: a
+single writer would funnel the table through one task.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame
 from sensorlake.operators import reports
 from sensorlake.sinks.csv import export_single_csv, write_csv
 
-RAW_EXPORTS = {"raw_data"}
+# row-level extracts: written multi-part
+ROW_EXPORTS = {"raw_data", "critical_alerts"}
 
 
 def run_reports(
@@ -36,18 +38,19 @@ def export_all(
     warehouse: DataFrame,
     reports_dir: str,
     registry: dict[str, Callable[[DataFrame], DataFrame]] = reports.BI_EXPORTS,
-    single_file_raw: bool = False,
 ) -> dict[str, float]:
-    """Every BI export as ``<reports_dir>/<name>.csv``; returns seconds per export.
+    """Every BI export; returns seconds per export.
 
-    An empty alert list still yields a header-only file, so a stale list
-    never survives.  Errors propagate.
+    Aggregates go to ``<reports_dir>/<name>.csv``, row-level extracts to the
+    directory ``<reports_dir>/<name>/`` (overwritten, so an empty alert list
+    leaves a header-only file and a stale list never survives).  Errors
+    propagate.
     """
     timings = {}
     for name, fn in registry.items():
         t0 = time.time()
         df = fn(warehouse)
-        if name in RAW_EXPORTS and not single_file_raw:
+        if name in ROW_EXPORTS:
             write_csv(df, f"{reports_dir.rstrip('/')}/{name}", single_file=False)
         else:
             export_single_csv(df, reports_dir, name)

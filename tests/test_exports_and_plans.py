@@ -34,13 +34,22 @@ def test_export_files(spark, tmp_path):
     timings = export_all(table, out)
     assert set(timings) == set(reports.BI_EXPORTS)
     for name in reports.BI_EXPORTS:
-        if name != "raw_data":
+        if name in ("raw_data", "critical_alerts"):
+            assert os.path.isdir(f"{out}/{name}"), name
+        else:
             assert os.path.isfile(f"{out}/{name}.csv"), name
     with open(f"{out}/stats_by_type.csv") as f:
         assert f.readline().strip().startswith("type,total_mesures")
-    # no alert: header-only file, never a stale list
-    export_single_csv(reports.critical_alerts(table.filter("false")), out, "critical_alerts")
-    with open(f"{out}/critical_alerts.csv") as f:
+    # no alert: header-only output, never a stale list
+    export_all(table.filter("false"), out)
+    lines = []
+    for part in sorted(os.listdir(f"{out}/critical_alerts")):
+        if part.endswith(".csv"):
+            with open(f"{out}/critical_alerts/{part}") as f:
+                lines += f.read().strip().splitlines()
+    assert lines == ["sensor_id,type,value,unit,site,machine,timestamp,ingestion_timestamp"]
+    export_single_csv(reports.stats_by_type(table.filter("false")), out, "empty_stats")
+    with open(f"{out}/empty_stats.csv") as f:
         assert len(f.read().strip().splitlines()) == 1
     decision = run_reports(table, str(tmp_path / "decision"))
     assert set(decision) == set(reports.DECISION_REPORTS)
