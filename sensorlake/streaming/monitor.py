@@ -56,6 +56,22 @@ def monitor_snapshot(warehouse: DataFrame, n: int = 10) -> tuple[DataFrame, Data
     return reports.monitor_stats(warehouse), reports.latest_readings(warehouse, n)
 
 
+def monitor_publisher(warehouse_path: str, out_dir: str, n: int = 10, fmt: str = "parquet"):
+    """R4 batch side as an ``on_batch`` callback for ``start_ingest``: after
+    each micro-batch, the per-type figures and the ``n`` latest readings of
+    the table are written to ``<out_dir>/stats`` and ``<out_dir>/latest``
+    (small results: a grouped aggregate of 3 rows and a top-k)."""
+
+    def publish(spark: SparkSession, batch_id: int) -> None:
+        from sensorlake.sources.warehouse import read_warehouse
+
+        stats, latest = monitor_snapshot(read_warehouse(spark, warehouse_path, fmt), n)
+        stats.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/stats")
+        latest.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/latest")
+
+    return publish
+
+
 def export_refresher(warehouse_path: str, reports_dir: str, fmt: str = "parquet"):
     """An ``on_batch`` callback for ``start_ingest`` that rebuilds the BI
     exports from the table after every micro-batch."""

@@ -166,3 +166,16 @@ def test_raw_archive_stream(spark, tmp_path):
     start_raw_archive(spark, root, out, str(tmp_path / "ck"), available_now=True).awaitTermination()
     archived = spark.read.parquet(out)
     assert archived.count() == 5 and archived.filter("_corrupt_record IS NOT NULL").count() == 1
+
+
+def test_monitor_published_after_each_batch(spark, tmp_path):
+    from sensorlake.streaming.monitor import monitor_publisher
+
+    root, wh, out = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "monitor")
+    _land(root, 12)
+    start_ingest(spark, root, wh, str(tmp_path / "ck"), available_now=True,
+                 on_batch=monitor_publisher(wh, out, n=3)).awaitTermination()
+    stats = spark.read.parquet(f"{out}/stats").collect()
+    latest = spark.read.parquet(f"{out}/latest").collect()
+    assert [(r.type, r["count"]) for r in stats] == [("temperature", 12)]
+    assert len(latest) == 3 and len({r.batch_id for r in latest}) == 1
