@@ -51,6 +51,55 @@ def touched_days_predicate(batch: DataFrame, d: Column | None = None) -> Column
     return d.between(F.lit(lo), F.lit(hi))
 
 
+# A batch's partition profile lists at most this many table partitions on
+# the driver (the job commit lists its output directories there anyway).
+MAX_PROFILED_PARTITIONS = 100_000
+
+
+class PartitionProfile:
+    """Rows per table partition of a batch: touched days, totals, sizes."""
+
+    def __init__(self, rows: list | None, total: int, lo: dt.date | None, hi: dt.date | None):
+        self.rows = rows  # [(site, type, year, month, day, n)] or None if too many
+        self.total = total
+        self.lo, self.hi = lo, hi
+
+    @property
+    def empty(self) -> bool:
+        return self.total == 0
+
+    @property
+    def partitions(self) -> int | None:
+        return None if self.rows is None else len(self.rows)
+
+    def days_predicate(self) -> Column | None:
+        """Partition-column predicate selecting every day of the batch."""
+        if self.empty:
+            return None
+        d = day_column()
+        if self.rows is not None:
+            days = sorted({dt.date(r[2], r[3], r[4]) for r in self.rows if r[2] is not None})
+            if 0 < len(days) <= MAX_LISTED_DAYS:
+                return d.isin(*[F.lit(x) for x in days])
+        return d.between(F.lit(self.lo), F.lit(self.hi))
+
+
+def partition_profile(batch: DataFrame) -> PartitionProfile:
+    """One job: row count per (site, type, year, month, day) of ``batch``.
+
+    At most ``MAX_PROFILED_PARTITIONS + 1`` rows reach the driver; past that a
+    one-row aggregate gives the total and the day range instead.
+    """
+    keys = ["site", "type", "year", "month", "day"]
+    rows = [tuple(r) for r in batch.groupBy(*keys).count().limit(MAX_PROFILED_PARTITIONS + 1).collect()]
+    if len(rows) <= MAX_PROFILED_PARTITIONS:
+        days = [dt.date(r[2], r[3], r[4]) for r in rows if r[2] is not None]
+        return PartitionProfile(rows, sum(r[5] for r in rows), min(days, default=None), max(days, default=None))
+    d = day_column()
+    total, lo, hi = batch.agg(F.count(F.lit(1)), F.min(d), F.max(d)).first()
+    return PartitionProfile(None, int(total), lo, hi)
+
+
 def new_readings(batch: DataFrame, existing_keys: DataFrame, key: str = KEY) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing_keys`` (left anti join)."""
     return batch.join(existing_keys.select(key), on=key, how="left_anti")

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from sensorlake import model
 from sensorlake.operators.dedup import (
     KEY,
+    PartitionProfile,
     drop_duplicate_readings,
     new_readings,
+    partition_profile,
     touched_days_predicate,
 )
 from sensorlake.sources.warehouse import read_warehouse, table_exists
@@ -37,8 +39,29 @@ class WriteResult:
     alerts: int
 
 
-def _for_writers(df: DataFrame) -> DataFrame:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Target rows per written file (a few tens of MB of Parquet per writer).
+ROWS_PER_WRITER = 2_000_000
+
+
+def writer_count(spark, profile: PartitionProfile | None) -> int:
+    """Writers for a batch: enough for ``ROWS_PER_WRITER`` rows each, at least
+    one per core while there are table partitions to spread (small batches
+    stay parallel without one tiny file per core), at most
+    ``spark.sql.shuffle.partitions``."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if profile is None:
+        return cap
+    by_rows = -(-profile.total // ROWS_PER_WRITER)
+    spread = spark.sparkContext.defaultParallelism
+    if profile.partitions is not None:
+        spread = min(spread, profile.partitions)
+    return max(1, min(cap, max(by_rows, spread)))
+
+
+def _for_writers(df: DataFrame, writers: int | None = None) -> DataFrame:
+    """Range-partition rows for the writers (at most as many partitions as
+    distinct sampled keys, so a tiny batch never gets empty writer tasks)."""
+    n = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*model.PARTITION_COLUMNS, "sensor_id"]
     return df.select(*model.WAREHOUSE_COLUMNS).repartitionByRange(n, *keys)
 
@@ -47,19 +70,23 @@ def _save(df: DataFrame, path: str, mode: str, fmt: str) -> None:
     df.write.format(fmt).mode(mode).partitionBy(*model.PARTITION_COLUMNS).save(path)
 
 
-def write_warehouse(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> WriteResult:
+def write_warehouse(
+    df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet", writers: int | None = None
+) -> WriteResult:
     """K1: partitioned write (``append`` or whole-table ``overwrite``).
 
     Rows written and alerts among them are observed on the write itself.
     """
     obs = observation("warehouse_write")
-    out = _for_writers(df).observe(obs, F.count(F.lit(1)).alias("written"), F.count_if(F.col("is_alert")).alias("alerts"))
+    out = _for_writers(df, writers).observe(obs, F.count(F.lit(1)).alias("written"), F.count_if(F.col("is_alert")).alias("alerts"))
     _save(out, path, mode, fmt)
     m = obs.get
     return WriteResult(int(m.get("written") or 0), int(m.get("alerts") or 0))
 
 
-def append_new(df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, stage: bool = False) -> WriteResult:
+def append_new(
+    df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, stage: bool = False, writers: int | None = None
+) -> WriteResult:
     """Idempotent append: only readings not yet in the table are written.
 
     ``df`` is read twice (touched days, then the write); pass ``stage=True``
@@ -72,19 +99,20 @@ def append_new(df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, s
 
         ensure_checkpoint_dir(spark)
         df = df.checkpoint(eager=True)
+    profile = partition_profile(df)
+    if profile.empty:
+        return WriteResult(0, 0)
     batch = drop_duplicate_readings(df, key)
     if table_exists(spark, path):
-        days = touched_days_predicate(df)
-        if days is None:
-            return WriteResult(0, 0)
-        existing = read_warehouse(spark, path, fmt).filter(days)
+        existing = read_warehouse(spark, path, fmt).filter(profile.days_predicate())
         batch = new_readings(batch, existing, key)
-    return write_warehouse(batch, path, "append", fmt)
+    return write_warehouse(batch, path, "append", fmt, writers or writer_count(spark, profile))
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY) -> WriteResult:
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, writers: int | None = None) -> WriteResult:
     """Full rebuild of the table from ``df`` (which must not read ``path``)."""
-    return write_warehouse(drop_duplicate_readings(df, key), path, "overwrite", fmt)
+    n = writers or writer_count(df.sparkSession, partition_profile(df))
+    return write_warehouse(drop_duplicate_readings(df, key), path, "overwrite", fmt, n)
 
 
 QUARANTINE_ID = "quarantine_id"
@@ -154,7 +182,7 @@ def compact(spark, path: str, days: DataFrame | None = None, fmt: str = "parquet
     try:
         staged = spark.read.schema(model.WAREHOUSE_SCHEMA).parquet(stage)
         obs = observation("compact")
-        out = _for_writers(staged).observe(obs, F.count(F.lit(1)).alias("n"))
+        out = _for_writers(staged, writer_count(spark, partition_profile(staged))).observe(obs, F.count(F.lit(1)).alias("n"))
         (
             out.write.format(fmt)
             .mode("overwrite")
