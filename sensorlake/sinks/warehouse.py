@@ -84,14 +84,30 @@ def write_warehouse(
     return WriteResult(int(m.get("written") or 0), int(m.get("alerts") or 0))
 
 
+def rows_to_append(
+    df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, profile: PartitionProfile | None = None
+) -> tuple[DataFrame | None, PartitionProfile]:
+    """The rows of ``df`` the table does not hold yet (lazy), and the batch's
+    partition profile; None when the batch is empty."""
+    spark = df.sparkSession
+    profile = profile or partition_profile(df)
+    if profile.empty:
+        return None, profile
+    batch = drop_duplicate_readings(df, key)
+    if table_exists(spark, path):
+        existing = read_warehouse(spark, path, fmt).filter(profile.days_predicate())
+        batch = new_readings(batch, existing, key)
+    return batch, profile
+
+
 def append_new(
     df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, stage: bool = False, writers: int | None = None
 ) -> WriteResult:
     """Idempotent append: only readings not yet in the table are written.
 
-    ``df`` is read twice (touched days, then the write); pass ``stage=True``
-    when it is expensive to recompute, to checkpoint it first in the
-    session's shared checkpoint directory.
+    ``df`` is read twice (partition profile, then the write); pass
+    ``stage=True`` when it is expensive to recompute, to checkpoint it first
+    in the session's shared checkpoint directory.
     """
     spark = df.sparkSession
     if stage:
@@ -99,13 +115,9 @@ def append_new(
 
         ensure_checkpoint_dir(spark)
         df = df.checkpoint(eager=True)
-    profile = partition_profile(df)
-    if profile.empty:
+    batch, profile = rows_to_append(df, path, fmt, key)
+    if batch is None:
         return WriteResult(0, 0)
-    batch = drop_duplicate_readings(df, key)
-    if table_exists(spark, path):
-        existing = read_warehouse(spark, path, fmt).filter(profile.days_predicate())
-        batch = new_readings(batch, existing, key)
     return write_warehouse(batch, path, "append", fmt, writers or writer_count(spark, profile))
 
 

@@ -105,3 +105,30 @@ def test_dashboard_distinct_counts_on_pre_aggregated_rows(spark):
     plan = reports.dashboard_summary(table)._jdf.queryExecution().optimizedPlan().toString()
     # the Expand of the distinct counts sits above the (site, machine) pre-aggregate
     assert plan.index("Expand") < plan.rindex("Aggregate [site")
+
+
+def test_idempotent_append_plan(spark, tmp_path):
+    from sensorlake.plans.ingest import accepted_rows, staged_rows
+    from sensorlake.sinks.warehouse import _for_writers, rows_to_append
+    from sensorlake.sources.json_files import read_sensor_dirs
+
+    root, wh = str(tmp_path / "raw"), str(tmp_path / "wh")
+    _land(root, 6)
+    ingest_batch(spark, root, wh)
+    rows = accepted_rows(staged_rows(read_sensor_dirs(spark, root)))
+    batch, profile = rows_to_append(rows, wh)
+    assert profile.total == 6 and profile.partitions == 1
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = _plan(_for_writers(batch, 4))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    # table side: only the touched day's partitions, only the key column
+    pruning = plan.split("Format: Parquet")[1].split("PartitionFilters: [")[1].split("]")[0]
+    assert "make_date(year" in pruning and "2026-01-08" in pruning
+    assert "ReadSchema: struct<sensor_id:string>" in plan
+    assert "LeftAnti" in plan
+    # writers: range partitioning with the unique key as the last field
+    assert "rangepartitioning(site" in plan and "sensor_id" in plan.split("rangepartitioning(")[1].split(")")[0]
+    assert "EvalPython" not in plan
+    assert batch.count() == 0
