@@ -42,6 +42,25 @@ def _trigger(writer, available_now: bool, processing_time: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
 
 
+def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int | None) -> StreamingQuery:
+    """Start ``writer`` with ``state_partitions`` shuffle / state-store
+    partitions for its stateful operators.
+
+    A streaming query copies the session configuration when it starts and
+    keeps the state partitioning in its checkpoint for good, so the setting
+    is applied only around ``start()``; a restart reuses the checkpoint's.
+    """
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
+
+
 def start_ingest(
     spark: SparkSession,
     root: str,
