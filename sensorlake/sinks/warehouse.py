@@ -4,10 +4,10 @@ Layout: ``site / type / year / month / day`` (Parquet by default; the
 format is a parameter so ``delta`` works where its package is installed).
 
 Writers are range-partitioned on ``(site, type, year, month, day,
-sensor_id)`` into ``spark.sql.shuffle.partitions`` tasks (the parallelism
-the cluster is sized with).  Range boundaries come from a sample of the
-keys, so every writer gets about the same number of rows; each writer holds
-a contiguous run of table partitions (few files per directory); and the
+sensor_id)``; their number comes from the batch's partition profile
+(``writer_count``).  Range boundaries come from a sample of the keys, so
+every writer gets about the same number of rows; each writer holds a
+contiguous run of table partitions (few files per directory); and the
 unique ``sensor_id`` tail lets a hot table partition (one site-day holding
 a third of all rows) be split across many writers instead of one.
 """
@@ -17,8 +17,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-
-from sensorlake.session import observation
 from pyspark.sql import functions as F
 
 from sensorlake import model
@@ -30,6 +28,7 @@ from sensorlake.operators.dedup import (
     partition_profile,
     touched_days_predicate,
 )
+from sensorlake.session import observation
 from sensorlake.sources.warehouse import read_warehouse, table_exists
 
 

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from sensorlake import model
 from sensorlake.operators import reports

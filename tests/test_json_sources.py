@@ -4,7 +4,6 @@ import json
 import math
 import os
 
-from pyspark.sql import functions as F
 
 from sensorlake import model
 from sensorlake.operators import quality
