@@ -9,7 +9,8 @@ generation.  Timed, each as its own Spark job(s):
 * ``ingest_rerun``   the same files again: idempotent, writes nothing (X1)
 * ``ingest_stream``  the same files through the streaming ingestion (R1)
 * ``<report>``       every report (A1-A19) over the warehouse table, collected
-* ``export_all``     the seven BI exports written as CSV files (A14)
+* ``export_all``     the seven BI exports written as CSV files (A14); the
+                     aggregates roll up one shared reading summary
 
 Prints one JSON line: {"metric", "value" (sum of timed seconds), "unit",
 "queries": {name: seconds}, "sf"}.

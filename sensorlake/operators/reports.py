@@ -11,6 +11,11 @@ Day and hour groupings use the stored ``year, month, day`` (partition
 values, constant per file) and ``hour`` columns; the ``yyyy-MM-dd`` text is
 formatted once per group after the aggregation, not once per row.
 
+Aggregate reports accept either warehouse rows or the reading summary
+(``sensorlake.operators.summary``): their measures come from ``Measures``,
+so running many reports over one summary scans the table once.
+``SUMMARY_REPORTS`` lists them; row-level extracts need the rows.
+
 Orders carry tie-breakers so results are deterministic.
 """
 
@@ -21,7 +26,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions import alert_flag, avg_half_up, pct_half_up, round_half_up, status_label
+from sensorlake.functions import alert_flag, pct_half_up, round_half_up, status_label
+from sensorlake.operators.summary import Measures
 
 DAY_FORMAT = "yyyy-MM-dd"
 
@@ -38,27 +44,20 @@ def _of_type(df: DataFrame, sensor_type: str) -> DataFrame:
     return df.filter(F.col("type") == F.lit(sensor_type))
 
 
-def _n() -> F.Column:
-    return F.count(F.lit(1))
-
-
-def _alerts() -> F.Column:
-    return F.count_if(F.col("is_alert"))
-
-
 # --- A1 family: temperature ------------------------------------------------
 
 
 def temperature_by_machine_day(df: DataFrame) -> DataFrame:
     """A1: mean / min / max temperature per site, machine and day."""
+    m = Measures(df)
     return (
         _of_type(df, "temperature")
         .groupBy("site", "machine", *DAY_KEYS)
         .agg(
-            avg_half_up("value", 2).alias("temperature_moyenne"),
-            round_half_up(F.min("value"), 2).alias("temperature_min"),
-            round_half_up(F.max("value"), 2).alias("temperature_max"),
-            _n().alias("nombre_mesures"),
+            m.avg(2).alias("temperature_moyenne"),
+            m.min(2).alias("temperature_min"),
+            m.max(2).alias("temperature_max"),
+            m.count().alias("nombre_mesures"),
         )
         .select("site", "machine", _day_text(), "temperature_moyenne", "temperature_min",
                 "temperature_max", "nombre_mesures")
@@ -75,14 +74,15 @@ def temperature_by_machine_day_documented(df: DataFrame) -> DataFrame:
 
 def temperature_by_machine(df: DataFrame) -> DataFrame:
     """Per site and machine, all days together."""
+    m = Measures(df)
     return (
         _of_type(df, "temperature")
         .groupBy("site", "machine")
         .agg(
-            avg_half_up("value", 2).alias("temp_moyenne"),
-            round_half_up(F.min("value"), 2).alias("temp_min"),
-            round_half_up(F.max("value"), 2).alias("temp_max"),
-            _n().alias("nb_mesures"),
+            m.avg(2).alias("temp_moyenne"),
+            m.min(2).alias("temp_min"),
+            m.max(2).alias("temp_max"),
+            m.count().alias("nb_mesures"),
         )
         .orderBy("site", "machine")
     )
@@ -93,10 +93,11 @@ def temperature_by_machine(df: DataFrame) -> DataFrame:
 
 def alerts_by_type(df: DataFrame) -> DataFrame:
     """A2: alerts recomputed from the thresholds (not the stored flag)."""
+    m = Measures(df)
     return (
         df.groupBy("type")
         .agg(
-            _n().alias("total_mesures"),
+            m.count().alias("total_mesures"),
             F.count_if(alert_flag("type", "value")).alias("alertes_critiques"),
         )
         .orderBy(F.desc("alertes_critiques"), "type")
@@ -105,9 +106,10 @@ def alerts_by_type(df: DataFrame) -> DataFrame:
 
 def alerts_by_type_pct(df: DataFrame) -> DataFrame:
     """Stored flag, with the alert percentage."""
+    m = Measures(df)
     return (
         df.groupBy(F.col("type").alias("type_capteur"))
-        .agg(_n().alias("total_mesures"), _alerts().alias("alertes_critiques"))
+        .agg(m.count().alias("total_mesures"), m.alerts().alias("alertes_critiques"))
         .withColumn("pourcentage", pct_half_up("alertes_critiques", "total_mesures", 2))
         .orderBy(F.desc("alertes_critiques"), "type_capteur")
     )
@@ -118,14 +120,15 @@ def alerts_by_type_pct(df: DataFrame) -> DataFrame:
 
 def vibration_top5(df: DataFrame, min_count: int = 10, k: int = 5) -> DataFrame:
     """A3: highest sample standard deviation of vibration per machine."""
+    m = Measures(df)
     return (
         _of_type(df, "vibration")
         .groupBy("site", "machine")
         .agg(
-            _n().alias("nombre_mesures"),
-            F.round(F.stddev_samp("value"), 3).alias("ecart_type"),
-            round_half_up(F.min("value"), 3).alias("min_val"),
-            round_half_up(F.max("value"), 3).alias("max_val"),
+            m.count().alias("nombre_mesures"),
+            m.std(3).alias("ecart_type"),
+            m.min(3).alias("min_val"),
+            m.max(3).alias("max_val"),
         )
         .filter(F.col("nombre_mesures") >= F.lit(min_count))
         .orderBy(F.desc_nulls_last("ecart_type"), "site", "machine")
@@ -135,13 +138,14 @@ def vibration_top5(df: DataFrame, min_count: int = 10, k: int = 5) -> DataFrame:
 
 def vibration_top5_all(df: DataFrame, min_count: int = 0, k: int = 5) -> DataFrame:
     """Documented form with the mean, no minimum count."""
+    m = Measures(df)
     return (
         _of_type(df, "vibration")
         .groupBy("machine", "site")
         .agg(
-            F.round(F.stddev_samp("value"), 3).alias("ecart_type"),
-            avg_half_up("value", 3).alias("moyenne"),
-            _n().alias("mesures"),
+            m.std(3).alias("ecart_type"),
+            m.avg(3).alias("moyenne"),
+            m.count().alias("mesures"),
         )
         .filter(F.col("mesures") >= F.lit(min_count))
         .orderBy(F.desc_nulls_last("ecart_type"), "site", "machine")
@@ -154,23 +158,25 @@ def vibration_top5_all(df: DataFrame, min_count: int = 0, k: int = 5) -> DataFra
 
 def pressure_hourly(df: DataFrame) -> DataFrame:
     """A4: mean pressure per site and hour of day (all days merged)."""
+    m = Measures(df)
     return (
         _of_type(df, "pressure")
         .groupBy("site", F.col("hour").alias("heure"))
-        .agg(avg_half_up("value", 2).alias("pression_moyenne"), _n().alias("nombre_mesures"))
+        .agg(m.avg(2).alias("pression_moyenne"), m.count().alias("nombre_mesures"))
         .orderBy("site", "heure")
     )
 
 
 def pressure_hourly_std(df: DataFrame) -> DataFrame:
     """A4 plus the standard deviation."""
+    m = Measures(df)
     return (
         _of_type(df, "pressure")
         .groupBy("site", F.col("hour").alias("heure"))
         .agg(
-            avg_half_up("value", 2).alias("pression_moyenne"),
-            F.round(F.stddev_samp("value"), 2).alias("ecart_type"),
-            _n().alias("nombre_mesures"),
+            m.avg(2).alias("pression_moyenne"),
+            m.std(2).alias("ecart_type"),
+            m.count().alias("nombre_mesures"),
         )
         .orderBy("site", "heure")
     )
@@ -199,27 +205,28 @@ def raw_export_desc(df: DataFrame, with_ingestion_time: bool = True) -> DataFram
     return df.select(*cols).orderBy(F.desc("timestamp"), "sensor_id")
 
 
-def _group_measures(avg_name: str = "valeur_moyenne", alerts_name: str = "alertes"):
+def _group_measures(m: Measures, avg_name: str = "valeur_moyenne", alerts_name: str = "alertes"):
     return [
-        _n().alias("total_mesures"),
-        avg_half_up("value", 2).alias(avg_name),
-        _alerts().alias(alerts_name),
-        F.max("timestamp").alias("derniere_mesure"),
+        m.count().alias("total_mesures"),
+        m.avg(2).alias(avg_name),
+        m.alerts().alias(alerts_name),
+        m.last().alias("derniere_mesure"),
     ]
 
 
 def stats_by_type(df: DataFrame) -> DataFrame:
     """Every aggregate kind per sensor type."""
+    m = Measures(df)
     return (
         df.groupBy("type")
         .agg(
-            _n().alias("total_mesures"),
-            avg_half_up("value", 2).alias("valeur_moyenne"),
-            round_half_up(F.min("value"), 2).alias("valeur_min"),
-            round_half_up(F.max("value"), 2).alias("valeur_max"),
-            F.round(F.stddev_samp("value"), 2).alias("ecart_type"),
-            _alerts().alias("nombre_alertes"),
-            F.max("timestamp").alias("derniere_mesure"),
+            m.count().alias("total_mesures"),
+            m.avg(2).alias("valeur_moyenne"),
+            m.min(2).alias("valeur_min"),
+            m.max(2).alias("valeur_max"),
+            m.std(2).alias("ecart_type"),
+            m.alerts().alias("nombre_alertes"),
+            m.last().alias("derniere_mesure"),
         )
         .orderBy("type")
     )
@@ -227,26 +234,27 @@ def stats_by_type(df: DataFrame) -> DataFrame:
 
 def stats_by_site(df: DataFrame) -> DataFrame:
     """Per site and type."""
-    return df.groupBy("site", "type").agg(*_group_measures()).orderBy("site", "type")
+    return df.groupBy("site", "type").agg(*_group_measures(Measures(df))).orderBy("site", "type")
 
 
 def stats_by_machine(df: DataFrame) -> DataFrame:
     """A10: per site, machine and type."""
     return (
         df.groupBy("site", "machine", "type")
-        .agg(*_group_measures())
+        .agg(*_group_measures(Measures(df)))
         .orderBy("site", "machine", "type")
     )
 
 
 def hourly_trends(df: DataFrame) -> DataFrame:
     """Per day, hour of day and type."""
+    m = Measures(df)
     return (
         df.groupBy(*DAY_KEYS, F.col("hour").alias("heure"), "type")
         .agg(
-            _n().alias("nombre_mesures"),
-            avg_half_up("value", 2).alias("valeur_moyenne"),
-            _alerts().alias("alertes"),
+            m.count().alias("nombre_mesures"),
+            m.avg(2).alias("valeur_moyenne"),
+            m.alerts().alias("alertes"),
         )
         .select(_day_text(), "heure", "type", "nombre_mesures", "valeur_moyenne", "alertes")
         .orderBy("date", "heure", "type")
@@ -270,10 +278,11 @@ def dashboard_summary(df: DataFrame, with_export_time: bool = True) -> DataFrame
     ``nombre_machines`` counts machine names (as the reference does);
     ``nombre_machines_site`` counts (site, machine) pairs.
     """
+    m = Measures(df)
     per_machine = df.groupBy("site", "machine").agg(
-        _n().alias("n"),
-        _alerts().alias("a"),
-        F.max("timestamp").alias("t"),
+        m.count().alias("n"),
+        m.alerts().alias("a"),
+        m.last().alias("t"),
     )
     pair = F.col("site").isNotNull() & F.col("machine").isNotNull()
     out = per_machine.agg(
@@ -300,14 +309,15 @@ def dashboard_summary(df: DataFrame, with_export_time: bool = True) -> DataFrame
 
 def monitor_stats(df: DataFrame) -> DataFrame:
     """Per-type figures shown by the live monitor."""
+    m = Measures(df)
     return (
         df.groupBy("type")
         .agg(
-            _n().alias("count"),
-            avg_half_up("value", 2).alias("avg_value"),
-            round_half_up(F.min("value"), 2).alias("min_value"),
-            round_half_up(F.max("value"), 2).alias("max_value"),
-            _alerts().alias("alerts"),
+            m.count().alias("count"),
+            m.avg(2).alias("avg_value"),
+            m.min(2).alias("min_value"),
+            m.max(2).alias("max_value"),
+            m.alerts().alias("alerts"),
         )
         .orderBy("type")
     )
@@ -338,10 +348,11 @@ def latest_readings(df: DataFrame, n: int = 10, by_ingestion_time: bool = True)
 
 def warehouse_stats(df: DataFrame) -> DataFrame:
     """Total, per type and per site in one GROUPING SETS pass."""
+    m = Measures(df)
     grouped = df.groupingSets([[], ["type"], ["site"]], "type", "site").agg(
         F.grouping_id().alias("_gid"),
-        _n().alias("total_mesures"),
-        _alerts().alias("alertes"),
+        m.count().alias("total_mesures"),
+        m.alerts().alias("alertes"),
     )
     # grouping_id bits: type -> 2, site -> 1 (1 = aggregated away)
     level = (
@@ -358,15 +369,16 @@ def warehouse_stats(df: DataFrame) -> DataFrame:
 
 def value_summary(df: DataFrame) -> DataFrame:
     """Count / mean / std / min / max per type, 2 decimals, plus alerts."""
+    m = Measures(df)
     return (
         df.groupBy("type")
         .agg(
-            _n().alias("count"),
-            avg_half_up("value", 2).alias("mean"),
-            F.round(F.stddev_samp("value"), 2).alias("std"),
-            round_half_up(F.min("value"), 2).alias("min"),
-            round_half_up(F.max("value"), 2).alias("max"),
-            _alerts().alias("alerts"),
+            m.count().alias("count"),
+            m.avg(2).alias("mean"),
+            m.std(2).alias("std"),
+            m.min(2).alias("min"),
+            m.max(2).alias("max"),
+            m.alerts().alias("alerts"),
         )
         .orderBy("type")
     )
@@ -392,6 +404,18 @@ BI_EXPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# Reports whose measures roll up from the reading summary (see module docs);
+# the others need the rows (row-level extracts, thresholds re-applied).
+SUMMARY_REPORTS = frozenset(
+    {
+        temperature_by_machine_day, temperature_by_machine_day_documented, temperature_by_machine,
+        alerts_by_type_pct, vibration_top5, vibration_top5_all, pressure_hourly, pressure_hourly_std,
+        stats_by_type, stats_by_site, stats_by_machine, hourly_trends, dashboard_summary,
+        monitor_stats, warehouse_stats, value_summary,
+    }
+)
+
+
 def run_all(df: DataFrame, registry: dict[str, Callable[[DataFrame], DataFrame]] = DECISION_REPORTS) -> dict[str, DataFrame]:
     """A5: every report of a registry over one snapshot (lazy DataFrames)."""
     return {name: fn(df) for name, fn in registry.items()}

@@ -1,7 +1,9 @@
 """Report runs over one warehouse snapshot (A5, A14) and the BI export files.
 
-The reference reloads and counts the table before every export; here the
-caller's snapshot is read once per report and nothing is counted twice.
+The reference reloads and counts the table before every export.  Here the
+aggregate reports share one reading summary (one scan of the table, then a
+small table staged in the shared checkpoint folder that each report rolls
+up); only row-level extracts read the table itself, each once.
 Aggregated reports (bounded by their number of groups) are written as one
 CSV file each.  Row-level extracts (every reading, every alert) grow with
 the table, so they are written multi-part, one writer per partition: a
@@ -16,22 +18,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from sensorlake.operators import reports
+from sensorlake.operators.summary import reading_summary
+from sensorlake.session import remove_path, scratch_path
 from sensorlake.sinks.csv import export_single_csv, write_csv
 
 # row-level extracts: written multi-part
 ROW_EXPORTS = {"raw_data", "critical_alerts"}
 
 
+class SharedSummary:
+    """The reading summary of a snapshot, staged once for several reports."""
+
+    def __init__(self, warehouse: DataFrame):
+        self.warehouse = warehouse
+        self.path = None
+        self.table = None
+
+    def source_for(self, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        if fn not in reports.SUMMARY_REPORTS:
+            return self.warehouse
+        if self.table is None:
+            spark = self.warehouse.sparkSession
+            self.path = scratch_path(spark, "reading-summary")
+            reading_summary(self.warehouse).write.parquet(self.path)
+            self.table = spark.read.parquet(self.path)
+        return self.table
+
+    def close(self) -> None:
+        if self.path is not None:
+            remove_path(self.warehouse.sparkSession, self.path)
+
+
 def run_reports(
     warehouse: DataFrame,
     reports_dir: str,
     registry: dict[str, Callable[[DataFrame], DataFrame]] = reports.DECISION_REPORTS,
 ) -> dict[str, str]:
     """A5: every decision report to ``<reports_dir>/<name>/`` (CSV with header)."""
-    out = {}
-    for name, fn in registry.items():
-        out[name] = write_csv(fn(warehouse), f"{reports_dir.rstrip('/')}/{name}")
-    return out
+    shared = SharedSummary(warehouse)
+    try:
+        return {
+            name: write_csv(fn(shared.source_for(fn)), f"{reports_dir.rstrip('/')}/{name}")
+            for name, fn in registry.items()
+        }
+    finally:
+        shared.close()
 
 
 def export_all(
@@ -47,12 +78,16 @@ def export_all(
     propagate.
     """
     timings = {}
-    for name, fn in registry.items():
-        t0 = time.time()
-        df = fn(warehouse)
-        if name in ROW_EXPORTS:
-            write_csv(df, f"{reports_dir.rstrip('/')}/{name}", single_file=False)
-        else:
-            export_single_csv(df, reports_dir, name)
-        timings[name] = time.time() - t0
+    shared = SharedSummary(warehouse)
+    try:
+        for name, fn in registry.items():
+            t0 = time.time()
+            df = fn(shared.source_for(fn))
+            if name in ROW_EXPORTS:
+                write_csv(df, f"{reports_dir.rstrip('/')}/{name}", single_file=False)
+            else:
+                export_single_csv(df, reports_dir, name)
+            timings[name] = time.time() - t0
+    finally:
+        shared.close()
     return timings

@@ -1,0 +1,33 @@
+"""Reports rolled up from the reading summary equal the reports over the rows."""
+
+import pytest
+
+from sensorlake.operators import reports
+from sensorlake.operators.summary import is_summary, reading_summary
+from sensorlake.sources.events import warehouse_rows
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rows = warehouse_rows(spark, "/root/testdata/sf0.01").drop("ingestion_timestamp").cache()
+    summary = reading_summary(rows).cache()
+    yield rows, summary
+    rows.unpersist()
+    summary.unpersist()
+
+
+@pytest.mark.parametrize("fn", sorted(reports.SUMMARY_REPORTS, key=lambda f: f.__name__), ids=lambda f: f.__name__)
+def test_summary_equals_rows(tables, fn):
+    rows, summary = tables
+    assert is_summary(summary) and not is_summary(rows)
+    kwargs = {"with_export_time": False} if fn is reports.dashboard_summary else {}
+    assert _rows(fn(summary, **kwargs)) == _rows(fn(rows, **kwargs))
+
+
+def test_summary_is_small(tables):
+    rows, summary = tables
+    assert summary.count() < rows.count()
