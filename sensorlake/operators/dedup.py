@@ -54,6 +54,9 @@ def touched_days_predicate(batch: DataFrame, d: Column | None = None) -> Column
 # A batch's partition profile lists at most this many table partitions on
 # the driver (the job commit lists its output directories there anyway).
 MAX_PROFILED_PARTITIONS = 100_000
+# Up to this many touched table partitions are matched one by one; past it,
+# by day.
+MAX_LISTED_PARTITIONS = 10_000
 
 
 class PartitionProfile:
@@ -72,6 +75,19 @@ class PartitionProfile:
     def partitions(self) -> int | None:
         return None if self.rows is None else len(self.rows)
 
+    def partitions_predicate(self) -> Column | None:
+        """Partition-column predicate selecting exactly the table partitions
+        (site, type, day) of the batch; by day when there are many."""
+        if self.empty:
+            return None
+        if self.rows is None or len(self.rows) > MAX_LISTED_PARTITIONS or any(
+            v is None for r in self.rows for v in r[:5]
+        ):
+            return self.days_predicate()
+        keys = sorted({f"{r[0]}|{r[1]}|{dt.date(r[2], r[3], r[4]).isoformat()}" for r in self.rows})
+        key = F.concat_ws("|", F.col("site"), F.col("type"), day_column().cast("string"))
+        return key.isin(*[F.lit(k) for k in keys])
+
     def days_predicate(self) -> Column | None:
         """Partition-column predicate selecting every day of the batch."""
         if self.empty:

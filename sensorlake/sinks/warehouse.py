@@ -94,7 +94,7 @@ def rows_to_append(
         return None, profile
     batch = drop_duplicate_readings(df, key)
     if table_exists(spark, path):
-        existing = read_warehouse(spark, path, fmt).filter(profile.days_predicate())
+        existing = read_warehouse(spark, path, fmt).filter(profile.partitions_predicate())
         batch = new_readings(batch, existing, key)
     return batch, profile
 

@@ -124,10 +124,26 @@ def test_idempotent_append_plan(spark, tmp_path):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     # table side: only the touched day's partitions, only the key column
     pruning = plan.split("Format: Parquet")[1].split("PartitionFilters: [")[1].split("]")[0]
-    assert "make_date(year" in pruning and "2026-01-08" in pruning
+    assert "concat_ws(|, site" in pruning and "Site_Paris|temperature|2026-01-08" in pruning
     assert "ReadSchema: struct<sensor_id:string>" in plan
     assert "LeftAnti" in plan
     # writers: range partitioning with the unique key as the last field
     assert "rangepartitioning(site" in plan and "sensor_id" in plan.split("rangepartitioning(")[1].split(")")[0]
     assert "EvalPython" not in plan
     assert batch.count() == 0
+
+
+def test_touched_partitions_prune_files(spark, tmp_path):
+    from sensorlake.operators.dedup import partition_profile
+    from sensorlake.plans.ingest import accepted_rows, staged_rows
+    from sensorlake.sources.json_files import read_sensor_dirs
+
+    root, wh, new = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "new")
+    _land(root, 4)
+    _land(root, 4, t="pressure")
+    ingest_batch(spark, root, wh)
+    _land(new, 2, start=10, t="pressure")
+    profile = partition_profile(accepted_rows(staged_rows(read_sensor_dirs(spark, new))))
+    files = read_warehouse(spark, wh).filter(profile.partitions_predicate()).inputFiles()
+    assert files and all("type=pressure" in f for f in files)
+    assert len(read_warehouse(spark, wh).inputFiles()) > len(files)
