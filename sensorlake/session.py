@@ -73,3 +73,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(hpath):
         fs.delete(hpath, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file through Hadoop's FileSystem API."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(hpath, True).close()

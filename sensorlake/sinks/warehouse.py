@@ -161,7 +161,9 @@ def write_quarantine(rejected: DataFrame, path: str, fmt: str = "parquet") -> in
         dates = touched_days_predicate(rows, F.col(SOURCE_DATE))
         if dates is None:
             return 0
-        known = spark.read.format(fmt).load(path).filter(dates).select(QUARANTINE_ID)
+        # explicit schema: a quarantine written by an empty batch has no data files
+        keys = f"{QUARANTINE_ID} string, {SOURCE_DATE} date"
+        known = spark.read.format(fmt).schema(keys).load(path).filter(dates).select(QUARANTINE_ID)
         rows = rows.join(known, QUARANTINE_ID, "left_anti")
     obs = observation("quarantine")
     rows = rows.withColumn("quarantined_at", F.current_timestamp()).observe(obs, F.count(F.lit(1)).alias("n"))

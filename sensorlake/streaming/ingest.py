@@ -1,10 +1,29 @@
 """Streaming ingestion.
 
 One file source over all sensor directories, the same cleaning rules as
-the batch path, and a ``foreachBatch`` sink that appends only readings the
-table does not hold yet (``append_new``).  A micro-batch replayed after a
-failure therefore writes nothing twice, and the checkpoint location is a
+the batch path, and a ``foreachBatch`` sink.  The checkpoint location is a
 stable argument, so a restart resumes instead of re-reading every file.
+Two de-duplication modes:
+
+* ``dedup="table"`` (default): every micro-batch appends only readings the
+  table does not hold yet (``append_new``: anti join against the table
+  partitions the batch touches).  Exact against everything ever written,
+  batch ingests included; costs a key-column scan of those partitions per
+  micro-batch.
+* ``dedup="state"``: duplicates are dropped in the stream by
+  ``dropDuplicatesWithinWatermark`` on ``sensor_id`` (state bounded by
+  ``dedup_delay``), and the sink reads nothing from the table: per-batch
+  markers in the checkpoint folder make a replay safe (a committed batch is
+  skipped; a batch retried after a failure falls back to the anti join).
+  Trade-off: Spark's stateful operator drops readings older than the
+  watermark (newest event time seen minus the delay), so readings that
+  arrive more than ``dedup_delay`` late are not ingested (the query's
+  progress reports them as ``numRowsDroppedByWatermark``), and a copy
+  arriving later than the delay is not recognised.  For frequent triggers
+  on a large table with a feed roughly in event-time order; the default
+  mode drops nothing.  Rejected rows then go to the quarantine through
+  ``start_quarantine_stream``.
+
 Per-batch metrics go to a small table partitioned by ``batch_id`` and
 overwritten per partition, so a replay rewrites the same row.
 """
@@ -18,10 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import model
+from sensorlake.operators.dedup import dedup_stream, partition_profile
 from sensorlake.operators.derive import to_warehouse
 from sensorlake.plans.ingest import accepted_rows, rejected_rows, staged_rows
-from sensorlake.sinks.warehouse import append_new, write_quarantine
-from sensorlake.sources.json_files import sensor_glob, stream_json
+from sensorlake.session import touch
+from sensorlake.sinks.warehouse import append_new, write_quarantine, write_warehouse, writer_count
+from sensorlake.sources.json_files import path_exists, sensor_glob, stream_json
 
 DEFAULT_TRIGGER = "5 seconds"
 DEFAULT_MAX_FILES = 5
@@ -76,15 +97,28 @@ def start_ingest(
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
     fmt: str = "parquet",
     query_name: str | None = None,
+    dedup: str = "table",
+    dedup_delay: str = "1 day",
 ) -> StreamingQuery:
     """Raw JSON directories -> warehouse table, micro-batch by micro-batch.
 
     ``on_batch(spark, batch_id)`` runs after each batch is written (R5: e.g.
     rebuild the BI exports).  Errors propagate and stop the query before the
     batch is committed, so the batch is retried on restart, not lost.
+    ``dedup``: see the module notes.
     """
+    if dedup not in ("table", "state"):
+        raise ValueError(f"dedup must be 'table' or 'state', not {dedup!r}")
     raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
     staged = staged_rows(raw)
+    if dedup == "state":
+        if quarantine_path:
+            raise ValueError("with dedup='state', quarantine rejected rows with start_quarantine_stream")
+        return _start_state_dedup_ingest(
+            spark, staged, warehouse_path, checkpoint, metrics_path=metrics_path, on_batch=on_batch,
+            available_now=available_now, processing_time=processing_time, fmt=fmt,
+            query_name=query_name, delay=dedup_delay,
+        )
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # persisted: read by the quarantine, day lookup and warehouse writes;
@@ -107,13 +141,84 @@ def start_ingest(
     return _trigger(writer, available_now, processing_time).start()
 
 
+def _start_state_dedup_ingest(
+    spark: SparkSession,
+    staged: DataFrame,
+    warehouse_path: str,
+    checkpoint: str,
+    *,
+    metrics_path: str | None,
+    on_batch: Callable[[SparkSession, int], None] | None,
+    available_now: bool,
+    processing_time: str,
+    fmt: str,
+    query_name: str | None,
+    delay: str,
+) -> StreamingQuery:
+    rows = dedup_stream(accepted_rows(staged), delay=delay)
+    markers = f"{checkpoint.rstrip('/')}/_sink_batches"
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if path_exists(session, f"{markers}/committed/{batch_id}"):
+            return  # written and marked before a crash: replay is a no-op
+        attempted = f"{markers}/attempted/{batch_id}"
+        retry = path_exists(session, attempted)
+        touch(session, attempted)
+        batch.persist()
+        try:
+            if retry:  # an earlier attempt may have written part of it
+                append_new(batch, warehouse_path, fmt)
+            else:
+                profile = partition_profile(batch)
+                if not profile.empty:
+                    write_warehouse(batch, warehouse_path, "append", fmt, writer_count(session, profile))
+            if metrics_path:
+                write_batch_metrics(batch, batch_id, metrics_path)
+            if on_batch is not None:
+                on_batch(session, batch_id)
+            touch(session, f"{markers}/committed/{batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    if query_name:
+        writer = writer.queryName(query_name)
+    return _trigger(writer, available_now, processing_time).start()
+
+
+def start_quarantine_stream(
+    spark: SparkSession,
+    root: str,
+    quarantine_path: str,
+    checkpoint: str,
+    *,
+    available_now: bool = False,
+    processing_time: str = DEFAULT_TRIGGER,
+    multi_line: bool = True,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
+    fmt: str = "parquet",
+) -> StreamingQuery:
+    """Rejected and corrupt rows of the landing files into the quarantine
+    table (idempotent: a replay adds nothing)."""
+    raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
+    staged = staged_rows(raw)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        write_quarantine(rejected_rows(batch), quarantine_path, fmt)
+
+    writer = staged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, processing_time).start()
+
+
 def write_batch_metrics(batch: DataFrame, batch_id: int, path: str) -> None:
     """One row per micro-batch (read, valid, rejected, alerts), idempotent.
 
     ``batch`` carries ``reject_reasons``; valid rows are exactly the rows the
     warehouse receives, so their alert count is the batch's alert count.
+    A batch of warehouse rows only (``dedup="state"``) counts all as valid.
     """
-    valid = F.size("reject_reasons") == 0
+    valid = F.size("reject_reasons") == 0 if "reject_reasons" in batch.columns else F.lit(True)
     (
         batch.agg(
             F.count(F.lit(1)).alias("rows_read"),

@@ -179,3 +179,37 @@ def test_monitor_published_after_each_batch(spark, tmp_path):
     latest = spark.read.parquet(f"{out}/latest").collect()
     assert [(r.type, r["count"]) for r in stats] == [("temperature", 12)]
     assert len(latest) == 3 and len({r.batch_id for r in latest}) == 1
+
+
+def test_state_dedup_stream_equals_batch_and_survives_replay(spark, tmp_path):
+    from sensorlake.streaming.ingest import start_quarantine_stream
+
+    root, ck = str(tmp_path / "raw"), str(tmp_path / "ck")
+    _land(root, 12)
+    write_pretty(f"{root}/temperature/zz-copy.json", reading(sensor_id="temperature-3", type="temperature",
+                                                             value=23.0, site="Site_0",
+                                                             timestamp="2026-01-08T03:15:00.250"))
+    write_pretty(f"{root}/temperature/zz-neg.json", reading(sensor_id="neg", value=-1.0))
+    ingest_batch(spark, root, str(tmp_path / "wh_batch"))
+    calls = []
+
+    def fail_first(spark_, batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("boom after the write, before the commit")
+
+    wh = str(tmp_path / "wh_state")
+    q = start_ingest(spark, root, wh, ck, available_now=True, dedup="state", on_batch=fail_first,
+                     metrics_path=str(tmp_path / "m"))
+    with pytest.raises(Exception):
+        q.awaitTermination()
+    start_ingest(spark, root, wh, ck, available_now=True, dedup="state", on_batch=fail_first,
+                 metrics_path=str(tmp_path / "m")).awaitTermination()
+    assert calls[0] == calls[1]
+    assert _rows(spark, wh) == _rows(spark, str(tmp_path / "wh_batch"))
+    assert (tmp_path / "ck" / "_sink_batches" / "committed").exists()
+    qu = str(tmp_path / "qu")
+    start_quarantine_stream(spark, root, qu, str(tmp_path / "ck_q"), available_now=True).awaitTermination()
+    assert [r.sensor_id for r in spark.read.parquet(qu).collect()] == ["neg"]
+    with pytest.raises(ValueError):
+        start_ingest(spark, root, wh, ck, dedup="state", quarantine_path=qu)
