@@ -168,17 +168,18 @@ def pressure_hourly(df: DataFrame) -> DataFrame:
 
 
 def pressure_hourly_std(df: DataFrame) -> DataFrame:
-    """A4 plus the standard deviation."""
+    """Per site and hour with the standard deviation (the reference's
+    pandas variant and its column names)."""
     m = Measures(df)
     return (
         _of_type(df, "pressure")
-        .groupBy("site", F.col("hour").alias("heure"))
+        .groupBy("site", "hour")
         .agg(
             m.avg(2).alias("pression_moyenne"),
             m.std(2).alias("ecart_type"),
-            m.count().alias("nombre_mesures"),
+            m.count().alias("nb_mesures"),
         )
-        .orderBy("site", "heure")
+        .orderBy("site", "hour")
     )
 
 

@@ -415,10 +415,10 @@ SELECT site, {HOUR} AS heure, ROUND(AVG(value) + 1e-9, 2) AS pression_moyenne,
 FROM sensor_data WHERE type = 'pressure'
 GROUP BY site, {HOUR} ORDER BY site, heure"""),
         "pressure_hourly_std": _w(f"""
-SELECT site, {HOUR} AS heure, ROUND(AVG(value) + 1e-9, 2) AS pression_moyenne,
-       ROUND(STDDEV_SAMP(value), 2) AS ecart_type, COUNT(*) AS nombre_mesures
+SELECT site, hour, ROUND(AVG(value) + 1e-9, 2) AS pression_moyenne,
+       ROUND(STDDEV_SAMP(value), 2) AS ecart_type, COUNT(*) AS nb_mesures
 FROM sensor_data WHERE type = 'pressure'
-GROUP BY site, {HOUR} ORDER BY site, heure"""),
+GROUP BY site, hour ORDER BY site, hour"""),
         "raw_export": _w("""
 SELECT sensor_id, type, value, unit, site, machine, timestamp, year, month, day, hour, is_alert
 FROM sensor_data ORDER BY timestamp, sensor_id"""),
