@@ -69,7 +69,12 @@ def monitor_publisher(warehouse_path: str, out_dir: str, n: int = 10, fmt: str =
     """R4 batch side as an ``on_batch`` callback for ``start_ingest``: after
     each micro-batch, the per-type figures and the ``n`` latest readings of
     the table are written to ``<out_dir>/stats`` and ``<out_dir>/latest``
-    (small results: a grouped aggregate of 3 rows and a top-k)."""
+    (small results: a grouped aggregate of 3 rows and a top-k).
+
+    Both read the whole table (partial aggregation / per-task top-k, so only
+    a few rows per task are shuffled).  On a large table, publish less often
+    than every micro-batch, or keep the figures with ``start_monitor``,
+    whose state is updated incrementally."""
 
     def publish(spark: SparkSession, batch_id: int) -> None:
         from sensorlake.sources.warehouse import read_warehouse
