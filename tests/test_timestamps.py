@@ -47,3 +47,30 @@ def test_parse_is_null_not_error_under_ansi(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     df = spark.createDataFrame([("not a time",)], "s string")
     assert df.select(parse_timestamp(F.col("s")).alias("t")).first().t is None
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from sensorlake.sources.events import TIME_TEXT_VARIANTS, time_text_variants  # noqa: E402
+
+
+def _truncated(t, variant):
+    fmt = TIME_TEXT_VARIANTS[variant][0]
+    if fmt.endswith("HH:mm"):
+        return t.replace(second=0, microsecond=0)
+    if fmt.endswith("ss"):
+        return t.replace(microsecond=0)
+    return t.replace(microsecond=t.microsecond // 1000 * 1000)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.datetimes(min_value=dt.datetime(1971, 1, 1), max_value=dt.datetime(2099, 12, 31)), min_size=1, max_size=80))
+def test_every_text_variant_parses_to_the_wall_clock(spark, times):
+    rows = [(i, t) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz")
+    text = time_text_variants(F.col("t"), F.col("k"))
+    got = df.select("k", parse_timestamp(text).cast("timestamp_ntz").alias("p")).collect()
+    n = len(TIME_TEXT_VARIANTS)
+    for r in got:
+        assert r.p == _truncated(times[r.k], r.k % n), (times[r.k], r.k % n)
