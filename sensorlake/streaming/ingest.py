@@ -41,8 +41,9 @@ from sensorlake.operators.dedup import dedup_stream, partition_profile
 from sensorlake.operators.derive import to_warehouse
 from sensorlake.plans.ingest import accepted_rows, rejected_rows, staged_rows
 from sensorlake.session import touch
-from sensorlake.sinks.warehouse import append_new, write_quarantine, write_warehouse, writer_count
+from sensorlake.sinks.warehouse import append_new, rows_to_append, write_quarantine, write_warehouse, writer_count
 from sensorlake.sources.json_files import path_exists, sensor_glob, stream_json
+from sensorlake.streaming.latest import update_latest
 
 DEFAULT_TRIGGER = "5 seconds"
 DEFAULT_MAX_FILES = 5
@@ -99,13 +100,17 @@ def start_ingest(
     query_name: str | None = None,
     dedup: str = "table",
     dedup_delay: str = "1 day",
+    latest_path: str | None = None,
+    latest_n: int = 10,
 ) -> StreamingQuery:
     """Raw JSON directories -> warehouse table, micro-batch by micro-batch.
 
     ``on_batch(spark, batch_id)`` runs after each batch is written (R5: e.g.
     rebuild the BI exports).  Errors propagate and stop the query before the
     batch is committed, so the batch is retried on restart, not lost.
-    ``dedup``: see the module notes.
+    ``dedup``: see the module notes.  ``latest_path``: keep the ``latest_n``
+    most recent readings there, updated from each batch's new rows (R4;
+    read with ``streaming.monitor.read_latest``).
     """
     if dedup not in ("table", "state"):
         raise ValueError(f"dedup must be 'table' or 'state', not {dedup!r}")
@@ -117,7 +122,7 @@ def start_ingest(
         return _start_state_dedup_ingest(
             spark, staged, warehouse_path, checkpoint, metrics_path=metrics_path, on_batch=on_batch,
             available_now=available_now, processing_time=processing_time, fmt=fmt,
-            query_name=query_name, delay=dedup_delay,
+            query_name=query_name, delay=dedup_delay, latest_path=latest_path, latest_n=latest_n,
         )
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -127,6 +132,11 @@ def start_ingest(
         try:
             if quarantine_path:
                 write_quarantine(rejected_rows(batch), quarantine_path, fmt)
+            if latest_path:
+                # before the write: afterwards the anti join finds these rows
+                new, _ = rows_to_append(accepted_rows(batch), warehouse_path, fmt)
+                if new is not None:
+                    update_latest(new, latest_path, batch_id, latest_n)
             append_new(accepted_rows(batch), warehouse_path, fmt)
             if metrics_path:
                 write_batch_metrics(batch, batch_id, metrics_path)
@@ -154,6 +164,8 @@ def _start_state_dedup_ingest(
     fmt: str,
     query_name: str | None,
     delay: str,
+    latest_path: str | None = None,
+    latest_n: int = 10,
 ) -> StreamingQuery:
     rows = dedup_stream(accepted_rows(staged), delay=delay)
     markers = f"{checkpoint.rstrip('/')}/_sink_batches"
@@ -167,6 +179,8 @@ def _start_state_dedup_ingest(
         touch(session, attempted)
         batch.persist()
         try:
+            if latest_path:
+                update_latest(batch, latest_path, batch_id, latest_n)
             if retry:  # an earlier attempt may have written part of it
                 append_new(batch, warehouse_path, fmt)
             else:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorlake.functions import avg_half_up, round_half_up
 from sensorlake.operators import reports
 from sensorlake.operators.derive import to_warehouse
+from sensorlake.streaming.latest import read_latest, update_latest  # noqa: F401  (R4, re-exported)
 from sensorlake.streaming.ingest import (
     DEFAULT_MAX_FILES,
     DEFAULT_TRIGGER,

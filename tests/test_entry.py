@@ -51,3 +51,17 @@ def test_query_matches_oracle(spark, duck, name):
     oi = {c: i for i, c in enumerate(ocols)}
     b = Counter(tuple(_norm(r[oi[c]]) for c in sorted(cols)) for r in orows)
     assert a == b
+
+
+def test_modules_import_without_a_session():
+    import subprocess
+    import sys
+
+    code = (
+        "import importlib, pkgutil, sensorlake\n"
+        "for m in pkgutil.walk_packages(sensorlake.__path__, 'sensorlake.'):\n"
+        "    importlib.import_module(m.name)\n"
+        "import __spark_entry__\n"
+    )
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=repo, check=True, timeout=120)

@@ -213,3 +213,26 @@ def test_state_dedup_stream_equals_batch_and_survives_replay(spark, tmp_path):
     assert [r.sensor_id for r in spark.read.parquet(qu).collect()] == ["neg"]
     with pytest.raises(ValueError):
         start_ingest(spark, root, wh, ck, dedup="state", quarantine_path=qu)
+
+
+@pytest.mark.parametrize("mode", ["table", "state"])
+def test_incremental_latest_equals_full_top_k(spark, tmp_path, mode):
+    from sensorlake.operators import reports
+    from sensorlake.streaming.monitor import read_latest
+
+    root, wh, ck, latest = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "ck"), str(tmp_path / "latest")
+    _land(root, 14)
+    calls = []
+
+    def fail_first(spark_, batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("boom")
+
+    kw = dict(available_now=True, max_files_per_trigger=3, latest_path=latest, latest_n=4, dedup=mode, on_batch=fail_first)
+    with pytest.raises(Exception):
+        start_ingest(spark, root, wh, ck, **kw).awaitTermination()
+    start_ingest(spark, root, wh, ck, **kw).awaitTermination()
+    full = reports.latest_readings(read_warehouse(spark, wh), 4).collect()
+    assert read_latest(spark, latest, 4).collect() == full
+    assert len(full) == 4
