@@ -46,7 +46,8 @@ from sensorlake.sources.json_files import path_exists, sensor_glob, stream_json
 from sensorlake.streaming.latest import update_latest
 
 DEFAULT_TRIGGER = "5 seconds"
-DEFAULT_MAX_FILES = 5
+# 5 files per sensor type and trigger; one source reads all types
+DEFAULT_MAX_FILES = 5 * len(model.SENSOR_TYPES)
 
 
 def readings_stream(

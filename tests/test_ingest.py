@@ -102,12 +102,12 @@ def test_stream_replay_after_failure_writes_once(spark, tmp_path):
         if len(calls) == 1:
             raise RuntimeError("boom after the write, before the commit")
 
-    q = start_ingest(spark, root, wh, ck, available_now=True, on_batch=fail_first)
+    q = start_ingest(spark, root, wh, ck, available_now=True, on_batch=fail_first, max_files_per_trigger=5)
     with pytest.raises(Exception):
         q.awaitTermination()
     # the first batch (5 files) was written, but not committed
     assert read_warehouse(spark, wh).count() == 5
-    start_ingest(spark, root, wh, ck, available_now=True, on_batch=fail_first).awaitTermination()
+    start_ingest(spark, root, wh, ck, available_now=True, on_batch=fail_first, max_files_per_trigger=5).awaitTermination()
     assert calls[0] == calls[1]  # the same batch was replayed
     rows = _rows(spark, wh)
     assert len(rows) == 6 and len({r[0] for r in rows}) == 6
