@@ -44,6 +44,8 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cols, rows = df.columns, df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan
     cur = duck.execute(E.oracle_sql()[name])
     ocols, orows = [d[0] for d in cur.description], cur.fetchall()
     assert sorted(cols) == sorted(ocols)
