@@ -89,3 +89,20 @@ class Measures:
         ss = F.sum(SUMSQ).cast("double")
         var = (ss - s * s / n) / (n - F.lit(1.0))
         return F.round(F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))), scale)
+
+
+def merge_summaries(*summaries: DataFrame) -> DataFrame:
+    """One summary from several (e.g. the table's so far and a new batch's)."""
+    union = summaries[0]
+    for s in summaries[1:]:
+        union = union.unionByName(s)
+    return union.groupBy(*SUMMARY_KEYS).agg(
+        F.sum(N).cast("bigint").alias(N),
+        F.sum(NV).cast("bigint").alias(NV),
+        F.sum(SUM).cast(SUM_DECIMAL).alias(SUM),
+        F.sum(SUMSQ).cast(SUMSQ_DECIMAL).alias(SUMSQ),
+        F.min(VMIN).alias(VMIN),
+        F.max(VMAX).alias(VMAX),
+        F.sum(ALERTS).cast("bigint").alias(ALERTS),
+        F.max(LAST).alias(LAST),
+    )

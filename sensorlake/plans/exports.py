@@ -27,12 +27,13 @@ ROW_EXPORTS = {"raw_data", "critical_alerts"}
 
 
 class SharedSummary:
-    """The reading summary of a snapshot, staged once for several reports."""
+    """The reading summary of a snapshot, staged once for several reports
+    (or given: e.g. the one a stream keeps current)."""
 
-    def __init__(self, warehouse: DataFrame):
+    def __init__(self, warehouse: DataFrame, summary: DataFrame | None = None):
         self.warehouse = warehouse
         self.path = None
-        self.table = None
+        self.table = summary
 
     def source_for(self, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
         if fn not in reports.SUMMARY_REPORTS:
@@ -69,16 +70,17 @@ def export_all(
     warehouse: DataFrame,
     reports_dir: str,
     registry: dict[str, Callable[[DataFrame], DataFrame]] = reports.BI_EXPORTS,
+    summary: DataFrame | None = None,
 ) -> dict[str, float]:
     """Every BI export; returns seconds per export.
 
     Aggregates go to ``<reports_dir>/<name>.csv``, row-level extracts to the
     directory ``<reports_dir>/<name>/`` (overwritten, so an empty alert list
-    leaves a header-only file and a stale list never survives).  Errors
-    propagate.
+    leaves a header-only file and a stale list never survives).  ``summary``:
+    a reading summary of ``warehouse`` already at hand.  Errors propagate.
     """
     timings = {}
-    shared = SharedSummary(warehouse)
+    shared = SharedSummary(warehouse, summary)
     try:
         for name, fn in registry.items():
             t0 = time.time()

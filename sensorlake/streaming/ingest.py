@@ -43,7 +43,7 @@ from sensorlake.plans.ingest import accepted_rows, rejected_rows, staged_rows
 from sensorlake.session import touch
 from sensorlake.sinks.warehouse import append_new, rows_to_append, write_quarantine, write_warehouse, writer_count
 from sensorlake.sources.json_files import path_exists, sensor_glob, stream_json
-from sensorlake.streaming.latest import update_latest
+from sensorlake.streaming.latest import update_latest, update_summary
 
 DEFAULT_TRIGGER = "5 seconds"
 # 5 files per sensor type and trigger; one source reads all types
@@ -103,6 +103,7 @@ def start_ingest(
     dedup_delay: str = "1 day",
     latest_path: str | None = None,
     latest_n: int = 10,
+    summary_path: str | None = None,
 ) -> StreamingQuery:
     """Raw JSON directories -> warehouse table, micro-batch by micro-batch.
 
@@ -111,7 +112,8 @@ def start_ingest(
     batch is committed, so the batch is retried on restart, not lost.
     ``dedup``: see the module notes.  ``latest_path``: keep the ``latest_n``
     most recent readings there, updated from each batch's new rows (R4;
-    read with ``streaming.monitor.read_latest``).
+    read with ``streaming.monitor.read_latest``).  ``summary_path``: keep the
+    reading summary there the same way (R5: ``export_refresher`` rolls it up).
     """
     if dedup not in ("table", "state"):
         raise ValueError(f"dedup must be 'table' or 'state', not {dedup!r}")
@@ -124,6 +126,7 @@ def start_ingest(
             spark, staged, warehouse_path, checkpoint, metrics_path=metrics_path, on_batch=on_batch,
             available_now=available_now, processing_time=processing_time, fmt=fmt,
             query_name=query_name, delay=dedup_delay, latest_path=latest_path, latest_n=latest_n,
+            summary_path=summary_path,
         )
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -133,11 +136,16 @@ def start_ingest(
         try:
             if quarantine_path:
                 write_quarantine(rejected_rows(batch), quarantine_path, fmt)
-            if latest_path:
+            if latest_path or summary_path:
                 # before the write: afterwards the anti join finds these rows
                 new, _ = rows_to_append(accepted_rows(batch), warehouse_path, fmt)
                 if new is not None:
-                    update_latest(new, latest_path, batch_id, latest_n)
+                    new = new.persist()
+                    if latest_path:
+                        update_latest(new, latest_path, batch_id, latest_n)
+                    if summary_path:
+                        update_summary(new, summary_path, batch_id)
+                    new.unpersist()
             append_new(accepted_rows(batch), warehouse_path, fmt)
             if metrics_path:
                 write_batch_metrics(batch, batch_id, metrics_path)
@@ -167,6 +175,7 @@ def _start_state_dedup_ingest(
     delay: str,
     latest_path: str | None = None,
     latest_n: int = 10,
+    summary_path: str | None = None,
 ) -> StreamingQuery:
     rows = dedup_stream(accepted_rows(staged), delay=delay)
     markers = f"{checkpoint.rstrip('/')}/_sink_batches"
@@ -182,6 +191,8 @@ def _start_state_dedup_ingest(
         try:
             if latest_path:
                 update_latest(batch, latest_path, batch_id, latest_n)
+            if summary_path:
+                update_summary(batch, summary_path, batch_id)
             if retry:  # an earlier attempt may have written part of it
                 append_new(batch, warehouse_path, fmt)
             else:

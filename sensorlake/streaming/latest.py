@@ -1,4 +1,11 @@
-"""The latest readings, maintained incrementally per micro-batch."""
+"""Views kept incrementally per micro-batch: the latest readings (R4) and the
+reading summary the BI exports roll up (R5).
+
+Each view is published as ``<path>/v=<batch_id>`` (written aside, then
+renamed): version N is computed from version N-1 and batch N's new rows, so
+a trigger costs O(batch + view), never a scan of the table, and a replayed
+batch whose version exists changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -54,12 +61,39 @@ def update_latest(new_rows: DataFrame, latest_path: str, batch_id: int, n: int =
         .orderBy(*_latest_order())
         .limit(n)
     )
-    tmp = f"{latest_path}/_tmp_v={batch_id}"
-    top.coalesce(1).write.mode("overwrite").parquet(tmp)
+    _publish(top, latest_path, batch_id, earlier)
+
+
+def _publish(df: DataFrame, base: str, batch_id: int, earlier: list[int], files: int = 1) -> None:
+    spark = df.sparkSession
+    tmp = f"{base}/_tmp_v={batch_id}"
+    df.coalesce(files).write.mode("overwrite").parquet(tmp)
     fs, tmp_path = _fs(spark, tmp)
-    fs.rename(tmp_path, _fs(spark, f"{latest_path}/v={batch_id}")[1])
+    fs.rename(tmp_path, _fs(spark, f"{base}/v={batch_id}")[1])
     for v in earlier[:-1]:  # keep the previous version for readers in flight
-        fs.delete(_fs(spark, f"{latest_path}/v={v}")[1], True)
+        fs.delete(_fs(spark, f"{base}/v={v}")[1], True)
+
+
+def update_summary(new_rows: DataFrame, summary_path: str, batch_id: int) -> None:
+    """Merge the reading summary of a batch's new rows into the published one."""
+    from sensorlake.operators.summary import merge_summaries, reading_summary
+
+    spark = new_rows.sparkSession
+    versions = _versions(spark, summary_path)
+    if batch_id in versions:
+        return
+    merged = reading_summary(new_rows)
+    earlier = [v for v in versions if v < batch_id]
+    if earlier:
+        merged = merge_summaries(spark.read.parquet(f"{summary_path}/v={earlier[-1]}"), merged)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _publish(merged, summary_path, batch_id, earlier, files=max(1, min(n, 8)))
+
+
+def read_summary(spark: SparkSession, summary_path: str) -> DataFrame | None:
+    """The published reading summary (None before the first batch)."""
+    versions = _versions(spark, summary_path)
+    return spark.read.parquet(f"{summary_path}/v={versions[-1]}") if versions else None
 
 
 def read_latest(spark: SparkSession, latest_path: str, n: int = 10) -> DataFrame:

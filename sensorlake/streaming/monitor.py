@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorlake.functions import avg_half_up, round_half_up
 from sensorlake.operators import reports
 from sensorlake.operators.derive import to_warehouse
-from sensorlake.streaming.latest import read_latest, update_latest  # noqa: F401  (R4, re-exported)
+from sensorlake.streaming.latest import read_latest, read_summary, update_latest  # noqa: F401  (re-exported)
 from sensorlake.streaming.ingest import (
     DEFAULT_MAX_FILES,
     DEFAULT_TRIGGER,
@@ -87,15 +87,32 @@ def monitor_publisher(warehouse_path: str, out_dir: str, n: int = 10, fmt: str =
     return publish
 
 
-def export_refresher(warehouse_path: str, reports_dir: str, fmt: str = "parquet"):
+def export_refresher(
+    warehouse_path: str,
+    reports_dir: str,
+    fmt: str = "parquet",
+    summary_path: str | None = None,
+    include_row_exports: bool = False,
+):
     """An ``on_batch`` callback for ``start_ingest`` that rebuilds the BI
-    exports from the table after every micro-batch."""
+    exports after every micro-batch.
+
+    With ``summary_path`` (the summary ``start_ingest`` keeps current) the
+    aggregate exports roll up that summary: no table scan per trigger.
+    Row-level extracts (every reading, every alert) grow with the table;
+    they are left to a scheduled batch ``export_all`` unless
+    ``include_row_exports``.
+    """
 
     def refresh(spark: SparkSession, batch_id: int) -> None:
-        from sensorlake.plans.exports import export_all
+        from sensorlake.plans.exports import ROW_EXPORTS, export_all
         from sensorlake.sources.warehouse import read_warehouse
 
-        export_all(read_warehouse(spark, warehouse_path, fmt), reports_dir)
+        registry = {
+            k: v for k, v in reports.BI_EXPORTS.items() if include_row_exports or k not in ROW_EXPORTS
+        }
+        summary = read_summary(spark, summary_path) if summary_path else None
+        export_all(read_warehouse(spark, warehouse_path, fmt), reports_dir, registry, summary=summary)
 
     return refresh
 

@@ -236,3 +236,34 @@ def test_incremental_latest_equals_full_top_k(spark, tmp_path, mode):
     full = reports.latest_readings(read_warehouse(spark, wh), 4).collect()
     assert read_latest(spark, latest, 4).collect() == full
     assert len(full) == 4
+
+
+@pytest.mark.parametrize("mode", ["table", "state"])
+def test_stream_kept_summary_equals_table(spark, tmp_path, mode):
+    from sensorlake.operators import reports
+    from sensorlake.operators.summary import reading_summary
+    from sensorlake.streaming.monitor import export_refresher, read_summary
+
+    root, wh, ck, summ = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "ck"), str(tmp_path / "summary")
+    _land(root, 9)
+    _land(root, 4, sensor_type="pressure")
+    calls = []
+
+    def fail_first(spark_, batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("boom")
+
+    kw = dict(available_now=True, max_files_per_trigger=4, summary_path=summ, dedup=mode, on_batch=fail_first)
+    with pytest.raises(Exception):
+        start_ingest(spark, root, wh, ck, **kw).awaitTermination()
+    start_ingest(spark, root, wh, ck, **kw).awaitTermination()
+    kept = read_summary(spark, summ)
+    full = reading_summary(read_warehouse(spark, wh))
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, full.select(*kept.columns).collect()))
+    for fn in (reports.stats_by_type, reports.hourly_trends, reports.stats_by_machine):
+        assert sorted(map(tuple, fn(kept).collect())) == sorted(map(tuple, fn(read_warehouse(spark, wh)).collect()))
+    out = str(tmp_path / "exports")
+    export_refresher(wh, out, summary_path=summ)(spark, 99)
+    assert (tmp_path / "exports" / "stats_by_type.csv").exists()
+    assert not (tmp_path / "exports" / "raw_data").exists()
