@@ -66,21 +66,31 @@ def monitor_snapshot(warehouse: DataFrame, n: int = 10) -> tuple[DataFrame, Data
     return reports.monitor_stats(warehouse), reports.latest_readings(warehouse, n)
 
 
-def monitor_publisher(warehouse_path: str, out_dir: str, n: int = 10, fmt: str = "parquet"):
+def monitor_publisher(
+    warehouse_path: str,
+    out_dir: str,
+    n: int = 10,
+    fmt: str = "parquet",
+    summary_path: str | None = None,
+    latest_path: str | None = None,
+):
     """R4 batch side as an ``on_batch`` callback for ``start_ingest``: after
-    each micro-batch, the per-type figures and the ``n`` latest readings of
-    the table are written to ``<out_dir>/stats`` and ``<out_dir>/latest``
-    (small results: a grouped aggregate of 3 rows and a top-k).
+    each micro-batch, the per-type figures and the ``n`` latest readings are
+    written to ``<out_dir>/stats`` and ``<out_dir>/latest``.
 
-    Both read the whole table (partial aggregation / per-task top-k, so only
-    a few rows per task are shuffled).  On a large table, publish less often
-    than every micro-batch, or keep the figures with ``start_monitor``,
-    whose state is updated incrementally."""
+    With ``summary_path`` / ``latest_path`` (the views ``start_ingest`` keeps
+    current) nothing reads the table.  Without them, both are computed from
+    the table: a partial aggregate and a per-task top-k, fine for modest
+    tables; on a large one, pass the views.
+    """
 
     def publish(spark: SparkSession, batch_id: int) -> None:
         from sensorlake.sources.warehouse import read_warehouse
 
-        stats, latest = monitor_snapshot(read_warehouse(spark, warehouse_path, fmt), n)
+        table = None if (summary_path and latest_path) else read_warehouse(spark, warehouse_path, fmt)
+        summary = read_summary(spark, summary_path) if summary_path else None
+        stats = reports.monitor_stats(summary if summary is not None else table)
+        latest = read_latest(spark, latest_path, n) if latest_path else reports.latest_readings(table, n)
         stats.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/stats")
         latest.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/latest")
 

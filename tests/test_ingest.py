@@ -267,3 +267,21 @@ def test_stream_kept_summary_equals_table(spark, tmp_path, mode):
     export_refresher(wh, out, summary_path=summ)(spark, 99)
     assert (tmp_path / "exports" / "stats_by_type.csv").exists()
     assert not (tmp_path / "exports" / "raw_data").exists()
+
+
+def test_monitor_published_from_kept_views(spark, tmp_path):
+    from sensorlake.operators import reports
+    from sensorlake.streaming.monitor import monitor_publisher
+
+    root, wh, out = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "monitor")
+    summ, latest = str(tmp_path / "summary"), str(tmp_path / "latest")
+    _land(root, 10)
+    _land(root, 5, sensor_type="vibration")
+    start_ingest(spark, root, wh, str(tmp_path / "ck"), available_now=True, max_files_per_trigger=4,
+                 summary_path=summ, latest_path=latest, latest_n=3,
+                 on_batch=monitor_publisher(wh, out, n=3, summary_path=summ, latest_path=latest)).awaitTermination()
+    table = read_warehouse(spark, wh)
+    stats = spark.read.parquet(f"{out}/stats").drop("batch_id")
+    assert sorted(map(tuple, stats.collect())) == sorted(map(tuple, reports.monitor_stats(table).collect()))
+    got = spark.read.parquet(f"{out}/latest").drop("batch_id").collect()
+    assert got == reports.latest_readings(table, 3).collect()
