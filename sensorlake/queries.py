@@ -87,6 +87,7 @@ def registry() -> dict[str, Query]:
         "stream_alerts": stream_alerts,
         "stream_stats_by_type": stream_stats_by_type,
         "ingest_stream_state": ingest_stream_state,
+        "stream_summary_stats": stream_summary_stats,
         "stream_raw_archive": stream_raw_archive,
         "compaction": compaction,
     }
@@ -270,6 +271,20 @@ def ingest_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
 
 
+def stream_summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 path: per-type statistics (A8) rolled up from the reading summary a
+    stream keeps current batch by batch (one file per micro-batch)."""
+    root = _landing(spark, sf_dir)
+    wh, summary = scratch_path(spark, "warehouse"), scratch_path(spark, "summary")
+    _run(stream_ingest.start_ingest(
+        spark, root, wh, scratch_path(spark, "ckpt"), available_now=True,
+        multi_line=False, max_files_per_trigger=1, summary_path=summary,
+    ))
+    from sensorlake.streaming.latest import read_summary
+
+    return ntz(reports.stats_by_type(read_summary(spark, summary)))
+
+
 def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 (re-aimed): raw copy of every landed reading, as Parquet, unvalidated."""
     root = _landing(spark, sf_dir)
@@ -363,7 +378,7 @@ def _pct(part: str, total: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    out = {
         "temperature_by_machine_day": _w(f"""
 SELECT site, machine, {DATE} AS date,
        ROUND(AVG(value) + 1e-9, 2) AS temperature_moyenne,
@@ -544,3 +559,5 @@ SELECT type, COUNT(*) AS "count", ROUND(AVG(value) + 1e-9, 2) AS avg_value,
        {ALERTS} AS alerts
 FROM sensor_data GROUP BY type"""),
     }
+    out["stream_summary_stats"] = out["stats_by_type"]
+    return out
