@@ -1,5 +1,6 @@
 """Live monitor (R4), periodic export refresh (R5) and event-time hourly
-trends (X2)."""
+trends (X2).  The incrementally kept views (latest readings, reading
+summary) live in ``sensorlake.streaming.latest`` and are re-exported here."""
 
 from __future__ import annotations
 
@@ -11,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorlake.functions import avg_half_up, round_half_up
 from sensorlake.operators import reports
 from sensorlake.operators.derive import to_warehouse
-from sensorlake.streaming.latest import read_latest, read_summary, update_latest  # noqa: F401  (re-exported)
 from sensorlake.streaming.ingest import (
     DEFAULT_MAX_FILES,
     DEFAULT_TRIGGER,
@@ -19,6 +19,7 @@ from sensorlake.streaming.ingest import (
     readings_stream,
     start_with_state_partitions,
 )
+from sensorlake.streaming.latest import read_latest, read_summary, update_latest  # noqa: F401  (re-exported)
 
 
 def live_type_stats(readings: DataFrame) -> DataFrame:
