@@ -8,7 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import table
+from sensorlake.llm.chat_format import format_chats, read_back
+from sensorlake.llm import exact_dedup, mixing, quality_rules
+from sensorlake.llm.common import materialise, table
+from sensorlake.llm.line_dedup import LineIndex
+from sensorlake.llm.pii import BASE, find_pii
 from sensorlake.llm.sentencepiece_codec import encode_decode
 from sensorlake.llm.token_counts import count_tokens
 
@@ -23,6 +27,53 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "n_parts", "n_widened")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("\\### Assistant: </turn> ok")
+    case = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        said.alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    chats = format_chats(turns.unionByName(case))
+    back = read_back(chats.select("conv_id", "formatted", "loss_spans", F.length("formatted").cast("long").alias("formatted_chars")), keep=("formatted_chars",))
+    said_by_turn = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said_by_turn, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = materialise(quality_rules.with_statistics(docs), "statistics")
+    rules = quality_rules.fit(stats, table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(stats, rules)
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "score")
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = exact_dedup.mark(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("pii_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE),
+        F.sha2(written(F.col("pii_base")), 256).alias("base_sha256"),
+        written(F.concat("pii_base", "pii_added")).alias("spans"),
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
     return coded.select(
@@ -33,12 +84,70 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = LineIndex.build(docs, min_docs=3, min_chars=20).clean(docs)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draws(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("drawn")).alias("taken"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_chat_format": op2_chat_format,
+        "op3_quality_rules": op3_quality_rules,
+        "op5_exact_dedup": op5_exact_dedup,
+        "op6_pii": op6_pii,
         "op7_sentencepiece": op7_sentencepiece,
+        "op9_line_dedup": op9_line_dedup,
+        "op10_mixing": op10_mixing,
     }
 
 
+#: Words, for DuckDB: runs of anything but the six ASCII white-space characters.
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_chat_format": _OP2,
+        "op5_exact_dedup": """
+            SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, g.h AS text_sha256
+            FROM (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents) d
+            JOIN (SELECT sha256(coalesce(text, '')) AS h, max(doc_id) AS keep_id, count(*) AS group_size FROM documents GROUP BY 1) g
+            ON d.h = g.h
+        """,
+        "op9_line_dedup": f"""
+            WITH split AS (
+                SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+            keyed AS (SELECT doc_id, i, line, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM split),
+            many AS (SELECT k, max(doc_id) AS owner FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+            marked AS (SELECT doc_id, i, line, many.k IS NOT NULL AND doc_id <> owner AS gone FROM keyed LEFT JOIN many USING (k))
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+                   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+            FROM marked GROUP BY doc_id
+        """,
+    }
+
+
+_OP2 = r"""
+    WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                  UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+    escaped AS (SELECT *,
+        replace(replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>'), '</role>', '<\/role>') AS body,
+        replace(replace(replace(replace(role, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>'), '</role>', '<\/role>') AS head,
+        lag(role) OVER w IS DISTINCT FROM role AS first
+        FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(length(body) + 7 + CASE WHEN first THEN 4 + length(head) + 7 + 1 ELSE 0 END) AS BIGINT) AS formatted_chars
+    FROM escaped GROUP BY conv_id
+"""
