@@ -50,6 +50,7 @@ def utf8(column: pa.Array) -> list[bytes]:
 def prefix_sums(lengths: Column) -> Column:
     """Running totals of an array column, inclusive, in about n log n steps and without Python:
     pass k adds to each element the one 2^k places before it."""
+    power = lambda k: F.call_function("shiftleft", F.lit(1), k)
     passes = F.when(F.size(lengths) > 1, F.sequence(F.lit(0), F.ceil(F.log2(F.size(lengths).cast("double"))).cast("int"))).otherwise(
         F.array().cast("array<int>")
     )
@@ -57,6 +58,6 @@ def prefix_sums(lengths: Column) -> Column:
         passes,
         F.transform(lengths, lambda x: x.cast("long")),
         lambda acc, k: F.transform(
-            acc, lambda x, i: x + F.when(i >= F.shiftleft(F.lit(1), k), F.get(acc, i - F.shiftleft(F.lit(1), k))).otherwise(F.lit(0))
+            acc, lambda x, i: x + F.when(i >= power(k), F.get(acc, i - power(k))).otherwise(F.lit(0))
         ),
     )
