@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,17 @@ SPACES = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 4 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers that see this folder import the library from it; elsewhere it is shipped as a package."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sensorlake.llm.chat_format import format_chats, read_back
 from sensorlake.llm import exact_dedup, mixing, quality_rules
 from sensorlake.llm.common import materialise, table
+from sensorlake.llm.jaccard_join import near_copies
 from sensorlake.llm.line_dedup import LineIndex
 from sensorlake.llm.pii import BASE, find_pii
 from sensorlake.llm.sentencepiece_codec import encode_decode
@@ -58,17 +59,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "score")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, percent=85)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _name_if(kind: str) -> Callable:
+    return lambda s: F.when(s["kind"] == kind, kind).otherwise("")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of_kind = {k: F.transform("pii_base", _name_if(k)) for k in BASE}
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     return found.select(
         "doc_id",
-        *(F.size(F.filter("pii_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE),
+        *(F.size(F.array_remove(kinds, "")).cast("long").alias(f"n_{k}") for k, kinds in of_kind.items()),
         F.sha2(written(F.col("pii_base")), 256).alias("base_sha256"),
         written(F.concat("pii_base", "pii_added")).alias("spans"),
     )
@@ -100,6 +110,7 @@ def registry() -> dict[str, Query]:
         "op1_token_counts": op1_token_counts,
         "op2_chat_format": op2_chat_format,
         "op3_quality_rules": op3_quality_rules,
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_pii": op6_pii,
         "op7_sentencepiece": op7_sentencepiece,
