@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm.chat_format import format_chats, read_back
-from sensorlake.llm import exact_dedup, mixing, quality_rules
+from sensorlake.llm import exact_dedup, lm_scoring, mixing, quality_rules
 from sensorlake.llm.common import materialise, table
 from sensorlake.llm.jaccard_join import near_copies
 from sensorlake.llm.line_dedup import LineIndex
@@ -94,6 +94,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_scoring.score(docs, docs.filter(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cleaned = LineIndex.build(docs, min_docs=3, min_chars=20).clean(docs)
@@ -114,13 +121,12 @@ def registry() -> dict[str, Query]:
         "op5_exact_dedup": op5_exact_dedup,
         "op6_pii": op6_pii,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_mixing": op10_mixing,
     }
 
 
-#: Words, for DuckDB: runs of anything but the six ASCII white-space characters.
-_WORDS = r"'[^\x20\x09-\x0D]+'"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
