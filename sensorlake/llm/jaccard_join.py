@@ -67,7 +67,7 @@ def _bucket(own: np.ndarray, buckets: int) -> np.ndarray:
 
 def _described(width: int, buckets: int) -> Callable:
     """Per document its node, size and part counts; at a task's end its share of the frequency table."""
-    names = ["doc", "node", "n", "parts", "span", "counts"]
+    names = ["doc", "text_hash", "node", "n", "parts", "span", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, doc_type = np.zeros(buckets, np.uint32), None
@@ -79,6 +79,7 @@ def _described(width: int, buckets: int) -> Callable:
                     counts += np.bincount(_bucket(np.concatenate(sets), buckets), minlength=buckets).astype(np.uint32)
                 columns = [
                     batch.column("doc"),
+                    batch.column("text_hash"),
                     pa.array([signature(s) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_parts(s) for s in sets], pa.binary()),
@@ -89,7 +90,7 @@ def _described(width: int, buckets: int) -> Callable:
         if doc_type is not None:
             n = max(1, buckets // SPAN)
             packed = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, n)]
-            empty = [pa.nulls(n, doc_type), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+            empty = [pa.nulls(n, doc_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     return run
@@ -378,23 +379,13 @@ def _links(listed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
         labels = connected(links)
 
 
-def near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, buckets: int = BUCKETS) -> DataFrame:
-    """One row per row of ``docs``: ``ident``, ``n_shingles`` (size of its set) and ``component_id``, the
-    smallest identifier reachable by links.
-
-    Two documents link when 100 * intersection >= percent * union of their sets
-    of ``width``-word shingles (words cut at ASCII white space, A-Z
-    lower-cased).  A text with fewer words is one shingle; one without words,
-    or null, has none and links with nothing.  Rows that repeat an identifier
-    each link by their own text.  A null identifier is no component's name
-    unless the component has no other.
-    """
+def _grouped(docs: DataFrame, ident: str, text: str, width: int, percent: int, buckets: int) -> DataFrame:
+    """Per row of ``docs``: ``doc``, ``text_hash``, ``n`` and ``component`` (a node's name; null without words)."""
     spark = docs.sparkSession
-    rows = docs.select(docs[ident].alias("doc"), docs[text].alias("text"))
+    rows = docs.select(docs[ident].alias("doc"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("text_hash"))
     doc_type = docs.schema[ident].dataType.simpleString()
-    described = materialise(
-        rows.mapInArrow(_described(width, buckets), f"doc {doc_type}, node binary, n long, parts binary, span int, counts binary"), "described"
-    )
+    schema = f"doc {doc_type}, text_hash long, node binary, n long, parts binary, span int, counts binary"
+    described = materialise(rows.mapInArrow(_described(width, buckets), schema), "described")
     table = spark.sparkContext.broadcast(_frequencies(described, buckets))
     posted = rows.select("text").mapInArrow(_postings(width, percent, table), "token long, node binary, n int, place int")
     by_token = posted.repartition("token").sortWithinPartitions("token", "node")
@@ -403,11 +394,40 @@ def near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", widt
     wanted = spark.sparkContext.broadcast(_wanted(met))
     sets = rows.select("text").mapInArrow(_sets(width, wanted), "node binary, members binary")
     sets = materialise(sets.join(met, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    members = described.filter("span is null").select("doc", "node", "n")
-    nodes = materialise(described.filter("span is null").select("node", "n", "parts").join(met, "node", "left_semi").dropDuplicates(["node"]), "nodes")
+    members = described.filter("span is null").select("doc", "text_hash", "node", "n", "parts")
+    nodes = materialise(members.select("node", "n", "parts").join(met, "node", "left_semi").dropDuplicates(["node"]), "nodes")
     labels = connected(_links(listed, nodes, sets, percent)).withColumnRenamed("node", "at")
-    empty = F.when(F.col("n") == 0, F.lit(None)).otherwise(F.coalesce("label", "node"))
-    placed = members.join(labels, F.col("node") == F.col("at"), "left").select("doc", "n", empty.alias("component"))
-    smallest = placed.filter("component is not null").groupBy("component").agg(F.min("doc").alias("component_id"))
-    out = placed.join(smallest, "component", "left")
-    return out.select(F.col("doc").alias(ident), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id")).alias("component_id"))
+    component = F.when(F.col("n") > 0, F.coalesce("label", "node"))
+    return members.join(labels, F.col("node") == F.col("at"), "left").select("doc", "text_hash", "n", component.alias("component"))
+
+
+def near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, buckets: int = BUCKETS) -> DataFrame:
+    """One row per row of ``docs``: ``ident``, ``n_shingles`` (size of its set) and ``component_id``, the
+    smallest identifier reachable by links.
+
+    Two documents link when 100 * intersection >= percent * union of their sets
+    of ``width``-word shingles (words cut at ASCII white space, A-Z
+    lower-cased).  A text with fewer words is one shingle; one without words,
+    or null, has none and links with nothing.  Rows that repeat an identifier
+    each link by their own text.  A null identifier names a component only
+    where it has no other.
+    """
+    placed = _grouped(docs, ident, text, width, percent, buckets)
+    smallest = placed.filter("n > 0").groupBy("component").agg(F.min("doc").alias("component_id"))
+    named = placed.join(smallest, "component", "left")
+    return named.select(
+        F.col("doc").alias(ident), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id")).alias("component_id")
+    )
+
+
+def keep_one(docs: DataFrame, ident: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns: of each component (see ``near_copies``) the document with the
+    smallest identifier, a null one last; of equal identifiers the text with the smallest hash.  Texts without words
+    stay, and so do all rows that repeat identifier and text of one that stays."""
+    placed = materialise(_grouped(docs, ident, text, width, percent, buckets).filter("n > 0"), "placed")
+    order = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash")
+    first = placed.groupBy("component").agg(F.min(order).alias("first"))
+    gone = placed.join(first, "component").filter(order != F.col("first")).select(F.col("doc").alias("d"), F.col("text_hash").alias("h")).distinct()
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[ident].alias("i"), F.xxhash64(docs[text]).alias("x"))
+    stay = rows.join(gone, F.col("i").eqNullSafe(F.col("d")) & (F.col("x") == F.col("h")), "left_anti")
+    return stay.select(*(F.col("row")[c].alias(c) for c in docs.columns))

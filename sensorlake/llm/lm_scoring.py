@@ -37,7 +37,7 @@ from sensorlake.llm.words import Hashes, word_hashes
 CLASSES = 1024
 #: Words whose counts every worker holds.
 TOP = 1 << 16
-WIDTH, NOISE, MINIBATCH, RATE = 16, 16, 4096, 0.1
+WIDTH, NOISE, MINIBATCH, RATE = 16, 64, 1024, 0.3
 RARE, END_CLASS = 0, 1
 #: The end of a text among the words: the hash of no bytes, which no word has.
 END = np.uint64(Hashes()[b""])
