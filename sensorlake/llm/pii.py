@@ -150,4 +150,4 @@ def find_pii(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Dat
         "more",
         lambda s: (s["score"] >= threshold) & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
-    return together.select("row.*", F.col("base").alias("pii_base"), added.alias("pii_added"))
+    return together.select("row", F.col("base").alias("pii_base"), added.alias("pii_added")).select("row.*", "pii_base", "pii_added")

@@ -1,0 +1,98 @@
+"""Personal data against Python's regular expressions."""
+
+import hashlib
+import random
+import re
+import time
+
+from pyspark.sql import functions as F
+
+from sensorlake.llm import queries
+from sensorlake.llm.pii import BASE, find_pii
+
+from llm_helpers import SF
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(d):
+    return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+
+
+def only_digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+def brute(text):
+    ok = {
+        "email": lambda s: True,
+        "ip": lambda s: all(int(p) <= 255 for p in s.split(".")),
+        "card": lambda s: 16 <= len(only_digits(s)) <= 19 and luhn(only_digits(s)),
+        "phone": lambda s: 8 <= len(only_digits(s)) <= 15,
+    }
+    return [(k, m.start(), m.end()) for k, p in zip(BASE, (EMAIL, IP, CARD, PHONE)) for m in p.finditer(text) if ok[k](m[0])]
+
+
+TEXTS = [
+    "mail a.b+c@d-e.co.uk, x@y, @z.com, a@b.co_x@d.com a@b.c@d.e.f",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.0255 1.2.3 999.1.2.3.4 0000000255.1.1.1",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112, 378282246310005 5500005555555559123 6011 0009 9013 9424 0000",
+    "+49 (0)30 1234-5678 +1 2 +1234567 +12345678 +123456789012345 +1234567890123456 ++44 20 7946 0958.",
+    "é😀 a@b.de 中文 10.0.0.1 ü +33 1 23 45 67 89 ß",
+    "", " ", "\n\n", "1", "+", "@", "a" * 50,
+]
+
+
+def test_base_spans_equal_python(docs):
+    rng = random.Random(3)
+    parts = ["a@b.co", "@", ".", "1", "12", "255", "256", "+", " ", "-", "(", ")", "4111111111111111", "x_y", "%", "é", "\n", "1.2.3.4", "+49 30 123456"]
+    texts = TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(600)]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["pii_base"]] for r in find_pii(docs(list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == brute(t), t
+
+
+def test_added_spans_need_a_checksum_or_context(docs):
+    texts = [
+        "my iban is DE89 3704 0044 0532 0130 00, thanks", "DE89370400440532013000", "DE88370400440532013000",
+        "credit card 378282246310005", "number 378282246310005", "phone: 030 1234567", "number 030 1234567", "fax +49 30 1234567",
+    ]
+    rows = {r["doc_id"]: [s["kind"] for s in r["pii_added"]] for r in find_pii(docs(list(enumerate(texts)))).collect()}
+    assert rows == {0: ["iban"], 1: ["iban"], 2: [], 3: ["card_short"], 4: [], 5: ["phone_local"], 6: [], 7: []}
+
+
+def test_context_changes_the_score(docs):
+    rows = {r["doc_id"]: r["pii_base"][0]["score"] for r in find_pii(docs([(1, "server address 10.0.0.1"), (2, "10.0.0.1"), (3, "version 10.0.0.1")])).collect()}
+    assert rows[1] > rows[2] > rows[3]
+
+
+def test_nulls_repeats_clashing_columns_and_empty_tables(docs):
+    frame = docs([(1, None), (2, "a@b.de"), (2, "a@b.de"), (None, "1.2.3.4")], pii_base=F.lit(1), row=F.lit("r"), base=F.lit("b"))
+    rows = find_pii(frame).collect()
+    assert sorted((str(r["doc_id"]), len(r["pii_base"]), r["row"], r["base"]) for r in rows) == [("1", 0, "r", "b"), ("2", 1, "r", "b"), ("2", 1, "r", "b"), ("None", 1, "r", "b")]
+    assert find_pii(docs([])).count() == 0
+
+
+def test_very_long_texts_take_linear_time(docs):
+    hard = ["a" * 300_000, "a." * 150_000 + "@", "1" * 300_000, "1 " * 150_000, "+1" + "(" * 300_000, "1.2.3." * 50_000, "+1" * 100_000, "A" * 300_000, "a@b.co " * 20_000]
+    began = time.time()
+    got = {r["doc_id"]: len(r["pii_base"]) for r in find_pii(docs(list(enumerate(hard)))).collect()}
+    assert time.time() - began < 60
+    assert got[8] == 20_000 and got[5] == len(brute(hard[5]))
+
+
+def test_query(spark, sample):
+    frame = queries.op6_pii(spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+    text = {i: t or "" for i, t, _ in sample}
+    rows = frame.collect()
+    assert len(rows) == len(sample)
+    for r in rows:
+        want = brute(text[r["doc_id"]])
+        assert [r[f"n_{k}"] for k in BASE] == [sum(x[0] == k for x in want) for k in BASE]
+        written = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r["base_sha256"] == hashlib.sha256(written.encode()).hexdigest() and set(written.split(",")) <= set(r["spans"].split(","))
