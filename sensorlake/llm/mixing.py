@@ -21,12 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.llm.common import slices, utf8
+from sensorlake.llm.common import materialise, slices, utf8
 
 #: No document is drawn more often.
 EPOCHS = 3
@@ -106,7 +105,8 @@ def draws(docs: DataFrame, ident: str = "doc_id", source: str = "source", text:
     their place and are drawn together.  Documents of size 0 cost nothing and
     are drawn with their block.  Reruns agree.
     """
-    words = sized(docs.select(docs[ident].alias("ident"), docs[source].alias("source"), docs[text].alias("text")))
+    named = docs.select(docs[ident].alias("ident"), docs[source].alias("source"), docs[text].alias("text"))
+    words = materialise(sized(named), "sizes")
     placed = words.withColumn("block", F.pmod(_unit(seed, F.col("ident")), F.lit(blocks)).cast("int"))
     sums = placed.groupBy("source", "block").agg(F.sum("size").alias("size"))
     shares = targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")))

@@ -2,12 +2,13 @@
 
 The statistics of a text (words, symbols, repeated lines and windows, and
 shares made of them) are computed over whole texts.  The forest is fitted on
-clean labelled documents, a sample bounded by ``FIT_ROWS`` and chosen by hash;
-each tree splits ``SUBSAMPLE`` of them at random places of random statistics.
-A document that is isolated after few splits is unlike the clean ones.  The
-score is the usual ``2 ** -(mean path / expected path)``; the threshold is the
-one at which true and false rejections among all labelled documents differ
-most, under the condition that at most ``CLEAN_LOSS`` of the clean ones go.
+labelled documents, a sample bounded by ``FIT_ROWS`` and chosen by hash; each
+tree splits a few of them at random places of random shares.  A document that
+is isolated after few splits is unlike most others.  The score is the usual
+``2 ** -(mean path / expected path)``.  Rows a tree (one of ``SUBSAMPLES``) and
+threshold are the ones at which, over all labelled documents, the share of bad
+ones rejected exceeds twice the share of clean ones rejected most, under the
+condition that at most ``CLEAN_LOSS`` of the clean ones go.
 """
 
 from __future__ import annotations
@@ -27,14 +28,14 @@ from sensorlake.llm.common import SPACES, materialise, slices, utf8
 #: Characters that count as symbols (fixed value).
 SYMBOLS = b"#*$%&|<>"
 #: Rows on which the forest is fitted, at most; trees; rows a tree; classes of the score for the threshold.
-FIT_ROWS, TREES, SUBSAMPLE, CLASSES = 20_000, 128, 256, 4096
+FIT_ROWS, TREES, SUBSAMPLES, CLASSES = 20_000, 128, (32, 64, 128, 256), 4096
 #: Share of the clean labelled rows that the threshold may reject.
-CLEAN_LOSS = 0.005
+CLEAN_LOSS = 0.01
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Further counts that only the forest uses.
-MORE = ("n_upper", "n_marks", "n_lines")
+#: A further count that only the forest uses.
+MORE = ("n_upper",)
 
 
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
@@ -85,19 +86,15 @@ def statistics(texts: pa.Array) -> np.ndarray:
             duplicate_lines(text),
             repeated_words(words),
             n - len(text.translate(None, _UPPER)),
-            n - len(text.translate(None, b"!?.,;:")),
-            text.count(b"\n") + 1,
         )
     return out
 
 
 def features(s: np.ndarray) -> np.ndarray:
-    """Shares of a document's words and characters, from its statistics."""
-    words = np.maximum(s[:, 0], 1)
-    chars = np.maximum(s[:, 1], 1)
-    return np.column_stack(
-        [s[:, 1] / words, s[:, 2] / words, s[:, 3] / np.maximum(s[:, 7], 1), s[:, 4] / words, s[:, 5] / chars, s[:, 6] / words]
-    )
+    """Shares from a document's statistics: characters a word, symbols a word, capitals a character.  What the base
+    rules judge, length and repetition, is left to them: their wide spread among clean documents would hide the rest."""
+    words, chars = np.maximum(s[:, 0], 1), np.maximum(s[:, 1], 1)
+    return np.column_stack([s[:, 1] / words, s[:, 2] / words, s[:, 5] / chars])
 
 
 def base_failed(s: np.ndarray) -> np.ndarray:
@@ -121,7 +118,7 @@ class Forest:
     expected: float
 
     @classmethod
-    def fit(cls, rows: np.ndarray, seed: int = 7, trees: int = TREES, subsample: int = SUBSAMPLE) -> Forest:
+    def fit(cls, rows: np.ndarray, seed: int = 7, trees: int = TREES, subsample: int = 256) -> Forest:
         rng = np.random.default_rng(seed)
         take = min(subsample, len(rows))
         depth = max(1, int(np.ceil(np.log2(max(take, 2)))))
@@ -164,7 +161,7 @@ class Forest:
 
 @dataclass(frozen=True)
 class Rules:
-    """Fitted forest (None: there were no clean labelled rows, so only the base rules reject) and threshold."""
+    """Fitted forest (None: there were no labelled rows, so only the base rules reject) and threshold."""
 
     forest: Forest | None
     threshold: float
@@ -208,28 +205,29 @@ def fit(stats: DataFrame, labels: DataFrame, ident: str = "doc_id", quality: str
     marked = labels.select(labels[ident].alias("i"), labels[quality].cast("int").alias("good")).filter("good in (0, 1)")
     rows = stats.join(marked, stats[ident] == F.col("i")).select("i", "good", *names)
     rows = materialise(rows.filter((F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= MAX_REPEATED_PERCENT * F.col("n_words"))), "labelled")
-    sample = rows.filter("good = 1").orderBy(F.xxhash64(F.lit(7), "i"), *names).limit(FIT_ROWS).select(*names).collect()
+    sample = rows.orderBy(F.xxhash64(F.lit(7), "i"), *names).limit(FIT_ROWS).select(*names).collect()
     if not sample:
         return Rules(None, 2.0)
-    forest = Forest.fit(features(np.array([tuple(r) for r in sample], np.int64)))
+    fitted = features(np.array([tuple(r) for r in sample], np.int64))
+    forests = [Forest.fit(fitted, subsample=n) for n in SUBSAMPLES]
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = forest.score(features(_matrix(batch)))
-            good = batch.column("good").to_numpy(zero_copy_only=False)
-            found, n = np.unique(np.minimum((score * CLASSES).astype(np.int64), CLASSES - 1) * 2 + good, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["class", "n"])
+            x, good = features(_matrix(batch)), batch.column("good").to_numpy(zero_copy_only=False)
+            for which, forest in enumerate(forests):
+                place = np.minimum((forest.score(x) * CLASSES).astype(np.int64), CLASSES - 1)
+                found, n = np.unique((which * CLASSES + place) * 2 + good, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["class", "n"])
 
     counted = rows.mapInArrow(classes, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).collect()
-    n = np.zeros(2 * CLASSES)
+    n = np.zeros(len(forests) * CLASSES * 2)
     for r in counted:
         n[r["class"]] = r["n"]
-    above = np.cumsum(n.reshape(CLASSES, 2)[::-1], axis=0)[::-1]  # bad, good with at least this score
-    total = np.maximum(above[0], 1)
-    allowed = above[:, 1] <= clean_loss * total[1]
-    gain = np.where(allowed, above[:, 0] / total[0] - above[:, 1] / total[1], -1.0)
-    best = int(gain.argmax())
-    return Rules(forest, best / CLASSES if gain[best] > 0 else 2.0)
+    above = np.cumsum(n.reshape(len(forests), CLASSES, 2)[:, ::-1], axis=1)[:, ::-1]  # bad, clean with at least this score
+    bad, clean = np.moveaxis(above / np.maximum(above[:, :1], 1), 2, 0)
+    gain = np.where(clean <= clean_loss, bad - 2 * clean, -1.0)
+    which, best = np.unravel_index(gain.argmax(), gain.shape)
+    return Rules(forests[which], best / CLASSES if gain[which, best] > 0 else 2.0)
 
 
 def judge(stats: DataFrame, rules: Rules) -> DataFrame:
