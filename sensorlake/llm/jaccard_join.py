@@ -58,7 +58,8 @@ def signature(own: np.ndarray) -> bytes:
 
 
 def _parts(own: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=PARTS), 65535).astype(np.uint16).tobytes()
+    """Members in each part of the hash range, up to 255: what is cut off only weakens the bound."""
+    return np.minimum(np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes()
 
 
 def _bucket(own: np.ndarray, buckets: int) -> np.ndarray:
@@ -168,6 +169,69 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows.take(pa.array(first[give]))
 
 
+def _hopeful(percent: int) -> Callable:
+    """Of rows sorted by token, those that the length and position filters leave with a partner in their list.
+    Lists of more than ``BLOCK`` rows pass as they are."""
+
+    def partners(n: np.ndarray, rest: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        a, b = n[i], n[j]
+        return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (np.minimum(rest[i], rest[j]) >= _needed(a, b, percent))
+
+    def chosen(rows: pa.RecordBatch) -> pa.RecordBatch:
+        n = rows.column("n").to_numpy().astype(np.int64)
+        rest = n - rows.column("place").to_numpy()
+        begin, end = _runs(rows.column("token").to_numpy()[:, None])
+        size = end - begin
+        keep = np.repeat(size > BLOCK, size)
+        stop = np.repeat(end, size)
+        at = np.flatnonzero(np.repeat(size <= SMALL, size))
+        for step in range(1, SMALL):
+            i = at[at + step < stop[at]]
+            i = i[partners(n, rest, i, i + step)]
+            keep[i] = keep[i + step] = True
+        for a, b in zip(begin[(size > SMALL) & (size <= BLOCK)], end[(size > SMALL) & (size <= BLOCK)]):
+            step = max(1, PAIRS // (b - a))
+            for r in range(a, b, step):
+                i, j = _later(r, min(r + step, b), b)
+                ok = partners(n, rest, i, j)
+                keep[i[ok]] = keep[j[ok]] = True
+        return rows.filter(pa.array(keep))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        passing = None  # token of a long list whose rows are under way
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = _joined([*held, batch])
+            token = rows.column("token").to_numpy()
+            if passing is not None:
+                n = int(np.argmax(token != passing)) if (token != passing).any() else len(token)
+                yield rows.slice(0, n)
+                rows, token = rows.slice(n), token[n:]
+                held = []
+                if not len(token):
+                    continue
+                passing = None
+            last = int(np.flatnonzero(token != token[-1]).max(initial=-1)) + 1
+            if last:
+                yield chosen(rows.slice(0, last))
+            held = [rows.slice(last)]
+            if len(token) - last > BLOCK:
+                passing = token[-1]
+                yield held.pop()
+        if held:
+            yield chosen(held[0])
+
+    return run
+
+
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the runs of equal rows of ``key``."""
+    cut = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+    return np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
+
+
 def _names(column: pa.Array) -> np.ndarray:
     """16-byte names as two numbers each."""
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)
@@ -230,7 +294,7 @@ class _Lists:
         self.percent = percent
         self.n = batch.column("n").to_numpy().astype(np.int64)
         self.place = batch.column("place").to_numpy().astype(np.int64)
-        self.parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint16).reshape(-1, PARTS).astype(np.int32)
+        self.parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
         self.label = _names(batch.column("label"))
         self.side = batch.column("side").to_numpy()
         self.nodes = batch.column("node").to_pylist()
@@ -246,7 +310,7 @@ class _Lists:
         ok = np.ones(len(i), bool)
         for k in range(0, len(i), PAIRS):
             part = slice(k, k + PAIRS)
-            apart = np.abs(self.parts[i[part]] - self.parts[j[part]]).sum(1)
+            apart = np.abs(self.parts[i[part]] - self.parts[j[part]]).sum(1, dtype=np.int64)
             both = n[i[part]] + n[j[part]]
             ok[part] = (both - apart) // 2 >= _needed(n[i[part]], n[j[part]], self.percent)
         return i[ok], j[ok]
@@ -263,8 +327,7 @@ def _candidates(percent: int) -> Callable:
 
     def work(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         key = np.column_stack([rows.column(c).to_numpy() for c in ("token", "one", "two")])
-        cut = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-        begin, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
+        begin, end = _runs(key)
         size = end - begin
         lists = _Lists(rows, percent)
         stop = np.repeat(end, size)
@@ -337,9 +400,8 @@ def _verified(percent: int) -> Callable:
     return run
 
 
-def _links(listed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(listed: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Verified pairs (``x``, ``y``) that connect what is similar, by rounds over the lists (token, node, place)."""
-    spark = listed.sparkSession
     sizes = listed.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     dealt = listed.join(sizes, "token").select("token", "node", "place", blocks.alias("blocks"))
@@ -354,8 +416,7 @@ def _links(listed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
         "place",
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
     )
-    labels = links = None
-    tried = None
+    labels = links = tried = sets = None
     while True:
         described = lists.join(nodes, "node")
         if labels is None:
@@ -370,10 +431,12 @@ def _links(listed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = materialise(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
+        lists = done.filter("x is null").select("token", "one", "two", "node", "place", "side")
+        if sets is None:  # of all nodes that this round or a later one may compare
+            sets = sets_of(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).union(lists.select("node")).distinct())
         a, b = (sets.select(F.col("node").alias(c), F.col("members").alias(m)) for c, m in (("x", "a"), ("y", "b")))
         found = materialise(pairs.join(a, "x").join(b, "y").mapInArrow(_verified(percent), "x binary, y binary"), "found")
         links = found if links is None else links.unionByName(found)
-        lists = done.filter("x is null").select("token", "one", "two", "node", "place", "side")
         if lists.isEmpty():
             return links
         labels = connected(links)
@@ -389,14 +452,18 @@ def _grouped(docs: DataFrame, ident: str, text: str, width: int, percent: int, b
     table = spark.sparkContext.broadcast(_frequencies(described, buckets))
     posted = rows.select("text").mapInArrow(_postings(width, percent, table), "token long, node binary, n int, place int")
     by_token = posted.repartition("token").sortWithinPartitions("token", "node")
-    listed = materialise(by_token.mapInArrow(_shared, "token long, node binary, n int, place int"), "lists").drop("n")
+    shared = by_token.mapInArrow(_shared, "token long, node binary, n int, place int")
+    listed = materialise(shared.mapInArrow(_hopeful(percent), "token long, node binary, n int, place int"), "lists").drop("n")
+
+    def sets_of(chosen: DataFrame) -> DataFrame:
+        wanted = spark.sparkContext.broadcast(_wanted(chosen))
+        sets = rows.select("text").mapInArrow(_sets(width, wanted), "node binary, members binary")
+        return materialise(sets.join(chosen, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
     met = listed.select("node").distinct()
-    wanted = spark.sparkContext.broadcast(_wanted(met))
-    sets = rows.select("text").mapInArrow(_sets(width, wanted), "node binary, members binary")
-    sets = materialise(sets.join(met, "node", "left_semi").dropDuplicates(["node"]), "sets")
     members = described.filter("span is null").select("doc", "text_hash", "node", "n", "parts")
     nodes = materialise(members.select("node", "n", "parts").join(met, "node", "left_semi").dropDuplicates(["node"]), "nodes")
-    labels = connected(_links(listed, nodes, sets, percent)).withColumnRenamed("node", "at")
+    labels = connected(_links(listed, nodes, sets_of, percent)).withColumnRenamed("node", "at")
     component = F.when(F.col("n") > 0, F.coalesce("label", "node"))
     return members.join(labels, F.col("node") == F.col("at"), "left").select("doc", "text_hash", "n", component.alias("component"))
 

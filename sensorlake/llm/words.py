@@ -1,35 +1,33 @@
-"""Words of texts as 64-bit hashes, many texts at once."""
+"""Words of texts as 64-bit hashes, many texts at once.
+
+A word's hash is a polynomial in its bytes, each byte read as a random 64-bit
+number, modulo 2^64; running sums over the bytes of many words give all of
+them by array operations.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
-
-#: Words whose hashes a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 300_000
-
 
-class Hashes(dict):
-    """Word to hash, computed when it is missing."""
+#: Bytes that are hashed at once (a longer word alone).
+CHUNK = 1 << 20
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+_RNG = np.random.default_rng(20_240_229)
+_VALUE = _RNG.integers(0, 2**64, 256, np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[list(b" \t\n\x0b\x0c\r")] = False
+_SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
-_HASHES = Hashes()
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (A-Z lower-cased, cut at ASCII white space) of all texts, and the place where each text's begin, plus the end."""
-    split = [x.lower().split() for x in texts]
-    ends = np.cumsum([0, *map(len, split)])
-    out = np.empty(ends[-1], np.uint64)
-    for words, a, b in zip(split, ends, ends[1:]):
-        out[a:b] = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, b - a)
-    return out, ends
+_POWERS, _INVERSES = _powers(_BASE, CHUNK), _powers(_INVERSE, CHUNK)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -39,21 +37,43 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (A-Z lower-cased, cut at ASCII white space) of all texts, and the place where each text's begin, plus the end."""
+    data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    edges = np.flatnonzero(np.diff(_IN_WORD[data].view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    starts, stops = edges[::2], edges[1::2]
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        first = starts[i]
+        j = max(i + 1, int(np.searchsorted(stops, first + CHUNK, "right")))
+        n = int(stops[j - 1] - first)
+        powers, inverses = (_POWERS, _INVERSES) if n <= CHUNK else (_powers(_BASE, n), _powers(_INVERSE, n))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_VALUE[data[first : first + n]] * powers[:n], out=sums[1:])
+        a, b = starts[i:j] - first, stops[i:j] - first
+        out[i:j] = mixed((sums[b] - sums[a]) * inverses[a] + (b - a).astype(np.uint64))
+        i = j
+    bounds = np.cumsum([0, *(len(x) + 1 for x in texts)])
+    return out, np.searchsorted(starts, bounds)
+
+
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """Per text the sorted distinct hashes of its ``width``-word shingles; with fewer words, one for the whole; without any, none."""
     words, ends = word_hashes(texts)
     total = np.zeros(max(0, len(words) - width + 1), np.uint64)
     for i in range(width):
-        total = mixed(total + words[i : i + len(total)] + np.uint64(0x9E3779B97F4A7C15))
+        total = mixed(total + words[i : i + len(total)] + _BASE)
     out = []
-    for a, b in zip(ends, ends[1:]):
+    for a, b in zip(ends.tolist(), ends[1:].tolist()):
         if b - a >= width:
-            out.append(np.unique(total[a : b - width + 1]))
+            own = np.sort(total[a : b - width + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif b > a:
-            short = np.uint64(b - a)
+            short = np.array([b - a], np.uint64)
             for w in words[a:b]:
-                short = mixed(np.array([short]) * np.uint64(0xD6E8FEB86659FD93) + w)[0]
-            out.append(np.array([short], np.uint64))
+                short = mixed(short * _SALT + w)
+            out.append(short)
         else:
             out.append(np.empty(0, np.uint64))
     return out
