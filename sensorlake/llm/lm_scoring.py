@@ -14,8 +14,8 @@ and one for the unknown, sum to one.
 
 The counts of rare words are not sent to the workers: documents send each of
 their rare words to the partition that holds its count, and the logarithms
-come back as sums.  Only the ``TOP`` most frequent words, a fixed number, and
-the parameters are broadcast.
+come back as sums.  Only the most frequent words, at most ``TOP``, and the
+parameters are broadcast.
 """
 
 from __future__ import annotations
@@ -87,11 +87,24 @@ def count_words(training: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, classes: int = CLASSES, top: int = TOP) -> Vocabulary:
-    """The ``top`` most frequent words, ties by hash, and the totals of all of them."""
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    rows = counts.orderBy(F.desc("c"), "word").limit(top).collect()
+    """The most frequent words, ``top`` at most, and the totals of all of them.
+
+    Counts fall into classes of a sixteenth of a doubling; the words above the
+    lowest boundary that leaves no more than ``top`` are taken, and the end."""
+    size = F.floor(F.log2("c") * 16)
+    spread = counts.groupBy(size.alias("size")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
+    above, least = 0, None
+    for r in sorted(spread, key=lambda r: -r["size"]):
+        above += r["v"]
+        if above > top - 1:
+            break
+        least = r["size"]
+    taken = F.col("word") == int(END.view(np.int64))
+    rows = counts.filter(taken if least is None else taken | (size >= least)).collect()
+    rows.sort(key=lambda r: (-r["c"], r["word"]))
     words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
     c = np.array([r["c"] for r in rows], np.int64)
+    n = sum(r["n"] for r in spread)
     own, following = np.full(len(words), RARE), 2
     for i, w in enumerate(words):
         if w == END:
@@ -99,9 +112,9 @@ def vocabulary(counts: DataFrame, classes: int = CLASSES, top: int = TOP) -> Voc
         elif following < classes:
             own[i], following = following, following + 1
     class_counts = np.bincount(own, c, classes).astype(np.int64) if len(words) else np.zeros(classes, np.int64)
-    class_counts[RARE] = total["n"] - class_counts[1:].sum()
+    class_counts[RARE] = n - class_counts[1:].sum()
     order = np.argsort(words)
-    return Vocabulary(words[order], c[order], own[order], class_counts, int(total["n"]), int(total["v"]))
+    return Vocabulary(words[order], c[order], own[order], class_counts, int(n), int(sum(r["v"] for r in spread)))
 
 
 @dataclass

@@ -11,8 +11,8 @@ DOCS = T.StructType(
 def docs(spark):
     """Builds a documents table from (doc_id, text[, source]) rows, spread over three partitions."""
 
-    def make(rows, **extra):
-        full = [(*r, "s")[:3] if len(r) == 2 else tuple(r) for r in rows]
+    def make(given, /, **extra):
+        full = [(*r, "s")[:3] if len(r) == 2 else tuple(r) for r in given]
         frame = spark.createDataFrame(full, DOCS).repartition(3)
         for name, value in extra.items():
             frame = frame.withColumn(name, value)
