@@ -11,13 +11,15 @@ others at once, with these filters on each pair:
 
 * length: the smaller set has at least t times the larger one's shingles;
 * position: what can still be common after the two places is enough;
-* suffix: the two sets' counts in 128 fixed parts of the hash range differ by
-  no more than the overlap allows (a lower bound of the sets' difference).
-
-A list that has more pairs left than nodes gives only those of its node with
-most pairs, and comes again in the next round without that node.  Pairs inside
-a component that the links so far connect are left out, so a large group of
-near copies takes a few rounds of about one pair a node, and no link between
+* suffix: the two sets' counts in 512 fixed parts of the hash range, kept
+  modulo 4, differ by no more than the overlap allows (the distance of the
+  counts around the circle is a lower bound of the sets' difference).
+
+A list with many pairs left (more than its nodes, in later rounds ``FURTHER``
+times as many) gives only those of its nodes with most pairs, up to that
+number, and comes again in the next round without these nodes.  Pairs inside a
+component that the links so far connect are left out, so a large group of near
+copies takes a few rounds of a few pairs a node, and no link between
 components is lost.  Each pair is verified once, on the full sets.
 """
 
@@ -40,12 +42,14 @@ from sensorlake.llm.words import shingle_sets
 BUCKETS = 1 << 20
 #: Counters that travel in one row.
 SPAN = 1 << 16
-#: Parts of the hash range that the suffix filter counts.
-PARTS = 128
+#: Parts of the hash range that the suffix filter counts, each modulo 4 in two bits.
+PARTS = 512
 #: Nodes of a list that meet as many others in one task at once.
 BLOCK = 2048
 #: Lists up to this size are worked on many at a time, and give all their pairs at once.
 SMALL = 8
+#: Pairs for each of its nodes that a list may give in the rounds after the first.
+FURTHER = 8
 #: Pairs of a larger list that are looked at in one step.
 PAIRS = 1 << 16
 #: Bits of the table that tells which nodes may be wanted.
@@ -58,8 +62,25 @@ def signature(own: np.ndarray) -> bytes:
 
 
 def _parts(own: np.ndarray) -> bytes:
-    """Members in each part of the hash range, up to 255: what is cut off only weakens the bound."""
-    return np.minimum(np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes()
+    """Members in each part of the hash range modulo 4, four parts a byte."""
+    n = (np.bincount((own >> np.uint64(55)).astype(np.int64), minlength=PARTS) & 3).astype(np.uint8).reshape(-1, 4)
+    return (n[:, 0] | n[:, 1] << 2 | n[:, 2] << 4 | n[:, 3] << 6).tobytes()
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per row of two arrays of packed counts, the sum of their distances around the circle."""
+    return _DISTANCE[a, b].sum(1, dtype=np.int64)
+
+
+def _byte_distances() -> np.ndarray:
+    byte = np.arange(256)
+    digits = np.stack([byte >> s & 3 for s in (0, 2, 4, 6)], 1)
+    apart = np.abs(digits[:, None] - digits[None])
+    return np.minimum(apart, 4 - apart).sum(2).astype(np.uint8)
+
+
+#: Distance of each two packed bytes.
+_DISTANCE = _byte_distances()
 
 
 def _bucket(own: np.ndarray, buckets: int) -> np.ndarray:
@@ -294,7 +315,7 @@ class _Lists:
         self.percent = percent
         self.n = batch.column("n").to_numpy().astype(np.int64)
         self.place = batch.column("place").to_numpy().astype(np.int64)
-        self.parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
+        self.parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint8).reshape(-1, PARTS // 4)
         self.label = _names(batch.column("label"))
         self.side = batch.column("side").to_numpy()
         self.nodes = batch.column("node").to_pylist()
@@ -310,7 +331,7 @@ class _Lists:
         ok = np.ones(len(i), bool)
         for k in range(0, len(i), PAIRS):
             part = slice(k, k + PAIRS)
-            apart = np.abs(self.parts[i[part]] - self.parts[j[part]]).sum(1, dtype=np.int64)
+            apart = _apart(self.parts[i[part]], self.parts[j[part]])
             both = n[i[part]] + n[j[part]]
             ok[part] = (both - apart) // 2 >= _needed(n[i[part]], n[j[part]], self.percent)
         return i[ok], j[ok]
@@ -322,8 +343,9 @@ def _later(first: int, last: int, end: int) -> tuple[np.ndarray, np.ndarray]:
     return i[j > i], j[j > i]
 
 
-def _candidates(percent: int) -> Callable:
-    """Rows sorted by list (token, one, two) to candidate pairs, and the rows of lists that come again (``x`` null)."""
+def _candidates(percent: int, most: int) -> Callable:
+    """Rows sorted by list (token, one, two) to candidate pairs, about ``most`` times the rows of a list at most,
+    and the rows of lists that come again (``x`` null)."""
 
     def work(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         key = np.column_stack([rows.column(c).to_numpy() for c in ("token", "one", "two")])
@@ -344,11 +366,14 @@ def _candidates(percent: int) -> Callable:
             step = max(1, PAIRS // k)  # rows of the list against all later ones
             found = [lists.passing(*_later(r, min(r + step, b), b)) for r in range(a, b, step)]
             i, j = (np.concatenate(x) for x in zip(*found))
-            if len(i) > k:
-                hub = a + np.bincount(np.concatenate([i, j]) - a, minlength=k).argmax()
-                own = (i == hub) | (j == hub)
+            if len(i) > most * k:
+                degree = np.bincount(np.concatenate([i, j]) - a, minlength=k)
+                hubs = np.zeros(k, bool)
+                order = np.argsort(-degree, kind="stable")
+                hubs[order[: max(1, int(np.searchsorted(np.cumsum(degree[order]), most * k)))]] = True
+                own = hubs[i - a] | hubs[j - a]
                 i, j = i[own], j[own]
-                again += [r for r in range(a, b) if r != hub]
+                again += (a + np.flatnonzero(~hubs)).tolist()
             found_i.append(i)
             found_j.append(j)
         i, j = np.concatenate(found_i), np.concatenate(found_j)
@@ -425,7 +450,7 @@ def _links(listed: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], D
             now = labels.select(F.col("node").alias("at"), F.col("label"))
             described = described.join(now, F.col("node") == F.col("at"), "left").drop("at").withColumn("label", F.coalesce("label", "node"))
         ordered = described.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
-        done = materialise(ordered.mapInArrow(_candidates(percent), _ROUND), "candidates")
+        done = materialise(ordered.mapInArrow(_candidates(percent, 1 if labels is None else FURTHER), _ROUND), "candidates")
         pairs = done.filter("x is not null").select("x", "y").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
