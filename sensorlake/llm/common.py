@@ -20,17 +20,25 @@ SPACES = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 4 << 20
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers that see this folder import the library from it; elsewhere it is shipped as a package."""
+#: Bytes of an Arrow batch, where the session has Spark's own default: a task holds several batches at once.
+BATCH_BYTES = "8m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Lets Python workers that see this folder import the library from it (elsewhere it is
+    shipped as a package), and keeps Arrow batches small unless the session says otherwise."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("64m", f"{64 << 20}b", str(64 << 20)):
+        spark.conf.set(name, BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
