@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm import exact_dedup, jaccard_join, mixing
 from sensorlake.llm import quality_rules as rules
-from sensorlake.llm.common import importable, materialise, table
+from sensorlake.llm.common import materialise, prepare, table
 from sensorlake.llm.sentencepiece_codec import encode_decode
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -23,32 +23,32 @@ VOCABULARY = "piece_bpe_32k.model"
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the isolation forest reject go; null and empty texts have too few words."""
-    importable(spark)
+    prepare(spark)
     stats = materialise(rules.with_statistics(docs.select("doc_id", "text")), "statistics")
     return rules.keep_good(docs, rules.fit(stats, table(spark, sf_dir, "labels")))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest ``doc_id`` stays."""
-    importable(spark)
+    prepare(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def keep_dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 80 % of their five-word shingles the one with the smallest ``doc_id`` stays."""
-    importable(spark)
+    prepare(spark)
     return jaccard_join.keep_one(docs, width=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, dealt to as many output shards as there are shuffle partitions, 16 at least."""
-    importable(spark)
+    prepare(spark)
     return mixing.mix(docs, shards=max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per mixed row: its ids and the digest of its decoded text."""
-    importable(spark)
+    prepare(spark)
     coded = encode_decode(docs.select("doc_id", "source", "text"), public_tokenizers.path(VOCABULARY))
     return coded.select(
         "doc_id",
