@@ -1,36 +1,40 @@
 """Timestamp clean-up and parsing.
 
-Rule: the wall clock written by the sensor is kept.  A zone suffix is
-removed, never applied; ',' is read as the decimal point; precision is cut
-to milliseconds; a value must start with ``yyyy-MM-dd``.
-
-The reference tries four patterns ('T' or ' ' separator, with or without
-milliseconds) and then Spark's default cast.  The default cast accepts
-every input those patterns accept and returns the same instant for it, so
-one ``try_cast`` is the whole chain (checked on the edge cases in
-``tests/test_timestamps.py``); cutting the text to three fraction digits
-equals ``date_trunc('millisecond', ..)`` after parsing.  One cast per row
-keeps the expression small enough for whole-stage codegen, and ``try_``
-makes a mismatch NULL (a rejected row) instead of an ANSI error.
+Rule: the wall clock written by the sensor is kept.  The date and the time
+fields at the start of the text are taken, ',' is read as the decimal point,
+precision is cut to milliseconds, and whatever zone follows (an offset in any
+form, ``Z``, a name) is ignored, never applied.  Text behind the time that is
+no zone makes the value unreadable.
+
+Only the fields are parsed, by one ``try_cast`` of the taken text: a mismatch
+is NULL (a rejected row) instead of an ANSI error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake import model
+
+#: A date, and hours and minutes with optional seconds and fraction; then an optional zone: an offset or a name.
+_FIELDS = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?)"
+_OFFSET = r"[+-]\d{1,2}(?::?\d{2}(?::?\d{2})?)?"
+_NAME = r"\[?[A-Za-z][A-Za-z_]*(?:/[A-Za-z_+-]+\d*)*\]?"
+_ZONES = rf"(?:\s*(?:{_OFFSET}|{_NAME}))*$"
 
 
 def clean_timestamp_text(c: Column) -> Column:
-    """trim, ',' -> '.', zone suffix removed."""
-    s = F.translate(F.trim(c), ",", ".")
-    s = F.regexp_replace(s, model.ZONE_SUFFIX_PATTERN, "")
-    return F.regexp_replace(s, model.SHORT_ZONE_PATTERN, "$1")
+    """The date and time fields of the text; empty where it has another form."""
+    return F.regexp_extract(F.translate(F.trim(c), ",", "."), _FIELDS + _ZONES, 1)
 
 
 def parse_timestamp(c: Column) -> Column:
     """Wall-clock TIMESTAMP (millisecond precision) of the text, else NULL."""
-    s = clean_timestamp_text(c)
-    ts = F.date_trunc("millisecond", s.try_cast("timestamp"))
-    return F.when(s.rlike(model.LEADING_DATE_PATTERN), ts)
+    return F.date_trunc("millisecond", clean_timestamp_text(c).try_cast("timestamp"))
+
+
+def require_fixed_zone(spark: SparkSession) -> None:
+    """Wall clocks are kept as they are only in a session zone without offset changes."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if not spark.sparkContext._jvm.java.time.ZoneId.of(zone, spark.sparkContext._jvm.java.time.ZoneId.SHORT_IDS).getRules().isFixedOffset():
+        raise ValueError(f"spark.sql.session.timeZone is {zone}, whose offset changes and would move wall clocks; set UTC")

@@ -1,4 +1,7 @@
-"""Normalise, union and validate raw readings.
+"""Normalise and validate raw readings.
+
+The union of the sensor types (C3) is the one scan that reads all their
+directories (``sources.json_files.read_sensor_dirs``).
 
 All functions work on batch and streaming DataFrames alike, so the batch
 and the streaming ingestion apply exactly the same rules.
@@ -6,7 +9,6 @@ and the streaming ingestion apply exactly the same rules.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,14 +40,6 @@ def normalise(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    """``unionByName`` fold tolerating missing columns."""
-    frames = list(frames)
-    if not frames:
-        raise ValueError("union_all needs at least one DataFrame")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 def _has(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
@@ -67,6 +61,7 @@ def rejection_checks(
     types = [F.lit(t) for t in model.SENSOR_TYPES]
     checks.append(("unknown_type", F.col("type").isNotNull() & ~F.col("type").isin(*types)))
     checks.append(("nan_value", F.isnan(F.col("value"))))
+    checks.append(("infinite_value", F.abs("value") == F.lit(float("inf"))))
     checks.append(("negative_value", F.col("value") < F.lit(0.0)))
     if include_time or parsed_time:
         from sensorlake.functions import parse_timestamp
@@ -93,30 +88,3 @@ def with_reject_reasons(df: DataFrame, column: str = "reject_reasons", parsed_ti
     checks = rejection_checks(df, include_time=True, parsed_time=parsed_time)
     reasons = [F.when(F.coalesce(cond, F.lit(False)), F.lit(reason)) for reason, cond in checks]
     return df.withColumn(column, F.array_compact(F.array(*reasons)))
-
-
-def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with their reasons)."""
-    tagged = with_reject_reasons(df)
-    valid = tagged.filter(F.size("reject_reasons") == 0).drop("reject_reasons")
-    rejected = tagged.filter(F.size("reject_reasons") > 0)
-    return valid, rejected
-
-
-def acceptance_metrics(df: DataFrame, name: str = "acceptance"):
-    """(observed DataFrame, Observation) counting total / valid / rejected in one pass.
-
-    The counts are filled in by whatever action later consumes the returned
-    DataFrame (typically the warehouse write), so no extra job is launched.
-    """
-    from sensorlake.session import observation
-
-    obs = observation(name)
-    valid = valid_condition(df)
-    observed = df.observe(
-        obs,
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(valid).alias("valid"),
-        F.count_if(~valid).alias("rejected"),
-    )
-    return observed, obs

@@ -1,131 +1,95 @@
 """De-duplication of readings.
 
-``sensor_id`` is unique per reading, so it is the identity of a row.  In a
-batch, ``dropDuplicates`` runs as a partial (map-side) aggregate, so even a
-reading repeated across a third of the input collapses before the shuffle.
-Against the table, only partitions of the days the batch touches are read
-(partition pruning on ``year, month, day``) and only their key column.
+One identity everywhere, in a batch, against the table and whatever the sizes:
+a reading is its ``sensor_id`` within its table partition (site, type, day).
+Rows that repeat a reading with the same content are repeats and are dropped;
+rows that repeat it with other content are conflicts: the earliest time stays,
+then the smallest content, and the others go to the quarantine.
+
+Exact repeats collapse in a partial (map-side) hash aggregate, so a reading
+repeated across a third of the input never meets in one task; only the rows of
+identities that still occur twice are sorted.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY = "sensor_id"
+from sensorlake import model
 
-# A batch touching more distinct days than this is matched against the
-# contiguous day range instead of the exact day list (both are exact; the
-# list only prunes more).
-MAX_LISTED_DAYS = 1000
+KEY = "sensor_id"
+IDENTITY = (KEY, *model.PARTITION_COLUMNS)
+#: What a reading says besides its identity.
+CONTENT = ("timestamp", "value", "unit", "machine")
 
 
-def drop_duplicate_readings(df: DataFrame, key: str = KEY) -> DataFrame:
-    return df.dropDuplicates([key])
+@dataclass(frozen=True)
+class PartitionProfile:
+    """Rows per touched table partition: ``(site, type, year, month, day, n)``.
 
+    The driver holds one entry per touched partition, as the commit of the
+    write to those partitions does anyway."""
 
-def day_column() -> Column:
-    return F.make_date(F.col("year"), F.col("month"), F.col("day"))
+    rows: list
 
+    @property
+    def total(self) -> int:
+        return sum(r[5] for r in self.rows)
 
-def touched_days_predicate(batch: DataFrame, d: Column | None = None) -> Column | None:
-    """A predicate selecting every day (``d``, default: the partition columns'
-    date) present in ``batch``; applied to a partitioned table it prunes to
-    those days.
+    @property
+    def empty(self) -> bool:
+        return not self.rows
 
-    One job lists the distinct days (at most ``MAX_LISTED_DAYS + 1`` rows reach
-    the driver); past that, a one-row min/max aggregate gives the day range.
-    None when the batch is empty.
-    """
-    d = day_column() if d is None else d
-    days: list[dt.date] = [
-        r[0] for r in batch.select(d.alias("d")).distinct().limit(MAX_LISTED_DAYS + 1).collect() if r[0] is not None
-    ]
-    if not days:
-        return None
-    if len(days) <= MAX_LISTED_DAYS:
-        return d.isin(*[F.lit(x) for x in days])
-    lo, hi = batch.agg(F.min(d), F.max(d)).first()
-    return d.between(F.lit(lo), F.lit(hi))
-
-
-# A batch's partition profile lists at most this many table partitions on
-# the driver (the job commit lists its output directories there anyway).
-MAX_PROFILED_PARTITIONS = 100_000
-# Up to this many touched table partitions are matched one by one; past it,
-# by day.
-MAX_LISTED_PARTITIONS = 10_000
+    @property
+    def partitions(self) -> list[tuple]:
+        return [tuple(r[:5]) for r in self.rows]
 
 
-class PartitionProfile:
-    """Rows per table partition of a batch: touched days, totals, sizes."""
+def partition_profile(batch: DataFrame) -> PartitionProfile:
+    """One job: row count per (site, type, year, month, day) of ``batch``."""
+    return PartitionProfile([tuple(r) for r in batch.groupBy(*model.PARTITION_COLUMNS).count().collect()])
 
-    def __init__(self, rows: list | None, total: int, lo: dt.date | None, hi: dt.date | None):
-        self.rows = rows  # [(site, type, year, month, day, n)] or None if too many
-        self.total = total
-        self.lo, self.hi = lo, hi
 
-    @property
-    def empty(self) -> bool:
-        return self.total == 0
+def _same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
 
-    @property
-    def partitions(self) -> int | None:
-        return None if self.rows is None else len(self.rows)
-
-    def partitions_predicate(self) -> Column | None:
-        """Partition-column predicate selecting exactly the table partitions
-        (site, type, day) of the batch; by day when there are many."""
-        if self.empty:
-            return None
-        if self.rows is None or len(self.rows) > MAX_LISTED_PARTITIONS or any(
-            v is None for r in self.rows for v in r[:5]
-        ):
-            return self.days_predicate()
-        keys = sorted({f"{r[0]}|{r[1]}|{dt.date(r[2], r[3], r[4]).isoformat()}" for r in self.rows})
-        key = F.concat_ws("|", F.col("site"), F.col("type"), day_column().cast("string"))
-        return key.isin(*[F.lit(k) for k in keys])
-
-    def days_predicate(self) -> Column | None:
-        """Partition-column predicate selecting every day of the batch."""
-        if self.empty:
-            return None
-        d = day_column()
-        if self.rows is not None:
-            days = sorted({dt.date(r[2], r[3], r[4]) for r in self.rows if r[2] is not None})
-            if 0 < len(days) <= MAX_LISTED_DAYS:
-                return d.isin(*[F.lit(x) for x in days])
-        return d.between(F.lit(self.lo), F.lit(self.hi))
 
+def distinct_readings(rows: DataFrame) -> DataFrame:
+    """Rows that differ in identity or content, once each (their stamp is the earliest)."""
+    keys = [*IDENTITY, *CONTENT]
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest]).select(*rows.columns)
 
-def partition_profile(batch: DataFrame) -> PartitionProfile:
-    """One job: row count per (site, type, year, month, day) of ``batch``.
 
-    At most ``MAX_PROFILED_PARTITIONS + 1`` rows reach the driver; past that a
-    one-row aggregate gives the total and the day range instead.
-    """
-    keys = ["site", "type", "year", "month", "day"]
-    rows = [tuple(r) for r in batch.groupBy(*keys).count().limit(MAX_PROFILED_PARTITIONS + 1).collect()]
-    if len(rows) <= MAX_PROFILED_PARTITIONS:
-        days = [dt.date(r[2], r[3], r[4]) for r in rows if r[2] is not None]
-        return PartitionProfile(rows, sum(r[5] for r in rows), min(days, default=None), max(days, default=None))
-    d = day_column()
-    total, lo, hi = batch.agg(F.count(F.lit(1)), F.min(d), F.max(d)).first()
-    return PartitionProfile(None, int(total), lo, hi)
+def split_repeats(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the row of each identity that stays, conflicting rows), both lazy."""
+    once = distinct_readings(rows)
+    twice = once.groupBy(*IDENTITY).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
+    marked = once.join(twice, list(IDENTITY), "left").select(*rows.columns, "_times")
+    rank = F.row_number().over(Window.partitionBy(*IDENTITY).orderBy(*CONTENT))
+    ranked = marked.filter("_times is not null").withColumn("_rank", rank)
+    alone = marked.filter("_times is null").drop("_times")
+    kept = alone.unionByName(ranked.filter("_rank = 1").drop("_times", "_rank"))
+    return kept, ranked.filter("_rank > 1").drop("_times", "_rank")
 
 
-def new_readings(batch: DataFrame, existing_keys: DataFrame, key: str = KEY) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing_keys`` (left anti join)."""
-    return batch.join(existing_keys.select(key), on=key, how="left_anti")
+def against_table(rows: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose identity ``existing`` does not hold, rows that it holds with other content)."""
+    held = existing.select(*[F.col(c).alias(f"_{c}") for c in (*IDENTITY, *CONTENT)])
+    by_identity = [_same(c, f"_{c}") for c in IDENTITY]
+    new = rows.join(held, by_identity, "left_anti")
+    met = rows.join(held, by_identity, "inner")
+    same = _same("timestamp", "_timestamp") & _same("value", "_value") & _same("unit", "_unit") & _same("machine", "_machine")
+    return new, met.filter(~same).select(*rows.columns)
 
 
-def dedup_stream(df: DataFrame, delay: str = "1 day", key: str = KEY, event_time: str = "timestamp") -> DataFrame:
-    """Streaming X1: drop a reading seen before, within the watermark delay.
+def dedup_stream(df: DataFrame, delay: str = "1 day", event_time: str = "timestamp") -> DataFrame:
+    """Streaming X1 with Spark's state: drop a reading seen before, within the watermark delay.
 
-    State is kept per key until the watermark passes the first copy's event
-    time plus ``delay``; a copy arriving later than that is not recognised
-    here (the table sink's anti join still catches it).
+    Spark's operator also drops what lies further behind the newest time than
+    ``delay``; ``plans.ingest.merge_late`` adds those rows from the landed files.
     """
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(IDENTITY))

@@ -9,6 +9,8 @@ from sensorlake import model
 from sensorlake.functions import alert_flag, parse_timestamp
 
 EVENT_TIME = "event_time"
+#: Time of ingestion where rows are staged, so that all that reads them has one stamp.
+STAMP = "ingestion_timestamp"
 
 
 def with_event_time(df: DataFrame, out: str = EVENT_TIME) -> DataFrame:
@@ -33,6 +35,8 @@ def with_calendar(df: DataFrame, time_col: str = EVENT_TIME) -> DataFrame:
 def warehouse_columns(df: DataFrame, time_col: str = EVENT_TIME, ingestion_time: bool = True) -> DataFrame:
     """C7 + C8 + T5: rows with a readable time, in warehouse column order."""
     stamp = F.current_timestamp() if ingestion_time else F.lit(None).cast("timestamp")
+    if ingestion_time and STAMP in df.columns:
+        stamp = F.col(STAMP)
     return (
         df.filter(F.col(time_col).isNotNull())
         .withColumn("timestamp", F.col(time_col))

@@ -43,8 +43,8 @@ def valid_by_type(df: DataFrame) -> DataFrame:
 def bom_check(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.json") -> DataFrame:
     """Q4: every file: size, UTF-8 byte-order-mark flag, first 50 characters.
 
-    ``binaryFile`` loads each file whole into one row: meant for landing files
-    of readings (small), not for multi-gigabyte files.
+    ``binaryFile`` loads each file whole into one row (Spark's line reader would
+    drop the mark): meant for landing files of readings, which are small.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
@@ -60,25 +60,32 @@ def _flat_types(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema.fields}
 
 
-def schema_drift(spark: SparkSession, declared: T.StructType, inferred: T.StructType) -> DataFrame:
-    """Q5: columns missing from the data, extra in the data, or typed differently.
+def _is_drift(declared: str, inferred: str) -> bool:
+    """Whole numbers fit a double column, and a column without any value has no type."""
+    return declared != inferred and (declared, inferred) != ("double", "bigint") and inferred != "void"
 
-    Both inputs are schemas (metadata, a few fields), compared on the driver.
+
+def schema_drift(spark: SparkSession, declared: T.StructType, inferred: dict[str, T.StructType]) -> DataFrame:
+    """Q5: per sensor type, columns missing from the data, extra in the data, or typed differently.
+
+    ``inferred``: schema by type.  All inputs are schemas (metadata, a few fields), compared on the driver.
     """
-    d, i = _flat_types(declared), _flat_types(inferred)
     rows = []
-    for name, t in d.items():
-        if name == model.CORRUPT_COLUMN:
-            continue
-        if name not in i:
-            rows.append((name, "missing", t, None))
-        elif i[name] != t:
-            rows.append((name, "type_differs", t, i[name]))
-    for name, t in i.items():
-        if name not in d and name != model.CORRUPT_COLUMN:
-            rows.append((name, "extra", None, t))
-    schema = "column_name string, issue string, declared_type string, inferred_type string"
-    return spark.createDataFrame(rows, schema)
+    d = _flat_types(declared)
+    for sensor_type, schema in inferred.items():
+        i = _flat_types(schema)
+        for name, t in d.items():
+            if name == model.CORRUPT_COLUMN:
+                continue
+            if name not in i:
+                rows.append((sensor_type, name, "missing", t, None))
+            elif _is_drift(t, i[name]):
+                rows.append((sensor_type, name, "type_differs", t, i[name]))
+        for name, t in i.items():
+            if name not in d and name != model.CORRUPT_COLUMN:
+                rows.append((sensor_type, name, "extra", None, t))
+    columns = "sensor_type string, column_name string, issue string, declared_type string, inferred_type string"
+    return spark.createDataFrame(rows, columns)
 
 
 def reject_reason_counts(df: DataFrame) -> DataFrame:

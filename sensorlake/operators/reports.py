@@ -348,12 +348,13 @@ def latest_readings(df: DataFrame, n: int = 10, by_ingestion_time: bool = True)
 
 
 def warehouse_stats(df: DataFrame) -> DataFrame:
-    """Total, per type and per site in one GROUPING SETS pass."""
+    """Total, per type and per site; the grouping sets expand the (type, site) groups, not the rows."""
     m = Measures(df)
-    grouped = df.groupingSets([[], ["type"], ["site"]], "type", "site").agg(
+    groups = df.groupBy("type", "site").agg(m.count().alias("n"), m.alerts().alias("a"))
+    grouped = groups.groupingSets([[], ["type"], ["site"]], "type", "site").agg(
         F.grouping_id().alias("_gid"),
-        m.count().alias("total_mesures"),
-        m.alerts().alias("alertes"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_mesures"),
+        F.coalesce(F.sum("a"), F.lit(0)).cast("bigint").alias("alertes"),
     )
     # grouping_id bits: type -> 2, site -> 1 (1 = aggregated away)
     level = (

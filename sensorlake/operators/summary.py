@@ -11,10 +11,10 @@ summary's size depends on sites x machines x types x hours, not on the
 number of readings.
 
 Measures from the summary equal the ones from the rows: counts, min, max and
-latest time exactly; averages exactly (DECIMAL sums, HALF_UP rounding).
-The sample standard deviation is computed from the sums in double; it can
-differ from Spark's streaming formula in the last bits, which shows only if
-the value sits exactly on a rounding boundary.
+latest time exactly; averages exactly (DECIMAL sums, HALF_UP rounding), and
+the sample standard deviation from the same sums, subtracted in DECIMAL, so a
+small deviation around a large mean keeps its digits.  Groups with values from
+``EXACT_BELOW`` on, or whose sums leave the DECIMAL range, use sums in DOUBLE.
 """
 
 from __future__ import annotations
@@ -23,12 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.functions import avg_half_up, round_half_up
-from sensorlake.functions.rounding import VALUE_DECIMAL
+from sensorlake.functions.rounding import EXACT_BELOW, exact
 
 SUMMARY_KEYS = ("site", "machine", "type", "year", "month", "day", "hour")
 
-N, NV, SUM, SUMSQ, VMIN, VMAX, ALERTS, LAST = (
-    "_n", "_nv", "_sum", "_sumsq", "_min", "_max", "_alerts", "_last",
+N, NV, SUM, SUMSQ, DSUM, DSUMSQ, VMIN, VMAX, ALERTS, LAST = (
+    "_n", "_nv", "_sum", "_sumsq", "_dsum", "_dsumsq", "_min", "_max", "_alerts", "_last",
 )
 SUM_DECIMAL = "decimal(38,6)"
 SUMSQ_DECIMAL = "decimal(38,12)"
@@ -36,12 +36,14 @@ SUMSQ_DECIMAL = "decimal(38,12)"
 
 def reading_summary(df: DataFrame) -> DataFrame:
     """Warehouse rows -> one row per (site, machine, type, year, month, day, hour)."""
-    v = F.col("value").cast(VALUE_DECIMAL)
+    v = exact(F.col("value"))
     return df.groupBy(*SUMMARY_KEYS).agg(
         F.count(F.lit(1)).alias(N),
         F.count("value").alias(NV),
-        F.sum(v).cast(SUM_DECIMAL).alias(SUM),
-        F.sum(v * v).cast(SUMSQ_DECIMAL).alias(SUMSQ),
+        F.try_sum(v).cast(SUM_DECIMAL).alias(SUM),
+        F.try_sum(v * v).try_cast(SUMSQ_DECIMAL).alias(SUMSQ),
+        F.sum("value").alias(DSUM),
+        F.sum(F.col("value") * F.col("value")).alias(DSUMSQ),
         F.min("value").alias(VMIN),
         F.max("value").alias(VMAX),
         F.count_if(F.col("is_alert")).alias(ALERTS),
@@ -69,8 +71,13 @@ class Measures:
         if not self.summary:
             return avg_half_up("value", scale)
         # decimal(28,6) / bigint keeps 16 fraction digits before the rounding
-        total = F.sum(SUM).cast("decimal(28,6)")
-        return F.round(F.try_divide(total, F.sum(NV)), scale).cast("double")
+        mean = F.try_divide(F.try_sum(SUM).try_cast("decimal(28,6)"), F.sum(NV))
+        plain = F.round(F.sum(DSUM) / F.sum(NV), scale)
+        return F.when(self._exact(), F.coalesce(F.round(mean, scale).cast("double"), plain)).otherwise(plain)
+
+    def _exact(self) -> Column:
+        """Whether the decimal sums hold every value of the group."""
+        return (F.max(F.greatest(F.abs(VMIN), F.abs(VMAX))) < EXACT_BELOW) & (F.count(SUM) == F.count_if(F.col(NV) > 0))
 
     def min(self, scale: int) -> Column:
         return round_half_up(F.min(VMIN if self.summary else "value"), scale)
@@ -84,10 +91,13 @@ class Measures:
     def std(self, scale: int) -> Column:
         if not self.summary:
             return F.round(F.stddev_samp("value"), scale)
-        n = F.sum(NV).cast("double")
-        s = F.sum(SUM).cast("double")
-        ss = F.sum(SUMSQ).cast("double")
-        var = (ss - s * s / n) / (n - F.lit(1.0))
+        n = F.sum(NV)
+        total = F.try_sum(SUM).try_cast("decimal(38,6)")
+        mean_part = F.try_divide(F.try_multiply(total, total), n)
+        parts = F.try_subtract(F.try_sum(SUMSQ), mean_part).cast("double")
+        plain = F.sum(DSUMSQ) - F.sum(DSUM) * F.sum(DSUM) / n
+        whole = self._exact() & (F.count(SUMSQ) == F.count(SUM))
+        var = F.when(whole, F.coalesce(parts, plain)).otherwise(plain) / (n - 1)
         return F.round(F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))), scale)
 
 
@@ -99,8 +109,11 @@ def merge_summaries(*summaries: DataFrame) -> DataFrame:
     return union.groupBy(*SUMMARY_KEYS).agg(
         F.sum(N).cast("bigint").alias(N),
         F.sum(NV).cast("bigint").alias(NV),
-        F.sum(SUM).cast(SUM_DECIMAL).alias(SUM),
-        F.sum(SUMSQ).cast(SUMSQ_DECIMAL).alias(SUMSQ),
+        # NULL where a part has no exact sum, as a sum would pass over it
+        F.when(F.count(SUM) == F.count_if(F.col(NV) > 0), F.try_sum(SUM).try_cast(SUM_DECIMAL)).alias(SUM),
+        F.when(F.count(SUMSQ) == F.count_if(F.col(NV) > 0), F.try_sum(SUMSQ).try_cast(SUMSQ_DECIMAL)).alias(SUMSQ),
+        F.sum(DSUM).alias(DSUM),
+        F.sum(DSUMSQ).alias(DSUMSQ),
         F.min(VMIN).alias(VMIN),
         F.max(VMAX).alias(VMAX),
         F.sum(ALERTS).cast("bigint").alias(ALERTS),

@@ -24,6 +24,8 @@ from sensorlake.sinks.csv import export_single_csv, write_csv
 
 # row-level extracts: written multi-part
 ROW_EXPORTS = {"raw_data", "critical_alerts"}
+# reports whose rows grow with the days or machines: multi-part as well
+GROWING_REPORTS = {"temperature_moyenne"}
 
 
 class SharedSummary:
@@ -59,7 +61,7 @@ def run_reports(
     shared = SharedSummary(warehouse)
     try:
         return {
-            name: write_csv(fn(shared.source_for(fn)), f"{reports_dir.rstrip('/')}/{name}")
+            name: write_csv(fn(shared.source_for(fn)), f"{reports_dir.rstrip('/')}/{name}", single_file=name not in GROWING_REPORTS)
             for name, fn in registry.items()
         }
     finally:

@@ -12,30 +12,40 @@ observed on the staging write, so no extra count job runs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import model
+from sensorlake.functions.timestamps import require_fixed_zone
 from sensorlake.operators.cleaning import normalise, with_reject_reasons
-from sensorlake.operators.derive import EVENT_TIME, warehouse_columns, with_calendar, with_event_time
+from sensorlake.operators.dedup import CONTENT, IDENTITY, partition_profile, split_repeats
+from sensorlake.operators.derive import EVENT_TIME, STAMP, warehouse_columns, with_calendar, with_event_time
 from sensorlake.session import observation, remove_path, scratch_path
-from sensorlake.sinks.warehouse import append_new, overwrite, write_quarantine
-from sensorlake.sources.json_files import read_json, read_sensor_dirs
+from sensorlake.sinks.warehouse import new_rows, write_quarantine, write_warehouse, writer_count
+from sensorlake.sources.json_files import JSON_GLOB, mark_unread_rest, read_json, sensor_dirs
 
 REASONS = "reject_reasons"
 
 
 @dataclass
 class IngestReport:
+    """``total`` = ``valid`` + ``rejected``; ``valid`` = ``written`` + ``repeated`` + ``conflicting`` where the table held nothing else."""
+
     total: int = 0
     valid: int = 0
     rejected: int = 0
     quarantined: int = 0
+    conflicting: int = 0
+    repeated: int = 0
     written: int = 0
     alerts: int = 0
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The run summary as one row."""
+        return spark.createDataFrame([tuple(asdict(self).values())], ", ".join(f"{k} long" for k in asdict(self)))
+
 
 def staged_rows(raw: DataFrame) -> DataFrame:
     """Raw rows -> normalised rows with parsed time, calendar, alert flag and
@@ -49,18 +59,30 @@ def valid_flag() -> F.Column:
 
 
 def accepted_rows(staged: DataFrame) -> DataFrame:
-    """Valid staged rows as warehouse rows."""
+    """Valid staged rows as warehouse rows; a stamp that was staged is kept."""
     return warehouse_columns(staged.filter(valid_flag()))
 
 
 def rejected_rows(staged: DataFrame) -> DataFrame:
     """Rejected staged rows with the raw fields, reasons and source file."""
-    keep = [c for c, _ in model.RAW_FIELDS] + [
-        c
-        for c in (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN, REASONS)
-        if c in staged.columns
-    ]
-    return staged.filter(~valid_flag()).select(*keep)
+    return staged.filter(~valid_flag()).select(*_rejected_columns(staged))
+
+
+def _rejected_columns(staged: DataFrame) -> list[str]:
+    extra = (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN, REASONS)
+    return [c for c, _ in model.RAW_FIELDS] + [c for c in extra if c in staged.columns]
+
+
+CONFLICT = "repeated_id_with_other_content"
+
+
+def conflict_rows(conflicts: DataFrame, staged: DataFrame) -> DataFrame:
+    """Conflicting warehouse rows as rejected rows: the staged rows that say the same, each with its file."""
+    held = conflicts.select(*[F.col(c).alias(f"_{c}") for c in (*IDENTITY, *CONTENT)]).distinct()
+    valid = staged.filter(valid_flag())
+    same = [valid[EVENT_TIME if c == "timestamp" else c].eqNullSafe(F.col(f"_{c}")) for c in (*IDENTITY, *CONTENT)]
+    met = valid.join(held, same, "left_semi").withColumn(REASONS, F.array(F.lit(CONFLICT)))
+    return met.select(*[c for c in _rejected_columns(staged)])
 
 
 def ingest_frame(
@@ -70,10 +92,14 @@ def ingest_frame(
     mode: str = "append",
     fmt: str = "parquet",
 ) -> IngestReport:
-    """Ingest already-read raw rows (batch DataFrame)."""
+    """Ingest already-read raw rows (batch DataFrame).
+
+    Without a valid row nothing is written, in ``overwrite`` mode as well:
+    the table stays as it is."""
     spark = raw.sparkSession
+    require_fixed_zone(spark)
     obs = observation("acceptance")
-    staged = staged_rows(raw).observe(
+    staged = staged_rows(raw).withColumn(STAMP, F.current_timestamp()).observe(
         obs,
         F.count(F.lit(1)).alias("total"),
         F.count_if(valid_flag()).alias("valid"),
@@ -85,16 +111,37 @@ def ingest_frame(
         counts = obs.get
         report = IngestReport(int(counts["total"]), int(counts["valid"]), int(counts["rejected"]))
         table = spark.read.parquet(stage_path)
-        if quarantine_path and report.rejected:
-            report.quarantined = write_quarantine(rejected_rows(table), quarantine_path, fmt)
         rows = accepted_rows(table)
-        result = overwrite(rows, warehouse_path, fmt) if mode == "overwrite" else append_new(rows, warehouse_path, fmt)
-        report.written, report.alerts = result.written, result.alerts
+        if mode == "overwrite":
+            profile = partition_profile(rows)
+            new, conflicts = split_repeats(rows)
+        else:
+            new, conflicts, profile = new_rows(rows, warehouse_path, fmt)
+        if not profile.empty:
+            # Counted and quarantined before the write: afterwards the table holds the new rows.
+            report.conflicting = conflicts.count()
+            rejected = rejected_rows(table)
+            if report.conflicting:
+                rejected = rejected.unionByName(conflict_rows(conflicts, table))
+            if quarantine_path and (report.rejected or report.conflicting):
+                report.quarantined = write_quarantine(rejected, quarantine_path, fmt)
+            result = write_warehouse(new, warehouse_path, mode, fmt, writer_count(spark, profile))
+            report.written, report.alerts = result.written, result.alerts
+            report.repeated = report.valid - report.written - report.conflicting
+        elif quarantine_path and report.rejected:
+            report.quarantined = write_quarantine(rejected_rows(table), quarantine_path, fmt)
         return report
     finally:
         remove_path(spark, stage_path)
 
 
+def merge_late(spark: SparkSession, raw_root: str, warehouse_path: str, *, multi_line: bool, fmt: str = "parquet") -> int:
+    """Adds the landed readings that a stream with ``dedup="state"`` left behind its watermark; returns their number.
+
+    An idempotent batch ingest of the landed files: what the table holds stays as it is."""
+    return ingest_batch(spark, raw_root, warehouse_path, fmt=fmt, multi_line=multi_line).written
+
+
 def ingest_batch(
     spark: SparkSession,
     raw_root: str | None,
@@ -102,18 +149,23 @@ def ingest_batch(
     quarantine_path: str | None = None,
     mode: str = "append",
     fmt: str = "parquet",
-    multi_line: bool = True,
     types: Iterable[str] = model.SENSOR_TYPES,
     paths: Sequence[str] | None = None,
+    glob: str = JSON_GLOB,
+    *,
+    multi_line: bool,
 ) -> IngestReport:
     """B1: read every populated type directory under ``raw_root`` (or ``paths``)
-    and ingest it.  No input -> nothing is written."""
+    and ingest it.  No input -> nothing is written.
+
+    ``multi_line``: true for one object or array per file, false for one
+    object per line; the wrong choice loses rows, so there is no default."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
-    if paths:
-        raw = read_json(spark, list(paths), multi_line=multi_line)
-    else:
-        raw = read_sensor_dirs(spark, raw_root, types, multi_line=multi_line)
-    if raw is None:
+    paths = list(paths) if paths else sensor_dirs(spark, raw_root, types, glob)
+    if not paths:
         return IngestReport()
+    raw = read_json(spark, paths, glob=glob, multi_line=multi_line)
+    if multi_line:
+        raw = mark_unread_rest(raw, paths, glob)
     return ingest_frame(raw, warehouse_path, quarantine_path, mode, fmt)

@@ -18,15 +18,18 @@ from pyspark.sql import types as T
 from sensorlake import model
 from sensorlake.functions import parse_timestamp
 from sensorlake.operators import quality, reports
-from sensorlake.operators.dedup import dedup_stream
+from sensorlake.operators.dedup import against_table, dedup_stream, split_repeats
 from sensorlake.operators.derive import to_warehouse
-from sensorlake.plans.ingest import ingest_batch
-from sensorlake.session import scratch_path
-from sensorlake.sources.events import land_readings, raw_readings, read_table, time_text_variants, warehouse_rows
-from sensorlake.sources.json_files import read_sensor_dirs, sensor_dirs
-from sensorlake.sources.warehouse import read_warehouse
+from sensorlake.plans.exports import export_all, run_reports
+from sensorlake.plans.ingest import ingest_batch, ingest_frame, merge_late
+from sensorlake.session import remove_path, scratch_path
+from sensorlake.sinks.csv import export_single_csv, write_csv
+from sensorlake.sources.events import land_arrays, land_readings, raw_readings, read_table, time_text_variants, warehouse_rows
+from sensorlake.sources.json_files import infer_schema, read_sensor_dirs, sensor_dirs
+from sensorlake.sources.warehouse import read_csv_warehouse, read_warehouse, register_view
 from sensorlake.streaming import ingest as stream_ingest
 from sensorlake.streaming import monitor
+from sensorlake.streaming.latest import read_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +93,20 @@ def registry() -> dict[str, Query]:
         "stream_summary_stats": stream_summary_stats,
         "stream_raw_archive": stream_raw_archive,
         "compaction": compaction,
+        "ingest_batch_multiline": ingest_batch_multiline,
+        "ingest_stream_multiline": ingest_stream_multiline,
+        "ingest_overwrite": ingest_overwrite,
+        "ingest_two_sites": ingest_two_sites,
+        "ingest_two_sites_one_batch": ingest_two_sites_one_batch,
+        "run_summary": run_summary,
+        "large_values": large_values,
+        "export_all": export_all_query,
+        "run_reports": run_reports_query,
+        "single_csv": single_csv,
+        "csv_warehouse": csv_warehouse,
+        "export_refresh": export_refresh,
+        "bom_check": bom_check,
+        "sql_view": sql_view,
     }
     return out
 
@@ -104,22 +121,35 @@ def registry() -> dict[str, Query]:
 WAREHOUSE_OUT = list(reports.RAW_EXPORT_COLUMNS)
 
 
-def _landing(spark: SparkSession, sf_dir: str, defects: bool = False) -> str:
-    """Readings as JSON files; with ``defects``, 'signup' readings carry their
-    value as a JSON string (corrupt records)."""
+def _landing(spark: SparkSession, sf_dir: str, defects: bool = False, copies: int = 1) -> str:
+    """Readings as JSON files, every one ``copies`` times; with ``defects``, 'signup'
+    readings carry their value as a JSON string (corrupt records)."""
     root = scratch_path(spark, "landing")
     bad = (F.col("type") == F.lit("signup")) if defects else None
-    return land_readings(raw_readings(spark, sf_dir), root, value_as_text=bad)
+    for _ in range(copies):
+        land_readings(raw_readings(spark, sf_dir), root, value_as_text=bad)
+    return root
 
 
 def _landed_raw(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFrame:
     return read_sensor_dirs(spark, _landing(spark, sf_dir, defects), multi_line=False)
 
 
+def _forget(spark: SparkSession, *paths: str) -> None:
+    """Scratch that the result does not read goes at once."""
+    for path in paths:
+        remove_path(spark, path)
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    return ntz(read_warehouse(spark, path).select(*WAREHOUSE_OUT))
+
+
 def timestamp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 + T2: every ``events.ts`` written in one of eight text forms, parsed back."""
+    """T1 + T2: every ``events.ts`` written in one of thirteen text forms, parsed back; the unreadable ones are null."""
     ev = read_table(spark, sf_dir, "events")
     text = time_text_variants(F.col("ts"), F.col("event_id"))
+    text = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("at "), text)).otherwise(text)
     return ev.select(
         F.col("event_id").cast("string").alias("sensor_id"),
         parse_timestamp(text).cast("timestamp_ntz").alias("timestamp"),
@@ -131,36 +161,101 @@ def ingest_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landing(spark, sf_dir)
     wh = scratch_path(spark, "warehouse")
     ingest_batch(spark, root, wh, multi_line=False)
-    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+    _forget(spark, root)
+    return _table(spark, wh)
 
 
 def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three ingests of the same files, the last with every file twice;
     the table holds each reading once."""
-    root = _landing(spark, sf_dir)
-    copy = _landing(spark, sf_dir)
+    root, copy = _landing(spark, sf_dir), _landing(spark, sf_dir)
     wh = scratch_path(spark, "warehouse")
     ingest_batch(spark, root, wh, multi_line=False)
     ingest_batch(spark, root, wh, multi_line=False)
-    both = sensor_dirs(spark, root) + sensor_dirs(spark, copy)
-    ingest_batch(spark, None, wh, multi_line=False, paths=both)
-    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+    ingest_batch(spark, None, wh, multi_line=False, paths=sensor_dirs(spark, root) + sensor_dirs(spark, copy))
+    _forget(spark, root, copy)
+    return _table(spark, wh)
+
+
+def _moved(readings: DataFrame) -> DataFrame:
+    """The same readings, ids included, as if another site had sent them."""
+    return readings.withColumn("site", F.concat(F.lit("Moved_"), F.col("site")))
+
+
+def ingest_two_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that occur at two sites, in two batches: a reading is its id within its partition."""
+    wh = scratch_path(spark, "warehouse")
+    readings = raw_readings(spark, sf_dir)
+    ingest_frame(readings, wh)
+    ingest_frame(_moved(readings), wh)
+    return _table(spark, wh)
+
+
+def ingest_two_sites_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one batch."""
+    wh = scratch_path(spark, "warehouse")
+    readings = raw_readings(spark, sf_dir)
+    ingest_frame(readings.unionByName(_moved(readings)), wh)
+    return _table(spark, wh)
+
+
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of an ingest with repeats and conflicts: every reading twice, every tenth also with another value."""
+    wh, qu = scratch_path(spark, "warehouse"), scratch_path(spark, "quarantine")
+    readings = raw_readings(spark, sf_dir)
+    other = readings.filter(F.col("sensor_id").cast("long") % 10 == 0).withColumn("value", F.col("value") + 1000)
+    report = ingest_frame(readings.unionByName(readings).unionByName(other), wh, quarantine_path=qu)
+    kept = spark.read.parquet(qu).agg(F.sum("occurrences").alias("in_quarantine"))
+    _forget(spark, wh)
+    return report.frame(spark).join(kept)
+
+
+def ingest_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 overwrite: an ingest of moved readings is replaced; an overwrite without a valid row changes nothing."""
+    wh = scratch_path(spark, "warehouse")
+    readings = raw_readings(spark, sf_dir)
+    ingest_frame(_moved(readings), wh)
+    ingest_frame(readings, wh, mode="overwrite")
+    ingest_frame(readings.withColumn("type", F.lit("unknown")), wh, mode="overwrite")
+    return _table(spark, wh)
+
+
+def ingest_batch_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 as the sensors write: one pretty-printed JSON value per file."""
+    root, wh = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    land_arrays(raw_readings(spark, sf_dir), root)
+    ingest_batch(spark, root, wh, glob="part-*", multi_line=True)
+    _forget(spark, root)
+    return _table(spark, wh)
+
+
+def ingest_stream_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 as the sensors write: one pretty-printed JSON value per file, some files a batch."""
+    root, wh = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    land_arrays(raw_readings(spark, sf_dir), root, per_file=20_000)
+    _stream(spark, root, wh, glob="part-*", multi_line=True, max_files_per_trigger=4)
+    _forget(spark, root)
+    return _table(spark, wh)
+
+
+def large_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports over readings of 1e13, beyond the exact range; infinite ones are rejected."""
+    big = F.when(F.col("sensor_id").cast("long") % 100 == 0, F.lit(1e13)).when(F.col("sensor_id").cast("long") % 101 == 0, F.lit(float("inf")))
+    rows = to_warehouse(raw_readings(spark, sf_dir).withColumn("value", F.coalesce(big, "value")))
+    return reports.stats_by_type(rows).select("type", "total_mesures", "valeur_min", "valeur_max", "nombre_alertes")
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q2 + quarantine sink: rejected and corrupt rows, with their reasons."""
-    root = _landing(spark, sf_dir, defects=True)
+    """Q2 + quarantine sink: rejected and corrupt rows, with their reasons; every file twice."""
+    root = _landing(spark, sf_dir, defects=True, copies=2)
     wh, qu = scratch_path(spark, "warehouse"), scratch_path(spark, "quarantine")
     ingest_batch(spark, root, wh, quarantine_path=qu, multi_line=False)
     ingest_batch(spark, root, wh, quarantine_path=qu, multi_line=False)  # re-run adds nothing
-    q = spark.read.parquet(qu)
-    return q.select(
-        "sensor_id",
-        "type",
-        "site",
-        "machine",
-        F.array_join("reject_reasons", ",").alias("reasons"),
-        F.col(model.CORRUPT_COLUMN).isNotNull().alias("corrupt"),
+    _forget(spark, root, wh)
+    return (
+        spark.read.parquet(qu)
+        .groupBy("sensor_id", "type", "site", "machine", F.array_join("reject_reasons", ",").alias("reasons"), F.col(model.CORRUPT_COLUMN).isNotNull().alias("corrupt"))
+        .agg(F.sum("occurrences").alias("occurrences"))
     )
 
 
@@ -182,117 +277,174 @@ def valid_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q5: schema inferred from all files against the declared one."""
-    from sensorlake.sources.json_files import infer_schema
-
+    """Q5: per sensor type, the schema inferred from its files against the declared one."""
     root = _landing(spark, sf_dir, defects=True)
-    inferred = infer_schema(spark, sensor_dirs(spark, root), multi_line=False)
+    inferred = {d.rsplit("/", 1)[1]: infer_schema(spark, d, multi_line=False) for d in sensor_dirs(spark, root)}
+    _forget(spark, root)
     return quality.schema_drift(spark, model.RAW_SCHEMA, inferred)
 
 
+def bom_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: landing files with a byte-order mark, and files that do not begin with a reading."""
+    files = quality.bom_check(spark, sensor_dirs(spark, _landing(spark, sf_dir)))
+    starts = F.startswith(F.col("head"), F.lit('{"sensor_id":"'))
+    return files.agg(F.count_if("has_bom").alias("with_bom"), F.count_if((F.col("length") > 0) & ~starts).alias("other_start"))
+
+
+def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in SQL over the registered view."""
+    register_view(warehouse_rows(spark, sf_dir), "sensor_data")
+    return spark.sql("SELECT site, type, count(*) AS total, count_if(is_alert) AS alertes FROM sensor_data GROUP BY site, type")
+
+
+def export_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All BI exports written as CSV and read back: rows, and the sum of their counts or alerts."""
+    out = scratch_path(spark, "exports")
+    export_all(warehouse_rows(spark, sf_dir), out)
+    return _read_back(spark, {n: f"{out}/{n}" if n in ("raw_data", "critical_alerts") else f"{out}/{n}.csv" for n in reports.BI_EXPORTS})
+
+
+def run_reports_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5, K3, K6: the decision reports written as CSV and read back."""
+    return _read_back(spark, run_reports(warehouse_rows(spark, sf_dir), scratch_path(spark, "reports")))
+
+
+def _read_back(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    out = None
+    for name, path in paths.items():
+        df = spark.read.option("header", True).csv(path)
+        number = next((c for c in ("total_mesures", "nombre_mesures") if c in df.columns), None)
+        total = F.coalesce(F.sum(F.col(number).cast("bigint")), F.lit(0)) if number else F.count(F.lit(1))
+        part = df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), total.cast("bigint").alias("readings"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_SITE_STATS = "site string, type string, total_mesures bigint, valeur_moyenne double, alertes bigint, derniere_mesure timestamp"
+_TYPE_STATS = (
+    "type string, total_mesures bigint, valeur_moyenne double, valeur_min double, valeur_max double, "
+    "ecart_type double, nombre_alertes bigint, derniere_mesure timestamp"
+)
+
+
+def single_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: a report as one named CSV file, read back."""
+    path = export_single_csv(reports.stats_by_site(warehouse_rows(spark, sf_dir)), scratch_path(spark, "csv"), "stats_by_site")
+    return ntz(spark.read.schema(_SITE_STATS).option("header", True).csv(path))
+
+
+def csv_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + S10: the warehouse as CSV, read back."""
+    path = write_csv(warehouse_rows(spark, sf_dir), scratch_path(spark, "csv-warehouse"))
+    return ntz(read_csv_warehouse(spark, path).select(*WAREHOUSE_OUT))
+
+
+def export_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports rebuilt after every micro-batch from the kept summary, read back."""
+    root = _landing(spark, sf_dir, copies=2)
+    wh, out, kept = (scratch_path(spark, n) for n in ("warehouse", "exports", "summary"))
+    _stream(spark, root, wh, summary_path=kept, on_batch=monitor.export_refresher(wh, out, summary_path=kept))
+    _forget(spark, root, wh, kept)
+    return ntz(spark.read.schema(_TYPE_STATS).option("header", True).csv(f"{out}/stats_by_type.csv"))
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
 
-def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files through the streaming ingestion (one file per batch)."""
-    root = _landing(spark, sf_dir)
-    wh = scratch_path(spark, "warehouse")
+def _stream(spark: SparkSession, root: str, wh: str, multi_line: bool = False, max_files_per_trigger: int | None = 1, **options) -> None:
+    """The streaming ingestion of all landed files, by default one file per batch."""
+    ckpt = scratch_path(spark, "ckpt")
     _run(stream_ingest.start_ingest(
-        spark, root, wh, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=1,
+        spark, root, wh, ckpt, available_now=True, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger, **options
     ))
-    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+    _forget(spark, ckpt)
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files through the streaming ingestion (one file per batch)."""
+    root, wh = _landing(spark, sf_dir), scratch_path(spark, "warehouse")
+    _stream(spark, root, wh)
+    _forget(spark, root)
+    return _table(spark, wh)
 
 
 def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-batch metrics of the streaming ingestion, summed over batches."""
-    root = _landing(spark, sf_dir, defects=True)
-    wh, metrics = scratch_path(spark, "warehouse"), scratch_path(spark, "metrics")
-    _run(stream_ingest.start_ingest(
-        spark, root, wh, scratch_path(spark, "ckpt"), metrics_path=metrics,
-        available_now=True, multi_line=False, max_files_per_trigger=2,
-    ))
-    m = spark.read.parquet(metrics)
-    return m.agg(*[F.sum(c).cast("bigint").alias(c) for c in ("rows_read", "rows_valid", "rows_rejected", "alerts")])
+    """Per-batch metrics of both modes (every file twice), summed over batches."""
+    out = None
+    for mode in ("table", "state"):
+        root = _landing(spark, sf_dir, defects=True, copies=2)
+        wh, metrics = scratch_path(spark, "warehouse"), scratch_path(spark, "metrics")
+        # In state mode all files in one batch: the counts behind the watermark are merge_late's.
+        _stream(spark, root, wh, metrics_path=metrics, dedup=mode, max_files_per_trigger=2 if mode == "table" else None)
+        _forget(spark, root, wh)
+        names = ("rows_read", "rows_valid", "rows_rejected", "rows_written", "alerts")
+        part = spark.read.parquet(metrics).agg(F.lit(mode).alias("mode"), *[F.sum(c).cast("bigint").alias(c) for c in names])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X1 streaming: every file landed twice; duplicates dropped within the watermark."""
-    root = _landing(spark, sf_dir)
-    land_readings(raw_readings(spark, sf_dir), root)  # second copy of every reading
+    """X1 streaming: every file twice, one file per batch; what Spark's state operator
+    leaves behind its watermark is added by a batch."""
+    root = _landing(spark, sf_dir, copies=2)
     out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
-    raw = stream_ingest.readings_stream(spark, root, multi_line=False, max_files_per_trigger=None)
+    raw = stream_ingest.readings_stream(spark, root, max_files_per_trigger=1, multi_line=False)
     rows = dedup_stream(to_warehouse(raw).drop("ingestion_timestamp"), delay="1 day")
     _run(rows.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out)
          .trigger(availableNow=True).start())
-    return ntz(spark.read.parquet(out).select(*WAREHOUSE_OUT))
+    met = spark.read.parquet(out).select(*WAREHOUSE_OUT)
+    landed, _ = split_repeats(to_warehouse(read_sensor_dirs(spark, root, multi_line=False)).select(*WAREHOUSE_OUT))
+    late, _ = against_table(landed, met)
+    return ntz(met.unionByName(late))
 
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event-time hourly windows per type (landing files span the whole
-    month, so they are read in one micro-batch: a finite watermark would
-    otherwise drop the other files' older rows as late)."""
-    root = _landing(spark, sf_dir)
-    out = scratch_path(spark, "hourly")
-    _run(monitor.start_hourly_trends(
-        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=None,
-    ))
-    return ntz(monitor.read_hourly_trends(spark, out))
+    """Event-time hourly windows per type from the kept summary; every file twice, one file per batch."""
+    root = _landing(spark, sf_dir, copies=2)
+    wh, kept = scratch_path(spark, "warehouse"), scratch_path(spark, "summary")
+    _stream(spark, root, wh, summary_path=kept)
+    _forget(spark, root, wh)
+    return ntz(monitor.hourly_windows(read_summary(spark, kept)))
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alert readings as a stream (one file per batch)."""
-    root = _landing(spark, sf_dir)
-    out = scratch_path(spark, "alerts")
-    _run(stream_ingest.start_alert_stream(
-        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=1,
-    ))
-    return ntz(spark.read.parquet(out).select(*WAREHOUSE_OUT))
+    """Alerts as they come; every file twice, one file per batch."""
+    root = _landing(spark, sf_dir, copies=2)
+    wh, out = scratch_path(spark, "warehouse"), scratch_path(spark, "alerts")
+    _stream(spark, root, wh, alerts_path=out)
+    _forget(spark, root, wh)
+    return ntz(stream_ingest.read_alerts(spark, out).select(*WAREHOUSE_OUT))
 
 
 def ingest_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1 with in-stream de-dup (``dedup="state"``): every file landed twice.
-
-    The landing files each span the whole month, so they are read in one
-    micro-batch; with several, the watermark would drop the older rows of
-    later files as late (the mode's documented trade-off)."""
-    root = _landing(spark, sf_dir)
-    land_readings(raw_readings(spark, sf_dir), root)  # second copy of every reading
-    wh = scratch_path(spark, "warehouse")
-    _run(stream_ingest.start_ingest(
-        spark, root, wh, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=None, dedup="state",
-    ))
-    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+    """R1 with in-stream de-dup (``dedup="state"``): every file twice, one file per
+    batch; a batch adds what lay behind the watermark."""
+    root, wh = _landing(spark, sf_dir, copies=2), scratch_path(spark, "warehouse")
+    _stream(spark, root, wh, dedup="state")
+    merge_late(spark, root, wh, multi_line=False)
+    _forget(spark, root)
+    return _table(spark, wh)
 
 
 def stream_summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R5 path: per-type statistics (A8) rolled up from the reading summary a
-    stream keeps current batch by batch (one file per micro-batch)."""
-    root = _landing(spark, sf_dir)
-    wh, summary = scratch_path(spark, "warehouse"), scratch_path(spark, "summary")
-    _run(stream_ingest.start_ingest(
-        spark, root, wh, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=1, summary_path=summary,
-    ))
-    from sensorlake.streaming.latest import read_summary
-
-    return ntz(reports.stats_by_type(read_summary(spark, summary)))
+    stream keeps current (every file twice, one file per micro-batch)."""
+    root = _landing(spark, sf_dir, copies=2)
+    wh, kept = scratch_path(spark, "warehouse"), scratch_path(spark, "summary")
+    _stream(spark, root, wh, summary_path=kept)
+    _forget(spark, root, wh)
+    return ntz(reports.stats_by_type(read_summary(spark, kept)))
 
 
 def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 (re-aimed): raw copy of every landed reading, as Parquet, unvalidated."""
     root = _landing(spark, sf_dir)
-    out = scratch_path(spark, "archive")
-    _run(stream_ingest.start_raw_archive(
-        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=1,
-    ))
+    out, ckpt = scratch_path(spark, "archive"), scratch_path(spark, "ckpt")
+    _run(stream_ingest.start_raw_archive(spark, root, out, ckpt, available_now=True, multi_line=False, max_files_per_trigger=1))
+    _forget(spark, root, ckpt)
     return spark.read.parquet(out).select(*[c for c, _ in model.RAW_FIELDS])
 
 
@@ -300,26 +452,21 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small-file compaction of the days a stream wrote (one file per micro-batch)."""
     from sensorlake.sinks.warehouse import compact
 
-    root = _landing(spark, sf_dir)
-    wh = scratch_path(spark, "warehouse")
-    _run(stream_ingest.start_ingest(
-        spark, root, wh, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=1,
-    ))
-    table = read_warehouse(spark, wh)
-    compact(spark, wh, days=table.select("year", "month", "day"))
-    return ntz(read_warehouse(spark, wh).select(*WAREHOUSE_OUT))
+    root, wh = _landing(spark, sf_dir), scratch_path(spark, "warehouse")
+    _stream(spark, root, wh)
+    compact(spark, wh, days=read_warehouse(spark, wh).select("year", "month", "day"))
+    _forget(spark, root)
+    return _table(spark, wh)
 
 
 def stream_stats_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live per-type figures (complete-mode streaming aggregate)."""
-    root = _landing(spark, sf_dir)
-    out = scratch_path(spark, "monitor")
-    _run(monitor.start_monitor(
-        spark, root, out, scratch_path(spark, "ckpt"), available_now=True,
-        multi_line=False, max_files_per_trigger=1,
-    ))
-    return spark.read.parquet(out).drop("batch_id")
+    """Live per-type figures, published after every batch; every file twice, one file per batch."""
+    root = _landing(spark, sf_dir, copies=2)
+    wh, kept, newest, out = (scratch_path(spark, n) for n in ("warehouse", "summary", "latest", "monitor"))
+    publish = monitor.monitor_publisher(wh, out, summary_path=kept, latest_path=newest)
+    _stream(spark, root, wh, summary_path=kept, latest_path=newest, on_batch=publish)
+    _forget(spark, root, wh, kept, newest)
+    return spark.read.parquet(f"{out}/stats").drop("batch_id")
 
 
 # ---------------------------------------------------------------------------
@@ -493,8 +640,9 @@ SELECT type, COUNT(*) AS "count", ROUND(AVG(value) + 1e-9, 2) AS mean,
 FROM sensor_data GROUP BY type ORDER BY type"""),
         "timestamp_parse": """
 SELECT CAST(event_id AS VARCHAR) AS sensor_id,
-       CASE WHEN event_id % 8 IN (2, 3, 5) THEN date_trunc('second', ts)
-            WHEN event_id % 8 = 7 THEN date_trunc('minute', ts)
+       CASE WHEN event_id % 97 = 0 THEN NULL
+            WHEN event_id % 13 IN (2, 3, 5, 11) THEN date_trunc('second', ts)
+            WHEN event_id % 13 = 7 THEN date_trunc('minute', ts)
             ELSE date_trunc('millisecond', ts) END AS timestamp
 FROM events""",
         "ingest_batch": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
@@ -503,7 +651,7 @@ FROM events""",
 SELECT sensor_id, type, site, machine,
        CASE WHEN type = 'signup' THEN 'corrupt_record,value_missing,unknown_type'
             ELSE 'unknown_type' END AS reasons,
-       type = 'signup' AS corrupt
+       type = 'signup' AS corrupt, 2 AS occurrences
 FROM raw WHERE type NOT IN ('temperature', 'vibration', 'pressure')""",
         "null_profile": f"""WITH {RAW_CTE}, c AS (
   SELECT COUNT(*) FILTER (WHERE sensor_id IS NULL) AS sensor_id,
@@ -529,15 +677,17 @@ SELECT type, COUNT(*) AS total, COUNT(sensor_id) AS with_sensor_id,
        COUNT(*) FILTER (WHERE type IN ('temperature', 'vibration', 'pressure')) AS valid
 FROM raw GROUP BY type""",
         "schema_drift": """
-SELECT DISTINCT 'value' AS column_name, 'type_differs' AS issue,
+SELECT DISTINCT sensor_type, 'value' AS column_name, 'type_differs' AS issue,
        'double' AS declared_type, 'string' AS inferred_type
-FROM events WHERE event_type = 'signup'""",
+FROM events, (VALUES ('temperature'), ('vibration'), ('pressure')) t(sensor_type) WHERE event_type = 'signup'""",
         "ingest_stream": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
         "stream_batch_metrics": f"""WITH {SENSOR_DATA_CTE}
-SELECT (SELECT COUNT(*) FROM events) AS rows_read,
-       COUNT(*) AS rows_valid,
-       (SELECT COUNT(*) FROM events) - COUNT(*) AS rows_rejected,
-       {ALERTS} AS alerts
+SELECT 'table' AS mode, 2 * (SELECT COUNT(*) FROM events) AS rows_read, 2 * COUNT(*) AS rows_valid,
+       2 * ((SELECT COUNT(*) FROM events) - COUNT(*)) AS rows_rejected, COUNT(*) AS rows_written, {ALERTS} AS alerts
+FROM sensor_data
+UNION ALL
+SELECT 'state', (SELECT 2 * COUNT(*) FROM events) - COUNT(*), COUNT(*),
+       2 * ((SELECT COUNT(*) FROM events) - COUNT(*)), COUNT(*), {ALERTS}
 FROM sensor_data""",
         "stream_dedup": _w(f"SELECT {WAREHOUSE_SQL} FROM sensor_data"),
         "stream_hourly": _w("""
@@ -559,5 +709,44 @@ SELECT type, COUNT(*) AS "count", ROUND(AVG(value) + 1e-9, 2) AS avg_value,
        {ALERTS} AS alerts
 FROM sensor_data GROUP BY type"""),
     }
-    out["stream_summary_stats"] = out["stats_by_type"]
+    out["stream_summary_stats"] = out["export_refresh"] = out["stats_by_type"]
+    out["single_csv"] = out["stats_by_site"]
+    for name in ("ingest_batch_multiline", "ingest_stream_multiline", "ingest_overwrite", "csv_warehouse"):
+        out[name] = out["ingest_batch"]
+    out["ingest_two_sites"] = out["ingest_two_sites_one_batch"] = _w(f"""
+SELECT {WAREHOUSE_SQL} FROM sensor_data
+UNION ALL SELECT {WAREHOUSE_SQL.replace('site,', "'Moved_' || site,")} FROM sensor_data""")
+    # Of a conflict the smaller value stays, as the time is the same.
+    out["run_summary"] = _w(f"""
+SELECT (SELECT COUNT(*) * 2 + COUNT(*) FILTER (WHERE CAST(sensor_id AS BIGINT) % 10 = 0) FROM raw) AS total,
+       COUNT(*) * 2 + COUNT(*) FILTER (WHERE tenth) AS valid,
+       (SELECT COUNT(*) * 2 + COUNT(*) FILTER (WHERE CAST(sensor_id AS BIGINT) % 10 = 0) FROM raw) - COUNT(*) * 2 - COUNT(*) FILTER (WHERE tenth) AS rejected,
+       (SELECT COUNT(*) * 2 + COUNT(*) FILTER (WHERE CAST(sensor_id AS BIGINT) % 10 = 0) FROM raw) - COUNT(*) * 2 AS quarantined,
+       (SELECT COUNT(*) * 2 + COUNT(*) FILTER (WHERE CAST(sensor_id AS BIGINT) % 10 = 0) FROM raw) - COUNT(*) * 2 AS in_quarantine,
+       COUNT(*) FILTER (WHERE tenth) AS conflicting, COUNT(*) AS repeated, COUNT(*) AS written, {ALERTS} AS alerts
+FROM (SELECT *, CAST(sensor_id AS BIGINT) % 10 = 0 AS tenth FROM sensor_data)""")
+    big = "CASE WHEN CAST(sensor_id AS BIGINT) % 100 = 0 THEN 1e13 ELSE value END"
+    out["large_values"] = _w(f"""
+SELECT type, COUNT(*) AS total_mesures, ROUND(MIN(value) + 1e-9, 2) AS valeur_min, ROUND(MAX(value) + 1e-9, 2) AS valeur_max, {ALERTS} AS nombre_alertes
+FROM (SELECT type, value, {ALERT_SQL} AS is_alert FROM (SELECT type, {big} AS value FROM sensor_data
+      WHERE CAST(sensor_id AS BIGINT) % 100 = 0 OR CAST(sensor_id AS BIGINT) % 101 <> 0)) GROUP BY type""")
+    total, alerts = "(SELECT COUNT(*) FROM sensor_data)", "(SELECT COUNT(*) FROM sensor_data WHERE is_alert)"
+    groups = lambda keys: f"(SELECT COUNT(*) FROM (SELECT DISTINCT {keys} FROM sensor_data))"
+    of = lambda t: f"(SELECT COUNT(*) FROM sensor_data WHERE type = '{t}')"
+    out["export_all"] = _w(f"""
+SELECT * FROM (VALUES ('raw_data', {total}, {total}), ('stats_by_type', {groups('type')}, {total}),
+  ('stats_by_site', {groups('site, type')}, {total}), ('stats_by_machine', {groups('site, machine, type')}, {total}),
+  ('hourly_trends', {groups('year, month, day, hour, type')}, {total}), ('critical_alerts', {alerts}, {alerts}),
+  ('dashboard_summary', 1, {total})) t(name, rows, readings)""")
+    out["run_reports"] = _w(f"""
+SELECT * FROM (VALUES
+  ('temperature_moyenne', (SELECT COUNT(*) FROM (SELECT DISTINCT site, machine, year, month, day FROM sensor_data WHERE type = 'temperature')), {of('temperature')}),
+  ('alertes_critiques', {groups('type')}, {total}),
+  ('top5_variabilite_vibration', (SELECT COUNT(*) FROM (SELECT site, machine FROM sensor_data WHERE type = 'vibration' GROUP BY site, machine HAVING COUNT(*) >= 10 LIMIT 5)),
+   (SELECT COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM sensor_data WHERE type = 'vibration' GROUP BY site, machine HAVING COUNT(*) >= 10
+      ORDER BY ROUND(STDDEV_SAMP(value), 3) DESC NULLS LAST, site, machine LIMIT 5))),
+  ('evolution_pression_horaire', (SELECT COUNT(*) FROM (SELECT DISTINCT site, hour FROM sensor_data WHERE type = 'pressure')), {of('pressure')})
+) t(name, rows, readings)""")
+    out["bom_check"] = "SELECT 0 AS with_bom, 0 AS other_start"
+    out["sql_view"] = _w(f"SELECT site, type, COUNT(*) AS total, {ALERTS} AS alertes FROM sensor_data GROUP BY site, type")
     return out

@@ -38,17 +38,19 @@ def build_session(master: str | None = None, app: str = "sensorlake", shuffle_pa
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint directory; set a local one only when unset
-    and the session runs in local mode (tests).  On a cluster the shared
-    ``spark.checkpoint.dir`` must be configured."""
+    """The session's checkpoint directory, which all executors must share.
+
+    Taken from the context or from ``spark.checkpoint.dir``; a local default
+    exists only where ``build_session`` or a local master set one up, as in tests."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir and not sc.master.startswith("local"):
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        base = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = conf_dir or tempfile.mkdtemp(prefix="sensorlake-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
 
@@ -75,9 +77,27 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file through Hadoop's FileSystem API."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.create(hpath, True).close()
+
+
+def move_over(spark: SparkSession, source: str, target: str) -> None:
+    """Renames ``source`` to ``target``, in place of what is there."""
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(source)
+    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise RuntimeError(f"could not move {source} to {target}")

@@ -13,8 +13,8 @@ import uuid
 from pyspark.sql import DataFrame
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True, mode: str = "overwrite") -> str:
-    """K3: a CSV directory with a header row."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
+    """K3: a CSV directory with a header row; one file only where the rows are few by nature."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)
     return path

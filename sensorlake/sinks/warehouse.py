@@ -20,16 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import model
-from sensorlake.operators.dedup import (
-    KEY,
-    PartitionProfile,
-    drop_duplicate_readings,
-    new_readings,
-    partition_profile,
-    touched_days_predicate,
-)
-from sensorlake.session import observation
-from sensorlake.sources.warehouse import read_warehouse, table_exists
+from sensorlake.operators.dedup import PartitionProfile, against_table, partition_profile, split_repeats
+from sensorlake.session import observation, remove_path
+from sensorlake.sources.warehouse import read_partitions, read_warehouse, table_exists
 
 
 @dataclass
@@ -42,96 +35,69 @@ class WriteResult:
 ROWS_PER_WRITER = 2_000_000
 
 
-def writer_count(spark, profile: PartitionProfile | None) -> int:
-    """Writers for a batch: enough for ``ROWS_PER_WRITER`` rows each, at least
-    one per core while there are table partitions to spread (small batches
-    stay parallel without one tiny file per core), at most
-    ``spark.sql.shuffle.partitions``."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if profile is None:
-        return cap
+def writer_count(spark, profile: PartitionProfile) -> int:
+    """Writers for a batch: as many as ``ROWS_PER_WRITER`` rows each need, and
+    at least one per core while there are table partitions to spread (small
+    batches stay parallel without one tiny file per core)."""
     by_rows = -(-profile.total // ROWS_PER_WRITER)
-    spread = spark.sparkContext.defaultParallelism
-    if profile.partitions is not None:
-        spread = min(spread, profile.partitions)
-    return max(1, min(cap, max(by_rows, spread)))
+    spread = min(spark.sparkContext.defaultParallelism, len(profile.rows))
+    return max(1, by_rows, spread)
 
 
-def _for_writers(df: DataFrame, writers: int | None = None) -> DataFrame:
+def _for_writers(df: DataFrame, writers: int) -> DataFrame:
     """Range-partition rows for the writers (at most as many partitions as
     distinct sampled keys, so a tiny batch never gets empty writer tasks)."""
-    n = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*model.PARTITION_COLUMNS, "sensor_id"]
-    return df.select(*model.WAREHOUSE_COLUMNS).repartitionByRange(n, *keys)
+    return df.select(*model.WAREHOUSE_COLUMNS).repartitionByRange(writers, *keys)
 
 
-def _save(df: DataFrame, path: str, mode: str, fmt: str) -> None:
-    df.write.format(fmt).mode(mode).partitionBy(*model.PARTITION_COLUMNS).save(path)
-
-
-def write_warehouse(
-    df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet", writers: int | None = None
-) -> WriteResult:
-    """K1: partitioned write (``append`` or whole-table ``overwrite``).
+def write_warehouse(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet", writers: int | None = None) -> WriteResult:
+    """K1: partitioned write (``append`` or whole-table ``overwrite``); an empty
+    input writes nothing and removes nothing.
 
     Rows written and alerts among them are observed on the write itself.
     """
+    if writers is None:
+        profile = partition_profile(df)
+        if profile.empty:
+            return WriteResult(0, 0)
+        writers = writer_count(df.sparkSession, profile)
     obs = observation("warehouse_write")
     out = _for_writers(df, writers).observe(obs, F.count(F.lit(1)).alias("written"), F.count_if(F.col("is_alert")).alias("alerts"))
-    _save(out, path, mode, fmt)
+    out.write.format(fmt).mode(mode).partitionBy(*model.PARTITION_COLUMNS).save(path)
     m = obs.get
     return WriteResult(int(m.get("written") or 0), int(m.get("alerts") or 0))
 
 
-def rows_to_append(
-    df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, profile: PartitionProfile | None = None
-) -> tuple[DataFrame | None, PartitionProfile]:
-    """The rows of ``df`` the table does not hold yet (lazy), and the batch's
-    partition profile; None when the batch is empty."""
-    spark = df.sparkSession
-    profile = profile or partition_profile(df)
-    if profile.empty:
-        return None, profile
-    batch = drop_duplicate_readings(df, key)
-    if table_exists(spark, path):
-        existing = read_warehouse(spark, path, fmt).filter(profile.partitions_predicate())
-        batch = new_readings(batch, existing, key)
-    return batch, profile
+def new_rows(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame, PartitionProfile]:
+    """(rows of ``df`` to append, conflicting rows, profile of ``df``), the first two lazy.
 
+    Only the table partitions that ``df`` touches are read."""
+    profile = partition_profile(df)
+    kept, conflicts = split_repeats(df)
+    existing = read_partitions(df.sparkSession, path, profile.partitions, fmt)
+    if existing is None:
+        return kept, conflicts, profile
+    new, clashing = against_table(kept, existing)
+    return new, conflicts.unionByName(clashing), profile
 
-def append_new(
-    df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, stage: bool = False, writers: int | None = None
-) -> WriteResult:
-    """Idempotent append: only readings not yet in the table are written.
 
-    ``df`` is read twice (partition profile, then the write); pass
-    ``stage=True`` when it is expensive to recompute, to checkpoint it first
-    in the session's shared checkpoint directory.
-    """
-    spark = df.sparkSession
-    if stage:
-        from sensorlake.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    batch, profile = rows_to_append(df, path, fmt, key)
-    if batch is None:
+def append_new(df: DataFrame, path: str, fmt: str = "parquet") -> WriteResult:
+    """Idempotent append: only readings that the table does not hold are written."""
+    rows, _, profile = new_rows(df, path, fmt)
+    if profile.empty:
         return WriteResult(0, 0)
-    return write_warehouse(batch, path, "append", fmt, writers or writer_count(spark, profile))
-
-
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet", key: str = KEY, writers: int | None = None) -> WriteResult:
-    """Full rebuild of the table from ``df`` (which must not read ``path``)."""
-    n = writers or writer_count(df.sparkSession, partition_profile(df))
-    return write_warehouse(drop_duplicate_readings(df, key), path, "overwrite", fmt, n)
+    return write_warehouse(rows, path, "append", fmt, writer_count(df.sparkSession, profile))
 
 
 QUARANTINE_ID = "quarantine_id"
 SOURCE_DATE = "source_date"
+OCCURRENCES = "occurrences"
 
 
 def quarantine_rows(rejected: DataFrame) -> DataFrame:
-    """Rejected / corrupt rows with a content id, reasons and source file.
+    """Rejected / corrupt rows, one per content and source file, with the number
+    of ``occurrences`` there, a content id, reasons and source file.
 
     ``source_date`` (the source file's modification date, else the day of
     quarantine) is the table's partition column: re-reading the same files
@@ -139,34 +105,34 @@ def quarantine_rows(rejected: DataFrame) -> DataFrame:
     """
     cols = [c for c, _ in model.RAW_FIELDS]
     meta = [c for c in (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN) if c in rejected.columns]
-    extra = meta + (["reject_reasons"] if "reject_reasons" in rejected.columns else [])
-    content = F.concat_ws(
-        "\u0001",
-        *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols + meta],
-    )
+    reasons = ["reject_reasons"] if "reject_reasons" in rejected.columns else []
+    parts = [*cols, *meta, *[F.array_join(r, ",") for r in reasons]]
+    text = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("\u0000")) for p in parts]
     modified = F.col(model.SOURCE_MODIFIED_COLUMN) if model.SOURCE_MODIFIED_COLUMN in rejected.columns else F.lit(None)
-    return rejected.select(*cols, *extra).withColumns(
+    counted = rejected.groupBy(*cols, *meta, *reasons).agg(F.count(F.lit(1)).alias(OCCURRENCES))
+    return counted.withColumns(
         {
-            QUARANTINE_ID: F.sha2(content, 256),
+            QUARANTINE_ID: F.sha2(F.concat_ws("\u0001", *text), 256),
             SOURCE_DATE: F.coalesce(F.to_date(modified), F.current_date()),
         }
     )
 
 
 def write_quarantine(rejected: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Append rejected rows not already quarantined (re-runs add nothing)."""
+    """Append rejected rows not already quarantined (re-runs add nothing);
+    returns the number of rejected rows that they stand for."""
     spark = rejected.sparkSession
-    rows = quarantine_rows(rejected).dropDuplicates([QUARANTINE_ID])
+    rows = quarantine_rows(rejected)
     if table_exists(spark, path):
-        dates = touched_days_predicate(rows, F.col(SOURCE_DATE))
-        if dates is None:
+        dates = [r[0] for r in rows.select(SOURCE_DATE).distinct().collect()]
+        if not dates:
             return 0
         # explicit schema: a quarantine written by an empty batch has no data files
         keys = f"{QUARANTINE_ID} string, {SOURCE_DATE} date"
-        known = spark.read.format(fmt).schema(keys).load(path).filter(dates).select(QUARANTINE_ID)
-        rows = rows.join(known, QUARANTINE_ID, "left_anti")
+        known = spark.read.format(fmt).schema(keys).load(path).filter(F.col(SOURCE_DATE).isin(*[F.lit(d) for d in dates]))
+        rows = rows.join(known.select(QUARANTINE_ID), QUARANTINE_ID, "left_anti")
     obs = observation("quarantine")
-    rows = rows.withColumn("quarantined_at", F.current_timestamp()).observe(obs, F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("quarantined_at", F.current_timestamp()).observe(obs, F.sum(OCCURRENCES).alias("n"))
     rows.write.format(fmt).mode("append").partitionBy(SOURCE_DATE).save(path)
     return int(obs.get.get("n") or 0)
 
@@ -175,34 +141,22 @@ def compact(spark, path: str, days: DataFrame | None = None, fmt: str = "parquet
     """Rewrite the partitions of the given days as few, large files.
 
     Stream micro-batches leave many small files per day.  ``days`` is a
-    DataFrame with ``year, month, day`` (e.g. the days a stream touched);
-    None compacts every day.  The partitions are first copied to a staging
-    folder under the shared checkpoint directory — the write never reads the
-    path it overwrites — then replaced with a dynamic partition overwrite.
-    Without a transactional table format the replacement of one partition
-    is not atomic for concurrent readers.  Returns the rows rewritten.
+    DataFrame with ``year, month, day`` (e.g. the days a stream touched); None
+    compacts every day.  The files that are there at the start are read and
+    written again beside themselves, then exactly those files are deleted, so
+    rows appended meanwhile stay.  A failure before the new files are complete
+    leaves the old ones; one while the old are being deleted leaves rows twice,
+    never none.  Between the two steps readers see rows twice; a table format
+    with transactions avoids that.  Returns the rows rewritten.
     """
-    from sensorlake.session import remove_path, scratch_path
-
-    table = read_warehouse(spark, path, fmt)
+    rows = read_warehouse(spark, path, fmt).select("year", "month", "day", F.col("_metadata.file_path").alias("_file"))
     if days is not None:
-        predicate = touched_days_predicate(days.select("year", "month", "day"))
-        if predicate is None:
-            return 0
-        table = table.filter(predicate)
-    stage = scratch_path(spark, "compact-stage")
-    table.write.parquet(stage)
-    try:
-        staged = spark.read.schema(model.WAREHOUSE_SCHEMA).parquet(stage)
-        obs = observation("compact")
-        out = _for_writers(staged, writer_count(spark, partition_profile(staged))).observe(obs, F.count(F.lit(1)).alias("n"))
-        (
-            out.write.format(fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*model.PARTITION_COLUMNS)
-            .save(path)
-        )
-        return int(obs.get.get("n") or 0)
-    finally:
-        remove_path(spark, stage)
+        rows = rows.join(days.select("year", "month", "day").distinct(), ["year", "month", "day"], "left_semi")
+    files = [r[0] for r in rows.select("_file").distinct().collect()]
+    if not files:
+        return 0
+    old = spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).option("basePath", path).load(files)
+    written = write_warehouse(old, path, "append", fmt).written
+    for f in files:
+        remove_path(spark, f)
+    return written

@@ -14,7 +14,7 @@ mapping (also written in SQL in ``__spark_entry__.oracle_sql``):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake import model
@@ -50,7 +50,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("Site_"), (F.col("user_id") % SITE_COUNT).cast("string")).alias("site"),
         F.concat(
             F.lit("Machine_"),
-            (F.floor(F.col("user_id") / SITE_COUNT) % MACHINES_PER_SITE).cast("string"),
+            (F.expr(f"user_id div {SITE_COUNT}") % MACHINES_PER_SITE).cast("string"),
         ).alias("machine"),
         F.date_format(F.col("ts"), ISO_MICROS).alias("timestamp"),
     )
@@ -96,6 +96,21 @@ def land_readings(readings: DataFrame, root: str, value_as_text: Column | None =
     return root
 
 
+def land_arrays(readings: DataFrame, root: str, per_file: int = 500) -> str:
+    """Write raw readings as files of one pretty-printed JSON array of about
+    ``per_file`` readings each, under ``root/<type>/``; read back with
+    ``multi_line=True`` and ``glob="part-*"``."""
+    routed = readings.withColumn("_dir", landing_dir_column())
+    names = [c for c, _ in model.RAW_FIELDS]
+    files = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)).over(Window.partitionBy("_dir")) / per_file))
+    chunked = routed.withColumn("_file", F.pmod(F.xxhash64("sensor_id"), files))
+    array = F.to_json(F.collect_list(F.struct(*names)), {"pretty": "true", "ignoreNullFields": "false"})
+    texts = chunked.groupBy("_dir", "_file").agg(array.alias("value"))
+    for t in model.SENSOR_TYPES:
+        texts.filter(F.col("_dir") == t).select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/{t}")
+    return root
+
+
 # Sensor time text in the forms found in the field (separator, fraction,
 # zone suffix, precision), chosen per reading by its id.  Every form keeps
 # the wall clock; the zone suffixes are removed by the parser.
@@ -108,6 +123,11 @@ TIME_TEXT_VARIANTS = (
     ("yyyy-MM-dd'T'HH:mm:ss", "-0500", ""),
     (ISO_MICROS, "+02", ""),
     ("yyyy-MM-dd'T'HH:mm", "", " "),
+    (ISO_MICROS, " Europe/Paris", ""),
+    ("yyyy-MM-dd HH:mm:ss,SSS", "z", ""),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "+2", ""),
+    ("yyyy-MM-dd'T'HH:mm:ss", "+02:00:00", ""),
+    (ISO_MICROS, " PST", ""),
 )
 
 

@@ -15,6 +15,7 @@ stores and not only on the driver's local disk.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from fnmatch import fnmatchcase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 from sensorlake import model
 
 JSON_GLOB = "*.json"
+#: A hundred years.
+ANY_AGE = "36500d"
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -38,10 +41,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_matching_files(spark: SparkSession, directory: str, glob: str = JSON_GLOB) -> bool:
-    """True if ``directory`` exists and holds at least one file matching ``glob``."""
-    fs, _ = _fs_and_path(spark, directory)
-    statuses = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{glob}"))
-    return statuses is not None and len(statuses) > 0
+    """True if ``directory`` exists and holds at least one file whose name matches
+    ``glob``; the listing stops at the first one."""
+    fs, hpath = _fs_and_path(spark, directory)
+    if not fs.exists(hpath):
+        return False
+    entries = fs.listStatusIterator(hpath)
+    while entries.hasNext():
+        status = entries.next()
+        if status.isFile() and fnmatchcase(status.getPath().getName(), glob):
+            return True
+    return False
 
 
 def sensor_dirs(spark: SparkSession, root: str, types: Iterable[str] = model.SENSOR_TYPES, glob: str = JSON_GLOB) -> list[str]:
@@ -78,10 +88,11 @@ def with_source_file(df: DataFrame) -> DataFrame:
 def read_json(
     spark: SparkSession,
     paths: str | Sequence[str],
-    multi_line: bool = True,
     schema: T.StructType | None = model.RAW_READ_SCHEMA,
     glob: str | None = JSON_GLOB,
     source_file: bool = True,
+    *,
+    multi_line: bool,
 ) -> DataFrame:
     """One scan over every path, declared schema + corrupt-record column."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -89,12 +100,29 @@ def read_json(
     return with_source_file(df) if source_file else df
 
 
+REST = "content after the first value"
+
+
+def mark_unread_rest(raw: DataFrame, paths: Sequence[str], glob: str = JSON_GLOB) -> DataFrame:
+    """``raw`` (read with ``multi_line``), its rows of files that hold more than one JSON value marked as corrupt.
+
+    The multi-line reader takes the first value of a file and says nothing of the
+    rest, e.g. of line-delimited files.  In brackets, such a text is no JSON array."""
+    texts = raw.sparkSession.read.text(list(paths), wholetext=True, pathGlobFilter=glob)
+    whole = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    more = texts.filter(F.trim("value") != "").filter(whole.isNull()).select(F.col("_metadata.file_path").alias("_file")).distinct()
+    marked = raw.join(more, F.col(model.SOURCE_FILE_COLUMN) == F.col("_file"), "left")
+    corrupt = F.coalesce(F.col(model.CORRUPT_COLUMN), F.when(F.col("_file").isNotNull(), F.lit(REST)))
+    return marked.withColumn(model.CORRUPT_COLUMN, corrupt).select(*raw.columns)
+
+
 def read_sensor_dirs(
     spark: SparkSession,
     root: str,
     types: Iterable[str] = model.SENSOR_TYPES,
-    multi_line: bool = True,
     glob: str = JSON_GLOB,
+    *,
+    multi_line: bool,
 ) -> DataFrame | None:
     """S1 + S2: all populated type directories in one scan; None if there are none."""
     dirs = sensor_dirs(spark, root, types, glob)
@@ -112,16 +140,23 @@ def infer_schema(spark: SparkSession, paths: str | Sequence[str], multi_line: bo
 def stream_json(
     spark: SparkSession,
     path: str,
-    multi_line: bool = True,
     max_files_per_trigger: int | None = None,
     glob: str = JSON_GLOB,
     schema: T.StructType = model.RAW_READ_SCHEMA,
     source_file: bool = True,
+    *,
+    multi_line: bool,
+    max_bytes_per_trigger: str | None = None,
+    max_file_age: str = ANY_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
     """Structured Streaming file source over ``path``.
 
     ``path`` may be a Hadoop glob, e.g. ``root/{temperature,vibration,pressure}``,
     so all sensor types are one source (one file listing, one offset log).
+    ``max_file_age``: Spark leaves out files that are older than the newest by
+    more than this; the default leaves out none.  ``archive``: read files are
+    moved there, which keeps the listing short in the long run.
     """
     reader = (
         spark.readStream.schema(schema)
@@ -130,8 +165,13 @@ def stream_json(
         .option("columnNameOfCorruptRecord", model.CORRUPT_COLUMN)
         .option("pathGlobFilter", glob)
     )
-    if max_files_per_trigger:
+    reader = reader.option("maxFileAge", max_file_age)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    elif max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     df = reader.json(path)
     return with_source_file(df) if source_file else df
 

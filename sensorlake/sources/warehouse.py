@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorlake import model
 from sensorlake.sources.json_files import path_exists
@@ -31,6 +35,29 @@ def read_warehouse(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(path).select(*model.WAREHOUSE_COLUMNS)
 
 
+def partition_dir(partition: Iterable) -> str:
+    """Directory of a partition under the table, as Spark's writers name it."""
+    text = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None or v == "" else str(v)
+    plain = lambda v: re.sub(r'[\x00-\x1f\x7f"#%\'*/:=?\\{\[\]^]', lambda m: f"%{ord(m[0]):02X}", v)
+    return "/".join(f"{c}={plain(text(v))}" for c, v in zip(model.PARTITION_COLUMNS, partition))
+
+
+def read_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple], fmt: str = "parquet") -> DataFrame | None:
+    """The rows of the given (site, type, year, month, day) partitions; None if there are none of them.
+
+    Only their directories are listed, not the table's whole tree."""
+    partitions = list(partitions)
+    if not partitions or not table_exists(spark, path):
+        return None
+    if fmt not in FILE_FORMATS:
+        wanted = spark.createDataFrame(partitions, ", ".join(f"{c} {model.WAREHOUSE_SCHEMA[c].dataType.simpleString()}" for c in model.PARTITION_COLUMNS))
+        return read_warehouse(spark, path, fmt).join(F.broadcast(wanted), list(model.PARTITION_COLUMNS), "left_semi").select(*model.WAREHOUSE_COLUMNS)
+    dirs = [d for d in (f"{path.rstrip('/')}/{partition_dir(p)}" for p in partitions) if path_exists(spark, d)]
+    if not dirs:
+        return None
+    return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).option("basePath", path).load(dirs)
+
+
 def register_view(df: DataFrame, name: str = "sensor_data") -> DataFrame:
     """Expose a snapshot to SQL reports."""
     df.createOrReplaceTempView(name)

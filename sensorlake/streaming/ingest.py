@@ -3,28 +3,26 @@
 One file source over all sensor directories, the same cleaning rules as
 the batch path, and a ``foreachBatch`` sink.  The checkpoint location is a
 stable argument, so a restart resumes instead of re-reading every file.
+
+Each micro-batch's new rows (valid, and not in the table yet) are computed
+once, written beside the checkpoint and read from there by everything that
+follows: quarantine, alerts, kept views, the table and the metrics.  So all
+outputs show exactly what the table received, with one stamp.  The table is
+written last; the steps before it leave markers, so a batch that is replayed
+after a failure repeats none of them and goes on with the same rows.
+
 Two de-duplication modes:
 
 * ``dedup="table"`` (default): every micro-batch appends only readings the
-  table does not hold yet (``append_new``: anti join against the table
-  partitions the batch touches).  Exact against everything ever written,
-  batch ingests included; costs a key-column scan of those partitions per
-  micro-batch.
-* ``dedup="state"``: duplicates are dropped in the stream by
-  ``dropDuplicatesWithinWatermark`` on ``sensor_id`` (state bounded by
-  ``dedup_delay``), and the sink reads nothing from the table: per-batch
-  markers in the checkpoint folder make a replay safe (a committed batch is
-  skipped; a batch retried after a failure falls back to the anti join).
-  Trade-off: Spark's stateful operator drops readings older than the
-  watermark (newest event time seen minus the delay), so readings that
-  arrive more than ``dedup_delay`` late are not ingested (the query's
-  progress reports them as ``numRowsDroppedByWatermark``), and a copy
-  arriving later than the delay is not recognised.  For frequent triggers
-  on a large table with a feed roughly in event-time order; the default
-  mode drops nothing.  Rejected rows then go to the quarantine through
-  ``start_quarantine_stream``.
-
-Per-batch metrics go to a small table partitioned by ``batch_id`` and
+  table does not hold yet.  Exact against everything ever written, batch
+  ingests included; reads the table partitions that the batch touches.
+* ``dedup="state"``: repeats are first dropped by Spark's state, within
+  ``dedup_delay`` of the newest event time; the table is then asked as in
+  the other mode.  Spark's operator also drops readings that lie further
+  behind; they stay in the landing folder and ``plans.ingest.merge_late``
+  adds and counts them.
+
+Per-batch metrics go to a small table partitioned by stream and batch and
 overwritten per partition, so a replay rewrites the same row.
 """
 
@@ -37,13 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import model
-from sensorlake.operators.dedup import dedup_stream, partition_profile
-from sensorlake.operators.derive import to_warehouse
-from sensorlake.plans.ingest import accepted_rows, rejected_rows, staged_rows
-from sensorlake.session import touch
-from sensorlake.sinks.warehouse import append_new, rows_to_append, write_quarantine, write_warehouse, writer_count
-from sensorlake.sources.json_files import path_exists, sensor_glob, stream_json
-from sensorlake.streaming.latest import update_latest, update_summary
+from sensorlake.functions.timestamps import require_fixed_zone
+from sensorlake.operators.dedup import KEY, dedup_stream
+from sensorlake.operators.derive import EVENT_TIME, STAMP
+from sensorlake.plans.ingest import accepted_rows, conflict_rows, rejected_rows, staged_rows, valid_flag
+from sensorlake.session import remove_path
+from sensorlake.sinks.warehouse import append_new, new_rows, write_quarantine, write_warehouse
+from sensorlake.sources.json_files import JSON_GLOB, path_exists, sensor_glob, stream_json
+from sensorlake.streaming.latest import Steps, stream_id, update_latest, update_summary
 
 DEFAULT_TRIGGER = "5 seconds"
 # 5 files per sensor type and trigger; one source reads all types
@@ -54,48 +53,34 @@ def readings_stream(
     spark: SparkSession,
     root: str,
     types: Iterable[str] = model.SENSOR_TYPES,
-    multi_line: bool = True,
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
+    glob: str = JSON_GLOB,
+    *,
+    multi_line: bool,
 ) -> DataFrame:
-    """S3: raw readings of every sensor type as one stream."""
-    return stream_json(spark, sensor_glob(root, types), multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
+    """S3: raw readings of every sensor type as one stream; at least one type's directory must exist."""
+    if not any(path_exists(spark, f"{root.rstrip('/')}/{t}") for t in types):
+        raise FileNotFoundError(f"no directory of a sensor type under {root}")
+    return stream_json(spark, sensor_glob(root, types), max_files_per_trigger, glob, multi_line=multi_line)
 
 
 def _trigger(writer, available_now: bool, processing_time: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
 
 
-def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int | None) -> StreamingQuery:
-    """Start ``writer`` with ``state_partitions`` shuffle / state-store
-    partitions for its stateful operators.
-
-    A streaming query copies the session configuration when it starts and
-    keeps the state partitioning in its checkpoint for good, so the setting
-    is applied only around ``start()``; a restart reuses the checkpoint's.
-    """
-    if not state_partitions:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions)))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, previous)
-
-
 def start_ingest(
     spark: SparkSession,
     root: str,
     warehouse_path: str,
     checkpoint: str,
     *,
+    multi_line: bool,
     quarantine_path: str | None = None,
     metrics_path: str | None = None,
+    alerts_path: str | None = None,
     on_batch: Callable[[SparkSession, int], None] | None = None,
     available_now: bool = False,
     processing_time: str = DEFAULT_TRIGGER,
-    multi_line: bool = True,
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
     fmt: str = "parquet",
     query_name: str | None = None,
@@ -104,55 +89,71 @@ def start_ingest(
     latest_path: str | None = None,
     latest_n: int = 10,
     summary_path: str | None = None,
+    glob: str = JSON_GLOB,
 ) -> StreamingQuery:
     """Raw JSON directories -> warehouse table, micro-batch by micro-batch.
 
     ``on_batch(spark, batch_id)`` runs after each batch is written (R5: e.g.
     rebuild the BI exports).  Errors propagate and stop the query before the
     batch is committed, so the batch is retried on restart, not lost.
-    ``dedup``: see the module notes.  ``latest_path``: keep the ``latest_n``
-    most recent readings there, updated from each batch's new rows (R4;
-    read with ``streaming.monitor.read_latest``).  ``summary_path``: keep the
-    reading summary there the same way (R5: ``export_refresher`` rolls it up).
+    ``alerts_path``: the alerts among the new rows, as they come (R6, read with
+    ``read_alerts``).  ``latest_path``: the ``latest_n`` most recent readings
+    (R4, ``streaming.latest.read_latest``).  ``summary_path``: the reading
+    summary (R5, X2, ``streaming.latest.read_summary``).
     """
     if dedup not in ("table", "state"):
         raise ValueError(f"dedup must be 'table' or 'state', not {dedup!r}")
-    raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-    staged = staged_rows(raw)
+    require_fixed_zone(spark)
+    raw = readings_stream(spark, root, glob=glob, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
+    staged = staged_rows(raw).withColumn(STAMP, F.current_timestamp())
     if dedup == "state":
-        if quarantine_path:
-            raise ValueError("with dedup='state', quarantine rejected rows with start_quarantine_stream")
-        return _start_state_dedup_ingest(
-            spark, staged, warehouse_path, checkpoint, metrics_path=metrics_path, on_batch=on_batch,
-            available_now=available_now, processing_time=processing_time, fmt=fmt,
-            query_name=query_name, delay=dedup_delay, latest_path=latest_path, latest_n=latest_n,
-            summary_path=summary_path,
+        # Only valid rows are repeats of each other: every other row has an identity of its own.
+        own = F.when(valid_flag(), F.col(KEY)).otherwise(F.uuid())
+        time = F.coalesce(F.col(EVENT_TIME), F.current_timestamp())
+        staged = (
+            staged.withColumns({"_key": own, "_time": time})
+            .withWatermark("_time", dedup_delay)
+            .dropDuplicatesWithinWatermark(["_key", "site", "type", "year", "month", "day"])
+            .drop("_key", "_time")
         )
+    stream, markers = stream_id(checkpoint), f"{checkpoint.rstrip('/')}/_steps"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # persisted: read by the quarantine, day lookup and warehouse writes;
-        # lost blocks are recomputed from this micro-batch's files
-        batch.persist()
-        try:
+        session = batch.sparkSession
+        steps = Steps(session, markers, batch_id)
+        folder = f"{checkpoint.rstrip('/')}/_staged/{batch_id}"
+        replay = path_exists(session, f"{folder}/new/_SUCCESS")
+        if replay:  # the rows are there; the batch is run for Spark's own state
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            batch.write.mode("overwrite").parquet(f"{folder}/rows")
+        rows = session.read.schema(batch.schema).parquet(f"{folder}/rows")
+        if not replay:
+            fresh, conflicts, _ = new_rows(accepted_rows(rows), warehouse_path, fmt)
             if quarantine_path:
-                write_quarantine(rejected_rows(batch), quarantine_path, fmt)
-            if latest_path or summary_path:
-                # before the write: afterwards the anti join finds these rows
-                new, _ = rows_to_append(accepted_rows(batch), warehouse_path, fmt)
-                if new is not None:
-                    new = new.persist()
-                    if latest_path:
-                        update_latest(new, latest_path, batch_id, latest_n)
-                    if summary_path:
-                        update_summary(new, summary_path, batch_id)
-                    new.unpersist()
-            append_new(accepted_rows(batch), warehouse_path, fmt)
-            if metrics_path:
-                write_batch_metrics(batch, batch_id, metrics_path)
-            if on_batch is not None:
-                on_batch(batch.sparkSession, batch_id)
-        finally:
-            batch.unpersist()
+                conflict_rows(conflicts, rows).write.mode("overwrite").parquet(f"{folder}/conflicts")
+            fresh.write.mode("overwrite").parquet(f"{folder}/new")
+        new = session.read.schema(model.WAREHOUSE_SCHEMA).parquet(f"{folder}/new")
+        if quarantine_path:
+            rejected = rejected_rows(rows)
+            conflicting = session.read.schema(rejected.schema).parquet(f"{folder}/conflicts")
+            steps.once("quarantine", lambda: write_quarantine(rejected.unionByName(conflicting), quarantine_path, fmt))
+        if alerts_path:
+            steps.once("alerts", lambda: write_alerts(new, alerts_path, stream, batch_id))
+        if latest_path:
+            steps.once("latest", lambda: update_latest(new, latest_path, stream, batch_id, latest_n))
+        if summary_path:
+            steps.once("summary", lambda: update_summary(new, summary_path, stream, batch_id))
+        if metrics_path:
+            steps.once("metrics", lambda: write_batch_metrics(rows, new, metrics_path, stream, batch_id))
+        if replay:  # an earlier attempt may have written some of them
+            append_new(new, warehouse_path, fmt)
+        else:
+            write_warehouse(new, warehouse_path, "append", fmt)
+        if on_batch is not None:
+            on_batch(session, batch_id)
+        remove_path(session, folder)
+        steps.forget_older()
 
     writer = staged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if query_name:
@@ -160,105 +161,32 @@ def start_ingest(
     return _trigger(writer, available_now, processing_time).start()
 
 
-def _start_state_dedup_ingest(
-    spark: SparkSession,
-    staged: DataFrame,
-    warehouse_path: str,
-    checkpoint: str,
-    *,
-    metrics_path: str | None,
-    on_batch: Callable[[SparkSession, int], None] | None,
-    available_now: bool,
-    processing_time: str,
-    fmt: str,
-    query_name: str | None,
-    delay: str,
-    latest_path: str | None = None,
-    latest_n: int = 10,
-    summary_path: str | None = None,
-) -> StreamingQuery:
-    rows = dedup_stream(accepted_rows(staged), delay=delay)
-    markers = f"{checkpoint.rstrip('/')}/_sink_batches"
+def _write_part(rows: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """Rows of one batch, in a partition of its own that a replay writes again."""
+    tagged = rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")})
+    writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("stream", "batch_id").parquet(path)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        if path_exists(session, f"{markers}/committed/{batch_id}"):
-            return  # written and marked before a crash: replay is a no-op
-        attempted = f"{markers}/attempted/{batch_id}"
-        retry = path_exists(session, attempted)
-        touch(session, attempted)
-        batch.persist()
-        try:
-            if latest_path:
-                update_latest(batch, latest_path, batch_id, latest_n)
-            if summary_path:
-                update_summary(batch, summary_path, batch_id)
-            if retry:  # an earlier attempt may have written part of it
-                append_new(batch, warehouse_path, fmt)
-            else:
-                profile = partition_profile(batch)
-                if not profile.empty:
-                    write_warehouse(batch, warehouse_path, "append", fmt, writer_count(session, profile))
-            if metrics_path:
-                write_batch_metrics(batch, batch_id, metrics_path)
-            if on_batch is not None:
-                on_batch(session, batch_id)
-            touch(session, f"{markers}/committed/{batch_id}")
-        finally:
-            batch.unpersist()
 
-    writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    if query_name:
-        writer = writer.queryName(query_name)
-    return _trigger(writer, available_now, processing_time).start()
+def write_alerts(new: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """The alerts among a batch's new rows."""
+    _write_part(new.filter("is_alert"), path, stream, batch_id)
 
 
-def start_quarantine_stream(
-    spark: SparkSession,
-    root: str,
-    quarantine_path: str,
-    checkpoint: str,
-    *,
-    available_now: bool = False,
-    processing_time: str = DEFAULT_TRIGGER,
-    multi_line: bool = True,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
-    fmt: str = "parquet",
-) -> StreamingQuery:
-    """Rejected and corrupt rows of the landing files into the quarantine
-    table (idempotent: a replay adds nothing)."""
-    raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-    staged = staged_rows(raw)
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """Every alert that the streams into ``path`` have met, once each."""
+    return spark.read.parquet(path).drop("stream", "batch_id")
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        write_quarantine(rejected_rows(batch), quarantine_path, fmt)
-
-    writer = staged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, processing_time).start()
 
-
-def write_batch_metrics(batch: DataFrame, batch_id: int, path: str) -> None:
-    """One row per micro-batch (read, valid, rejected, alerts), idempotent.
-
-    ``batch`` carries ``reject_reasons``; valid rows are exactly the rows the
-    warehouse receives, so their alert count is the batch's alert count.
-    A batch of warehouse rows only (``dedup="state"``) counts all as valid.
-    """
-    valid = F.size("reject_reasons") == 0 if "reject_reasons" in batch.columns else F.lit(True)
-    (
-        batch.agg(
-            F.count(F.lit(1)).alias("rows_read"),
-            F.count_if(valid).alias("rows_valid"),
-            F.count_if(~valid).alias("rows_rejected"),
-            F.count_if(valid & F.col("is_alert")).alias("alerts"),
-        )
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .withColumn("processed_at", F.current_timestamp())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
+def write_batch_metrics(staged: DataFrame, new: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """One row per micro-batch (read, valid, rejected, and of the valid those written and their alerts)."""
+    read = staged.agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(valid_flag()).alias("rows_valid"),
+        F.count_if(~valid_flag()).alias("rows_rejected"),
     )
+    kept = new.agg(F.count(F.lit(1)).alias("rows_written"), F.count_if("is_alert").alias("alerts"))
+    _write_part(read.join(kept).withColumn("processed_at", F.current_timestamp()), path, stream, batch_id)
 
 
 def start_raw_archive(
@@ -267,9 +195,9 @@ def start_raw_archive(
     archive_path: str,
     checkpoint: str,
     *,
+    multi_line: bool,
     available_now: bool = False,
     processing_time: str = DEFAULT_TRIGGER,
-    multi_line: bool = True,
     max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
 ) -> StreamingQuery:
     """R2 (re-aimed): raw ("bronze") copy of every file, as Parquet, exactly once
@@ -277,21 +205,3 @@ def start_raw_archive(
     raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
     writer = raw.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", archive_path)
     return _trigger(writer, available_now, processing_time).start()
-
-
-def start_alert_stream(
-    spark: SparkSession,
-    root: str,
-    alerts_path: str,
-    checkpoint: str,
-    *,
-    available_now: bool = False,
-    processing_time: str = DEFAULT_TRIGGER,
-    multi_line: bool = True,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
-) -> StreamingQuery:
-    """Every alert reading as soon as it arrives (append-only Parquet sink)."""
-    raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-    alerts = to_warehouse(raw).filter(F.col("is_alert")).drop("ingestion_timestamp")
-    writer = alerts.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", alerts_path)
-    return _trigger(writer, available_now, processing_time).start()

@@ -1,104 +1,167 @@
-"""Views kept incrementally per micro-batch: the latest readings (R4) and the
-reading summary the BI exports roll up (R5).
+"""Views kept incrementally per micro-batch: the latest readings (R4), the
+reading summary that the BI exports roll up (R5, X2) and the alerts (R6).
 
-Each view is published as ``<path>/v=<batch_id>`` (written aside, then
-renamed): version N is computed from version N-1 and batch N's new rows, so
-a trigger costs O(batch + view), never a scan of the table, and a replayed
-batch whose version exists changes nothing.
+A view's state is written as versions, ``<number>-<stream>-<batch>``, and a
+version counts once its marker exists (made after the write).  The number is
+the view's own, so a new checkpoint goes on where the old one stopped; a
+batch that has its marker is skipped, so a replay changes nothing.  Readers
+take the newest finished version and never meet a file that is being written.
+
+The summary has a version per day: a trigger reads and writes the days that
+its rows touch, and no other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import hashlib
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.operators import reports
+from sensorlake.operators.summary import merge_summaries, reading_summary
+from sensorlake.session import list_names, remove_path, touch
+from sensorlake.sources.json_files import path_exists
 
 LATEST_SCHEMA = (
     "sensor_id string, type string, value double, site string, machine string, "
     "timestamp timestamp, is_alert boolean, ingestion_timestamp timestamp"
 )
-def _latest_order():
-    return F.desc("ingestion_timestamp"), F.desc("timestamp"), F.asc("sensor_id")
+DAY = "_day"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+def stream_id(checkpoint: str) -> str:
+    """Short stable name of a stream: its checkpoint."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def _versions(spark: SparkSession, latest_path: str) -> list[int]:
-    fs, root = _fs(spark, latest_path)
-    if not fs.exists(root):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(root)]
-    return sorted(int(x[2:]) for x in names if x.startswith("v=") and x[2:].isdigit())
+@dataclass(frozen=True)
+class Version:
+    """``number`` orders the versions of a view; (``stream``, ``batch``) is what made it."""
 
+    number: int
+    stream: str
+    batch: int
 
-def update_latest(new_rows: DataFrame, latest_path: str, batch_id: int, n: int = 10) -> None:
-    """Keep the ``n`` most recent readings: top-n of (previous top-n ∪ new rows).
+    @property
+    def name(self) -> str:
+        return f"{self.number:012d}-{self.stream}-{self.batch}"
 
-    O(batch) per micro-batch instead of a scan of the table.  The result is
-    published as ``<latest_path>/v=<batch_id>`` (written aside, then renamed);
-    a replayed batch whose version exists changes nothing.
-    """
-    spark = new_rows.sparkSession
-    versions = _versions(spark, latest_path)
-    if batch_id in versions:
-        return
-    cols = [c.split()[0] for c in LATEST_SCHEMA.split(", ")]
-    merged = new_rows.select(*cols).orderBy(*_latest_order()).limit(n).withColumn("_p", F.lit(1))
-    earlier = [v for v in versions if v < batch_id]
-    if earlier:
-        prev = spark.read.schema(LATEST_SCHEMA).parquet(f"{latest_path}/v={earlier[-1]}")
-        merged = prev.withColumn("_p", F.lit(0)).unionByName(merged)
-    first = Window.partitionBy("sensor_id").orderBy("_p")  # a reading keeps its first appearance
-    top = (
-        merged.withColumn("_r", F.row_number().over(first))
-        .filter(F.col("_r") == 1)
-        .drop("_r", "_p")
-        .orderBy(*_latest_order())
-        .limit(n)
-    )
-    _publish(top, latest_path, batch_id, earlier)
-
-
-def _publish(df: DataFrame, base: str, batch_id: int, earlier: list[int], files: int = 1) -> None:
-    spark = df.sparkSession
-    tmp = f"{base}/_tmp_v={batch_id}"
-    df.coalesce(files).write.mode("overwrite").parquet(tmp)
-    fs, tmp_path = _fs(spark, tmp)
-    fs.rename(tmp_path, _fs(spark, f"{base}/v={batch_id}")[1])
-    for v in earlier[:-1]:  # keep the previous version for readers in flight
-        fs.delete(_fs(spark, f"{base}/v={v}")[1], True)
-
-
-def update_summary(new_rows: DataFrame, summary_path: str, batch_id: int) -> None:
-    """Merge the reading summary of a batch's new rows into the published one."""
-    from sensorlake.operators.summary import merge_summaries, reading_summary
+    @classmethod
+    def of(cls, name: str) -> Version:
+        number, stream, batch = name.split("-")
+        return cls(int(number), stream, int(batch))
+
+
+def finished(spark: SparkSession, path: str) -> list[Version]:
+    """Versions whose markers exist, oldest first."""
+    return sorted((Version.of(n) for n in list_names(spark, f"{path}/_finished")), key=lambda v: v.number)
+
+
+def next_version(spark: SparkSession, path: str, stream: str, batch_id: int) -> Version | None:
+    """The version that the batch is to write; None if it is there already."""
+    done = finished(spark, path)
+    if any((v.stream, v.batch) == (stream, batch_id) for v in done):
+        return None
+    return Version(max((v.number for v in done), default=0) + 1, stream, batch_id)
 
-    spark = new_rows.sparkSession
-    versions = _versions(spark, summary_path)
-    if batch_id in versions:
-        return
-    merged = reading_summary(new_rows)
-    earlier = [v for v in versions if v < batch_id]
-    if earlier:
-        merged = merge_summaries(spark.read.parquet(f"{summary_path}/v={earlier[-1]}"), merged)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    _publish(merged, summary_path, batch_id, earlier, files=max(1, min(n, 8)))
 
+def finish(spark: SparkSession, path: str, version: Version) -> None:
+    touch(spark, f"{path}/_finished/{version.name}")
 
-def read_summary(spark: SparkSession, summary_path: str) -> DataFrame | None:
-    """The published reading summary (None before the first batch)."""
-    versions = _versions(spark, summary_path)
-    return spark.read.parquet(f"{summary_path}/v={versions[-1]}") if versions else None
 
+#: Versions kept for readers in flight, beside the newest.
+KEPT = 1
 
-def read_latest(spark: SparkSession, latest_path: str, n: int = 10) -> DataFrame:
+
+def _latest_order():
+    return F.desc("ingestion_timestamp"), F.desc("timestamp"), F.asc("sensor_id")
+
+
+def update_latest(new_rows: DataFrame, path: str, stream: str, batch_id: int, n: int = 10) -> None:
+    """Keep the ``n`` most recent readings: top-n of the previous ones and the new
+    rows (which the table did not hold), O(batch) and never a scan of the table."""
+    spark = new_rows.sparkSession
+    version = next_version(spark, path, stream, batch_id)
+    if version is None:
+        return
+    cols = [c.split()[0] for c in LATEST_SCHEMA.split(", ")]
+    merged = new_rows.select(*cols)
+    before = finished(spark, path)
+    if before:
+        merged = merged.unionByName(spark.read.schema(LATEST_SCHEMA).parquet(f"{path}/v={before[-1].name}"))
+    merged.orderBy(*_latest_order()).limit(n).write.mode("overwrite").parquet(f"{path}/v={version.name}")
+    finish(spark, path, version)
+    for old in before[: -KEPT]:
+        remove_path(spark, f"{path}/v={old.name}")
+        remove_path(spark, f"{path}/_finished/{old.name}")
+
+
+def read_latest(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
     """The published latest readings, formatted as A16 (status label, rounding)."""
-    versions = _versions(spark, latest_path)
-    if not versions:
+    done = finished(spark, path)
+    if not done:
         return reports.latest_readings(spark.createDataFrame([], LATEST_SCHEMA), n)
-    return reports.latest_readings(spark.read.schema(LATEST_SCHEMA).parquet(f"{latest_path}/v={versions[-1]}"), n)
+    return reports.latest_readings(spark.read.schema(LATEST_SCHEMA).parquet(f"{path}/v={done[-1].name}"), n)
+
+
+def _day_versions(spark: SparkSession, path: str, day: str, names: set[str]) -> list[str]:
+    """Finished versions of a day, oldest first."""
+    return sorted(n[2:] for n in list_names(spark, f"{path}/{DAY}={day}") if n[2:] in names)
+
+
+def update_summary(new_rows: DataFrame, path: str, stream: str, batch_id: int) -> list[str]:
+    """Merge the summary of a batch's new rows into the kept one; returns the days rewritten."""
+    spark = new_rows.sparkSession
+    version = next_version(spark, path, stream, batch_id)
+    if version is None:
+        return []
+    day = F.make_date("year", "month", "day").cast("string")
+    days = [r[0] for r in new_rows.select(day).distinct().collect()]
+    if days:
+        names = {v.name for v in finished(spark, path)}
+        newest = {d: _day_versions(spark, path, d, names) for d in days}
+        dirs = [f"{path}/{DAY}={d}/v={v[-1]}" for d, v in newest.items() if v]
+        merged = reading_summary(new_rows)
+        if dirs:
+            merged = merge_summaries(spark.read.schema(merged.schema).parquet(*dirs), merged)
+        writer = merged.withColumns({DAY: day, "v": F.lit(version.name)}).repartition(DAY).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(DAY, "v").parquet(path)
+        for d, v in newest.items():
+            for old in v[: -KEPT]:
+                remove_path(spark, f"{path}/{DAY}={d}/v={old}")
+    finish(spark, path, version)
+    return sorted(days)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame | None:
+    """The kept reading summary (None before the first batch with a row)."""
+    names = {v.name for v in finished(spark, path)}
+    dirs = []
+    for d in list_names(spark, path):
+        if d.startswith(f"{DAY}="):
+            dirs += [f"{path}/{d}/v={v}" for v in _day_versions(spark, path, d.removeprefix(f"{DAY}="), names)[-1:]]
+    return spark.read.parquet(*dirs) if dirs else None
+
+
+@dataclass(frozen=True)
+class Steps:
+    """Markers of a batch's steps, so that a replayed batch repeats none of those that ended."""
+
+    spark: SparkSession
+    path: str
+    batch_id: int
+
+    def once(self, name: str, step: Callable[[], None]) -> None:
+        marker = f"{self.path}/{self.batch_id}/{name}"
+        if not path_exists(self.spark, marker):
+            step()
+            touch(self.spark, marker)
+
+    def forget_older(self) -> None:
+        """Only the last batch can be replayed; the markers of earlier ones go."""
+        for n in list_names(self.spark, self.path):
+            if n.isdigit() and int(n) < self.batch_id:
+                remove_path(self.spark, f"{self.path}/{n}")

@@ -1,70 +1,24 @@
-"""Live monitor (R4), periodic export refresh (R5) and event-time hourly
-trends (X2).  The incrementally kept views (latest readings, reading
-summary) live in ``sensorlake.streaming.latest`` and are re-exported here."""
+"""Live monitor (R4), periodic export refresh (R5) and hourly trends (X2), from
+the views that ``start_ingest`` keeps (``sensorlake.streaming.latest``): they
+show exactly what the table received, and nothing is dropped as late."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from sensorlake.functions import avg_half_up, round_half_up
 from sensorlake.operators import reports
-from sensorlake.operators.derive import to_warehouse
-from sensorlake.streaming.ingest import (
-    DEFAULT_MAX_FILES,
-    DEFAULT_TRIGGER,
-    _trigger,
-    readings_stream,
-    start_with_state_partitions,
-)
-from sensorlake.streaming.latest import read_latest, read_summary, update_latest  # noqa: F401  (re-exported)
-
-
-def live_type_stats(readings: DataFrame) -> DataFrame:
-    """A15 as a streaming aggregate (3 groups of state, complete mode)."""
-    return readings.groupBy("type").agg(
-        F.count(F.lit(1)).alias("count"),
-        avg_half_up("value", 2).alias("avg_value"),
-        round_half_up(F.min("value"), 2).alias("min_value"),
-        round_half_up(F.max("value"), 2).alias("max_value"),
-        F.count_if("is_alert").alias("alerts"),
-    )
-
-
-def start_monitor(
-    spark: SparkSession,
-    root: str,
-    stats_path: str,
-    checkpoint: str,
-    *,
-    available_now: bool = False,
-    processing_time: str = "10 seconds",
-    multi_line: bool = True,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
-    state_partitions: int | None = 1,
-) -> StreamingQuery:
-    """R4 (re-aimed): per-type figures kept current by a streaming aggregate.
-
-    Complete mode re-emits the whole (tiny) result each trigger; the sink
-    overwrites a small table that dashboards read.  The state is one row per
-    sensor type, so one state partition holds it (rows are partially
-    aggregated per input task before that shuffle).
-    """
-    raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-    stats = live_type_stats(to_warehouse(raw))
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(stats_path)
+from sensorlake.operators.summary import Measures
+from sensorlake.session import move_over
+from sensorlake.sources.warehouse import read_warehouse
+from sensorlake.streaming.latest import read_latest, read_summary
 
-    writer = stats.writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", checkpoint)
-    return start_with_state_partitions(spark, _trigger(writer, available_now, processing_time), state_partitions)
 
-
-def monitor_snapshot(warehouse: DataFrame, n: int = 10) -> tuple[DataFrame, DataFrame]:
-    """R4 batch side: (per-type stats, ``n`` latest readings) of one snapshot."""
-    return reports.monitor_stats(warehouse), reports.latest_readings(warehouse, n)
+def _publish(df: DataFrame, path: str) -> None:
+    """Replaces a small published table by one rename, so that readers find the old or the new one."""
+    aside = f"{path}.next"
+    df.coalesce(1).write.mode("overwrite").parquet(aside)
+    move_over(df.sparkSession, aside, path)
 
 
 def monitor_publisher(
@@ -75,8 +29,8 @@ def monitor_publisher(
     summary_path: str | None = None,
     latest_path: str | None = None,
 ):
-    """R4 batch side as an ``on_batch`` callback for ``start_ingest``: after
-    each micro-batch, the per-type figures and the ``n`` latest readings are
+    """R4 as an ``on_batch`` callback for ``start_ingest``: after each
+    micro-batch, the per-type figures and the ``n`` latest readings are
     written to ``<out_dir>/stats`` and ``<out_dir>/latest``.
 
     With ``summary_path`` / ``latest_path`` (the views ``start_ingest`` keeps
@@ -86,14 +40,15 @@ def monitor_publisher(
     """
 
     def publish(spark: SparkSession, batch_id: int) -> None:
-        from sensorlake.sources.warehouse import read_warehouse
-
-        table = None if (summary_path and latest_path) else read_warehouse(spark, warehouse_path, fmt)
+        batch = F.lit(batch_id).cast("long")
         summary = read_summary(spark, summary_path) if summary_path else None
-        stats = reports.monitor_stats(summary if summary is not None else table)
-        latest = read_latest(spark, latest_path, n) if latest_path else reports.latest_readings(table, n)
-        stats.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/stats")
-        latest.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/latest")
+        stats = reports.monitor_stats(summary if summary is not None else read_warehouse(spark, warehouse_path, fmt))
+        if latest_path:
+            latest = read_latest(spark, latest_path, n)
+        else:
+            latest = reports.latest_readings(read_warehouse(spark, warehouse_path, fmt), n)
+        _publish(stats.withColumn("batch_id", batch), f"{out_dir}/stats")
+        _publish(latest.withColumn("batch_id", batch), f"{out_dir}/latest")
 
     return publish
 
@@ -117,7 +72,6 @@ def export_refresher(
 
     def refresh(spark: SparkSession, batch_id: int) -> None:
         from sensorlake.plans.exports import ROW_EXPORTS, export_all
-        from sensorlake.sources.warehouse import read_warehouse
 
         registry = {
             k: v for k, v in reports.BI_EXPORTS.items() if include_row_exports or k not in ROW_EXPORTS
@@ -128,72 +82,19 @@ def export_refresher(
     return refresh
 
 
-# --- X2: event-time hourly trend ---------------------------------------------
-
-
-def hourly_window_stats(readings: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Per event-time hour and type; rows later than ``delay`` behind the
-    newest reading seen are dropped (state is kept only that long)."""
+def hourly_windows(readings: DataFrame) -> DataFrame:
+    """Per event-time hour and type, from warehouse rows or the kept summary."""
+    m = Measures(readings)
+    start = F.make_timestamp("year", "month", "day", "hour", F.lit(0), F.lit(0))
     return (
-        readings.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", "1 hour").alias("w"), "type")
-        .agg(
-            F.count(F.lit(1)).alias("nombre_mesures"),
-            avg_half_up("value", 2).alias("valeur_moyenne"),
-            F.count_if("is_alert").alias("alertes"),
-        )
+        readings.groupBy("year", "month", "day", "hour", "type")
+        .agg(m.count().alias("nombre_mesures"), m.avg(2).alias("valeur_moyenne"), m.alerts().alias("alertes"))
         .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
+            start.alias("window_start"),
+            (start + F.expr("INTERVAL 1 HOUR")).alias("window_end"),
             "type",
             "nombre_mesures",
             "valeur_moyenne",
             "alertes",
         )
     )
-
-
-def start_hourly_trends(
-    spark: SparkSession,
-    root: str,
-    out_path: str,
-    checkpoint: str,
-    *,
-    delay: str = "1 hour",
-    available_now: bool = False,
-    processing_time: str = DEFAULT_TRIGGER,
-    multi_line: bool = True,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
-    state_partitions: int | None = 8,
-) -> StreamingQuery:
-    """Update-mode windowed aggregate; each batch appends the windows it
-    changed, tagged with ``batch_id`` (read the latest with ``read_hourly_trends``).
-
-    State holds one row per (hour window, type) still inside the watermark,
-    a small set whatever the data volume, hence few state partitions.
-    """
-    raw = readings_stream(spark, root, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-    stats = hourly_window_stats(to_warehouse(raw), delay)
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(out_path)
-        )
-
-    writer = stats.writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", checkpoint)
-    return start_with_state_partitions(spark, _trigger(writer, available_now, processing_time), state_partitions)
-
-
-def read_hourly_trends(spark: SparkSession, out_path: str) -> DataFrame:
-    """Latest emitted value of every (window, type)."""
-    log = spark.read.parquet(out_path)
-    latest = Window.partitionBy("window_start", "type").orderBy(F.desc("batch_id"))
-    return (
-        log.withColumn("_rank", F.row_number().over(latest))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank", "batch_id")
-    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorlake import model
 from sensorlake.functions import alert_flag
-from sensorlake.operators.cleaning import normalise, split_valid, validate, with_reject_reasons
+from sensorlake.operators.cleaning import normalise, validate, with_reject_reasons
 from sensorlake.operators.derive import to_warehouse
 
 from conftest import reading
@@ -68,9 +68,9 @@ def test_reject_reasons(spark):
     assert reasons["late"] == ["timestamp_unreadable"]
     assert reasons["sparse"] == ["value_missing", "site_missing", "machine_missing", "timestamp_missing"]
     assert reasons["good"] == []
-    valid, rejected = split_valid(normalise(_frame(spark, rows)))
-    assert [r.sensor_id for r in valid.collect()] == ["good"]
-    assert rejected.count() == 6
+    # an unreadable time is found when the time is parsed
+    assert [r.sensor_id for r in validate(normalise(_frame(spark, rows))).collect()] == ["late", "good"]
+    assert [r.sensor_id for r in to_warehouse(_frame(spark, rows)).collect()] == ["good"]
 
 
 def test_warehouse_row_shape(spark):
@@ -86,22 +86,7 @@ def test_no_python_udf_in_transform_plan(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_acceptance_metrics_single_pass(spark):
-    from sensorlake.operators.cleaning import acceptance_metrics
-
-    df = normalise(_frame(spark, [reading(sensor_id="a"), reading(sensor_id="b", value=-2.0)]))
-    observed, obs = acceptance_metrics(df)
-    observed.agg(F.count(F.lit(1))).collect()
-    assert obs.get == {"total": 2, "valid": 1, "rejected": 1}
-
-
-def test_union_all_tolerates_missing_columns(spark):
-    from sensorlake.operators.cleaning import union_all
-
-    a = _frame(spark, [reading(sensor_id="a")])
-    b = spark.createDataFrame([("b", "vibration", 1.0)], "sensor_id string, type string, value double")
-    out = union_all([a, b]).collect()
-    assert sorted(r.sensor_id for r in out) == ["a", "b"]
-    assert [r.site for r in out if r.sensor_id == "b"] == [None]
-    with pytest.raises(ValueError):
-        union_all([])
+def test_infinite_values_are_rejected(spark):
+    rows = [reading(sensor_id="inf", value=float("inf")), reading(sensor_id="low", value=float("-inf")), reading(sensor_id="big", value=1e300)]
+    reasons = {r.sensor_id: r.reject_reasons for r in with_reject_reasons(normalise(_frame(spark, rows))).collect()}
+    assert reasons == {"inf": ["infinite_value"], "low": ["infinite_value", "negative_value"], "big": []}

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sensorlake import queries as core
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,7 +29,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(core.registry()) == set(core.oracle_sql())
+    assert set(core.registry()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -40,13 +42,13 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(core.registry()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = core.registry()[name](spark, SF)
     cols, rows = df.columns, df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(core.oracle_sql()[name])
     ocols, orows = [d[0] for d in cur.description], cur.fetchall()
     assert sorted(cols) == sorted(ocols)
     a = Counter(tuple(_norm(r[c]) for c in sorted(cols)) for r in rows)

@@ -1,18 +1,22 @@
-"""K3/K4/S10 exports, R5 refresh, X2 hourly stream, and plan checks."""
+"""K3/K4/S10 exports, X2 hourly windows, and plan checks."""
 
 import os
-
+from functools import partial
 
 from sensorlake import model
 from sensorlake.operators import reports
 from sensorlake.plans.exports import export_all, run_reports
-from sensorlake.plans.ingest import ingest_batch
+from sensorlake.plans import ingest
 from sensorlake.sinks.csv import export_single_csv, write_csv
 from sensorlake.sources.warehouse import read_csv_warehouse, read_warehouse, register_view, table_exists
-from sensorlake.streaming.monitor import read_hourly_trends, start_hourly_trends, start_monitor
+from sensorlake.streaming.ingest import start_ingest
+from sensorlake.streaming.latest import read_summary
+from sensorlake.streaming.monitor import hourly_windows, monitor_publisher
 
 from conftest import reading, write_pretty
 
+ingest_batch = partial(ingest.ingest_batch, multi_line=True)
+
 
 def _land(root, n, hour=10, start=0, t="temperature"):
     for i in range(start, start + n):
@@ -60,23 +64,24 @@ def test_export_files(spark, tmp_path):
     assert table_exists(spark, wh) and not table_exists(spark, str(tmp_path / "nope"))
 
 
-def test_hourly_trends_stream_updates_a_window(spark, tmp_path):
-    root, out, ck = str(tmp_path / "raw"), str(tmp_path / "hourly"), str(tmp_path / "ck")
-    _land(root, 3)
-    start_hourly_trends(spark, root, out, ck, delay="1 day", available_now=True).awaitTermination()
-    _land(root, 2, start=3)  # same hour, a later micro-batch
-    start_hourly_trends(spark, root, out, ck, delay="1 day", available_now=True).awaitTermination()
-    rows = read_hourly_trends(spark, out).collect()
-    assert len(rows) == 1 and rows[0].nombre_mesures == 5 and rows[0].alertes == 3
+def test_hourly_windows_from_the_kept_summary_drop_nothing(spark, tmp_path):
+    root, wh, ck, kept = (str(tmp_path / n) for n in ("raw", "wh", "ck", "summary"))
+    for start, hour in ((0, 20), (3, 20), (5, 1)):  # the last batch lies 19 hours behind
+        _land(root, 2, start=start, hour=hour)
+        start_ingest(spark, root, wh, ck, available_now=True, multi_line=True, summary_path=kept).awaitTermination()
+    rows = {r.window_start.hour: (r.nombre_mesures, r.alertes) for r in hourly_windows(read_summary(spark, kept)).collect()}
+    assert rows == {20: (4, 2), 1: (2, 2)}
+    assert sorted(map(tuple, hourly_windows(read_warehouse(spark, wh)).collect())) == sorted(map(tuple, hourly_windows(read_summary(spark, kept)).collect()))
 
 
-def test_live_monitor_stream(spark, tmp_path):
-    root, out = str(tmp_path / "raw"), str(tmp_path / "mon")
+def test_live_monitor_counts_each_reading_once(spark, tmp_path):
+    root, out, wh, kept = (str(tmp_path / n) for n in ("raw", "mon", "wh", "summary"))
     _land(root, 4)
     _land(root, 2, t="pressure")
-    start_monitor(spark, root, out, str(tmp_path / "ck"), available_now=True, max_files_per_trigger=2).awaitTermination()
-    got = {r.type: r["count"] for r in spark.read.parquet(out).collect()}
-    assert got == {"temperature": 4, "pressure": 2}
+    write_pretty(f"{root}/temperature/again.json", reading(sensor_id="temperature-0", value=84.0, timestamp="2026-01-08T10:00:00"))
+    start_ingest(spark, root, wh, str(tmp_path / "ck"), available_now=True, multi_line=True, max_files_per_trigger=2,
+                 summary_path=kept, on_batch=monitor_publisher(wh, out, summary_path=kept)).awaitTermination()
+    assert {r.type: r["count"] for r in spark.read.parquet(f"{out}/stats").collect()} == {"temperature": 4, "pressure": 2}
 
 
 def test_partition_pruning_and_pushdown(spark, tmp_path):
@@ -106,50 +111,47 @@ def test_dashboard_distinct_counts_on_pre_aggregated_rows(spark):
     assert plan.index("Expand") < plan.rindex("Aggregate [site")
 
 
-def test_idempotent_append_plan(spark, tmp_path):
+def test_grouping_sets_expand_groups_not_rows(spark):
+    plan = reports.warehouse_stats(spark.createDataFrame([], model.WAREHOUSE_SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("Aggregate [type")
+
+
+def _accepted(spark, root):
     from sensorlake.plans.ingest import accepted_rows, staged_rows
-    from sensorlake.sinks.warehouse import _for_writers, rows_to_append
     from sensorlake.sources.json_files import read_sensor_dirs
 
+    return accepted_rows(staged_rows(read_sensor_dirs(spark, root, multi_line=True)))
+
+
+def test_idempotent_append_plan(spark, tmp_path):
+    from sensorlake.sinks.warehouse import _for_writers, new_rows
+
     root, wh = str(tmp_path / "raw"), str(tmp_path / "wh")
     _land(root, 6)
     ingest_batch(spark, root, wh)
-    rows = accepted_rows(staged_rows(read_sensor_dirs(spark, root)))
-    batch, profile = rows_to_append(rows, wh)
-    assert profile.total == 6 and profile.partitions == 1
-    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
-    try:
-        plan = _plan(_for_writers(batch, 4))
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    # table side: only the touched day's partitions, only the key column
-    pruning = plan.split("Format: Parquet")[1].split("PartitionFilters: [")[1].split("]")[0]
-    assert "concat_ws(|, site" in pruning and "Site_Paris|temperature|2026-01-08" in pruning
-    assert "ReadSchema: struct<sensor_id:string>" in plan
-    assert "LeftAnti" in plan
+    batch, conflicts, profile = new_rows(_accepted(spark, root), wh)
+    assert profile.total == 6 and len(profile.partitions) == 1
+    plan = _plan(_for_writers(batch, 4))
+    assert "LeftAnti" in plan and "EvalPython" not in plan
     # writers: range partitioning with the unique key as the last field
     assert "rangepartitioning(site" in plan and "sensor_id" in plan.split("rangepartitioning(")[1].split(")")[0]
-    assert "EvalPython" not in plan
-    assert batch.count() == 0
+    assert batch.count() == 0 and conflicts.count() == 0
 
 
-def test_touched_partitions_prune_files(spark, tmp_path):
+def test_only_touched_partitions_are_listed(spark, tmp_path):
     from sensorlake.operators.dedup import partition_profile
-    from sensorlake.plans.ingest import accepted_rows, staged_rows
-    from sensorlake.sources.json_files import read_sensor_dirs
+    from sensorlake.sources.warehouse import read_partitions
 
     root, wh, new = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "new")
     _land(root, 4)
     _land(root, 4, t="pressure")
     ingest_batch(spark, root, wh)
     _land(new, 2, start=10, t="pressure")
-    profile = partition_profile(accepted_rows(staged_rows(read_sensor_dirs(spark, new))))
-    def partitions_read(df):
-        q = df.select("sensor_id")
-        q.collect()
-        scan = q._jdf.queryExecution().executedPlan().collectLeaves().head()
-        return scan.metrics().get("numPartitions").get().value()
-
-    table = read_warehouse(spark, wh)
-    assert partitions_read(table) == 2  # temperature and pressure of one site-day
-    assert partitions_read(table.filter(profile.partitions_predicate())) == 1
+    write_pretty(f"{new}/pressure/odd.json", reading(sensor_id="odd", type="pressure", site="A/B=c %d", value=1.0))
+    profile = partition_profile(_accepted(spark, new))
+    found = read_partitions(spark, wh, profile.partitions)
+    assert len(read_warehouse(spark, wh).inputFiles()) == 2 and len(found.inputFiles()) == 1
+    assert found.count() == 4 and {r.type for r in found.collect()} == {"pressure"}
+    ingest_batch(spark, new, wh)
+    assert ingest_batch(spark, new, wh).written == 0  # odd names are found again
+    assert read_partitions(spark, wh, [("none", "pressure", 2026, 1, 8)]) is None

@@ -1,14 +1,19 @@
 """Ingestion parity, idempotence, restart and replay."""
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.plans.ingest import ingest_batch
+from sensorlake.plans import ingest
 from sensorlake.sources.warehouse import read_warehouse
-from sensorlake.streaming.ingest import start_ingest
+from sensorlake.streaming import ingest as stream_ingest
 
 from conftest import reading, write_pretty, write_text
 
+ingest_batch = partial(ingest.ingest_batch, multi_line=True)
+start_ingest = partial(stream_ingest.start_ingest, multi_line=True)
+
 COLS = ["sensor_id", "type", "value", "unit", "site", "machine", "timestamp", "year", "month", "day", "hour", "is_alert"]
 
 
@@ -163,7 +168,7 @@ def test_raw_archive_stream(spark, tmp_path):
     root, out = str(tmp_path / "raw"), str(tmp_path / "archive")
     _land(root, 4)
     write_text(f"{root}/temperature/broken.json", '{"sensor_id": ')
-    start_raw_archive(spark, root, out, str(tmp_path / "ck"), available_now=True).awaitTermination()
+    start_raw_archive(spark, root, out, str(tmp_path / "ck"), available_now=True, multi_line=True).awaitTermination()
     archived = spark.read.parquet(out)
     assert archived.count() == 5 and archived.filter("_corrupt_record IS NOT NULL").count() == 1
 
@@ -182,8 +187,6 @@ def test_monitor_published_after_each_batch(spark, tmp_path):
 
 
 def test_state_dedup_stream_equals_batch_and_survives_replay(spark, tmp_path):
-    from sensorlake.streaming.ingest import start_quarantine_stream
-
     root, ck = str(tmp_path / "raw"), str(tmp_path / "ck")
     _land(root, 12)
     write_pretty(f"{root}/temperature/zz-copy.json", reading(sensor_id="temperature-3", type="temperature",
@@ -207,18 +210,16 @@ def test_state_dedup_stream_equals_batch_and_survives_replay(spark, tmp_path):
                  metrics_path=str(tmp_path / "m")).awaitTermination()
     assert calls[0] == calls[1]
     assert _rows(spark, wh) == _rows(spark, str(tmp_path / "wh_batch"))
-    assert (tmp_path / "ck" / "_sink_batches" / "committed").exists()
     qu = str(tmp_path / "qu")
-    start_quarantine_stream(spark, root, qu, str(tmp_path / "ck_q"), available_now=True).awaitTermination()
+    start_ingest(spark, root, str(tmp_path / "wh_q"), str(tmp_path / "ck_q"), available_now=True, dedup="state",
+                 quarantine_path=qu).awaitTermination()
     assert [r.sensor_id for r in spark.read.parquet(qu).collect()] == ["neg"]
-    with pytest.raises(ValueError):
-        start_ingest(spark, root, wh, ck, dedup="state", quarantine_path=qu)
 
 
 @pytest.mark.parametrize("mode", ["table", "state"])
 def test_incremental_latest_equals_full_top_k(spark, tmp_path, mode):
     from sensorlake.operators import reports
-    from sensorlake.streaming.monitor import read_latest
+    from sensorlake.streaming.latest import read_latest
 
     root, wh, ck, latest = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "ck"), str(tmp_path / "latest")
     _land(root, 14)
@@ -242,7 +243,8 @@ def test_incremental_latest_equals_full_top_k(spark, tmp_path, mode):
 def test_stream_kept_summary_equals_table(spark, tmp_path, mode):
     from sensorlake.operators import reports
     from sensorlake.operators.summary import reading_summary
-    from sensorlake.streaming.monitor import export_refresher, read_summary
+    from sensorlake.streaming.latest import read_summary
+    from sensorlake.streaming.monitor import export_refresher
 
     root, wh, ck, summ = str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "ck"), str(tmp_path / "summary")
     _land(root, 9)

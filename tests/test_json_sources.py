@@ -58,7 +58,7 @@ def test_extra_field_ignored_and_reported(spark, tmp_path):
     p = write_pretty(str(tmp_path / "e" / "extra.json"), {**reading(), "foo": 1})
     rows = _read(spark, p).collect()
     assert len(rows) == 1 and rows[0][model.CORRUPT_COLUMN] is None
-    drift = quality.schema_drift(spark, model.RAW_SCHEMA, infer_schema(spark, p)).collect()
+    drift = quality.schema_drift(spark, model.RAW_SCHEMA, {"temperature": infer_schema(spark, p)}).collect()
     assert [(r.column_name, r.issue) for r in drift] == [("foo", "extra")]
 
 
@@ -66,7 +66,7 @@ def test_missing_fields_are_null_and_drift_reported(spark, tmp_path):
     p = write_pretty(str(tmp_path / "m" / "missing.json"), {"sensor_id": "m", "type": "pressure"})
     row = with_reject_reasons(normalise(_read(spark, p))).first()
     assert row.reject_reasons == ["value_missing", "site_missing", "machine_missing", "timestamp_missing"]
-    drift = {r.column_name: r.issue for r in quality.schema_drift(spark, model.RAW_SCHEMA, infer_schema(spark, p)).collect()}
+    drift = {r.column_name: r.issue for r in quality.schema_drift(spark, model.RAW_SCHEMA, {"temperature": infer_schema(spark, p)}).collect()}
     assert drift == {"value": "missing", "unit": "missing", "site": "missing", "machine": "missing", "timestamp": "missing"}
 
 
@@ -104,9 +104,9 @@ def test_only_json_suffix_read_batch_and_stream(spark, tmp_path):
     write_pretty(str(d / "b.JSON"), reading(sensor_id="b"))
     write_pretty(str(d / "c.txt"), reading(sensor_id="c"))
     write_pretty(str(d / "d.json.tmp"), reading(sensor_id="d"))
-    assert [r.sensor_id for r in read_sensor_dirs(spark, str(tmp_path / "suffix")).collect()] == ["a"]
+    assert [r.sensor_id for r in read_sensor_dirs(spark, str(tmp_path / "suffix"), multi_line=True).collect()] == ["a"]
     q = (
-        stream_json(spark, str(d))
+        stream_json(spark, str(d), multi_line=True)
         .select("sensor_id")
         .writeStream.format("memory")
         .queryName("suffix_check")
@@ -122,7 +122,7 @@ def test_directory_discovery_skips_missing_and_empty(spark, tmp_path):
     write_pretty(str(tmp_path / "root" / "vibration" / "v.json"), reading(type="vibration"))
     os.makedirs(tmp_path / "root" / "pressure")
     assert [os.path.basename(d) for d in sensor_dirs(spark, str(tmp_path / "root"))] == ["vibration"]
-    assert read_sensor_dirs(spark, str(tmp_path / "nothing")) is None
+    assert read_sensor_dirs(spark, str(tmp_path / "nothing"), multi_line=True) is None
 
 
 def test_corrupt_records_and_null_profile(spark, tmp_path):

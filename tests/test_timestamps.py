@@ -17,6 +17,13 @@ CASES = [
     ("2026-01-08T14:30:45-0500", dt.datetime(2026, 1, 8, 14, 30, 45)),
     # the reference converts this one; our rule keeps the wall clock
     ("2026-01-08T14:30:45+02", dt.datetime(2026, 1, 8, 14, 30, 45)),
+    # whatever zone follows is ignored
+    *[(f"2026-01-08T14:30:45{z}", dt.datetime(2026, 1, 8, 14, 30, 45)) for z in (
+        "z", "+2", "+02:00:00", " PST", " Europe/Paris", "[Europe/Paris]", "+01:00[Europe/Paris]", " GMT+2", " +0200", " America/Argentina/Buenos_Aires")],
+    ("2026-01-08T14:30+2", dt.datetime(2026, 1, 8, 14, 30)),
+    # what follows is no zone
+    ("2026-01-08T14:30:45 12!", None),
+    ("2026-01-08 and more 7", None),
     ("2026-01-08", dt.datetime(2026, 1, 8)),
     ("2026-01-08T14:30", dt.datetime(2026, 1, 8, 14, 30)),
     ("  2026-01-08T14:30:45.5  ", dt.datetime(2026, 1, 8, 14, 30, 45, 500000)),
