@@ -61,6 +61,12 @@ def signature(own: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(own.tobytes())
 
 
+def _short(node: bytes) -> int:
+    """The first half of a node's name, which postings carry.  Two nodes of one short name would both be
+    looked at wherever one of them occurs."""
+    return int.from_bytes(node[:8], "little", signed=True)
+
+
 def _parts(own: np.ndarray) -> bytes:
     """Members in each part of the hash range modulo 4, four parts a byte."""
     n = (np.bincount((own >> np.uint64(55)).astype(np.int64), minlength=PARTS) & 3).astype(np.uint8).reshape(-1, 4)
@@ -89,7 +95,7 @@ def _bucket(own: np.ndarray, buckets: int) -> np.ndarray:
 
 def _described(width: int, buckets: int) -> Callable:
     """Per document its node, size and part counts; at a task's end its share of the frequency table."""
-    names = ["doc", "text_hash", "node", "n", "parts", "span", "counts"]
+    names = ["doc", "text_hash", "name", "node", "n", "parts", "span", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, doc_type = np.zeros(buckets, np.uint32), None
@@ -99,10 +105,12 @@ def _described(width: int, buckets: int) -> Callable:
                 sets = shingle_sets(utf8(batch.column("text")), width)
                 if any(map(len, sets)):
                     counts += np.bincount(_bucket(np.concatenate(sets), buckets), minlength=buckets).astype(np.uint32)
+                nodes = [signature(s) for s in sets]
                 columns = [
                     batch.column("doc"),
                     batch.column("text_hash"),
-                    pa.array([signature(s) for s in sets], pa.binary()),
+                    pa.array(map(_short, nodes), pa.int64()),
+                    pa.array(nodes, pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_parts(s) for s in sets], pa.binary()),
                     pa.nulls(len(sets), pa.int32()),
@@ -112,7 +120,7 @@ def _described(width: int, buckets: int) -> Callable:
         if doc_type is not None:
             n = max(1, buckets // SPAN)
             packed = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, n)]
-            empty = [pa.nulls(n, doc_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+            empty = [pa.nulls(n, doc_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     return run
@@ -136,13 +144,13 @@ def _frequencies(described: DataFrame, buckets: int) -> np.ndarray:
 
 
 def _postings(width: int, percent: int, table) -> Callable:
-    """Prefix shingles of each distinct set that a task meets: token, node, size and place."""
+    """Prefix shingles of each distinct set that a task meets: token, short name of the node, size and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, met = table.value, set()
         for whole in batches:
             for batch in slices(whole, "text"):
-                tokens, nodes, sizes, places = [], [], [], []
+                tokens, names, sizes, places = [], [], [], []
                 for own in shingle_sets(utf8(batch.column("text")), width):
                     n = len(own)
                     if not n or (node := signature(own)) in met:
@@ -153,12 +161,12 @@ def _postings(width: int, percent: int, table) -> Callable:
                     key = (frequency[_bucket(own, len(frequency))].astype(np.uint64) << np.uint64(32)) | (own >> np.uint64(32))
                     length = n - -(-percent * n // 100) + 1
                     tokens.append(own[np.argsort(key, kind="stable")[:length]])
-                    nodes += [node] * length
+                    names.append(np.full(length, _short(node), np.int64))
                     sizes.append(np.full(length, n, np.int32))
                     places.append(np.arange(length, dtype=np.int32))
-                if nodes:
-                    columns = [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(nodes, pa.binary()), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "n", "place"])
+                if names:
+                    columns = [np.concatenate(tokens).view(np.int64), *map(np.concatenate, (names, sizes, places))]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["token", "name", "n", "place"])
 
     return run
 
@@ -168,7 +176,7 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token and node, each node once, and only tokens with two nodes or more.
+    """Of rows sorted by token and name, each node once, and only tokens with two nodes or more.
     The last row of a batch is held back, as the next batch may go on with its token."""
     held, given = [], False
     for batch in batches:
@@ -176,8 +184,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         rows = _joined([*held, batch])
         token = rows.column("token").to_numpy()
-        node = _names(rows.column("node"))
-        again = (token[1:] == token[:-1]) & (node[1:] == node[:-1]).all(1)
+        name = rows.column("name").to_numpy()
+        again = (token[1:] == token[:-1]) & (name[1:] == name[:-1])
         first = np.flatnonzero(np.concatenate([[True], ~again]))
         alike = token[first][1:] == token[first][:-1]
         shared = np.concatenate([alike, [False]]) | np.concatenate([[False], alike])
@@ -316,7 +324,7 @@ class _Lists:
         self.n = batch.column("n").to_numpy().astype(np.int64)
         self.place = batch.column("place").to_numpy().astype(np.int64)
         self.parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint8).reshape(-1, PARTS // 4)
-        self.label = _names(batch.column("label"))
+        self.label = _names(batch.column("label" if "label" in batch.schema.names else "node"))
         self.side = batch.column("side").to_numpy()
         self.nodes = batch.column("node").to_pylist()
 
@@ -386,7 +394,7 @@ def _candidates(percent: int, most: int) -> Callable:
         columns = {"x": pa.array([x for x, _ in pairs], pa.binary()), "y": pa.array([y for _, y in pairs], pa.binary())}
         if rows.num_rows:
             columns = {c: pa.nulls(rows.num_rows, pa.binary()) for c in columns}
-        for c, t in (("token", pa.int64()), ("one", pa.int32()), ("two", pa.int32()), ("node", pa.binary()), ("place", pa.int32()), ("side", pa.int32())):
+        for c, t in (("token", pa.int64()), ("one", pa.int32()), ("two", pa.int32()), ("name", pa.int64()), ("place", pa.int32()), ("side", pa.int32())):
             columns[c] = rows.column(c) if rows.num_rows else pa.nulls(len(pairs), t)
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
@@ -407,7 +415,7 @@ def _candidates(percent: int, most: int) -> Callable:
     return run
 
 
-_ROUND = "x binary, y binary, token long, one int, two int, node binary, place int, side int"
+_ROUND = "x binary, y binary, token long, one int, two int, name long, place int, side int"
 
 
 def _verified(percent: int) -> Callable:
@@ -426,27 +434,26 @@ def _verified(percent: int) -> Callable:
 
 
 def _links(listed: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Verified pairs (``x``, ``y``) that connect what is similar, by rounds over the lists (token, node, place)."""
+    """Verified pairs (``x``, ``y``) that connect what is similar, by rounds over the lists (token, name, place);
+    ``nodes``: name, node, n and parts of all that occur there."""
     sizes = listed.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
-    dealt = listed.join(sizes, "token").select("token", "node", "place", blocks.alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = listed.join(sizes, "token").select("token", "name", "place", blocks.alias("blocks"))
+    own = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
     # A list of several blocks becomes one list for each block and each two blocks; one block meets each other once.
     spread = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lists = spread.select(
         "token",
         F.least("own", "other").alias("one"),
         F.greatest("own", "other").alias("two"),
-        "node",
+        "name",
         "place",
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
     )
     labels = links = tried = sets = None
     while True:
-        described = lists.join(nodes, "node")
-        if labels is None:
-            described = described.withColumn("label", F.col("node"))
-        else:
+        described = lists.join(nodes, "name")
+        if labels is not None:  # else every node is a component of its own
             now = labels.select(F.col("node").alias("at"), F.col("label"))
             described = described.join(now, F.col("node") == F.col("at"), "left").drop("at").withColumn("label", F.coalesce("label", "node"))
         ordered = described.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
@@ -456,9 +463,10 @@ def _links(listed: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], D
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = materialise(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        lists = done.filter("x is null").select("token", "one", "two", "node", "place", "side")
+        lists = done.filter("x is null").select("token", "one", "two", "name", "place", "side")
         if sets is None:  # of all nodes that this round or a later one may compare
-            sets = sets_of(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).union(lists.select("node")).distinct())
+            more = lists.select("name").distinct().join(nodes, "name").select("node")
+            sets = sets_of(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).union(more).distinct())
         a, b = (sets.select(F.col("node").alias(c), F.col("members").alias(m)) for c, m in (("x", "a"), ("y", "b")))
         found = materialise(pairs.join(a, "x").join(b, "y").mapInArrow(_verified(percent), "x binary, y binary"), "found")
         links = found if links is None else links.unionByName(found)
@@ -472,22 +480,22 @@ def _grouped(docs: DataFrame, ident: str, text: str, width: int, percent: int, b
     spark = docs.sparkSession
     rows = docs.select(docs[ident].alias("doc"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("text_hash"))
     doc_type = docs.schema[ident].dataType.simpleString()
-    schema = f"doc {doc_type}, text_hash long, node binary, n long, parts binary, span int, counts binary"
+    schema = f"doc {doc_type}, text_hash long, name long, node binary, n long, parts binary, span int, counts binary"
     described = materialise(rows.mapInArrow(_described(width, buckets), schema), "described")
     table = spark.sparkContext.broadcast(_frequencies(described, buckets))
-    posted = rows.select("text").mapInArrow(_postings(width, percent, table), "token long, node binary, n int, place int")
-    by_token = posted.repartition("token").sortWithinPartitions("token", "node")
-    shared = by_token.mapInArrow(_shared, "token long, node binary, n int, place int")
-    listed = materialise(shared.mapInArrow(_hopeful(percent), "token long, node binary, n int, place int"), "lists").drop("n")
+    posting = "token long, name long, n int, place int"
+    posted = rows.select("text").mapInArrow(_postings(width, percent, table), posting)
+    by_token = posted.repartition("token").sortWithinPartitions("token", "name")
+    listed = materialise(by_token.mapInArrow(_shared, posting).mapInArrow(_hopeful(percent), posting), "lists").drop("n")
 
     def sets_of(chosen: DataFrame) -> DataFrame:
         wanted = spark.sparkContext.broadcast(_wanted(chosen))
         sets = rows.select("text").mapInArrow(_sets(width, wanted), "node binary, members binary")
         return materialise(sets.join(chosen, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
-    met = listed.select("node").distinct()
-    members = described.filter("span is null").select("doc", "text_hash", "node", "n", "parts")
-    nodes = materialise(members.select("node", "n", "parts").join(met, "node", "left_semi").dropDuplicates(["node"]), "nodes")
+    met = listed.select("name").distinct()
+    members = described.filter("span is null").select("doc", "text_hash", "name", "node", "n", "parts")
+    nodes = materialise(members.select("name", "node", "n", "parts").join(met, "name", "left_semi").dropDuplicates(["node"]), "nodes")
     labels = connected(_links(listed, nodes, sets_of, percent)).withColumnRenamed("node", "at")
     component = F.when(F.col("n") > 0, F.coalesce("label", "node"))
     return members.join(labels, F.col("node") == F.col("at"), "left").select("doc", "text_hash", "n", component.alias("component"))
