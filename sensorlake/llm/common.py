@@ -17,7 +17,7 @@ from sensorlake.session import scratch_path
 SPACES = b" \t\n\x0b\x0c\r"
 
 #: Text handled at once inside a task, in bytes: bounds what a worker holds beside the Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 #: Bytes of an Arrow batch, where the session has Spark's own default: a task holds several batches at once.
@@ -51,7 +51,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about ``most`` bytes of ``column``, one row at least."""
+    """The batch in pieces of about ``most`` bytes of ``column``, one row at least.
+    Behind each piece, memory that Arrow holds without use goes back."""
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -59,6 +60,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from sensorlake.llm.common import slices, utf8
 from sensorlake.llm.pieces import SPACE, is_normal, processor, segment_pattern
 
-#: Segments kept in each of two generations, and the longest kept: together some 150 MB a worker.
-REMEMBERED, LONGEST = 350_000, 24
+#: Segments kept in each of two generations, and the longest kept: together some 60 MB a worker.
+REMEMBERED, LONGEST = 250_000, 24
 
 
 def merge_agenda(segment: str, score: dict[str, float]) -> list[str]:
