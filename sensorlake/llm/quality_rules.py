@@ -205,7 +205,10 @@ def fit(stats: DataFrame, labels: DataFrame, ident: str = "doc_id", quality: str
     marked = labels.select(labels[ident].alias("i"), labels[quality].cast("int").alias("good")).filter("good in (0, 1)")
     rows = stats.join(marked, stats[ident] == F.col("i")).select("i", "good", *names)
     rows = materialise(rows.filter((F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= MAX_REPEATED_PERCENT * F.col("n_words"))), "labelled")
-    sample = rows.orderBy(F.xxhash64(F.lit(7), "i"), *names).limit(FIT_ROWS).select(*names).collect()
+    # A share by hash, chosen for fewer than FIT_ROWS rows; the limit holds where rows repeat in masses.
+    share = min(1.0, 0.95 * FIT_ROWS / max(1, rows.count()))
+    chosen = rows.filter(F.pmod(F.xxhash64(F.lit(7), "i", *names), F.lit(1_000_000)) < int(1_000_000 * share))
+    sample = sorted(chosen.select(*names).limit(FIT_ROWS).collect())
     if not sample:
         return Rules(None, 2.0)
     fitted = features(np.array([tuple(r) for r in sample], np.int64))
