@@ -73,20 +73,17 @@ def _parts(own: np.ndarray) -> bytes:
     return (n[:, 0] | n[:, 1] << 2 | n[:, 2] << 4 | n[:, 3] << 6).tobytes()
 
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Per row of two arrays of packed counts, the sum of their distances around the circle."""
-    return _DISTANCE[a, b].sum(1, dtype=np.int64)
-
+#: The low bit of each two-bit count in a word.
+_LOW = np.uint64(0x5555555555555555)
 
-def _byte_distances() -> np.ndarray:
-    byte = np.arange(256)
-    digits = np.stack([byte >> s & 3 for s in (0, 2, 4, 6)], 1)
-    apart = np.abs(digits[:, None] - digits[None])
-    return np.minimum(apart, 4 - apart).sum(2).astype(np.uint8)
 
-
-#: Distance of each two packed bytes.
-_DISTANCE = _byte_distances()
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per row of two arrays of packed counts, the sum of their distances around the circle: counts that
+    differ in the low bit are one apart, those that differ in the high bit alone two."""
+    differ = a ^ b
+    one = differ & _LOW
+    two = (differ >> np.uint64(1)) & _LOW & ~one
+    return (np.bitwise_count(one) + 2 * np.bitwise_count(two)).sum(1, dtype=np.int64)
 
 
 def _bucket(own: np.ndarray, buckets: int) -> np.ndarray:
@@ -323,7 +320,7 @@ class _Lists:
         self.percent = percent
         self.n = batch.column("n").to_numpy().astype(np.int64)
         self.place = batch.column("place").to_numpy().astype(np.int64)
-        self.parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint8).reshape(-1, PARTS // 4)
+        self.parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint64).reshape(-1, PARTS // 32)
         self.label = _names(batch.column("label" if "label" in batch.schema.names else "node"))
         self.side = batch.column("side").to_numpy()
         self.nodes = batch.column("node").to_pylist()
@@ -450,7 +447,7 @@ def _links(listed: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], D
         "place",
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
     )
-    labels = links = tried = sets = None
+    labels = links = tried = None
     while True:
         described = lists.join(nodes, "name")
         if labels is not None:  # else every node is a component of its own
@@ -464,9 +461,7 @@ def _links(listed: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], D
         pairs = materialise(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         lists = done.filter("x is null").select("token", "one", "two", "name", "place", "side")
-        if sets is None:  # of all nodes that this round or a later one may compare
-            more = lists.select("name").distinct().join(nodes, "name").select("node")
-            sets = sets_of(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).union(more).distinct())
+        sets = sets_of(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct())
         a, b = (sets.select(F.col("node").alias(c), F.col("members").alias(m)) for c, m in (("x", "a"), ("y", "b")))
         found = materialise(pairs.join(a, "x").join(b, "y").mapInArrow(_verified(percent), "x binary, y binary"), "found")
         links = found if links is None else links.unionByName(found)
@@ -489,9 +484,11 @@ def _grouped(docs: DataFrame, ident: str, text: str, width: int, percent: int, b
     listed = materialise(by_token.mapInArrow(_shared, posting).mapInArrow(_hopeful(percent), posting), "lists").drop("n")
 
     def sets_of(chosen: DataFrame) -> DataFrame:
+        """The sets of the chosen nodes, from the texts: they are read once more in each round, and the
+        partitions by node are those of the joins with the pairs, so nothing is written for them."""
         wanted = spark.sparkContext.broadcast(_wanted(chosen))
         sets = rows.select("text").mapInArrow(_sets(width, wanted), "node binary, members binary")
-        return materialise(sets.join(chosen, "node", "left_semi").dropDuplicates(["node"]), "sets")
+        return sets.join(chosen, "node", "left_semi").dropDuplicates(["node"])
 
     met = listed.select("name").distinct()
     members = described.filter("span is null").select("doc", "text_hash", "name", "node", "n", "parts")
