@@ -74,6 +74,7 @@ def _rejected_columns(staged: DataFrame) -> list[str]:
 
 
 CONFLICT = "repeated_id_with_other_content"
+CLASH = "_conflicting"
 
 
 def conflict_rows(conflicts: DataFrame, staged: DataFrame) -> DataFrame:
@@ -118,14 +119,19 @@ def ingest_frame(
         else:
             new, conflicts, profile = new_rows(rows, warehouse_path, fmt)
         if not profile.empty:
-            # Counted and quarantined before the write: afterwards the table holds the new rows.
-            report.conflicting = conflicts.count()
-            rejected = rejected_rows(table)
-            if report.conflicting:
-                rejected = rejected.unionByName(conflict_rows(conflicts, table))
+            # Decided once, before the write: afterwards the table holds the new rows.
+            clashes = observation("conflicts")
+            marked = new.withColumn(CLASH, F.lit(False)).unionByName(conflicts.withColumn(CLASH, F.lit(True)))
+            marked.observe(clashes, F.count_if(F.col(CLASH)).alias("n")).write.parquet(f"{stage_path}-decided")
+            decided = spark.read.schema(marked.schema).parquet(f"{stage_path}-decided")
+            report.conflicting = int(clashes.get["n"] or 0)
             if quarantine_path and (report.rejected or report.conflicting):
+                rejected = rejected_rows(table)
+                if report.conflicting:
+                    rejected = rejected.unionByName(conflict_rows(decided.filter(CLASH).drop(CLASH), table))
                 report.quarantined = write_quarantine(rejected, quarantine_path, fmt)
-            result = write_warehouse(new, warehouse_path, mode, fmt, writer_count(spark, profile))
+            fresh = decided.filter(~F.col(CLASH)).drop(CLASH)
+            result = write_warehouse(fresh, warehouse_path, mode, fmt, writer_count(spark, profile))
             report.written, report.alerts = result.written, result.alerts
             report.repeated = report.valid - report.written - report.conflicting
         elif quarantine_path and report.rejected:
@@ -133,6 +139,7 @@ def ingest_frame(
         return report
     finally:
         remove_path(spark, stage_path)
+        remove_path(spark, f"{stage_path}-decided")
 
 
 def merge_late(spark: SparkSession, raw_root: str, warehouse_path: str, *, multi_line: bool, fmt: str = "parquet") -> int:
