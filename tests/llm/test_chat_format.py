@@ -6,10 +6,10 @@ import random
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from llm_helpers import SF  # noqa: F401
 from sensorlake.llm import queries
 from sensorlake.llm.chat_format import format_chats, read_back
 
-from llm_helpers import SF
 
 SCHEMA = T.StructType([T.StructField(c, t()) for c, t in (("conv_id", T.LongType), ("turn", T.LongType), ("role", T.StringType), ("text", T.StringType))])
 

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from llm_helpers import docs  # noqa: F401
 from sensorlake.llm.exact_dedup import Trie, _owned, _reduced, drop_copies, mark, owners
 
 

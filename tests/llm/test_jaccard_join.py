@@ -6,7 +6,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from llm_helpers import SF
+from llm_helpers import SF, docs, sample  # noqa: F401
 from sensorlake.llm import queries
 from sensorlake.llm.jaccard_join import keep_one, near_copies
 

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from llm_helpers import docs  # noqa: F401
 from sensorlake.llm.line_dedup import Cuckoo, LineIndex, line_key
 
 BLANK = " \t\n\x0b\x0c\r"

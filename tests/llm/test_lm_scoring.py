@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm_helpers import SF
+from llm_helpers import SF, docs, sample  # noqa: F401
 from sensorlake.llm import lm_scoring as L
 from sensorlake.llm import queries
 from sensorlake.llm.words import word_hashes

@@ -7,10 +7,10 @@ import time
 
 from pyspark.sql import functions as F
 
+from llm_helpers import SF, docs, sample  # noqa: F401
 from sensorlake.llm import queries
 from sensorlake.llm.pii import BASE, find_pii
 
-from llm_helpers import SF
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")

@@ -5,8 +5,8 @@ from collections import Counter
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from llm_helpers import SF, docs  # noqa: F401
 import corpus_pipeline as P
-from llm_helpers import SF
 from sensorlake.llm import quality_rules as Q
 from sensorlake.llm.mixing import draws
 from sensorlake.llm.pieces import processor

@@ -7,10 +7,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from llm_helpers import SF, docs, sample  # noqa: F401
 from sensorlake.llm import queries
 from sensorlake.llm import quality_rules as Q
 
-from llm_helpers import SF
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

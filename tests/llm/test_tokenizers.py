@@ -8,12 +8,12 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from llm_helpers import SF, docs, sample  # noqa: F401
 from sensorlake.llm import queries
 from sensorlake.llm.pieces import joinable, processor, proven, segment_pattern
 from sensorlake.llm.sentencepiece_codec import Codec, encode_decode
 from sensorlake.llm.token_counts import count_tokens, encode_resynchronised
 
-from llm_helpers import SF
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 ALPHABET = "ab \n▁é😀中\x00\x07,.#<0x>  ퟿\U0010ffffĊ\t\r"
