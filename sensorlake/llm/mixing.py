@@ -96,68 +96,97 @@ def _unit(seed: int, *columns: Column) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
-def draws(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", shards: int = 64, seed: int = 11, blocks: int = BLOCKS) -> DataFrame:
-    """One row per row of ``docs``: ``ident``, ``source``, ``size``, ``source_size``, ``target``
-    and ``drawn``, an array of (epoch, shard), one element for each time that the mix takes the document.
+#: Rows of the plan (sources times blocks) up to which it is sent to every task instead of being joined by a shuffle of the texts.
+PLAN_ROWS = 200_000
 
-    Null text has size 0; a null source is a source of its own, the last; a
-    null identifier is hashed like others.  Rows that repeat an identifier share
-    their place and are drawn together.  Documents of size 0 cost nothing and
-    are drawn with their block.  Reruns agree.
-    """
-    named = docs.select(docs[ident].alias("ident"), docs[source].alias("source"), docs[text].alias("text"))
-    words = materialise(sized(named), "sizes")
-    placed = words.withColumn("block", F.pmod(_unit(seed, F.col("ident")), F.lit(blocks)).cast("int"))
-    sums = placed.groupBy("source", "block").agg(F.sum("size").alias("size"))
-    shares = targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")))
+
+def _placed(docs: DataFrame, ident: str, blocks: int, seed: int) -> DataFrame:
+    """``docs`` with each row's ``_block`` and its ``_order`` inside the block."""
+    return docs.withColumns(
+        {"_block": F.pmod(_unit(seed, docs[ident]), F.lit(blocks)).cast("int"), "_order": _unit(seed + 2, docs[ident])}
+    )
+
+
+def _plan(placed: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """What is drawn, from rows (``ident``, ``source``, ``size``, ``_block``, ``_order``): per source and block
+    ``drawn`` (epoch and shard of each time), and where the target falls in the block ``cut_one`` and the
+    highest ``_order`` that is taken, ``cut_at``; and the sources' sizes and targets."""
+    spark = placed.sparkSession
+    source_type = placed.schema["source"].dataType
+    sums = materialise(placed.groupBy("source", "_block").agg(F.sum("size").alias("size")), "block-sizes")
+    shares = materialise(targets(sums.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
 
     by_source = sums.join(shares.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     epochs = by_source.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(EPOCHS - 1))))
-    turn = Window.partitionBy("source").orderBy("epoch", _unit(seed + 1, F.col("epoch"), F.col("block")), "block")
+    turn = Window.partitionBy("source").orderBy("epoch", _unit(seed + 1, F.col("epoch"), F.col("_block")), "_block")
     order = epochs.withColumn("until", F.sum("size").over(turn)).withColumn("nth", F.row_number().over(turn))
     drawn = order.filter(F.col("until") - F.col("size") < F.col("target")).withColumn("whole", F.col("until") <= F.col("target"))
 
     quotas = drawn.groupBy("source").agg(F.max("nth").cast("long").alias("quota")).orderBy(F.col("source").isNull(), "source").collect()
     shares_of = split_quotas(np.array([q["quota"] for q in quotas], np.int64), shards, seed) if quotas else np.zeros((shards, 0), np.int64)
-    ends = docs.sparkSession.createDataFrame(
+    ends = spark.createDataFrame(
         [(q["source"], np.cumsum(shares_of[:, i]).tolist()) for i, q in enumerate(quotas)],
-        T.StructType([T.StructField("s", words.schema["source"].dataType), T.StructField("ends", T.ArrayType(T.LongType()))]),
+        T.StructType([T.StructField("s", source_type), T.StructField("ends", T.ArrayType(T.LongType()))]),
     )
     sharded = drawn.join(ends, F.col("source").eqNullSafe(F.col("s"))).withColumn(
         "shard", F.size(F.filter("ends", lambda e: e < F.col("nth"))).cast("int")
     )
     one = F.struct("epoch", "shard")
-    by_block = sharded.groupBy("source", "block").agg(
+    by_block = sharded.groupBy("source", "_block").agg(
         F.sort_array(F.collect_list(F.when(F.col("whole"), one))).alias("drawn"),
         F.max(F.when(~F.col("whole"), F.struct(one.alias("one"), (F.col("target") - F.col("until") + F.col("size")).alias("room")))).alias("cut"),
     )
-    info = shares.select(F.col("source").alias("s"), "source_size", "target")
-    known = placed.join(info, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    keyed = by_block.select(F.col("source").alias("s"), F.col("block").alias("b"), "drawn", "cut")
-    joined = known.join(keyed, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left").drop("s", "b")
-
-    whole = joined.filter("cut is null").withColumn("taken_from_cut", F.lit(False))
-    inside = Window.partitionBy("source").orderBy(_unit(seed + 2, F.col("ident")), "ident").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = joined.filter("cut is not null").withColumn("until", F.sum("size").over(inside))
+    by_block = materialise(by_block, "blocks")
+    cut = by_block.filter("cut is not null").select(F.col("source").alias("s"), F.col("_block").alias("b"), "cut.room")
+    inside = Window.partitionBy("source").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = placed.join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("_block") == F.col("b"))).withColumn("until", F.sum("size").over(inside))
     # The document in which the target falls comes along when that brings the sum nearer to it.
-    part = cut.withColumn("taken_from_cut", F.col("until") - F.col("size") / 2 <= F.col("cut.room")).drop("until")
-    none = F.array().cast(joined.schema["drawn"].dataType)
-    return whole.unionByName(part).select(
-        F.col("ident").alias(ident),
-        F.col("source").alias(source),
-        "size",
-        "source_size",
-        "target",
-        F.concat(F.coalesce("drawn", none), F.when(F.col("taken_from_cut"), F.array("cut.one")).otherwise(none)).alias("drawn"),
-    )
+    taken = reached.filter(F.col("until") - F.col("size") / 2 <= F.col("room"))
+    highest = taken.groupBy(F.col("source").alias("s"), F.col("_block").alias("b")).agg(F.max("_order").alias("cut_at"))
+    plan = by_block.join(highest, F.col("source").eqNullSafe(F.col("s")) & (F.col("_block") == F.col("b")), "left").drop("s", "b")
+    return materialise(plan.withColumn("cut_one", F.col("cut.one")).drop("cut"), "plan"), shares
+
+
+def _drawn(rows: DataFrame, plan: DataFrame, source: str) -> DataFrame:
+    """``rows`` (with ``_block`` and ``_order``) with ``_drawn``: an array of (epoch, shard)."""
+    keyed = plan.select(F.col("source").alias("_s"), F.col("_block").alias("_b"), F.col("drawn").alias("_whole"), "cut_one", "cut_at")
+    if plan.count() <= PLAN_ROWS:
+        keyed = F.broadcast(keyed)
+    joined = rows.join(keyed, F.col(source).eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")), "left")
+    none = F.array().cast(plan.schema["drawn"].dataType)
+    part = F.when(F.col("_order") <= F.col("cut_at"), F.array("cut_one")).otherwise(none)
+    return joined.withColumn("_drawn", F.concat(F.coalesce("_whole", none), part)).drop("_s", "_b", "_whole", "cut_one", "cut_at")
+
+
+def _sizes(docs: DataFrame, ident: str, source: str, text: str, blocks: int, seed: int) -> DataFrame:
+    named = docs.select(docs[ident].alias("ident"), docs[source].alias("source"), docs[text].alias("text"))
+    return _placed(materialise(sized(named), "sizes"), "ident", blocks, seed)
+
+
+def draws(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", shards: int = 64, seed: int = 11, blocks: int = BLOCKS) -> DataFrame:
+    """One row per row of ``docs``: ``ident``, ``source``, ``size``, ``source_size``, ``target``
+    and ``drawn``, an array of (epoch, shard), one element for each time that the mix takes the document.
+
+    Null text has size 0; a null source is a source of its own, the last; a
+    null identifier is hashed like others.  Rows that repeat an identifier share
+    their place and are drawn together.  Documents of size 0 cost nothing and
+    are drawn with their block.  Reruns agree.
+    """
+    placed = _sizes(docs, ident, source, text, blocks, seed)
+    plan, shares = _plan(placed, shards, seed)
+    info = shares.select(F.col("source").alias("s"), "source_size", "target")
+    known = _drawn(placed, plan, "source").join(info, F.col("source").eqNullSafe(F.col("s")))
+    return known.select(F.col("ident").alias(ident), F.col("source").alias(source), "size", "source_size", "target", F.col("_drawn").alias("drawn"))
 
 
 def mix(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", shards: int = 64, seed: int = 11, blocks: int = BLOCKS) -> DataFrame:
     """The mixed rows with the columns of ``docs``, a row as often as it is drawn, dealt to the output
-    shards and shuffled inside each.  See ``draws``."""
-    places = draws(docs, ident, source, text, shards, seed, blocks)
-    drawn = places.select(F.col(ident).alias("i"), F.col(source).alias("s"), F.explode("drawn").alias("one")).distinct()
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[ident].alias("ident"), docs[source].alias("source"))
-    taken = rows.join(drawn, F.col("ident").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s")))
-    dealt = taken.repartition(shards, "one.shard").sortWithinPartitions(_unit(seed + 3, F.col("one.epoch"), F.col("ident")))
-    return dealt.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    shards and shuffled inside each.  See ``draws``.
+
+    What is drawn depends on a row's source and hash and on the plan alone, so
+    the texts are moved once, to their shards."""
+    plan, _ = _plan(_sizes(docs, ident, source, text, blocks, seed), shards, seed)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), docs[ident].alias("_ident"), docs[source].alias("_source"))
+    taken = _drawn(_placed(rows, "_ident", blocks, seed), plan, "_source").select("_row", "_ident", F.explode("_drawn").alias("_one"))
+    dealt = taken.repartition(shards, "_one.shard").sortWithinPartitions(_unit(seed + 3, F.col("_one.epoch"), F.col("_ident")))
+    return dealt.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
