@@ -1,21 +1,27 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation.
 
-Words are counted over all training documents.  The ``CLASSES`` most frequent
-words (and the end of a text) are the model's own; every other word is the
-class of rare words.  The model predicts a word's class from the two classes
-before it: the score of class w is b[w] + R[w] . (C0 * Q[w1] + C1 * Q[w2]).
-Every task trains it over all its training documents, in minibatches that
-share their noise words, from the same start; the tasks' parameters are
-averaged by their numbers of tokens.  Scores are normalised over all classes:
-the sum over classes is needed once per context, so each batch computes it by
-matrix products for the contexts that are new to the worker.  Inside the class
-of rare words a word has its add-one share, so the probabilities of all words,
+Words are counted over all training documents.  Every word that occurs
+``LEAST`` times (and the ``CLASSES`` most frequent ones whatever their counts,
+and the end of a text) is a class of the model, as target and as context, so
+the model's words follow the corpus; every other word is the class of rare
+words.  The model predicts a word's class from the two classes before it: the
+score of class w is b[w] + R[w] . (C0 * Q[w1] + C1 * Q[w2]).  Classes lie in
+about as many groups as the root of their number, and groups have vectors of
+their own: P(class) = P(group) * P(class in its group), each normalised over
+its level, so the probabilities of all classes sum to one and a token costs
+two small products.
+
+Training goes in ``ROUNDS`` rounds, each over its own share of the documents:
+every task starts from the round's parameters, trains over its documents in
+minibatches that share their noise words, and the tasks' parameters, averaged
+by their numbers of tokens, are the next round's start.  Inside the class of
+rare words a word has its add-one share, so the probabilities of all words,
 and one for the unknown, sum to one.
 
 The counts of rare words are not sent to the workers: documents send each of
 their rare words to the partition that holds its count, and the logarithms
-come back as sums.  Only the most frequent words, at most ``TOP``, and the
-parameters are broadcast.
+come back as sums.  The model's words, others up to ``TOP`` of the most
+frequent ones, and the parameters are broadcast.
 """
 
 from __future__ import annotations
@@ -33,11 +39,15 @@ from pyspark.sql import types as T
 from sensorlake.llm.common import materialise, slices, utf8
 from sensorlake.llm.words import word_hashes
 
-#: Words of the model, with the end of a text; classes 0 and 1 are the rare words and the end.
+#: Words of the model, with the end of a text, at least; classes 0 and 1 are the rare words and the end.
 CLASSES = 1024
-#: Words whose counts every worker holds.
+#: Every word that occurs so often is a word of the model.
+LEAST = 128
+#: Words whose counts every worker holds, besides the model's.
 TOP = 1 << 16
-WIDTH, NOISE, MINIBATCH, RATE = 16, 64, 1024, 0.3
+#: Rounds of training; each document belongs to one of them.
+ROUNDS = 4
+WIDTH, NOISE, MINIBATCH, RATE, SQUARES = 16, 64, 1024, 0.3, 1e-4
 RARE, END_CLASS = 0, 1
 #: The end of a text among the word hashes (a number of our own).
 END = np.uint64(0x5EED0F7E47E4D000)
@@ -86,64 +96,71 @@ def count_words(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def vocabulary(counts: DataFrame, classes: int = CLASSES, top: int = TOP) -> Vocabulary:
-    """The most frequent words, ``top`` at most, and the totals of all of them.
+def vocabulary(counts: DataFrame, classes: int = CLASSES, top: int = TOP, least: int = LEAST) -> Vocabulary:
+    """The most frequent words, and the totals of all of them.
 
     Counts fall into classes of a sixteenth of a doubling; the words above the
-    lowest boundary that leaves no more than ``top`` are taken, and the end."""
+    lowest boundary that leaves no more than ``top`` are taken, and the end.
+    Those that occur ``least`` times are taken in any case and are classes of
+    the model, as the first of the others up to ``classes``."""
     size = F.floor(F.log2("c") * 16)
     spread = counts.groupBy(size.alias("size")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    above, least = 0, None
+    above, lowest = 0, None
     for r in sorted(spread, key=lambda r: -r["size"]):
         above += r["v"]
         if above > top - 1:
             break
-        least = r["size"]
-    taken = F.col("word") == int(END.view(np.int64))
-    rows = counts.filter(taken if least is None else taken | (size >= least)).collect()
-    rows.sort(key=lambda r: (-r["c"], r["word"]))
-    words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
-    c = np.array([r["c"] for r in rows], np.int64)
+        lowest = r["size"]
+    taken = (F.col("word") == int(END.view(np.int64))) | (F.col("c") >= least)
+    rows = counts.filter(taken if lowest is None else taken | (size >= lowest)).select("word", "c").toArrow()
+    words, c = (rows.column(x).to_numpy().astype(np.int64) for x in ("word", "c"))
+    order = np.lexsort((words, -c))
+    words, c = words[order].view(np.uint64), c[order]
     n = sum(r["n"] for r in spread)
-    own, following = np.full(len(words), RARE), 2
-    for i, w in enumerate(words):
-        if w == END:
-            own[i] = END_CLASS
-        elif following < classes:
-            own[i], following = following, following + 1
-    class_counts = np.bincount(own, c, classes).astype(np.int64) if len(words) else np.zeros(classes, np.int64)
+    own, others = np.full(len(words), RARE), np.flatnonzero(words != END)
+    others = others[: max(classes - 2, int((c[others] >= least).sum()))]
+    own[others], own[words == END] = np.arange(2, 2 + len(others)), END_CLASS
+    class_counts = np.bincount(own, c, max(classes, 2 + len(others))).astype(np.int64)
     class_counts[RARE] = n - class_counts[1:].sum()
     order = np.argsort(words)
     return Vocabulary(words[order], c[order], own[order], class_counts, int(n), int(sum(r["v"] for r in spread)))
 
 
+def groups_of(class_counts: np.ndarray) -> np.ndarray:
+    """Group of each class: about the root of their number, cut from the classes by falling counts
+    so that the roots of the counts share out evenly (frequent words lie in small groups)."""
+    order = np.argsort(-class_counts, kind="stable")
+    roots = np.sqrt(class_counts[order] + 1.0)
+    place = ((np.cumsum(roots) - roots / 2) * (np.ceil(np.sqrt(len(roots))) / roots.sum())).astype(np.int64)
+    out = np.empty(len(roots), np.int64)
+    out[order] = np.unique(place, return_inverse=True)[1]
+    return out
+
+
 @dataclass
 class Model:
-    """Parameters: target and context vectors, the two places' weights, and biases."""
+    """Parameters: target and context vectors, the two places' weights, biases, and the groups' vectors and
+    biases; and the group of each class."""
 
     target: np.ndarray
     context: np.ndarray
     place: np.ndarray
     bias: np.ndarray
+    group_target: np.ndarray
+    group_bias: np.ndarray
+    group: np.ndarray
 
     @classmethod
     def start(cls, vocab: Vocabulary, seed: int = 5, width: int = WIDTH) -> Model:
         rng = np.random.default_rng(seed)
-        k = len(vocab.class_counts)
+        k, group = len(vocab.class_counts), groups_of(vocab.class_counts)
         share = (vocab.class_counts + 1) / (vocab.class_counts + 1).sum()
         small = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
-        return cls(small(k, width), small(k, width), np.ones((2, width), np.float32), np.log(share).astype(np.float32))
+        bias, group_bias = (np.log(x).astype(np.float32) for x in (share, np.bincount(group, share)))
+        return cls(small(k, width), small(k, width), np.ones((2, width), np.float32), bias, small(len(group_bias), width), group_bias, group)
 
     def arrays(self) -> list[np.ndarray]:
-        return [getattr(self, f.name) for f in fields(self)]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([a.ravel() for a in self.arrays()])
-
-    @classmethod
-    def unflat(cls, like: Model, values: np.ndarray) -> Model:
-        ends = np.cumsum([a.size for a in like.arrays()])
-        return cls(*(x.reshape(a.shape).astype(np.float32) for x, a in zip(np.split(values, ends[:-1]), like.arrays())))
+        return [getattr(self, f.name) for f in fields(self)[:-1]]
 
     def predicted(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
         return self.place[0] * self.context[near] + self.place[1] * self.context[far]
@@ -159,110 +176,170 @@ def contexts(classes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.nda
     return near, far
 
 
+def _flat(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([a.ravel() for a in arrays])
+
+
+def _unflat(like: list[np.ndarray], values: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum([a.size for a in like])
+    return [x.reshape(a.shape).astype(np.float32) for x, a in zip(np.split(values, ends[:-1]), like)]
+
+
+def start_sums(model: Model) -> list[np.ndarray]:
+    """Adagrad's sums of squares before the first step, one a row."""
+    return [np.full(len(a), SQUARES, np.float32) for a in model.arrays()]
+
+
 class Trainer:
-    """Noise-contrastive estimation by Adagrad on minibatches that share their noise words."""
+    """Noise-contrastive estimation of classes and of groups by Adagrad, with one sum of squares a row,
+    on minibatches that share their noise."""
 
-    def __init__(self, model: Model, vocab: Vocabulary, seed: int):
-        self.m = Model(*(a.copy() for a in model.arrays()))
-        self.sums = [np.full(a.shape, 1e-2, np.float32) for a in self.m.arrays()]
+    def __init__(self, model: Model, vocab: Vocabulary, seed: int, sums: list[np.ndarray] | None = None):
+        self.m = Model(*(a.copy() for a in model.arrays()), model.group)
+        self.sums = [a.copy() for a in sums or start_sums(model)]
         share = (vocab.class_counts + 1) / (vocab.class_counts + 1).sum()
-        self.noise_cdf, self.log_noise = np.cumsum(share), np.log(NOISE * share).astype(np.float32)
+        self.noise = [(np.cumsum(x), np.log(NOISE * x).astype(np.float32)) for x in (share, np.bincount(model.group, share))]
         self.rng = np.random.default_rng(seed)
         self.n = 0
 
     def _step(self, which: int, rows: np.ndarray | slice, grad: np.ndarray) -> None:
         array, sums = self.m.arrays()[which], self.sums[which]
-        sums[rows] += grad * grad
-        array[rows] += RATE * grad / np.sqrt(sums[rows])
-
-    def _scatter(self, which: int, rows: np.ndarray, grad: np.ndarray) -> None:
-        """Adds up the gradients of each row, then one step a row."""
-        order = np.argsort(rows, kind="stable")
+        if grad.ndim == 1:
+            sums[rows] += grad * grad
+            array[rows] += RATE * grad / np.sqrt(sums[rows])
+        else:
+            sums[rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
+            array[rows] += (RATE / np.sqrt(sums[rows]))[:, None] * grad
+
+    @staticmethod
+    def _summed(rows: np.ndarray, *grads: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The rows once each, and the sums of their gradients."""
+        order = np.argsort(rows)
         rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        self._step(which, rows[first], np.add.reduceat(grad[order], first, axis=0))
+        return rows[first], *(np.add.reduceat(g[order], first, axis=0) for g in grads)
+
+    def _contrast(self, level: int, target: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """One step of the targets of a level (0 classes, 1 groups) against noise; the gradient of ``q``."""
+        vectors, biases = (0, 3) if level == 0 else (4, 5)
+        table, bias = self.m.arrays()[vectors], self.m.arrays()[biases]
+        cdf, log_noise = self.noise[level]
+        noise, weight = np.unique(np.searchsorted(cdf[:-1], self.rng.random(NOISE) * cdf[-1], "right"), return_counts=True)
+        r, against = table[target], table[noise]
+        own = 1 / (1 + np.exp(np.einsum("ij,ij->i", q, r) + bias[target] - log_noise[target]))
+        scale = np.float32(1 / len(target))
+        own *= scale
+        others = q @ -against.T
+        others += log_noise[noise] - bias[noise]
+        np.exp(others, out=others)
+        others += 1
+        np.divide(weight.astype(np.float32) * scale, others, out=others)
+        to_q = own[:, None] * r - others @ against
+        rows = np.concatenate([target, noise])
+        rows, to_r, to_b = self._summed(rows, np.concatenate([own[:, None] * q, -(others.T @ q)]), np.concatenate([own, -others.sum(0)]))
+        self._step(vectors, rows, to_r)
+        self._step(biases, rows, to_b)
+        return to_q
 
     def learn(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
         m = self.m
-        noise = np.unique(np.searchsorted(self.noise_cdf, self.rng.random(NOISE) * self.noise_cdf[-1]), return_counts=True)
-        weight, noise = noise[1].astype(np.float32), noise[0]
         q_near, q_far = m.context[near], m.context[far]
         q = m.place[0] * q_near + m.place[1] * q_far
-        r = m.target[target]
-        own = 1 / (1 + np.exp((q * r).sum(1) + m.bias[target] - self.log_noise[target]))
-        others = q @ m.target[noise].T + (m.bias[noise] - self.log_noise[noise])
-        others = weight / (1 + np.exp(-others))
-        scale = np.float32(1 / len(target))
-        own, others = own * scale, others * scale
-        to_q = own[:, None] * r - others @ m.target[noise]
-        rows = np.concatenate([target, noise])
-        to_r = np.concatenate([own[:, None] * q, -(others.T @ q)])
-        to_b = np.concatenate([own, -others.sum(0)])
-        self._scatter(0, rows, to_r)
-        self._scatter(3, rows, to_b)
-        self._scatter(1, np.concatenate([near, far]), np.concatenate([to_q * m.place[0], to_q * m.place[1]]))
+        to_q = self._contrast(0, target, q) + self._contrast(1, m.group[target], q)
+        self._step(1, *self._summed(np.concatenate([near, far]), np.concatenate([to_q * m.place[0], to_q * m.place[1]])))
         self._step(2, slice(None), np.stack([(to_q * q_near).sum(0), (to_q * q_far).sum(0)]))
         self.n += len(target)
 
 
-def train(training: DataFrame, vocab: Vocabulary, slices_of: int = 32) -> Model:
-    """One pass of every task over its documents (column ``text``); the average of the tasks' parameters, by tokens."""
-    spark = training.sparkSession
-    start = Model.start(vocab)
-    sent: Broadcast = spark.sparkContext.broadcast((vocab, start))
+def train(training: DataFrame, vocab: Vocabulary, slices_of: int = 32, rounds: int = ROUNDS) -> Model:
+    """``rounds`` rounds over the documents (column ``text``), each document in one of them by its hash;
+    a round's start is the average of the tasks' parameters of the round before, by tokens.
+
+    A task trains over as many tokens a round as there are parameters, or more,
+    so what the tasks send follows the corpus and not tasks times words."""
+    model = Model.start(vocab)
+    sums = start_sums(model)
+    tasks = max(1, vocab.n // (rounds * sum(a.size for a in model.arrays() + sums)))
+    text = training.select("text")
+    for k in range(rounds):
+        share = text.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).coalesce(tasks)
+        model, sums = _round(share, vocab, model, sums, slices_of, 3 + k)
+    return model
+
+
+def _round(share: DataFrame, vocab: Vocabulary, start: Model, sums: list[np.ndarray], slices_of: int, seed: int) -> tuple[Model, list[np.ndarray]]:
+    """The average of the parameters, and of the sums of squares, of every task that trains over its part of ``share``."""
+    sent: Broadcast = share.sparkSession.sparkContext.broadcast((vocab, start, sums))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, model = sent.value
-        trainer = Trainer(model, own, seed=3)
+        trainer = None
         for whole in batches:
             for batch in slices(whole, "text"):
+                own, model, squares = sent.value
+                trainer = trainer or Trainer(model, own, seed, squares)
                 words, begin = tokens(utf8(batch.column("text")))
                 target = own.classes_of(own.places(words))
                 near, far = contexts(target, begin)
                 for a in range(0, len(target), MINIBATCH):
                     part = slice(a, a + MINIBATCH)
                     trainer.learn(target[part], near[part], far[part])
-        if trainer.n:
-            parts = np.array_split(trainer.m.flat().astype(np.float64) * trainer.n, slices_of)
-            columns = [pa.array(range(slices_of), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([trainer.n] * slices_of, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "total", "n"])
+        if trainer:
+            for i, p in enumerate(np.array_split(_flat(trainer.m.arrays() + trainer.sums), slices_of)):
+                columns = [pa.array([i], pa.int32()), pa.array([p.tobytes()], pa.binary()), pa.array([trainer.n], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "values", "n"])
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = 0.0, 0
         for batch in batches:
-            for values, k in zip(batch.column("total").to_pylist(), batch.column("n").to_pylist()):
-                total, n = total + np.frombuffer(values), n + k
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / n).tobytes()], pa.binary())], names=["part", "mean"])
+            for values, k in zip(batch.column("values"), batch.column("n").to_pylist()):
+                total, n = total + np.frombuffer(values.as_py(), np.float32).astype(np.float64) * k, n + k
+        mean = (total / n).astype(np.float32).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([mean], pa.binary())], names=["part", "mean"])
 
-    rows = training.select("text").mapInArrow(run, "part int, total binary, n long").groupBy("part").applyInArrow(add, "part int, mean binary").collect()
+    rows = share.mapInArrow(run, "part int, values binary, n long").groupBy("part").applyInArrow(add, "part int, mean binary").collect()
+    sent.unpersist()
     if not rows:
-        return start
-    return Model.unflat(start, np.concatenate([np.frombuffer(r["mean"]) for r in sorted(rows, key=lambda r: r["part"])]))
+        return start, sums
+    means = np.concatenate([np.frombuffer(r["mean"], np.float32) for r in sorted(rows, key=lambda r: r["part"])])
+    means = _unflat(start.arrays() + sums, means)
+    return Model(*means[: len(sums)], start.group), means[len(sums) :]
 
 
 class Scorer:
-    """Normalised natural log-probabilities of classes; the normaliser of a context is computed once."""
+    """Normalised natural log-probabilities of classes: that of the group, and that of the class inside it."""
 
     def __init__(self, model: Model):
         self.m = model
-        k = len(model.bias)
-        self.known = np.full((k, k), np.nan, np.float32)
-
-    def _normalise(self, near: np.ndarray, far: np.ndarray) -> None:
-        k = len(self.m.bias)
-        new = np.unique(near * k + far)
-        new = new[np.isnan(self.known.ravel()[new])]
-        for part in np.array_split(new, max(1, len(new) // 2048)):
-            s = self.m.predicted(part // k, part % k) @ self.m.target.T + self.m.bias
-            top = s.max(1, initial=-np.inf)
-            self.known.ravel()[part] = top + np.log(np.exp(s - top[:, None]).sum(1))
+        order = np.argsort(model.group, kind="stable")
+        self.members = np.split(order, np.flatnonzero(np.diff(model.group[order])) + 1)
+
+    @staticmethod
+    def _log_sum(q: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        out = np.empty(len(q), np.float32)
+        step = max(1, (1 << 19) // len(bias))
+        for a in range(0, len(q), step):
+            s = q[a : a + step] @ vectors.T
+            s += bias
+            top = s.max(1)
+            s -= top[:, None]
+            out[a : a + step] = top + np.log(np.exp(s, out=s).sum(1))
+        return out
 
     def log_probabilities(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-        out = np.empty(len(target))
-        for a in range(0, len(target), 1 << 16):
-            t, n, f = (x[a : a + (1 << 16)] for x in (target, near, far))
-            self._normalise(n, f)
-            out[a : a + len(t)] = (self.m.predicted(n, f) * self.m.target[t]).sum(1) + self.m.bias[t] - self.known[n, f]
+        out, k = np.empty(len(target)), len(self.m.bias)
+        for a in range(0, len(target), 1 << 17):
+            t, pair = target[a : a + (1 << 17)], near[a : a + (1 << 17)] * k + far[a : a + (1 << 17)]
+            pair, which = np.unique(pair, return_inverse=True)
+            q = self.m.predicted(pair // k, pair % k)
+            groups = self._log_sum(q, self.m.group_target, self.m.group_bias)
+            q, g = q[which], self.m.group[t]
+            log_p = np.einsum("ij,ij->i", q, self.m.group_target[g]) + self.m.group_bias[g] - groups[which]
+            log_p += np.einsum("ij,ij->i", q, self.m.target[t]) + self.m.bias[t]
+            order = np.argsort(g, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(g[order])) + 1) if len(t) else []:
+                own = self.members[g[rows[0]]]
+                log_p[rows] -= self._log_sum(q[rows], self.m.target[own], self.m.bias[own])
+            out[a : a + len(t)] = log_p
         return out
 
 

@@ -112,6 +112,33 @@ def test_contexts_stop_at_the_begin_of_a_text():
     assert near.tolist() == [1, 5, 6, 7, 1, 1, 8] and far.tolist() == [1, 1, 5, 6, 1, 1, 1]
 
 
+def test_words_of_the_model_follow_the_corpus(docs, spark):
+    """Twice the frequent words: twice the classes; a frequent word beyond the first 1,023 has a context of its own."""
+    for k in (2000, 4000):
+        counts = spark.range(k).select(F.col("id").alias("word"), F.lit(L.LEAST).cast("long").alias("c"))
+        vocab = L.vocabulary(counts.unionByName(spark.range(k, k + 500).select(F.col("id").alias("word"), F.lit(1).cast("long").alias("c"))))
+        assert (vocab.classes != L.RARE).sum() == k and vocab.class_counts[L.RARE] == 500
+    model = L.Model.start(vocab)
+    assert len(np.unique(model.group)) == len(model.group_bias) and 30 <= len(model.group_bias) <= 100
+    k = len(model.bias)
+    p = np.exp(L.Scorer(model).log_probabilities(np.arange(k), np.full(k, 3500), np.full(k, 3900)))
+    assert p.sum() == pytest.approx(1, abs=1e-3)
+    p2 = np.exp(L.Scorer(model).log_probabilities(np.arange(k), np.full(k, 3501), np.full(k, 3900)))
+    assert np.abs(p - p2).max() > 0
+
+
+def test_every_document_trains_in_one_of_several_rounds(docs, monkeypatch):
+    rows = [(i, f"w{i % 7} v{i % 5} {i}") for i in range(400)] + [(400, None)]
+    training = docs(rows).select("text")
+    vocab = L.vocabulary(L.count_words(training))
+    met, run = [], L._round
+    monkeypatch.setattr(L, "_round", lambda share, v, start, *a: (met.append((share.count(), start)), run(share, v, start, *a))[1])
+    model = L.train(training, vocab)
+    assert len(met) == L.ROUNDS > 1 and sum(n for n, _ in met) == 401 and all(n for n, _ in met)
+    starts = [m for _, m in met] + [model]
+    assert all(not np.array_equal(a.target, b.target) for a, b in zip(starts, starts[1:]))
+
+
 def test_nulls_repeats_long_texts_clashing_columns_and_empty_tables(docs):
     rows = [(1, None), (2, ""), (3, "Word word"), (3, "Word word"), (None, "never seen"), (4, "w " * 200_000), (5, "x" * 500_000)]
     training = [(1, None), (3, "Word word")]
