@@ -86,6 +86,12 @@ def against_table(rows: DataFrame, existing: DataFrame) -> tuple[DataFrame, Data
     return new, met.filter(~same).select(*rows.columns)
 
 
+def not_held(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows that ``existing`` does not hold word for word."""
+    held = existing.select(*[F.col(c).alias(f"_{c}") for c in (*IDENTITY, *CONTENT)])
+    return rows.join(held, [_same(c, f"_{c}") for c in (*IDENTITY, *CONTENT)], "left_anti")
+
+
 def dedup_stream(df: DataFrame, delay: str = "1 day", event_time: str = "timestamp") -> DataFrame:
     """Streaming X1 with Spark's state: drop a reading seen before, within the watermark delay.
 

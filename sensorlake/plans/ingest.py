@@ -11,7 +11,7 @@ observed on the staging write, so no extra count job runs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,10 +92,11 @@ def ingest_frame(
     quarantine_path: str | None = None,
     mode: str = "append",
     fmt: str = "parquet",
+    on_new: Callable[[DataFrame], None] | None = None,
 ) -> IngestReport:
     """Ingest already-read raw rows (batch DataFrame).
 
-    Without a valid row nothing is written, in ``overwrite`` mode as well:
+    ``on_new`` gets the staged new rows before the table does.  Without a valid row nothing is written, in ``overwrite`` mode as well:
     the table stays as it is."""
     spark = raw.sparkSession
     require_fixed_zone(spark)
@@ -131,6 +132,8 @@ def ingest_frame(
                     rejected = rejected.unionByName(conflict_rows(decided.filter(CLASH).drop(CLASH), table))
                 report.quarantined = write_quarantine(rejected, quarantine_path, fmt)
             fresh = decided.filter(~F.col(CLASH)).drop(CLASH)
+            if on_new is not None:
+                on_new(fresh)
             result = write_warehouse(fresh, warehouse_path, mode, fmt, writer_count(spark, profile))
             report.written, report.alerts = result.written, result.alerts
             report.repeated = report.valid - report.written - report.conflicting
@@ -142,11 +145,42 @@ def ingest_frame(
         remove_path(spark, f"{stage_path}-decided")
 
 
-def merge_late(spark: SparkSession, raw_root: str, warehouse_path: str, *, multi_line: bool, fmt: str = "parquet") -> int:
+def merge_late(
+    spark: SparkSession,
+    raw_root: str,
+    warehouse_path: str,
+    *,
+    multi_line: bool,
+    fmt: str = "parquet",
+    quarantine_path: str | None = None,
+    alerts_path: str | None = None,
+    latest_path: str | None = None,
+    latest_n: int = 10,
+    summary_path: str | None = None,
+    glob: str = JSON_GLOB,
+) -> int:
     """Adds the landed readings that a stream with ``dedup="state"`` left behind its watermark; returns their number.
 
-    An idempotent batch ingest of the landed files: what the table holds stays as it is."""
-    return ingest_batch(spark, raw_root, warehouse_path, fmt=fmt, multi_line=multi_line).written
+    An idempotent batch ingest of the landed files: what the table holds stays as it is.  Pass the paths that
+    the stream has: late conflicts go to the quarantine, late readings to the alerts and kept views, before the
+    table.  A merge that failed and runs again over the same files writes none of them twice.  The stream must
+    not run meanwhile."""
+    from sensorlake.streaming.ingest import write_alerts
+    from sensorlake.streaming.latest import stream_id, update_latest, update_summary
+
+    def keep(new: DataFrame) -> None:
+        named = new.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64(*IDENTITY, *CONTENT), F.lit(1 << 31)))).first()
+        if not named[0]:
+            return
+        stream, batch = stream_id(f"{warehouse_path.rstrip('/')}/late"), int(named[1])
+        if alerts_path:
+            write_alerts(new, alerts_path, stream, batch)
+        if latest_path:
+            update_latest(new, latest_path, stream, batch, latest_n)
+        if summary_path:
+            update_summary(new, summary_path, stream, batch)
+
+    return ingest_batch(spark, raw_root, warehouse_path, quarantine_path, fmt=fmt, glob=glob, multi_line=multi_line, on_new=keep).written
 
 
 def ingest_batch(
@@ -161,6 +195,7 @@ def ingest_batch(
     glob: str = JSON_GLOB,
     *,
     multi_line: bool,
+    on_new: Callable[[DataFrame], None] | None = None,
 ) -> IngestReport:
     """B1: read every populated type directory under ``raw_root`` (or ``paths``)
     and ingest it.  No input -> nothing is written.
@@ -175,4 +210,4 @@ def ingest_batch(
     raw = read_json(spark, paths, glob=glob, multi_line=multi_line)
     if multi_line:
         raw = mark_unread_rest(raw, paths, glob)
-    return ingest_frame(raw, warehouse_path, quarantine_path, mode, fmt)
+    return ingest_frame(raw, warehouse_path, quarantine_path, mode, fmt, on_new)

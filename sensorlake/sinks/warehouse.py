@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import model
-from sensorlake.operators.dedup import PartitionProfile, against_table, partition_profile, split_repeats
+from sensorlake.operators.dedup import PartitionProfile, against_table, not_held, partition_profile, split_repeats
 from sensorlake.session import observation, remove_path
 from sensorlake.sources.warehouse import read_partitions, read_warehouse, table_exists
 
@@ -79,7 +79,7 @@ def new_rows(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame,
     if existing is None:
         return kept, conflicts, profile
     new, clashing = against_table(kept, existing)
-    return new, conflicts.unionByName(clashing), profile
+    return new, not_held(conflicts, existing).unionByName(clashing), profile
 
 
 def append_new(df: DataFrame, path: str, fmt: str = "parquet") -> WriteResult:

@@ -16,11 +16,13 @@ Two de-duplication modes:
 * ``dedup="table"`` (default): every micro-batch appends only readings the
   table does not hold yet.  Exact against everything ever written, batch
   ingests included; reads the table partitions that the batch touches.
-* ``dedup="state"``: repeats are first dropped by Spark's state, within
-  ``dedup_delay`` of the newest event time; the table is then asked as in
-  the other mode.  Spark's operator also drops readings that lie further
-  behind; they stay in the landing folder and ``plans.ingest.merge_late``
-  adds and counts them.
+* ``dedup="state"``: valid rows that repeat a reading word for word are first
+  dropped by Spark's state, within ``dedup_delay`` of the newest event time of
+  a valid row; the table is then asked as in the other mode, so a row that
+  repeats an identity with other content is a conflict there as well.
+  Rejected rows pass beside the state and its watermark.  Spark's operator
+  also drops valid readings that lie further behind; they stay in the landing
+  folder and ``plans.ingest.merge_late`` adds and counts them.
 
 Per-batch metrics go to a small table partitioned by stream and batch and
 overwritten per partition, so a replay rewrites the same row.
@@ -36,7 +38,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import model
 from sensorlake.functions.timestamps import require_fixed_zone
-from sensorlake.operators.dedup import KEY, dedup_stream
+from sensorlake.operators.dedup import CONTENT, IDENTITY, dedup_stream
 from sensorlake.operators.derive import EVENT_TIME, STAMP
 from sensorlake.plans.ingest import accepted_rows, conflict_rows, rejected_rows, staged_rows, valid_flag
 from sensorlake.session import remove_path
@@ -107,15 +109,16 @@ def start_ingest(
     raw = readings_stream(spark, root, glob=glob, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
     staged = staged_rows(raw).withColumn(STAMP, F.current_timestamp())
     if dedup == "state":
-        # Only valid rows are repeats of each other: every other row has an identity of its own.
-        own = F.when(valid_flag(), F.col(KEY)).otherwise(F.uuid())
-        time = F.coalesce(F.col(EVENT_TIME), F.current_timestamp())
-        staged = (
-            staged.withColumns({"_key": own, "_time": time})
+        # A copy of the time carries the watermark, so that both sides have the same columns.
+        said = [EVENT_TIME if c == "timestamp" else c for c in CONTENT]
+        once = (
+            staged.filter(valid_flag())
+            .withColumn("_time", F.col(EVENT_TIME))
             .withWatermark("_time", dedup_delay)
-            .dropDuplicatesWithinWatermark(["_key", "site", "type", "year", "month", "day"])
-            .drop("_key", "_time")
+            .dropDuplicatesWithinWatermark([*IDENTITY, *said])
+            .drop("_time")
         )
+        staged = once.unionByName(staged.filter(~valid_flag()))
     stream, markers = stream_id(checkpoint), f"{checkpoint.rstrip('/')}/_steps"
 
     def process(batch: DataFrame, batch_id: int) -> None:

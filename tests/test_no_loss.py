@@ -154,6 +154,42 @@ def test_rows_behind_the_watermark_are_merged_and_counted(spark, tmp_path):
     assert merge_late(spark, root, wh, multi_line=True) == 0
 
 
+def test_state_mode_accounts_for_conflicts_rejected_and_late_rows(spark, tmp_path):
+    root, wh, qu, metrics, alerts, latest, summary = (str(tmp_path / n) for n in ("raw", "wh", "qu", "metrics", "alerts", "latest", "summary"))
+    views = dict(quarantine_path=qu, alerts_path=alerts, latest_path=latest, summary_path=summary)
+    options = dict(multi_line=True, available_now=True, max_files_per_trigger=1, dedup="state", dedup_delay="1 hour", metrics_path=metrics, **views)
+    day = "2026-01-08T1{}:00:00".format
+    files = [
+        reading(sensor_id="x", value=20.0, timestamp=day(0)),
+        reading(sensor_id="x", value=21.0, timestamp=day(0)),  # a conflict of one time
+        reading(sensor_id="x", value=22.0, timestamp=day(1)),
+        reading(sensor_id="x", value=20.0, timestamp=day(0)),  # a repeat
+        reading(sensor_id="old", value=-1.0, timestamp="2026-01-01T10:00:00"),
+        reading(sensor_id="bad", timestamp="no time"),
+        reading(sensor_id="y", value=20.0, timestamp=day(1)),  # its watermark is not moved by the row before
+        reading(sensor_id="z", value=99.0, timestamp="2026-01-02T10:00:00"),
+        reading(sensor_id="y", value=23.0, timestamp="2026-01-08T09:00:00"),  # a late conflict
+    ]
+    for i, row in enumerate(files):
+        land(root, row, f"r{i}")
+        os.utime(f"{root}/temperature/r{i}.json", (1_760_000_000 + i, 1_760_000_000 + i))
+    start_ingest(spark, root, wh, str(tmp_path / "ck"), **options).awaitTermination()
+    assert [(s, v) for s, _, v in stored(spark, wh)] == [("x", 20.0), ("y", 20.0)]
+    reasons = lambda: sorted((r.sensor_id, r.value, *r.reject_reasons) for r in spark.read.parquet(qu).collect())
+    conflict, met = "repeated_id_with_other_content", [("bad", 20.0, "timestamp_unreadable"), ("old", -1.0, "negative_value")]
+    met = [(i, reading()["value"] if i == "bad" else v, r) for i, v, r in met]
+    assert reasons() == sorted([*met, ("x", 21.0, conflict), ("x", 22.0, conflict)])
+    sums = spark.read.parquet(metrics).agg(*[F.sum(c) for c in ("rows_read", "rows_valid", "rows_rejected", "rows_written")]).first()
+    assert tuple(sums) in ((6, 4, 2, 2), (7, 5, 2, 2))  # the repeat is behind the watermark or known to the state
+    assert merge_late(spark, root, wh, multi_line=True, **views) == 1
+    assert [(s, v) for s, _, v in stored(spark, wh)] == [("x", 20.0), ("y", 20.0), ("z", 99.0)]
+    assert reasons() == sorted([*met, ("x", 21.0, conflict), ("x", 22.0, conflict), ("y", 23.0, conflict)])
+    assert [r.sensor_id for r in read_alerts(spark, alerts).collect()] == ["z"]
+    assert reports.stats_by_type(read_summary(spark, summary)).first().total_mesures == read_latest(spark, latest).count() == 3
+    assert merge_late(spark, root, wh, multi_line=True, **views) == 0
+    assert reports.stats_by_type(read_summary(spark, summary)).first().total_mesures == 3 and len(reasons()) == 5
+
+
 def test_a_second_value_in_a_multi_line_file_is_not_silent(spark, tmp_path):
     root, wh, qu = (str(tmp_path / n) for n in ("raw", "wh", "qu"))
     write_text(f"{root}/temperature/lines.json", '{"sensor_id": "a"}\n{"sensor_id": "b"}\n')
