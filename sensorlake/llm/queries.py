@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm.chat_format import format_chats, read_back
-from sensorlake.llm import exact_dedup, lm_scoring, mixing, quality_rules
+from sensorlake.llm import exact_dedup, filter_audit, lm_scoring, mixing, quality_rules
 from sensorlake.llm.common import materialise, table
 from sensorlake.llm.jaccard_join import near_copies
 from sensorlake.llm.line_dedup import LineIndex
@@ -112,6 +112,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("drawn")).alias("taken"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_audit.text_masks(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return filter_audit.audit(filter_audit.mask_counts(masks, table(spark, sf_dir, "labels")))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -124,6 +129,7 @@ def registry() -> dict[str, Query]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_mixing": op10_mixing,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -133,6 +139,7 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_format": _OP2,
+        "op13_filter_audit": _OP13,
         "op5_exact_dedup": """
             SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, g.h AS text_sha256
             FROM (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents) d
@@ -168,3 +175,36 @@ _OP2 = r"""
         CAST(sum(length(body) + 7 + CASE WHEN first THEN 4 + length(head) + 7 + 1 ELSE 0 END) AS BIGINT) AS formatted_chars
     FROM escaped GROUP BY conv_id
 """
+
+
+_OP13 = r"""
+    WITH said AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS bad FROM labels GROUP BY doc_id),
+    split AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    marked AS (SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, {
+        'A': len(words) < 50,
+        'B': 100 * len(list_distinct(words)) < 65 * len(words),
+        'C': 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body),
+        'D': regexp_matches(body, '[#$%&*|]'),
+        'E': coalesce(split.doc_id > min(split.doc_id) OVER (PARTITION BY body), FALSE)} AS f
+        FROM split LEFT JOIN said ON split.doc_id = said.doc_id),
+    masked AS (SELECT part, (CASE WHEN f.A THEN 'A' ELSE '' END) || (CASE WHEN f.B THEN 'B' ELSE '' END) || (CASE WHEN f.C THEN 'C' ELSE '' END)
+        || (CASE WHEN f.D THEN 'D' ELSE '' END) || (CASE WHEN f.E THEN 'E' ELSE '' END) AS mask, count(*) AS n, sum(good) AS good, sum(bad) AS bad
+        FROM marked GROUP BY 1, 2),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    steps AS (SELECT o, s, substr(o, s, 1) AS x FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s)),
+    removal AS (SELECT part, mask, n, good, bad, o,
+        coalesce((SELECT min(instr(o, substr(mask, k, 1))) FROM (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE k <= length(mask)), 6) AS at FROM masked, orders),
+    counted AS (SELECT r.part, t.o, t.s, t.x,
+        sum(CASE WHEN r.at > t.s THEN n ELSE 0 END) AS kept, sum(CASE WHEN r.at = t.s THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN r.at < t.s AND instr(r.mask, t.x) > 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN r.mask = t.x THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN r.at = t.s THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN r.at = t.s THEN bad ELSE 0 END) AS toxic_lost
+        FROM removal r JOIN steps t ON r.o = t.o GROUP BY 1, 2, 3, 4)
+    SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+        CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+        CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+    FROM counted
+"""

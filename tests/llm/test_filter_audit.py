@@ -1,0 +1,108 @@
+"""Filter audit against applying the filters one after the other, order by order."""
+
+from itertools import permutations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_helpers import SF, docs  # noqa: F401
+from sensorlake.llm.filter_audit import FILTERS, MEASURES, audit, audit_counts, mask_counts, min_plus, orders_of, text_masks
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def fails(rows):
+    """Per row the set of letters that it fails, by the definitions."""
+    out = []
+    for ident, text, _ in rows:
+        t = text or ""
+        words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", t) if w]
+        f = set()
+        if len(words) < 50:
+            f.add("A")
+        if 100 * len(set(words)) < 65 * len(words):
+            f.add("B")
+        if 100 * sum("A" <= c <= "Z" for c in t) > 5 * len(t):
+            f.add("C")
+        if set(t) & set("#$%&*|"):
+            f.add("D")
+        if ident is not None and any(o is not None and o < ident and (x or "") == t for o, x, _ in rows):
+            f.add("E")
+        out.append(f)
+    return out
+
+
+def brute(rows, labels):
+    good = {i for i, q, _ in labels if q == 1} - {None}  # a label without identifier is nobody's
+    toxic = {i for i, _, t in labels if t == 1} - {None}
+    failing, out = fails(rows), {}
+    for part in {r[2] or "" for r in rows}:
+        own = [(r[0], f) for r, f in zip(rows, failing) if (r[2] or "") == part]
+        for order in permutations("ABCDE"):
+            left = list(own)
+            for step, x in enumerate(order, 1):
+                gone = [i for i, f in left if x in f]
+                n_failing = sum(x in f for _, f in own)
+                left = [(i, f) for i, f in left if x not in f]
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), n_failing - len(gone), sum(f == {x} for _, f in own), sum(i in good for i in gone), sum(i in toxic for i in gone)
+                ]
+        for order in permutations("ABCDE"):
+            for step, x in enumerate(order, 1):
+                total = sum(out[part, o, s][1] for o, s in ((o, o.index(x) + 1) for o in map("".join, permutations("ABCDE"))))
+                out[part, "".join(order), step].append(total)
+    return out
+
+
+def audited(spark, frame, labels):
+    rows = audit(mask_counts(text_masks(frame), spark.createDataFrame(labels, LABELS))).collect()
+    return {(r["part"], r["filter_order"], r["step"]): [r[c] for c in MEASURES] for r in rows}
+
+
+LONG = " ".join(f"word{i}" for i in range(60))
+CASES = [
+    (1, LONG, "a"), (2, LONG, "a"), (2, LONG, "b"), (3, LONG, None), (3, LONG, ""), (None, LONG, "a"), (None, None, "a"), (4, None, "a"), (5, "", "b"),
+    (6, "SHOUT " * 80, "a"), (7, "same " * 80 + "#", "a"), (8, LONG + " | $", "b"), (9, "ÉÉ   x\x0by\x1cz", "b"), (10, LONG.upper(), "b"),
+    (10, LONG.upper(), "b"), (11, LONG.upper(), "b"), (12, "A" + "a" * 19, "c"), (13, "A" + "a" * 18, "c"), (14, " ".join(["w"] * 18 + [f"u{i}" for i in range(32)]), "c"),
+]
+
+
+def test_against_one_order_after_the_other(spark, docs):  # noqa: F811
+    labels = [(1, 1, 0), (2, 0, 1), (2, 1, None), (6, None, 1), (7, 0, 0), (10, 1, 1), (11, 1, 0), (99, 1, 1), (None, 1, 1)]
+    frame = docs(CASES, **{c: F.lit("x") for c in ("ident", "part", "mask", "n", "digest", "counts")})
+    assert audited(spark, frame, labels) == brute(CASES, labels)
+
+
+def test_given_table_of_the_smallest_size(spark, sample):  # noqa: F811
+    labels = [(r["doc_id"], r["quality"], r["toxic"]) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    assert audited(spark, frame, labels) == brute(sample, labels)
+
+
+def test_empty_tables(spark, docs):  # noqa: F811
+    assert audited(spark, docs(CASES).filter(F.lit(False)), []) == {}
+    assert len(audited(spark, docs(CASES[:1]), [])) == 600
+
+
+def test_a_text_shared_by_most_rows_is_counted_before_it_is_shuffled(spark, docs):  # noqa: F811
+    rows = [(i, "copy", "hot") for i in range(3000)] + [(i, f"own {i}", "cold") for i in range(5000, 5010)]
+    got = {(r["part"], r["mask"]): r["n"] for r in mask_counts(text_masks(docs(rows)), spark.createDataFrame([], LABELS)).collect()}
+    assert got == {("hot", 1): 1, ("hot", 17): 2999, ("cold", 1): 10}
+
+
+def test_min_plus_and_positions():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 9, (4, 3)), rng.integers(0, 9, (3, 5))
+    assert (min_plus(a, b) == [[min(a[i, k] + b[k, j] for k in range(3)) for j in range(5)] for i in range(4)]).all()
+    orders, position = orders_of(4)
+    assert all(orders[i, position[i, f]] == f for i in range(len(orders)) for f in range(4))
+    with pytest.raises(ValueError):
+        orders_of(9)
+
+
+def test_other_numbers_of_filters():
+    masks = np.array([0, 1, 2, 3])
+    got = audit_counts(masks, np.array([[5, 1, 0], [3, 0, 1], [2, 2, 2], [7, 0, 0]]), 2)
+    assert got["removed"].tolist() == [[10, 2], [9, 3]] and got["redundant"].tolist() == [[0, 7], [0, 7]]
+    assert got["shapley"].tolist() == [[13, 11], [11, 13]] and FILTERS == "ABCDE"
