@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm.chat_format import format_chats, read_back
-from sensorlake.llm import exact_dedup, filter_audit, lm_scoring, mixing, quality_rules
+from sensorlake.llm import exact_dedup, filter_audit, lm_scoring, mixing, periodic_runs, quality_rules
 from sensorlake.llm.common import materialise, table
 from sensorlake.llm.jaccard_join import near_copies
 from sensorlake.llm.line_dedup import LineIndex
@@ -112,6 +114,34 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("drawn")).alias("taken"))
 
 
+def periodic_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The contract's planted tails: in one document of ten the words from some place on repeat the first of them."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g, i = h // 10, np.arange(n)
+    a = g % n
+    return np.where(i >= a, a + (i - a) % (1 + (n - a) // (3 + g % 8)), i)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), reorder=periodic_tail)
+    of = lambda r, *names: F.concat_ws(",", *(r[x].cast("string") for x in names))
+    written = F.transform("runs", lambda r: F.concat(of(r, "start", "length", "period"), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    return found.select("doc_id", "n_words", "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     masks = filter_audit.text_masks(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return filter_audit.audit(filter_audit.mask_counts(masks, table(spark, sf_dir, "labels")))
@@ -129,6 +159,7 @@ def registry() -> dict[str, Query]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_mixing": op10_mixing,
+        "op12_periodic_runs": op12_periodic_runs,
         "op13_filter_audit": op13_filter_audit,
     }
 
