@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm.chat_format import format_chats, read_back
-from sensorlake.llm import exact_dedup, filter_audit, lm_scoring, mixing, periodic_runs, quality_rules
+from sensorlake.llm import exact_dedup, filter_audit, lm_scoring, mixing, packing, periodic_runs, quality_rules
 from sensorlake.llm.common import materialise, table
 from sensorlake.llm.jaccard_join import near_copies
 from sensorlake.llm.line_dedup import LineIndex
@@ -22,6 +22,7 @@ from sensorlake.llm.token_counts import count_tokens
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "piece_bpe_32k.model"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +115,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("drawn")).alias("taken"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path(BYTE_VOCABULARY), end_id=1, columns={"ids_crc32": F.crc32})
+
+
 def periodic_tail(doc_id: int | None, n: int) -> np.ndarray | None:
     """The contract's planted tails: in one document of ten the words from some place on repeat the first of them."""
     h = zlib.crc32(str(doc_id).encode())
@@ -159,6 +165,7 @@ def registry() -> dict[str, Query]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_mixing": op10_mixing,
+        "op11_packing": op11_packing,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_filter_audit": op13_filter_audit,
     }
