@@ -146,10 +146,17 @@ def _table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def timestamp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 + T2: every ``events.ts`` written in one of thirteen text forms, parsed back; the unreadable ones are null."""
+    """T1 + T2: every ``events.ts`` written in one of thirteen text forms, parsed back; null where words stand
+    before or behind it, or a half of the day."""
     ev = read_table(spark, sf_dir, "events")
     text = time_text_variants(F.col("ts"), F.col("event_id"))
-    text = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("at "), text)).otherwise(text)
+    text = (
+        F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("at "), text))
+        .when(F.col("event_id") % 89 == 0, F.date_format("ts", "yyyy-MM-dd hh:mm a"))
+        .when(F.col("event_id") % 83 == 0, F.concat(text, F.lit(" broken")))
+        .when(F.col("event_id") % 79 == 0, F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(" PST")))
+        .otherwise(text)
+    )
     return ev.select(
         F.col("event_id").cast("string").alias("sensor_id"),
         parse_timestamp(text).cast("timestamp_ntz").alias("timestamp"),
@@ -640,7 +647,7 @@ SELECT type, COUNT(*) AS "count", ROUND(AVG(value) + 1e-9, 2) AS mean,
 FROM sensor_data GROUP BY type ORDER BY type"""),
         "timestamp_parse": """
 SELECT CAST(event_id AS VARCHAR) AS sensor_id,
-       CASE WHEN event_id % 97 = 0 THEN NULL
+       CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 OR event_id % 79 = 0 THEN NULL
             WHEN event_id % 13 IN (2, 3, 5, 11) THEN date_trunc('second', ts)
             WHEN event_id % 13 = 7 THEN date_trunc('minute', ts)
             ELSE date_trunc('millisecond', ts) END AS timestamp

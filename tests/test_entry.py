@@ -57,6 +57,34 @@ def test_query_matches_oracle(spark, duck, name):
     assert a == b
 
 
+def _queries_without(tmp_path, folders=(), libraries=()):
+    """Names of the queries of a copy of the library without some folders, where some libraries cannot be imported."""
+    import shutil
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    skip = shutil.ignore_patterns(".git", "__pycache__", *(os.path.basename(f) for f in folders))
+    shutil.copytree(repo, tmp_path / "copy", ignore=skip)
+    code = (
+        "import sys\n"
+        f"for name in {list(libraries)!r}: sys.modules[name] = None\n"
+        "import __spark_entry__ as e\n"
+        "assert set(e.oracle_sql()) <= set(e.queries())\n"
+        "print(*sorted(e.queries()))"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", check=True, timeout=120, capture_output=True, text=True)
+    return set(done.stdout.split())
+
+
+def test_core_queries_without_the_optional_part(tmp_path):
+    assert _queries_without(tmp_path, folders=("sensorlake/llm", "tests/llm", "corpus_pipeline.py")) == set(core.registry())
+
+
+def test_core_queries_without_the_optional_libraries(tmp_path):
+    assert _queries_without(tmp_path, libraries=("public_tokenizers", "sentencepiece", "tokenizers", "tiktoken", "xxhash")) == set(core.registry())
+
+
 def test_modules_import_without_a_session():
     import subprocess
     import sys

@@ -24,6 +24,11 @@ CASES = [
     # what follows is no zone
     ("2026-01-08T14:30:45 12!", None),
     ("2026-01-08 and more 7", None),
+    *[(f"2026-01-08{t}", None) for t in (
+        " 02:30 PM", " 02:30:00 am", "T10:00:00 sensor broken", " garbage", " PST", " Europe/Paris", "-05", " 10:00 and/or", "T10:00:00[PM]", "T10:00:00 zz", "T10:00:00ZPM",
+        "T10:00:00 Europe", "T10:00:00 pst", "T10:00:00 ESTPST")],
+    *[(f"2026-01-08{t}", dt.datetime(2026, 1, 8)) for t in ("Z", "z", "+02:00", "-0500")],
+    *[(f"2026-01-08T10:00{z}", dt.datetime(2026, 1, 8, 10)) for z in (" Etc/GMT+3", "[UTC]", " UTC+01:00", " CEST", " NZDT")],
     ("2026-01-08", dt.datetime(2026, 1, 8)),
     ("2026-01-08T14:30", dt.datetime(2026, 1, 8, 14, 30)),
     ("  2026-01-08T14:30:45.5  ", dt.datetime(2026, 1, 8, 14, 30, 45, 500000)),
