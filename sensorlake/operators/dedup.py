@@ -53,43 +53,32 @@ def partition_profile(batch: DataFrame) -> PartitionProfile:
     return PartitionProfile([tuple(r) for r in batch.groupBy(*model.PARTITION_COLUMNS).count().collect()])
 
 
-def _same(a: str, b: str) -> Column:
-    return F.col(a).eqNullSafe(F.col(b))
+#: What becomes of a reading of a batch: it is appended, the table or the batch has it word for word, or it contradicts one of them.
+STATUS = "_status"
+NEW, REPEATED, CONFLICTING = "new", "repeated", "conflicting"
 
 
-def distinct_readings(rows: DataFrame) -> DataFrame:
-    """Rows that differ in identity or content, once each (their stamp is the earliest)."""
+def decide(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The distinct readings (identity and content) of ``rows`` with their ``STATUS``, in one pass over both sides.
+
+    Batch and table rows that say the same collapse in a hash aggregate before anything is sorted; what is left of an
+    identity is ranked in one window, the table's rows first.  A reading that the table holds is repeated; another one
+    of an identity that the table holds is conflicting; of the others the first by content is new."""
     keys = [*IDENTITY, *CONTENT]
     rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest]).select(*rows.columns)
-
-
-def split_repeats(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(the row of each identity that stays, conflicting rows), both lazy."""
-    once = distinct_readings(rows)
-    twice = once.groupBy(*IDENTITY).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
-    marked = once.join(twice, list(IDENTITY), "left").select(*rows.columns, "_times")
-    rank = F.row_number().over(Window.partitionBy(*IDENTITY).orderBy(*CONTENT))
-    ranked = marked.filter("_times is not null").withColumn("_rank", rank)
-    alone = marked.filter("_times is null").drop("_times")
-    kept = alone.unionByName(ranked.filter("_rank = 1").drop("_times", "_rank"))
-    return kept, ranked.filter("_rank > 1").drop("_times", "_rank")
-
-
-def against_table(rows: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows whose identity ``existing`` does not hold, rows that it holds with other content)."""
-    held = existing.select(*[F.col(c).alias(f"_{c}") for c in (*IDENTITY, *CONTENT)])
-    by_identity = [_same(c, f"_{c}") for c in IDENTITY]
-    new = rows.join(held, by_identity, "left_anti")
-    met = rows.join(held, by_identity, "inner")
-    same = _same("timestamp", "_timestamp") & _same("value", "_value") & _same("unit", "_unit") & _same("machine", "_machine")
-    return new, met.filter(~same).select(*rows.columns)
-
-
-def not_held(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows that ``existing`` does not hold word for word."""
-    held = existing.select(*[F.col(c).alias(f"_{c}") for c in (*IDENTITY, *CONTENT)])
-    return rows.join(held, [_same(c, f"_{c}") for c in (*IDENTITY, *CONTENT)], "left_anti")
+    both = rows.select(*keys, *rest, F.lit(1).alias("_side"))
+    if existing is not None:
+        held = existing.select(*keys, *(F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rest), F.lit(0).alias("_side"))
+        both = both.unionByName(held)
+    once = both.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest], F.min("_side").alias("_first"), F.max("_side").alias("_last"))
+    by_identity = Window.partitionBy(*IDENTITY)
+    ranked = once.withColumns(
+        {"_held": F.min("_first").over(by_identity) == 0, "_rank": F.row_number().over(by_identity.orderBy("_first", *CONTENT))}
+    )
+    status = (
+        F.when(F.col("_first") == 0, REPEATED).when(F.col("_held") | (F.col("_rank") > 1), CONFLICTING).otherwise(NEW)
+    )
+    return ranked.filter("_last = 1").select(*rows.columns, status.alias(STATUS))
 
 
 def dedup_stream(df: DataFrame, delay: str = "1 day", event_time: str = "timestamp") -> DataFrame:

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from sensorlake import model
 from sensorlake.functions.timestamps import require_fixed_zone
 from sensorlake.operators.cleaning import normalise, with_reject_reasons
-from sensorlake.operators.dedup import CONTENT, IDENTITY, partition_profile, split_repeats
+from sensorlake.operators.dedup import CONFLICTING, CONTENT, IDENTITY, NEW, STATUS, decide, partition_profile
 from sensorlake.operators.derive import EVENT_TIME, STAMP, warehouse_columns, with_calendar, with_event_time
 from sensorlake.session import observation, remove_path, scratch_path
-from sensorlake.sinks.warehouse import new_rows, write_quarantine, write_warehouse, writer_count
+from sensorlake.sinks.warehouse import decided_rows, with_status, write_quarantine, write_warehouse, writer_count
 from sensorlake.sources.json_files import JSON_GLOB, mark_unread_rest, read_json, sensor_dirs
 
 REASONS = "reject_reasons"
@@ -74,7 +74,6 @@ def _rejected_columns(staged: DataFrame) -> list[str]:
 
 
 CONFLICT = "repeated_id_with_other_content"
-CLASH = "_conflicting"
 
 
 def conflict_rows(conflicts: DataFrame, staged: DataFrame) -> DataFrame:
@@ -116,22 +115,22 @@ def ingest_frame(
         rows = accepted_rows(table)
         if mode == "overwrite":
             profile = partition_profile(rows)
-            new, conflicts = split_repeats(rows)
+            decisions = decide(rows)
         else:
-            new, conflicts, profile = new_rows(rows, warehouse_path, fmt)
+            decisions, profile = decided_rows(rows, warehouse_path, fmt)
         if not profile.empty:
             # Decided once, before the write: afterwards the table holds the new rows.
             clashes = observation("conflicts")
-            marked = new.withColumn(CLASH, F.lit(False)).unionByName(conflicts.withColumn(CLASH, F.lit(True)))
-            marked.observe(clashes, F.count_if(F.col(CLASH)).alias("n")).write.parquet(f"{stage_path}-decided")
-            decided = spark.read.schema(marked.schema).parquet(f"{stage_path}-decided")
+            met = F.count_if(F.col(STATUS) == CONFLICTING).alias("n")
+            decisions.observe(clashes, met).write.parquet(f"{stage_path}-decided")
+            decided = spark.read.schema(decisions.schema).parquet(f"{stage_path}-decided")
             report.conflicting = int(clashes.get["n"] or 0)
             if quarantine_path and (report.rejected or report.conflicting):
                 rejected = rejected_rows(table)
                 if report.conflicting:
-                    rejected = rejected.unionByName(conflict_rows(decided.filter(CLASH).drop(CLASH), table))
+                    rejected = rejected.unionByName(conflict_rows(with_status(decided, CONFLICTING), table))
                 report.quarantined = write_quarantine(rejected, quarantine_path, fmt)
-            fresh = decided.filter(~F.col(CLASH)).drop(CLASH)
+            fresh = with_status(decided, NEW)
             if on_new is not None:
                 on_new(fresh)
             result = write_warehouse(fresh, warehouse_path, mode, fmt, writer_count(spark, profile))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import model
-from sensorlake.operators.dedup import PartitionProfile, against_table, not_held, partition_profile, split_repeats
+from sensorlake.operators.dedup import CONFLICTING, NEW, STATUS, PartitionProfile, decide, partition_profile
 from sensorlake.session import observation, remove_path
 from sensorlake.sources.warehouse import read_partitions, read_warehouse, table_exists
 
@@ -69,25 +69,25 @@ def write_warehouse(df: DataFrame, path: str, mode: str = "append", fmt: str = "
     return WriteResult(int(m.get("written") or 0), int(m.get("alerts") or 0))
 
 
-def new_rows(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame, PartitionProfile]:
-    """(rows of ``df`` to append, conflicting rows, profile of ``df``), the first two lazy.
+def decided_rows(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, PartitionProfile]:
+    """The readings of ``df`` that are new or conflicting, with their ``STATUS`` (lazy), and the profile of ``df``.
 
-    Only the table partitions that ``df`` touches are read."""
+    Only the table partitions that ``df`` touches are read, once."""
     profile = partition_profile(df)
-    kept, conflicts = split_repeats(df)
     existing = read_partitions(df.sparkSession, path, profile.partitions, fmt)
-    if existing is None:
-        return kept, conflicts, profile
-    new, clashing = against_table(kept, existing)
-    return new, not_held(conflicts, existing).unionByName(clashing), profile
+    return decide(df, existing).filter(F.col(STATUS).isin(NEW, CONFLICTING)), profile
+
+
+def with_status(decided: DataFrame, status: str) -> DataFrame:
+    return decided.filter(F.col(STATUS) == status).drop(STATUS)
 
 
 def append_new(df: DataFrame, path: str, fmt: str = "parquet") -> WriteResult:
     """Idempotent append: only readings that the table does not hold are written."""
-    rows, _, profile = new_rows(df, path, fmt)
+    decided, profile = decided_rows(df, path, fmt)
     if profile.empty:
         return WriteResult(0, 0)
-    return write_warehouse(rows, path, "append", fmt, writer_count(df.sparkSession, profile))
+    return write_warehouse(with_status(decided, NEW), path, "append", fmt, writer_count(df.sparkSession, profile))
 
 
 QUARANTINE_ID = "quarantine_id"

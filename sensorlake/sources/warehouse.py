@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import model
+from sensorlake.session import list_names
 from sensorlake.sources.json_files import path_exists
 
 
@@ -45,14 +46,20 @@ def partition_dir(partition: Iterable) -> str:
 def read_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple], fmt: str = "parquet") -> DataFrame | None:
     """The rows of the given (site, type, year, month, day) partitions; None if there are none of them.
 
-    Only their directories are listed, not the table's whole tree."""
+    Only their directories are listed, a month of a site and type at a time, not the table's whole tree."""
     partitions = list(partitions)
     if not partitions or not table_exists(spark, path):
         return None
     if fmt not in FILE_FORMATS:
         wanted = spark.createDataFrame(partitions, ", ".join(f"{c} {model.WAREHOUSE_SCHEMA[c].dataType.simpleString()}" for c in model.PARTITION_COLUMNS))
         return read_warehouse(spark, path, fmt).join(F.broadcast(wanted), list(model.PARTITION_COLUMNS), "left_semi").select(*model.WAREHOUSE_COLUMNS)
-    dirs = [d for d in (f"{path.rstrip('/')}/{partition_dir(p)}" for p in partitions) if path_exists(spark, d)]
+    days_of: dict[str, list[str]] = {}
+    for p in partitions:
+        month, day = partition_dir(p).rsplit("/", 1)
+        days_of.setdefault(month, []).append(day)
+    root = path.rstrip("/")
+    held = {month: set(list_names(spark, f"{root}/{month}")) for month in days_of}
+    dirs = [f"{root}/{month}/{day}" for month, days in days_of.items() for day in days if day in held[month]]
     if not dirs:
         return None
     return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).option("basePath", path).load(dirs)

@@ -34,18 +34,22 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import model
 from sensorlake.functions.timestamps import require_fixed_zone
-from sensorlake.operators.dedup import CONTENT, IDENTITY, dedup_stream
+from sensorlake.operators.dedup import CONFLICTING, CONTENT, IDENTITY, NEW, STATUS
 from sensorlake.operators.derive import EVENT_TIME, STAMP
 from sensorlake.plans.ingest import accepted_rows, conflict_rows, rejected_rows, staged_rows, valid_flag
 from sensorlake.session import remove_path
-from sensorlake.sinks.warehouse import append_new, new_rows, write_quarantine, write_warehouse
+from sensorlake.sinks.warehouse import append_new, decided_rows, with_status, write_quarantine, write_warehouse
 from sensorlake.sources.json_files import JSON_GLOB, path_exists, sensor_glob, stream_json
 from sensorlake.streaming.latest import Steps, stream_id, update_latest, update_summary
 
+#: New and conflicting rows of a batch, as they are staged.
+DECIDED_SCHEMA = T.StructType([*model.WAREHOUSE_SCHEMA.fields, T.StructField(STATUS, T.StringType())])
+
 DEFAULT_TRIGGER = "5 seconds"
 # 5 files per sensor type and trigger; one source reads all types
 DEFAULT_MAX_FILES = 5 * len(model.SENSOR_TYPES)
@@ -125,22 +129,21 @@ def start_ingest(
         session = batch.sparkSession
         steps = Steps(session, markers, batch_id)
         folder = f"{checkpoint.rstrip('/')}/_staged/{batch_id}"
-        replay = path_exists(session, f"{folder}/new/_SUCCESS")
+        replay = path_exists(session, f"{folder}/decided/_SUCCESS")
         if replay:  # the rows are there; the batch is run for Spark's own state
             batch.write.format("noop").mode("overwrite").save()
         else:
             batch.write.mode("overwrite").parquet(f"{folder}/rows")
         rows = session.read.schema(batch.schema).parquet(f"{folder}/rows")
         if not replay:
-            fresh, conflicts, _ = new_rows(accepted_rows(rows), warehouse_path, fmt)
-            if quarantine_path:
-                conflict_rows(conflicts, rows).write.mode("overwrite").parquet(f"{folder}/conflicts")
-            fresh.write.mode("overwrite").parquet(f"{folder}/new")
-        new = session.read.schema(model.WAREHOUSE_SCHEMA).parquet(f"{folder}/new")
+            decided_rows(accepted_rows(rows), warehouse_path, fmt)[0].write.mode("overwrite").parquet(f"{folder}/decided")
+        decided = session.read.schema(DECIDED_SCHEMA).parquet(f"{folder}/decided")
+        new = with_status(decided, NEW)
         if quarantine_path:
-            rejected = rejected_rows(rows)
-            conflicting = session.read.schema(rejected.schema).parquet(f"{folder}/conflicts")
-            steps.once("quarantine", lambda: write_quarantine(rejected.unionByName(conflicting), quarantine_path, fmt))
+            rejected, clashing = rejected_rows(rows), with_status(decided, CONFLICTING)
+            if not clashing.isEmpty():
+                rejected = rejected.unionByName(conflict_rows(clashing, rows))
+            steps.once("quarantine", lambda: write_quarantine(rejected, quarantine_path, fmt))
         if alerts_path:
             steps.once("alerts", lambda: write_alerts(new, alerts_path, stream, batch_id))
         if latest_path:
@@ -148,7 +151,7 @@ def start_ingest(
         if summary_path:
             steps.once("summary", lambda: update_summary(new, summary_path, stream, batch_id))
         if metrics_path:
-            steps.once("metrics", lambda: write_batch_metrics(rows, new, metrics_path, stream, batch_id))
+            steps.once("metrics", lambda: write_batch_metrics(rows, decided, metrics_path, stream, batch_id))
         if replay:  # an earlier attempt may have written some of them
             append_new(new, warehouse_path, fmt)
         else:
@@ -181,15 +184,22 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("stream", "batch_id")
 
 
-def write_batch_metrics(staged: DataFrame, new: DataFrame, path: str, stream: str, batch_id: int) -> None:
-    """One row per micro-batch (read, valid, rejected, and of the valid those written and their alerts)."""
+def write_batch_metrics(staged: DataFrame, decided: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """One row per micro-batch: rows read, valid and rejected; of the valid those written and their alerts, those
+    in conflict with the table or each other, and the rest, which repeat a reading."""
     read = staged.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(valid_flag()).alias("rows_valid"),
         F.count_if(~valid_flag()).alias("rows_rejected"),
     )
-    kept = new.agg(F.count(F.lit(1)).alias("rows_written"), F.count_if("is_alert").alias("alerts"))
-    _write_part(read.join(kept).withColumn("processed_at", F.current_timestamp()), path, stream, batch_id)
+    kept = decided.agg(
+        F.count_if(F.col(STATUS) == NEW).alias("rows_written"),
+        F.count_if((F.col(STATUS) == NEW) & F.col("is_alert")).alias("alerts"),
+        F.count_if(F.col(STATUS) == CONFLICTING).alias("rows_conflicting"),
+    )
+    repeated = F.col("rows_valid") - F.col("rows_written") - F.col("rows_conflicting")
+    one = read.join(kept).withColumns({"rows_repeated": repeated, "processed_at": F.current_timestamp()})
+    _write_part(one, path, stream, batch_id)
 
 
 def start_raw_archive(

@@ -124,18 +124,42 @@ def _accepted(spark, root):
 
 
 def test_idempotent_append_plan(spark, tmp_path):
-    from sensorlake.sinks.warehouse import _for_writers, new_rows
+    from sensorlake.sinks.warehouse import _for_writers, decided_rows
 
     root, wh = str(tmp_path / "raw"), str(tmp_path / "wh")
     _land(root, 6)
     ingest_batch(spark, root, wh)
-    batch, conflicts, profile = new_rows(_accepted(spark, root), wh)
+    decided, profile = decided_rows(_accepted(spark, root), wh)
     assert profile.total == 6 and len(profile.partitions) == 1
-    plan = _plan(_for_writers(batch, 4))
-    assert "LeftAnti" in plan and "EvalPython" not in plan
+    plan = _plan(_for_writers(decided, 4))
+    # one pass: the batch and the touched partitions once each, no join
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan and "EvalPython" not in plan
     # writers: range partitioning with the unique key as the last field
     assert "rangepartitioning(site" in plan and "sensor_id" in plan.split("rangepartitioning(")[1].split(")")[0]
-    assert batch.count() == 0 and conflicts.count() == 0
+    assert decided.count() == 0
+
+
+def test_decisions(spark):
+    from sensorlake.operators.dedup import STATUS, decide
+
+    def rows(*given):
+        from datetime import datetime
+
+        full = [(i, "temperature", v, "C", site, m, datetime(2026, 1, 8, h), 2026, 1, 8, h, False, None) for i, site, v, m, h in given]
+        return spark.createDataFrame(full, model.WAREHOUSE_SCHEMA)
+
+    held = rows(("a", "S", 1.0, "m", 1), ("b", "S", 1.0, None, 1), ("b", "S", 2.0, None, 1), ("z", "S", 1.0, "m", 1))
+    batch = rows(
+        ("a", "S", 1.0, "m", 1), ("a", "S", 1.0, "m", 1), ("a", "S", 1.0, "m", 2), ("a", "T", 1.0, "m", 1), ("b", "S", 2.0, None, 1),
+        ("c", "S", 3.0, "m", 5), ("c", "S", 4.0, "m", 4), ("c", "S", 3.5, "m", 4), ("c", "S", 3.5, None, 4), ("d", "S", 1.0, "m", 0),
+    )
+    got = sorted((r.sensor_id, r.site, r.value, r.machine or "", r.hour, r[STATUS]) for r in decide(batch, held).collect())
+    assert got == [
+        ("a", "S", 1.0, "m", 1, "repeated"), ("a", "S", 1.0, "m", 2, "conflicting"), ("a", "T", 1.0, "m", 1, "new"), ("b", "S", 2.0, "", 1, "repeated"),
+        ("c", "S", 3.0, "m", 5, "conflicting"), ("c", "S", 3.5, "", 4, "new"), ("c", "S", 3.5, "m", 4, "conflicting"), ("c", "S", 4.0, "m", 4, "conflicting"),
+        ("d", "S", 1.0, "m", 0, "new"),
+    ]
+    assert [r[STATUS] for r in decide(rows(("a", "S", 1.0, "m", 1), ("a", "S", 1.0, "m", 1))).collect()] == ["new"]
 
 
 def test_only_touched_partitions_are_listed(spark, tmp_path):
