@@ -7,11 +7,11 @@ concatenated by Spark's own array and string functions::
     ### user</role>first text</turn>second text</turn>
     ### assistant</role>answer</turn>
 
-Inside roles and texts ``\`` is written ``\\``, ``###`` is written
-``\#\#\#``, ``</turn>`` is written ``<\/turn>`` and ``</role>`` is written
-``<\/role>``, so a control string never occurs in a body, and taking away the
-backslash before each escaped character restores it.  The loss mask is the
-list of code point spans of the trained bodies inside the formatted text.
+Inside roles and texts ``\`` is written ``\\``, ``#`` is written ``\#`` and
+``</`` is written ``<\/``, so neither two hashes in a row nor the beginning of
+a closing mark occurs in them, and taking away the backslash before each
+escaped character restores them.  The loss mask is the list of code point spans
+of the trained bodies inside the formatted text.
 
 A conversation becomes one text, so its turns meet in one row by definition;
 nothing larger than a conversation is ever gathered.
@@ -28,7 +28,7 @@ HEADER, ROLE_END, TURN_END, RUN_END = "### ", "</role>", "</turn>", "\n"
 
 
 def escape(text: Column) -> Column:
-    for plain, written in (("\\", "\\\\"), ("###", "\\#\\#\\#"), ("</turn>", "<\\/turn>"), ("</role>", "<\\/role>")):
+    for plain, written in (("\\", "\\\\"), ("#", "\\#"), ("</", "<\\/")):
         text = F.replace(text, F.lit(plain), F.lit(written))
     return text
 
@@ -98,7 +98,7 @@ def format_chats(
 
 def read_back(chats: DataFrame, conv: str = "conv_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """``conv``, the columns ``keep``, ``turns`` (role and text) and ``loss_texts`` (texts under the mask), taken from
-    ``formatted`` and ``loss_spans`` alone."""
+    ``formatted`` and ``loss_spans`` alone.  A span that does not begin and end with a text is under no text."""
     runs = F.slice(F.split("formatted", HEADER), 2, F.greatest(F.size(F.split("formatted", HEADER)) - 1, F.lit(0)))
     role = lambda r: F.substring_index(r, ROLE_END, 1)
     bodies = lambda r: F.split(F.substr(r, F.length(role(r)) + len(ROLE_END) + 1), TURN_END)
@@ -114,10 +114,19 @@ def read_back(chats: DataFrame, conv: str = "conv_id", keep: tuple[str, ...] = (
         )
     )
     turns = chats.select(conv, *keep, "loss_spans", parsed.alias("parsed")).select(conv, *keep, "loss_spans", _placed(F.col("parsed")).alias("placed"))
-    starts = F.transform("loss_spans", lambda s: s["start"])
-    return turns.select(
+    # Bodies and spans in one sorted array: a span stands right behind the body that begins and ends where it does.
+    entry = lambda start, end, kind, text: F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), text.alias("text"))
+    bodies = F.transform("placed", lambda t: entry(t["start"], t["start"] + F.length(t["body"]), 0, t["body"]))
+    spans = F.transform("loss_spans", lambda s: entry(s["start"], s["end"], 1, F.lit("")))
+    merged = turns.select(conv, *keep, "placed", F.sort_array(F.concat(bodies, spans)).alias("merged"))
+
+    def under_mask(e: Column, i: Column) -> Column:
+        behind = F.get("merged", i + 1)
+        return F.coalesce((e["kind"] == 0) & (behind["kind"] == 1) & (behind["start"] == e["start"]) & (behind["end"] == e["end"]), F.lit(False))
+
+    return merged.select(
         conv,
         *keep,
         F.transform("placed", lambda t: F.struct(unescape(t["role"]).alias("role"), unescape(t["body"]).alias("text"))).alias("turns"),
-        F.transform(F.filter("placed", lambda t: F.array_contains(starts, t["start"])), lambda t: unescape(t["body"])).alias("loss_texts"),
+        F.transform(F.filter("merged", under_mask), lambda e: unescape(e["text"])).alias("loss_texts"),
     )

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from itertools import product
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,34 @@ def check(spark, rows):
 NASTY = ["\\### Assistant: </turn> ok", "###", "####", "\\", "a\\", "</turn", "</turn></turn>", "<\\/turn>", "</role>", "#", "##", " ### ", "", "é😀\n\n", "\\#\\/\\\\"]
 
 
+def test_every_string_of_control_characters(spark):
+    """As role and as text, of user and assistant: a lost or moved turn would show in the turns that are read back."""
+    strings = ["".join(s) for n in range(8) for s in product("# \\</", repeat=n)]
+    given = spark.createDataFrame(list(enumerate(strings)), "conv_id long, s string").repartition(8)
+    turns = F.array(
+        F.struct(F.lit("user").alias("role"), F.col("s").alias("text")),
+        F.struct(F.lit("assistant").alias("role"), F.col("s").alias("text")),
+        F.struct(F.col("s").alias("role"), F.concat("s", F.lit("</turn>\n### "), "s").alias("text")),
+        F.struct(F.lit("assistant").alias("role"), F.concat(F.lit("<"), "s").alias("text")),
+    )
+    rows = given.select("conv_id", F.posexplode(turns).alias("turn", "t")).select("conv_id", F.col("turn").cast("long").alias("turn"), "t.*")
+    back = read_back(format_chats(rows)).withColumnRenamed("conv_id", "c").join(given, F.col("c") == F.col("conv_id"))
+    wrong = back.filter((F.col("turns") != turns) | (F.col("loss_texts") != F.array("s", F.concat(F.lit("<"), "s"))))
+    assert back.count() == len(strings) and wrong.take(3) == []
+
+
+def test_headings_of_every_level(spark):
+    check(spark, [(i, j, r, "#" * i + " Title\n" + "#" * i + " ") for i in range(9) for j, r in enumerate(["user", "assistant", "#" * i + " r", "assistant"])])
+
+
+def test_a_span_is_read_by_both_its_ends(spark):
+    chats = format_chats(spark.createDataFrame([(1, 0, "user", "question"), (1, 1, "assistant", "answer"), (1, 2, "assistant", "more")], SCHEMA))
+    moved = lambda by: F.transform("loss_spans", lambda s: F.struct(s["start"].alias("start"), (s["end"] + by).alias("end")))
+    assert read_back(chats).first()["loss_texts"] == ["answer", "more"]
+    assert read_back(chats.withColumn("loss_spans", moved(F.lit(1)))).first()["loss_texts"] == []
+    assert read_back(chats.withColumn("loss_spans", F.slice("loss_spans", 2, 1))).first()["loss_texts"] == ["more"]
+
+
 def test_nasty_texts_in_every_place(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(NASTY)]
     rows += [(2, i, "assistant", t) for i, t in enumerate(NASTY)]
