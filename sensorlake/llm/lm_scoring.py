@@ -1,10 +1,13 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation.
 
 Words are counted over all training documents.  Every word that occurs
-``LEAST`` times (and the ``CLASSES`` most frequent ones whatever their counts,
-and the end of a text) is a class of the model, as target and as context, so
-the model's words follow the corpus; every other word is the class of rare
-words.  The model predicts a word's class from the two classes before it: the
+``least_count`` times (and the ``CLASSES`` most frequent ones whatever their
+counts, and the end of a text) is a class of the model, as target and as
+context; every other word is the class of rare words.  That count is ``LEAST``
+for small corpora and grows with the 2/3 power of the tokens, so the model's
+words follow the corpus and are never more than ``SPREAD`` times the cube root
+of its tokens, whatever its words: that bounds what the driver and a worker
+hold (140 bytes a word).  The model predicts a word's class from the two classes before it: the
 score of class w is b[w] + R[w] . (C0 * Q[w1] + C1 * Q[w2]).  Classes lie in
 about as many groups as the root of their number, and groups have vectors of
 their own: P(class) = P(group) * P(class in its group), each normalised over
@@ -31,7 +34,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,8 +44,10 @@ from sensorlake.llm.words import word_hashes
 
 #: Words of the model, with the end of a text, at least; classes 0 and 1 are the rare words and the end.
 CLASSES = 1024
-#: Every word that occurs so often is a word of the model.
+#: Every word that occurs so often is a word of the model, in corpora of up to some 33 million tokens.
 LEAST = 128
+#: Beyond, of n tokens, one that occurs n^(2/3) / SPREAD times; so there are at most SPREAD * n^(1/3) of them.
+SPREAD = 800
 #: Words whose counts every worker holds, besides the model's.
 TOP = 1 << 16
 #: Rounds of training; each document belongs to one of them.
@@ -96,15 +101,21 @@ def count_words(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def vocabulary(counts: DataFrame, classes: int = CLASSES, top: int = TOP, least: int = LEAST) -> Vocabulary:
+def least_count(n: int) -> int:
+    return max(LEAST, -int(-(n ** (2 / 3)) // SPREAD))
+
+
+def vocabulary(counts: DataFrame, classes: int = CLASSES, top: int = TOP, least: int | None = None) -> Vocabulary:
     """The most frequent words, and the totals of all of them.
 
     Counts fall into classes of a sixteenth of a doubling; the words above the
     lowest boundary that leaves no more than ``top`` are taken, and the end.
-    Those that occur ``least`` times are taken in any case and are classes of
-    the model, as the first of the others up to ``classes``."""
+    Those that occur ``least`` times (``least_count`` of the corpus) are taken in
+    any case and are classes of the model, as the first of the others up to ``classes``."""
     size = F.floor(F.log2("c") * 16)
     spread = counts.groupBy(size.alias("size")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
+    n = sum(r["n"] for r in spread)
+    least = least_count(n) if least is None else least
     above, lowest = 0, None
     for r in sorted(spread, key=lambda r: -r["size"]):
         above += r["v"]
@@ -116,7 +127,6 @@ def vocabulary(counts: DataFrame, classes: int = CLASSES, top: int = TOP, least:
     words, c = (rows.column(x).to_numpy().astype(np.int64) for x in ("word", "c"))
     order = np.lexsort((words, -c))
     words, c = words[order].view(np.uint64), c[order]
-    n = sum(r["n"] for r in spread)
     own, others = np.full(len(words), RARE), np.flatnonzero(words != END)
     others = others[: max(classes - 2, int((c[others] >= least).sum()))]
     own[others], own[words == END] = np.arange(2, 2 + len(others)), END_CLASS
@@ -251,25 +261,32 @@ class Trainer:
         self.n += len(target)
 
 
-def train(training: DataFrame, vocab: Vocabulary, slices_of: int = 32, rounds: int = ROUNDS) -> Model:
+#: Parameters that are averaged together.
+SLICE = 1 << 16
+
+
+def train(training: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
     """``rounds`` rounds over the documents (column ``text``), each document in one of them by its hash;
     a round's start is the average of the tasks' parameters of the round before, by tokens.
 
     A task trains over as many tokens a round as there are parameters, or more,
-    so what the tasks send follows the corpus and not tasks times words."""
+    so what the tasks send follows the corpus and not tasks times words; but
+    there are as many tasks as the cluster has cores at least."""
     model = Model.start(vocab)
     sums = start_sums(model)
-    tasks = max(1, vocab.n // (rounds * sum(a.size for a in model.arrays() + sums)))
+    tasks = max(training.sparkSession.sparkContext.defaultParallelism, vocab.n // (rounds * sum(a.size for a in model.arrays() + sums)))
     text = training.select("text")
     for k in range(rounds):
         share = text.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).coalesce(tasks)
-        model, sums = _round(share, vocab, model, sums, slices_of, 3 + k)
+        model, sums = _round(share, vocab, model, sums, 3 + k)
     return model
 
 
-def _round(share: DataFrame, vocab: Vocabulary, start: Model, sums: list[np.ndarray], slices_of: int, seed: int) -> tuple[Model, list[np.ndarray]]:
-    """The average of the parameters, and of the sums of squares, of every task that trains over its part of ``share``."""
+def _round(share: DataFrame, vocab: Vocabulary, start: Model, sums: list[np.ndarray], seed: int) -> tuple[Model, list[np.ndarray]]:
+    """The average of the parameters, and of the sums of squares, of every task that trains over its part of ``share``.
+    A slice's parameters are added in the order of the tasks, so reruns agree to the last bit."""
     sent: Broadcast = share.sparkSession.sparkContext.broadcast((vocab, start, sums))
+    n_slices = -(-sum(a.size for a in start.arrays() + sums) // SLICE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = None
@@ -284,19 +301,30 @@ def _round(share: DataFrame, vocab: Vocabulary, start: Model, sums: list[np.ndar
                     part = slice(a, a + MINIBATCH)
                     trainer.learn(target[part], near[part], far[part])
         if trainer:
-            for i, p in enumerate(np.array_split(_flat(trainer.m.arrays() + trainer.sums), slices_of)):
-                columns = [pa.array([i], pa.int32()), pa.array([p.tobytes()], pa.binary()), pa.array([trainer.n], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["part", "values", "n"])
+            task = TaskContext.get().partitionId()
+            for i, p in enumerate(np.array_split(_flat(trainer.m.arrays() + trainer.sums), n_slices)):
+                columns = [pa.array([i], pa.int32()), pa.array([task], pa.int32()), pa.array([p.tobytes()], pa.binary()), pa.array([trainer.n], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "task", "values", "n"])
 
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = 0.0, 0
-        for batch in batches:
-            for values, k in zip(batch.column("values"), batch.column("n").to_pylist()):
-                total, n = total + np.frombuffer(values.as_py(), np.float32).astype(np.float64) * k, n + k
-        mean = (total / n).astype(np.float32).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([mean], pa.binary())], names=["part", "mean"])
+    def mean(part: int, total: np.ndarray, n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())], names=["part", "mean"])
 
-    rows = share.mapInArrow(run, "part int, values binary, n long").groupBy("part").applyInArrow(add, "part int, mean binary").collect()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total, n = None, None, 0
+        for batch in batches:
+            for part, values, k in zip(batch.column("part").to_pylist(), batch.column("values"), batch.column("n").to_pylist()):
+                own = np.frombuffer(values.as_py(), np.float32).astype(np.float64) * k
+                if part != at:
+                    if at is not None:
+                        yield mean(at, total, n)
+                    at, total, n = part, own, k
+                else:
+                    total, n = total + own, n + k
+        if at is not None:
+            yield mean(at, total, n)
+
+    trained = share.mapInArrow(run, "part int, task int, values binary, n long")
+    rows = trained.repartition("part").sortWithinPartitions("part", "task").mapInArrow(add, "part int, mean binary").collect()
     sent.unpersist()
     if not rows:
         return start, sums

@@ -2,13 +2,19 @@
 
 A word's hash is a polynomial in its bytes, each byte read as a random 64-bit
 number, modulo 2^64; running sums over the bytes of many words give all of
-them by array operations.
+them by array operations.  Such polynomials agree on some pairs of long words
+whatever the numbers are (Thue-Morse words and their complements, from some
+thousand bytes on), so words longer than ``LONG`` bytes are hashed by BLAKE2.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+#: Bytes of a word beyond which it is hashed by itself.
+LONG = 128
 #: Bytes that are hashed at once (a longer word alone).
 CHUNK = 1 << 20
 
@@ -39,7 +45,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (A-Z lower-cased, cut at ASCII white space) of all texts, and the place where each text's begin, plus the end."""
-    data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    joined = b"\n".join([*texts, b""]).lower()
+    data = np.frombuffer(joined, np.uint8)
     edges = np.flatnonzero(np.diff(_IN_WORD[data].view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     starts, stops = edges[::2], edges[1::2]
     out = np.empty(len(starts), np.uint64)
@@ -54,6 +61,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         a, b = starts[i:j] - first, stops[i:j] - first
         out[i:j] = mixed((sums[b] - sums[a]) * inverses[a] + (b - a).astype(np.uint64))
         i = j
+    for i in np.flatnonzero(stops - starts > LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(joined[starts[i] : stops[i]], digest_size=8).digest(), "little")
     bounds = np.cumsum([0, *(len(x) + 1 for x in texts)])
     return out, np.searchsorted(starts, bounds)
 

@@ -52,6 +52,28 @@ def test_word_hashes():
     assert word_hashes([])[0].size == 0
 
 
+def test_long_words_that_polynomials_confuse():
+    """A Thue-Morse word and its complement agree in every polynomial hash modulo 2^64."""
+    morse = [bin(i).count("1") % 2 for i in range(1 << 12)]
+    a, b = (bytes(x[bit] for bit in morse) for x in (b"ab", b"ba"))
+    for n in (1 << 10, 1 << 11, 1 << 12):
+        h, _ = word_hashes([a[:n], b[:n], a[:n]])
+        assert h[0] != h[1] and h[0] == h[2]
+
+
+def test_the_least_count_grows_with_the_corpus():
+    assert L.least_count(0) == L.least_count(10**7) == L.LEAST
+    for n in (10**8, 10**10, 3 * 10**13):
+        assert L.LEAST < L.least_count(n) and n / L.least_count(n) <= L.SPREAD * n ** (1 / 3)
+    assert 10**10 / L.least_count(10**10) > 4 * 10**8 / L.least_count(10**8)
+
+
+def test_reruns_agree(docs):
+    rows = language(random.Random(5), 900)
+    a, b = (sorted((r["doc_id"], r["score"]) for r in scored(docs, rows[:50], rows)) for _ in range(2))
+    assert [i for i, _ in a] == [i for i, _ in b] and [x for _, x in a] == pytest.approx([x for _, x in b], abs=1e-9)
+
+
 def language(rng, n):
     """Texts in two vocabularies: the words before tell which words follow."""
     out = []
