@@ -44,6 +44,8 @@ RAW_FIELDS = (
 CORRUPT_COLUMN = "_corrupt_record"
 SOURCE_FILE_COLUMN = "source_file"
 SOURCE_MODIFIED_COLUMN = "source_modified"
+#: Values before a row in its file, where files are read value by value.
+SOURCE_PLACE_COLUMN = "source_place"
 
 RAW_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in RAW_FIELDS])
 

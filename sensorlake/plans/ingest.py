@@ -24,7 +24,10 @@ from sensorlake.operators.dedup import CONFLICTING, CONTENT, IDENTITY, NEW, STAT
 from sensorlake.operators.derive import EVENT_TIME, STAMP, warehouse_columns, with_calendar, with_event_time
 from sensorlake.session import observation, remove_path, scratch_path
 from sensorlake.sinks.warehouse import decided_rows, with_status, write_quarantine, write_warehouse, writer_count
-from sensorlake.sources.json_files import JSON_GLOB, mark_unread_rest, read_json, sensor_dirs
+from sensorlake.sources.json_files import JSON_GLOB, read_json, sensor_dirs
+from sensorlake.sources.json_values import read_values, recover_types
+from sensorlake.sources.ledger import changed_corrupt_files, note_files, unread_files
+from sensorlake.sources.warehouse import table_exists
 
 REASONS = "reject_reasons"
 
@@ -69,7 +72,7 @@ def rejected_rows(staged: DataFrame) -> DataFrame:
 
 
 def _rejected_columns(staged: DataFrame) -> list[str]:
-    extra = (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN, REASONS)
+    extra = (model.CORRUPT_COLUMN, model.SOURCE_FILE_COLUMN, model.SOURCE_MODIFIED_COLUMN, model.SOURCE_PLACE_COLUMN, REASONS)
     return [c for c, _ in model.RAW_FIELDS] + [c for c in extra if c in staged.columns]
 
 
@@ -92,10 +95,11 @@ def ingest_frame(
     mode: str = "append",
     fmt: str = "parquet",
     on_new: Callable[[DataFrame], None] | None = None,
+    on_done: Callable[[DataFrame], None] | None = None,
 ) -> IngestReport:
     """Ingest already-read raw rows (batch DataFrame).
 
-    ``on_new`` gets the staged new rows before the table does.  Without a valid row nothing is written, in ``overwrite`` mode as well:
+    ``on_new`` gets the staged new rows before the table does, ``on_done`` all staged rows behind it.  Without a valid row nothing is written, in ``overwrite`` mode as well:
     the table stays as it is."""
     spark = raw.sparkSession
     require_fixed_zone(spark)
@@ -138,6 +142,8 @@ def ingest_frame(
             report.repeated = report.valid - report.written - report.conflicting
         elif quarantine_path and report.rejected:
             report.quarantined = write_quarantine(rejected_rows(table), quarantine_path, fmt)
+        if on_done is not None:
+            on_done(table)
         return report
     finally:
         remove_path(spark, stage_path)
@@ -195,18 +201,59 @@ def ingest_batch(
     *,
     multi_line: bool,
     on_new: Callable[[DataFrame], None] | None = None,
+    ledger_path: str | None = None,
+    typed_recovery: bool = False,
 ) -> IngestReport:
     """B1: read every populated type directory under ``raw_root`` (or ``paths``)
     and ingest it.  No input -> nothing is written.
 
-    ``multi_line``: true for one object or array per file, false for one
-    object per line; the wrong choice loses rows, so there is no default."""
+    ``multi_line``: true for files of JSON values in any layout, read whole and
+    value by value; false for one object per line, in files of any size.
+    ``ledger_path``: a record of the files that were read (``sources.ledger``);
+    only new and changed files are opened, and entered once they are in the
+    table.  The driver holds the list of those files, as their listing does.
+    ``typed_recovery``: a value sent as text is read (``recover_types``)."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
     paths = list(paths) if paths else sensor_dirs(spark, raw_root, types, glob)
     if not paths:
         return IngestReport()
-    raw = read_json(spark, paths, glob=glob, multi_line=multi_line)
-    if multi_line:
-        raw = mark_unread_rest(raw, paths, glob)
-    return ingest_frame(raw, warehouse_path, quarantine_path, mode, fmt, on_new)
+    if ledger_path is None:
+        return ingest_frame(_read(spark, paths, glob, multi_line, typed_recovery), warehouse_path, quarantine_path, mode, fmt, on_new)
+    files = unread_files(spark, paths, ledger_path, glob).collect()
+    return _ingest_files(spark, files, warehouse_path, quarantine_path, mode, fmt, on_new, ledger_path, multi_line, typed_recovery)
+
+
+def _read(spark: SparkSession, paths: Sequence[str], glob: str | None, multi_line: bool, typed_recovery: bool) -> DataFrame:
+    raw = read_values(spark, paths, glob) if multi_line else read_json(spark, paths, glob=glob, multi_line=False)
+    return recover_types(raw) if typed_recovery else raw
+
+
+def _ingest_files(spark, files, warehouse_path, quarantine_path, mode, fmt, on_new, ledger_path, multi_line, typed_recovery) -> IngestReport:
+    if not files:
+        return IngestReport()
+    raw = _read(spark, [f["location"] for f in files], None, multi_line, typed_recovery)
+    return ingest_frame(raw, warehouse_path, quarantine_path, mode, fmt, on_new, lambda staged: note_files(files, staged, ledger_path))
+
+
+def second_look(
+    spark: SparkSession,
+    raw_root: str,
+    warehouse_path: str,
+    quarantine_path: str,
+    ledger_path: str,
+    *,
+    multi_line: bool,
+    fmt: str = "parquet",
+    glob: str = JSON_GLOB,
+    types: Iterable[str] = model.SENSOR_TYPES,
+    on_new: Callable[[DataFrame], None] | None = None,
+) -> IngestReport:
+    """Ingests the files that gave corrupt records and were written again since, e.g. those that a stream met half
+    written; call it from time to time, or after each micro-batch (``on_batch``).  What was read of them before stays as
+    it is, and their old quarantined rows count as healed (``ledger.with_healed``)."""
+    paths = sensor_dirs(spark, raw_root, types, glob)
+    if not paths or not table_exists(spark, quarantine_path):
+        return IngestReport()
+    files = changed_corrupt_files(spark, paths, quarantine_path, ledger_path, glob).collect()
+    return _ingest_files(spark, files, warehouse_path, quarantine_path, "append", fmt, on_new, ledger_path, multi_line, False)

@@ -24,8 +24,9 @@ from sensorlake.plans.exports import export_all, run_reports
 from sensorlake.plans.ingest import ingest_batch, ingest_frame, merge_late
 from sensorlake.session import remove_path, scratch_path
 from sensorlake.sinks.csv import export_single_csv, write_csv
-from sensorlake.sources.events import land_arrays, land_readings, raw_readings, read_table, time_text_variants, warehouse_rows
+from sensorlake.sources.events import land_arrays, land_damaged, land_readings, raw_readings, read_table, time_text_variants, warehouse_rows
 from sensorlake.sources.json_files import infer_schema, read_sensor_dirs, sensor_dirs
+from sensorlake.sources.ledger import read_ledger
 from sensorlake.sources.warehouse import read_csv_warehouse, read_warehouse, register_view
 from sensorlake.streaming import ingest as stream_ingest
 from sensorlake.streaming import monitor
@@ -95,6 +96,10 @@ def registry() -> dict[str, Query]:
         "compaction": compaction,
         "ingest_batch_multiline": ingest_batch_multiline,
         "ingest_stream_multiline": ingest_stream_multiline,
+        "ingest_salvage": ingest_salvage,
+        "ingest_salvage_stream": ingest_salvage_stream,
+        "ingest_typed_recovery": ingest_typed_recovery,
+        "ingest_ledger": ingest_ledger,
         "ingest_overwrite": ingest_overwrite,
         "ingest_two_sites": ingest_two_sites,
         "ingest_two_sites_one_batch": ingest_two_sites_one_batch,
@@ -245,6 +250,69 @@ def ingest_stream_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, wh)
 
 
+def _salvaged(spark: SparkSession, wh: str, qu: str) -> DataFrame:
+    """What became of every reading that was landed: stored, or corrupt, with its place; and the stray words."""
+    corrupt = spark.read.parquet(qu).filter(F.col(model.CORRUPT_COLUMN).isNotNull())
+    ids = lambda pattern, outcome: corrupt.select(
+        F.explode(F.regexp_extract_all(model.CORRUPT_COLUMN, F.lit(pattern))).alias("sensor_id"),
+        F.lit(outcome).alias("outcome"),
+        F.lit(None).cast("double").alias("value"),
+        F.col(model.SOURCE_PLACE_COLUMN).isNotNull().alias("placed"),
+    )
+    stored = read_warehouse(spark, wh).select("sensor_id", F.lit("stored").alias("outcome"), "value", F.lit(False).alias("placed"))
+    return stored.unionByName(ids('"sensor_id":"([0-9]+)"', "corrupt")).unionByName(ids("junk([0-9]+)", "junk"))
+
+
+def ingest_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many readings in four layouts, some of them damaged: the others of a file are stored."""
+    root, wh, qu = (scratch_path(spark, n) for n in ("landing", "warehouse", "quarantine"))
+    land_damaged(raw_readings(spark, sf_dir), root)
+    ingest_batch(spark, root, wh, quarantine_path=qu, glob="part-*", multi_line=True)
+    _forget(spark, root)
+    return _salvaged(spark, wh, qu)
+
+
+def ingest_salvage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a stream, some files a batch."""
+    root, wh, qu = (scratch_path(spark, n) for n in ("landing", "warehouse", "quarantine"))
+    land_damaged(raw_readings(spark, sf_dir), root, per_file=5_000)
+    _stream(spark, root, wh, glob="part-*", multi_line=True, max_files_per_trigger=4, quarantine_path=qu)
+    _forget(spark, root)
+    return _salvaged(spark, wh, qu)
+
+
+def ingest_typed_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One reading of three sends its value as text, one of seven an object as its value."""
+    root, wh, qu = (scratch_path(spark, n) for n in ("landing", "warehouse", "quarantine"))
+    readings = raw_readings(spark, sf_dir)
+    number = F.col("sensor_id").cast("long")
+    land_readings(readings.filter(number % 7 != 0), root, value_as_text=number % 3 == 0)
+    land_readings(readings.filter(number % 7 == 0).withColumn("value", F.struct(F.col("value").alias("is"))), root)
+    ingest_batch(spark, root, wh, quarantine_path=qu, multi_line=False, typed_recovery=True)
+    _forget(spark, root)
+    corrupt = spark.read.parquet(qu).filter(F.col(model.CORRUPT_COLUMN).isNotNull())
+    stored = read_warehouse(spark, wh).select("sensor_id", "value", F.lit("stored").alias("outcome"))
+    return stored.unionByName(corrupt.select("sensor_id", F.lit(None).cast("double").alias("value"), F.array_join("reject_reasons", ",").alias("outcome")))
+
+
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs with a ledger, the second over the same files, the third after more have landed: rows read and
+    written in each, and files that were read twice."""
+    root, wh, ledger = (scratch_path(spark, n) for n in ("landing", "warehouse", "ledger"))
+    readings = raw_readings(spark, sf_dir)
+    third = F.col("sensor_id").cast("long") % 3 == 0
+    runs = []
+    for k, part in enumerate((~third, None, third)):
+        if part is not None:
+            land_readings(readings.filter(part), root)
+        report = ingest_batch(spark, root, wh, multi_line=False, ledger_path=ledger)
+        runs.append((k + 1, report.total, report.written))
+    _forget(spark, root)
+    twice = read_ledger(spark, ledger).groupBy("path").count().filter("count > 1").agg(F.count(F.lit(1)).alias("files_read_twice"))
+    noted = read_ledger(spark, ledger).agg(F.sum("rows").alias("rows_noted"))
+    return spark.createDataFrame(runs, "run long, total long, written long").join(twice).join(noted)
+
+
 def large_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports over readings of 1e13, beyond the exact range; infinite ones are rejected."""
     big = F.when(F.col("sensor_id").cast("long") % 100 == 0, F.lit(1e13)).when(F.col("sensor_id").cast("long") % 101 == 0, F.lit(float("inf")))
@@ -718,6 +786,21 @@ FROM sensor_data GROUP BY type"""),
     out["single_csv"] = out["stats_by_site"]
     for name in ("ingest_batch_multiline", "ingest_stream_multiline", "ingest_overwrite", "csv_warehouse"):
         out[name] = out["ingest_batch"]
+    kind = "CAST(sensor_id AS BIGINT) % 10"
+    out["ingest_salvage"] = out["ingest_salvage_stream"] = _w(f"""
+SELECT sensor_id, 'stored' AS outcome, value, FALSE AS placed FROM sensor_data WHERE {kind} NOT IN (3, 7)
+UNION ALL SELECT sensor_id, 'corrupt', NULL, TRUE FROM raw WHERE {kind} IN (3, 7)
+UNION ALL SELECT sensor_id, 'junk', NULL, TRUE FROM raw WHERE {kind} = 9""")
+    out["ingest_typed_recovery"] = _w("""
+SELECT sensor_id, value, 'stored' AS outcome FROM sensor_data WHERE CAST(sensor_id AS BIGINT) % 7 <> 0
+UNION ALL SELECT sensor_id, NULL, CASE WHEN type IN ('temperature', 'vibration', 'pressure') THEN 'corrupt_record,value_missing'
+  ELSE 'corrupt_record,value_missing,unknown_type' END FROM raw WHERE CAST(sensor_id AS BIGINT) % 7 = 0""")
+    third = "CAST(sensor_id AS BIGINT) % 3 = 0"
+    out["ingest_ledger"] = _w(f"""
+SELECT run, CASE run WHEN 1 THEN (SELECT COUNT(*) FROM raw WHERE NOT {third}) WHEN 2 THEN 0 ELSE (SELECT COUNT(*) FROM raw WHERE {third}) END AS total,
+  CASE run WHEN 1 THEN (SELECT COUNT(*) FROM sensor_data WHERE NOT {third}) WHEN 2 THEN 0 ELSE (SELECT COUNT(*) FROM sensor_data WHERE {third}) END AS written,
+  0 AS files_read_twice, (SELECT COUNT(*) FROM raw) AS rows_noted
+FROM (VALUES (1), (2), (3)) t(run)""")
     out["ingest_two_sites"] = out["ingest_two_sites_one_batch"] = _w(f"""
 SELECT {WAREHOUSE_SQL} FROM sensor_data
 UNION ALL SELECT {WAREHOUSE_SQL.replace('site,', "'Moved_' || site,")} FROM sensor_data""")

@@ -97,7 +97,8 @@ OCCURRENCES = "occurrences"
 
 def quarantine_rows(rejected: DataFrame) -> DataFrame:
     """Rejected / corrupt rows, one per content and source file, with the number
-    of ``occurrences`` there, a content id, reasons and source file.
+    of ``occurrences`` there, the place of the first one (where files are read
+    value by value), a content id, reasons and source file.
 
     ``source_date`` (the source file's modification date, else the day of
     quarantine) is the table's partition column: re-reading the same files
@@ -108,8 +109,9 @@ def quarantine_rows(rejected: DataFrame) -> DataFrame:
     reasons = ["reject_reasons"] if "reject_reasons" in rejected.columns else []
     parts = [*cols, *meta, *[F.array_join(r, ",") for r in reasons]]
     text = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("\u0000")) for p in parts]
+    place = F.min(model.SOURCE_PLACE_COLUMN) if model.SOURCE_PLACE_COLUMN in rejected.columns else F.first(F.lit(None).cast("long"))
     modified = F.col(model.SOURCE_MODIFIED_COLUMN) if model.SOURCE_MODIFIED_COLUMN in rejected.columns else F.lit(None)
-    counted = rejected.groupBy(*cols, *meta, *reasons).agg(F.count(F.lit(1)).alias(OCCURRENCES))
+    counted = rejected.groupBy(*cols, *meta, *reasons).agg(F.count(F.lit(1)).alias(OCCURRENCES), place.alias(model.SOURCE_PLACE_COLUMN))
     return counted.withColumns(
         {
             QUARANTINE_ID: F.sha2(F.concat_ws("\u0001", *text), 256),

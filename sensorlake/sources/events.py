@@ -14,7 +14,7 @@ mapping (also written in SQL in ``__spark_entry__.oracle_sql``):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import model
@@ -96,19 +96,55 @@ def land_readings(readings: DataFrame, root: str, value_as_text: Column | None =
     return root
 
 
+def _in_files(readings: DataFrame, per_file: int) -> DataFrame:
+    """``readings`` with their directory ``_dir`` and a number ``_file``, about ``per_file`` of them with one number."""
+    routed = readings.withColumn("_dir", landing_dir_column())
+    files = F.lit(1)
+    for r in routed.groupBy("_dir").count().collect():  # one row a sensor type
+        files = F.when(F.col("_dir") == r["_dir"], F.lit(-(-r["count"] // per_file))).otherwise(files)
+    return routed.withColumn("_file", F.pmod(F.xxhash64("sensor_id"), files))
+
+
+def _write_texts(texts: DataFrame, root: str) -> str:
+    """One file for each row (``_dir``, ``value``) under ``root/<type>/``."""
+    for t in model.SENSOR_TYPES:
+        texts.filter(F.col("_dir") == t).select("value").write.option("maxRecordsPerFile", 1).option("lineSep", "\n").mode("append").text(f"{root}/{t}")
+    return root
+
+
 def land_arrays(readings: DataFrame, root: str, per_file: int = 500) -> str:
     """Write raw readings as files of one pretty-printed JSON array of about
     ``per_file`` readings each, under ``root/<type>/``; read back with
     ``multi_line=True`` and ``glob="part-*"``."""
-    routed = readings.withColumn("_dir", landing_dir_column())
     names = [c for c, _ in model.RAW_FIELDS]
-    files = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)).over(Window.partitionBy("_dir")) / per_file))
-    chunked = routed.withColumn("_file", F.pmod(F.xxhash64("sensor_id"), files))
     array = F.to_json(F.collect_list(F.struct(*names)), {"pretty": "true", "ignoreNullFields": "false"})
-    texts = chunked.groupBy("_dir", "_file").agg(array.alias("value"))
-    for t in model.SENSOR_TYPES:
-        texts.filter(F.col("_dir") == t).select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/{t}")
-    return root
+    return _write_texts(_in_files(readings, per_file).groupBy("_dir", "_file").agg(array.alias("value")), root)
+
+
+#: What is wrong with a reading's text in `land_damaged`, by its id modulo 10: cut off before its last brace, no value, junk before it.
+CUT_OFF, NO_VALUE, JUNK = 3, 7, 9
+
+
+def land_damaged(readings: DataFrame, root: str, per_file: int = 50) -> str:
+    """Raw readings as files in four layouts (array, one object behind the other, line by line, array behind a byte-order
+    mark), two readings of ten damaged and one with a stray word before it; read back like ``land_arrays``."""
+    names = [c for c, _ in model.RAW_FIELDS]
+    kind = F.col("sensor_id").cast("long") % 10
+    said = _in_files(readings, per_file).withColumn("said", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
+    damaged = (
+        F.when(kind == CUT_OFF, F.expr("substring(said, 1, length(said) - 1)"))
+        .when(kind == NO_VALUE, F.regexp_replace("said", '"value":[^,]*,', '"value":,'))
+        .when(kind == JUNK, F.concat(F.lit("junk"), F.col("sensor_id"), F.lit(" "), F.col("said")))
+        .otherwise(F.col("said"))
+    )
+    texts = said.withColumn("said", damaged).groupBy("_dir", "_file").agg(F.sort_array(F.collect_list("said")).alias("all"))
+    layout = F.pmod(F.col("_file"), F.lit(4))
+    array = F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("]"))
+    value = (
+        F.when(layout == 0, array).when(layout == 1, F.array_join("all", " ")).when(layout == 2, F.array_join("all", "\n"))
+        .otherwise(F.concat(F.lit("\ufeff"), array))
+    )
+    return _write_texts(texts.select("_dir", value.alias("value")), root)
 
 
 # Sensor time text in the forms found in the field (separator, fraction,

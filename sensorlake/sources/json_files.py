@@ -100,22 +100,6 @@ def read_json(
     return with_source_file(df) if source_file else df
 
 
-REST = "content after the first value"
-
-
-def mark_unread_rest(raw: DataFrame, paths: Sequence[str], glob: str = JSON_GLOB) -> DataFrame:
-    """``raw`` (read with ``multi_line``), its rows of files that hold more than one JSON value marked as corrupt.
-
-    The multi-line reader takes the first value of a file and says nothing of the
-    rest, e.g. of line-delimited files.  In brackets, such a text is no JSON array."""
-    texts = raw.sparkSession.read.text(list(paths), wholetext=True, pathGlobFilter=glob)
-    whole = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-    more = texts.filter(F.trim("value") != "").filter(whole.isNull()).select(F.col("_metadata.file_path").alias("_file")).distinct()
-    marked = raw.join(more, F.col(model.SOURCE_FILE_COLUMN) == F.col("_file"), "left")
-    corrupt = F.coalesce(F.col(model.CORRUPT_COLUMN), F.when(F.col("_file").isNotNull(), F.lit(REST)))
-    return marked.withColumn(model.CORRUPT_COLUMN, corrupt).select(*raw.columns)
-
-
 def read_sensor_dirs(
     spark: SparkSession,
     root: str,
@@ -137,6 +121,18 @@ def infer_schema(spark: SparkSession, paths: str | Sequence[str], multi_line: bo
     return _reader(spark, None, multi_line, glob).json(paths).schema
 
 
+def stream_options(reader, max_files_per_trigger: int | None, glob: str, max_bytes_per_trigger: str | None = None, max_file_age: str = ANY_AGE, archive: str | None = None):
+    """Options of a file source: how much a trigger admits, which names, files of what age, and where read files go."""
+    reader = reader.option("pathGlobFilter", glob).option("maxFileAge", max_file_age)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    elif max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader
+
+
 def stream_json(
     spark: SparkSession,
     path: str,
@@ -146,9 +142,7 @@ def stream_json(
     source_file: bool = True,
     *,
     multi_line: bool,
-    max_bytes_per_trigger: str | None = None,
-    max_file_age: str = ANY_AGE,
-    archive: str | None = None,
+    **options,
 ) -> DataFrame:
     """Structured Streaming file source over ``path``.
 
@@ -163,16 +157,8 @@ def stream_json(
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", model.CORRUPT_COLUMN)
-        .option("pathGlobFilter", glob)
     )
-    reader = reader.option("maxFileAge", max_file_age)
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    elif max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    df = reader.json(path)
+    df = stream_options(reader, max_files_per_trigger, glob, **options).json(path)
     return with_source_file(df) if source_file else df
 
 

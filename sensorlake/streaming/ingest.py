@@ -45,6 +45,7 @@ from sensorlake.plans.ingest import accepted_rows, conflict_rows, rejected_rows,
 from sensorlake.session import remove_path
 from sensorlake.sinks.warehouse import append_new, decided_rows, with_status, write_quarantine, write_warehouse
 from sensorlake.sources.json_files import JSON_GLOB, path_exists, sensor_glob, stream_json
+from sensorlake.sources.json_values import recover_types, stream_values
 from sensorlake.streaming.latest import Steps, stream_id, update_latest, update_summary
 
 #: New and conflicting rows of a batch, as they are staged.
@@ -64,10 +65,13 @@ def readings_stream(
     *,
     multi_line: bool,
 ) -> DataFrame:
-    """S3: raw readings of every sensor type as one stream; at least one type's directory must exist."""
+    """S3: raw readings of every sensor type as one stream; at least one type's directory must exist.  With ``multi_line``
+    files are read value by value, as in batches."""
     if not any(path_exists(spark, f"{root.rstrip('/')}/{t}") for t in types):
         raise FileNotFoundError(f"no directory of a sensor type under {root}")
-    return stream_json(spark, sensor_glob(root, types), max_files_per_trigger, glob, multi_line=multi_line)
+    if multi_line:
+        return stream_values(spark, sensor_glob(root, types), max_files_per_trigger, glob)
+    return stream_json(spark, sensor_glob(root, types), max_files_per_trigger, glob, multi_line=False)
 
 
 def _trigger(writer, available_now: bool, processing_time: str):
@@ -96,6 +100,7 @@ def start_ingest(
     latest_n: int = 10,
     summary_path: str | None = None,
     glob: str = JSON_GLOB,
+    typed_recovery: bool = False,
 ) -> StreamingQuery:
     """Raw JSON directories -> warehouse table, micro-batch by micro-batch.
 
@@ -105,13 +110,14 @@ def start_ingest(
     ``alerts_path``: the alerts among the new rows, as they come (R6, read with
     ``read_alerts``).  ``latest_path``: the ``latest_n`` most recent readings
     (R4, ``streaming.latest.read_latest``).  ``summary_path``: the reading
-    summary (R5, X2, ``streaming.latest.read_summary``).
+    summary (R5, X2, ``streaming.latest.read_summary``).  ``typed_recovery``:
+    a value sent as text is read (``sources.json_values.recover_types``).
     """
     if dedup not in ("table", "state"):
         raise ValueError(f"dedup must be 'table' or 'state', not {dedup!r}")
     require_fixed_zone(spark)
     raw = readings_stream(spark, root, glob=glob, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-    staged = staged_rows(raw).withColumn(STAMP, F.current_timestamp())
+    staged = staged_rows(recover_types(raw) if typed_recovery else raw).withColumn(STAMP, F.current_timestamp())
     if dedup == "state":
         # A copy of the time carries the watermark, so that both sides have the same columns.
         said = [EVENT_TIME if c == "timestamp" else c for c in CONTENT]

@@ -190,15 +190,6 @@ def test_state_mode_accounts_for_conflicts_rejected_and_late_rows(spark, tmp_pat
     assert reports.stats_by_type(read_summary(spark, summary)).first().total_mesures == 3 and len(reasons()) == 5
 
 
-def test_a_second_value_in_a_multi_line_file_is_not_silent(spark, tmp_path):
-    root, wh, qu = (str(tmp_path / n) for n in ("raw", "wh", "qu"))
-    write_text(f"{root}/temperature/lines.json", '{"sensor_id": "a"}\n{"sensor_id": "b"}\n')
-    land(root, [reading(sensor_id="c"), reading(sensor_id="d")], "array")
-    report = ingest_batch(spark, root, wh, quarantine_path=qu, multi_line=True)
-    assert (report.valid, report.rejected) == (2, 1)
-    assert spark.read.parquet(qu).first()[model.CORRUPT_COLUMN] == "content after the first value"
-
-
 def test_a_missing_source_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         start_ingest(spark, str(tmp_path / "none"), str(tmp_path / "wh"), str(tmp_path / "ck"), multi_line=True)
