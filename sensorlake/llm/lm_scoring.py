@@ -49,7 +49,7 @@ LEAST = 128
 #: Beyond, of n tokens, one that occurs n^(2/3) / SPREAD times; so there are at most SPREAD * n^(1/3) of them.
 SPREAD = 800
 #: Words whose counts every worker holds, besides the model's.
-TOP = 1 << 16
+TOP = 1 << 18
 #: Rounds of training; each document belongs to one of them.
 ROUNDS = 4
 WIDTH, NOISE, MINIBATCH, RATE, SQUARES = 16, 64, 1024, 0.3, 1e-4
@@ -206,6 +206,7 @@ class Trainer:
 
     def __init__(self, model: Model, vocab: Vocabulary, seed: int, sums: list[np.ndarray] | None = None):
         self.m = Model(*(a.copy() for a in model.arrays()), model.group)
+        self.arrays = self.m.arrays()
         self.sums = [a.copy() for a in sums or start_sums(model)]
         share = (vocab.class_counts + 1) / (vocab.class_counts + 1).sum()
         self.noise = [(np.cumsum(x), np.log(NOISE * x).astype(np.float32)) for x in (share, np.bincount(model.group, share))]
@@ -213,7 +214,7 @@ class Trainer:
         self.n = 0
 
     def _step(self, which: int, rows: np.ndarray | slice, grad: np.ndarray) -> None:
-        array, sums = self.m.arrays()[which], self.sums[which]
+        array, sums = self.arrays[which], self.sums[which]
         if grad.ndim == 1:
             sums[rows] += grad * grad
             array[rows] += RATE * grad / np.sqrt(sums[rows])
@@ -222,17 +223,18 @@ class Trainer:
             array[rows] += (RATE / np.sqrt(sums[rows]))[:, None] * grad
 
     @staticmethod
-    def _summed(rows: np.ndarray, *grads: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _summed(rows: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows once each, and the sums of their gradients."""
-        order = np.argsort(rows)
+        # Numbers of 16 bits are sorted by counting.
+        order = np.argsort(rows.astype(np.uint16) if len(rows) and rows.max() < 1 << 16 else rows, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        return rows[first], *(np.add.reduceat(g[order], first, axis=0) for g in grads)
+        return rows[first], np.add.reduceat(grads[order], first, axis=0)
 
     def _contrast(self, level: int, target: np.ndarray, q: np.ndarray) -> np.ndarray:
         """One step of the targets of a level (0 classes, 1 groups) against noise; the gradient of ``q``."""
         vectors, biases = (0, 3) if level == 0 else (4, 5)
-        table, bias = self.m.arrays()[vectors], self.m.arrays()[biases]
+        table, bias = self.arrays[vectors], self.arrays[biases]
         cdf, log_noise = self.noise[level]
         noise, weight = np.unique(np.searchsorted(cdf[:-1], self.rng.random(NOISE) * cdf[-1], "right"), return_counts=True)
         r, against = table[target], table[noise]
@@ -245,10 +247,16 @@ class Trainer:
         others += 1
         np.divide(weight.astype(np.float32) * scale, others, out=others)
         to_q = own[:, None] * r - others @ against
-        rows = np.concatenate([target, noise])
-        rows, to_r, to_b = self._summed(rows, np.concatenate([own[:, None] * q, -(others.T @ q)]), np.concatenate([own, -others.sum(0)]))
-        self._step(vectors, rows, to_r)
-        self._step(biases, rows, to_b)
+        # The gradients of a row's vector and, in the last column, of its bias.
+        n, width = q.shape
+        grads = np.empty((n + len(noise), width + 1), np.float32)
+        np.multiply(own[:, None], q, out=grads[:n, :width])
+        grads[:n, width] = own
+        np.negative(others.T @ q, out=grads[n:, :width])
+        np.negative(others.sum(0), out=grads[n:, width])
+        rows, grads = self._summed(np.concatenate([target, noise]), grads)
+        self._step(vectors, rows, grads[:, :width])
+        self._step(biases, rows, grads[:, width])
         return to_q
 
     def learn(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
