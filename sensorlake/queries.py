@@ -29,7 +29,7 @@ from sensorlake.sources.json_files import infer_schema, read_sensor_dirs, sensor
 from sensorlake.sources.ledger import read_ledger
 from sensorlake.sources.warehouse import read_csv_warehouse, read_warehouse, register_view
 from sensorlake.streaming import ingest as stream_ingest
-from sensorlake.streaming import monitor
+from sensorlake.streaming import monitor, windows
 from sensorlake.streaming.latest import read_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,8 @@ def registry() -> dict[str, Query]:
         "single_csv": single_csv,
         "csv_warehouse": csv_warehouse,
         "export_refresh": export_refresh,
+        "export_refresh_all": export_refresh_all,
+        "stream_windows": stream_windows,
         "bom_check": bom_check,
         "sql_view": sql_view,
     }
@@ -423,6 +425,24 @@ def export_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(spark.read.schema(_TYPE_STATS).option("header", True).csv(f"{out}/stats_by_type.csv"))
 
 
+def export_refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven exports after a stream (every file twice, one a batch): the aggregates rebuilt, the row extracts appended to."""
+    root = _landing(spark, sf_dir, copies=2)
+    wh, out, kept = (scratch_path(spark, n) for n in ("warehouse", "exports", "summary"))
+    _stream(spark, root, wh, summary_path=kept, row_exports_path=out, on_batch=monitor.export_refresher(wh, out, summary_path=kept))
+    _forget(spark, root, wh, kept)
+    return _read_back(spark, {n: f"{out}/{n}" if n in ("raw_data", "critical_alerts") else f"{out}/{n}.csv" for n in reports.BI_EXPORTS})
+
+
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time windows as the stream's own state, one file per batch, with no recomputation."""
+    root = _landing(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "windows"), scratch_path(spark, "ckpt")
+    _run(windows.start_windows(spark, root, out, ckpt, multi_line=False, available_now=True, max_files_per_trigger=1, fold=3))
+    _forget(spark, root, ckpt)
+    return ntz(windows.read_windows(spark, out))
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -835,6 +855,7 @@ SELECT * FROM (VALUES
       ORDER BY ROUND(STDDEV_SAMP(value), 3) DESC NULLS LAST, site, machine LIMIT 5))),
   ('evolution_pression_horaire', (SELECT COUNT(*) FROM (SELECT DISTINCT site, hour FROM sensor_data WHERE type = 'pressure')), {of('pressure')})
 ) t(name, rows, readings)""")
+    out["export_refresh_all"], out["stream_windows"] = out["export_all"], out["stream_hourly"]
     out["bom_check"] = "SELECT 0 AS with_bom, 0 AS other_start"
     out["sql_view"] = _w(f"SELECT site, type, COUNT(*) AS total, {ALERTS} AS alertes FROM sensor_data GROUP BY site, type")
     return out

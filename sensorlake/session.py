@@ -92,12 +92,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hpath, True).close()
 
 
-def move_over(spark: SparkSession, source: str, target: str) -> None:
-    """Renames ``source`` to ``target``, in place of what is there."""
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a file or folder; ``target`` must not exist."""
     jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(source)
-    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(old):
-        fs.delete(old, True)
-    if not fs.rename(new, old):
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(new) or not fs.rename(old, new):
         raise RuntimeError(f"could not move {source} to {target}")
+
+
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Puts the file ``source`` in the place of ``target`` in one step, where the file system has one: readers find the old or the new file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, old = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = new.getFileSystem(conf)
+    fs.mkdirs(old.getParent())
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(kind, 1)
+    over[0] = kind.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(new).toUri(), conf).rename(fs.makeQualified(new), fs.makeQualified(old), over)
+
+
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files that a write left directly in a folder."""
+    return [f"{path.rstrip('/')}/{n}" for n in list_names(spark, path) if n.startswith("part-")]

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame
 
+from sensorlake.session import part_files, remove_path, replace_file
+
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
     """K3: a CSV directory with a header row; one file only where the rows are few by nature."""
@@ -21,21 +23,15 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 
 
 def export_single_csv(df: DataFrame, directory: str, name: str) -> str:
-    """K4: ``<directory>/<name>.csv`` as one file (header-only when empty)."""
+    """K4: ``<directory>/<name>.csv`` as one file (header-only when empty), put in the place of the old one in one step."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    tmp = f"{directory.rstrip('/')}/_{name}_tmp_{uuid.uuid4().hex[:8]}"
-    write_csv(df, tmp, single_file=True)
-    fs = Path(tmp).getFileSystem(conf)
-    parts = [s.getPath() for s in fs.listStatus(Path(tmp)) if s.getPath().getName().startswith("part-")]
+    folder = directory.rstrip("/")
+    aside = f"{folder}/_{name}_tmp_{uuid.uuid4().hex[:8]}"
+    write_csv(df, aside, single_file=True)
+    parts = part_files(spark, aside)
     if len(parts) != 1:
-        raise RuntimeError(f"expected one part file in {tmp}, found {len(parts)}")
-    target = Path(f"{directory.rstrip('/')}/{name}.csv")
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(parts[0], target):
-        raise RuntimeError(f"could not move {parts[0]} to {target}")
-    fs.delete(Path(tmp), True)
-    return target.toString()
+        raise RuntimeError(f"expected one part file in {aside}, found {len(parts)}")
+    target = f"{folder}/{name}.csv"
+    replace_file(spark, parts[0], target)
+    remove_path(spark, aside)
+    return target

@@ -16,13 +16,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import model
 from sensorlake.operators.dedup import CONFLICTING, NEW, STATUS, PartitionProfile, decide, partition_profile
-from sensorlake.session import observation, remove_path
-from sensorlake.sources.warehouse import read_partitions, read_warehouse, table_exists
+from sensorlake.session import observation, remove_path, rename, touch
+from sensorlake.sources.json_files import path_exists
+from sensorlake.sources.warehouse import FILE_FORMATS, NEXT, OLD, SWAP, read_partitions, read_warehouse, table_exists
 
 
 @dataclass
@@ -55,6 +56,9 @@ def write_warehouse(df: DataFrame, path: str, mode: str = "append", fmt: str = "
     """K1: partitioned write (``append`` or whole-table ``overwrite``); an empty
     input writes nothing and removes nothing.
 
+    An overwrite writes the new table beside the old one and moves it into its
+    place once it is complete (``finish_overwrite``).
+
     Rows written and alerts among them are observed on the write itself.
     """
     if writers is None:
@@ -62,17 +66,48 @@ def write_warehouse(df: DataFrame, path: str, mode: str = "append", fmt: str = "
         if profile.empty:
             return WriteResult(0, 0)
         writers = writer_count(df.sparkSession, profile)
-    obs = observation("warehouse_write")
+    spark, obs = df.sparkSession, observation("warehouse_write")
     out = _for_writers(df, writers).observe(obs, F.count(F.lit(1)).alias("written"), F.count_if(F.col("is_alert")).alias("alerts"))
-    out.write.format(fmt).mode(mode).partitionBy(*model.PARTITION_COLUMNS).save(path)
+    writer = out.write.format(fmt).partitionBy(*model.PARTITION_COLUMNS)
+    if fmt not in FILE_FORMATS:
+        writer.mode(mode).save(path)
+    else:
+        finish_overwrite(spark, path)
+        if mode == "overwrite":
+            writer.mode("overwrite").save(path.rstrip("/") + NEXT)
+            touch(spark, path.rstrip("/") + SWAP)
+            finish_overwrite(spark, path)
+        else:
+            writer.mode(mode).save(path)
     m = obs.get
     return WriteResult(int(m.get("written") or 0), int(m.get("alerts") or 0))
 
 
+def finish_overwrite(spark: SparkSession, path: str) -> None:
+    """Moves a complete new table into the place of the old one, from whatever step an earlier attempt had reached.
+
+    The mark ``SWAP`` says that the new table is complete; without it there is nothing to do, and what a failed write
+    left beside the table is overwritten by the next one.  A failure at any step leaves the old or the new table where
+    ``read_warehouse`` finds it, and the next write goes on from there.  Jobs that were reading files of the old table
+    when it moved fail and must be run again; appends must not run meanwhile."""
+    path = path.rstrip("/")
+    if not path_exists(spark, path + SWAP):
+        return
+    if path_exists(spark, path + NEXT):
+        if path_exists(spark, path):
+            remove_path(spark, path + OLD)
+            rename(spark, path, path + OLD)
+        rename(spark, path + NEXT, path)
+    remove_path(spark, path + OLD)
+    remove_path(spark, path + SWAP)
+
+
 def decided_rows(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, PartitionProfile]:
     """The readings of ``df`` that are new or conflicting, with their ``STATUS`` (lazy), and the profile of ``df``.
 
     Only the table partitions that ``df`` touches are read, once."""
+    if fmt in FILE_FORMATS:
+        finish_overwrite(df.sparkSession, path)
     profile = partition_profile(df)
     existing = read_partitions(df.sparkSession, path, profile.partitions, fmt)
     return decide(df, existing).filter(F.col(STATUS).isin(NEW, CONFLICTING)), profile

@@ -16,9 +16,24 @@ from sensorlake.sources.json_files import path_exists
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
 
+#: Beside a table while it is overwritten: the new one, the old one, and the mark that the new one is complete.
+NEXT, OLD, SWAP = ".next", ".old", ".swap"
+
+
+def table_path(spark: SparkSession, path: str) -> str | None:
+    """Where the table is: at ``path``; while an overwrite moves it (or was interrupted there), at its old or new place;
+    None if there is none."""
+    path = path.rstrip("/")
+    if path_exists(spark, path):
+        return path
+    if path_exists(spark, path + SWAP):
+        return next((p for p in (path + OLD, path + NEXT, path) if path_exists(spark, p)), None)
+    return None
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """The warehouse path exists (any format)."""
-    return path_exists(spark, path)
+    return table_path(spark, path) is not None
 
 
 def read_warehouse(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -28,12 +43,13 @@ def read_warehouse(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     stays a string even if every value looks numeric).  Filters on the
     partition columns (``site, type, year, month, day``) prune directories.
     """
-    if not table_exists(spark, path):
+    found = table_path(spark, path)
+    if found is None:
         raise FileNotFoundError(f"warehouse table not found: {path}")
     if fmt in FILE_FORMATS:
-        return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).load(path)
+        return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).load(found)
     # table formats (delta) keep their own schema and refuse a read schema
-    return spark.read.format(fmt).load(path).select(*model.WAREHOUSE_COLUMNS)
+    return spark.read.format(fmt).load(found).select(*model.WAREHOUSE_COLUMNS)
 
 
 def partition_dir(partition: Iterable) -> str:
@@ -48,7 +64,8 @@ def read_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple],
 
     Only their directories are listed, a month of a site and type at a time, not the table's whole tree."""
     partitions = list(partitions)
-    if not partitions or not table_exists(spark, path):
+    found = table_path(spark, path) if partitions else None
+    if found is None:
         return None
     if fmt not in FILE_FORMATS:
         wanted = spark.createDataFrame(partitions, ", ".join(f"{c} {model.WAREHOUSE_SCHEMA[c].dataType.simpleString()}" for c in model.PARTITION_COLUMNS))
@@ -57,12 +74,12 @@ def read_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple],
     for p in partitions:
         month, day = partition_dir(p).rsplit("/", 1)
         days_of.setdefault(month, []).append(day)
-    root = path.rstrip("/")
+    root = found.rstrip("/")
     held = {month: set(list_names(spark, f"{root}/{month}")) for month in days_of}
     dirs = [f"{root}/{month}/{day}" for month, days in days_of.items() for day in days if day in held[month]]
     if not dirs:
         return None
-    return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).option("basePath", path).load(dirs)
+    return spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).option("basePath", root).load(dirs)
 
 
 def register_view(df: DataFrame, name: str = "sensor_data") -> DataFrame:

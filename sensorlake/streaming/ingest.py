@@ -39,10 +39,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import model
 from sensorlake.functions.timestamps import require_fixed_zone
+from sensorlake.operators import reports
 from sensorlake.operators.dedup import CONFLICTING, CONTENT, IDENTITY, NEW, STATUS
 from sensorlake.operators.derive import EVENT_TIME, STAMP
+from sensorlake.plans.exports import ROW_EXPORTS
 from sensorlake.plans.ingest import accepted_rows, conflict_rows, rejected_rows, staged_rows, valid_flag
-from sensorlake.session import remove_path
+from sensorlake.session import list_names, remove_path
 from sensorlake.sinks.warehouse import append_new, decided_rows, with_status, write_quarantine, write_warehouse
 from sensorlake.sources.json_files import JSON_GLOB, path_exists, sensor_glob, stream_json
 from sensorlake.sources.json_values import recover_types, stream_values
@@ -99,6 +101,7 @@ def start_ingest(
     latest_path: str | None = None,
     latest_n: int = 10,
     summary_path: str | None = None,
+    row_exports_path: str | None = None,
     glob: str = JSON_GLOB,
     typed_recovery: bool = False,
 ) -> StreamingQuery:
@@ -110,8 +113,9 @@ def start_ingest(
     ``alerts_path``: the alerts among the new rows, as they come (R6, read with
     ``read_alerts``).  ``latest_path``: the ``latest_n`` most recent readings
     (R4, ``streaming.latest.read_latest``).  ``summary_path``: the reading
-    summary (R5, X2, ``streaming.latest.read_summary``).  ``typed_recovery``:
-    a value sent as text is read (``sources.json_values.recover_types``).
+    summary (R5, X2, ``streaming.latest.read_summary``).  ``row_exports_path``:
+    the row extracts of the BI exports, to which each batch appends its rows
+    (R5, ``read_row_export``).  ``typed_recovery``: a value sent as text is read (``sources.json_values.recover_types``).
     """
     if dedup not in ("table", "state"):
         raise ValueError(f"dedup must be 'table' or 'state', not {dedup!r}")
@@ -156,6 +160,8 @@ def start_ingest(
             steps.once("latest", lambda: update_latest(new, latest_path, stream, batch_id, latest_n))
         if summary_path:
             steps.once("summary", lambda: update_summary(new, summary_path, stream, batch_id))
+        if row_exports_path:
+            steps.once("row_exports", lambda: write_row_exports(new, row_exports_path, stream, batch_id))
         if metrics_path:
             steps.once("metrics", lambda: write_batch_metrics(rows, decided, metrics_path, stream, batch_id))
         if replay:  # an earlier attempt may have written some of them
@@ -173,11 +179,11 @@ def start_ingest(
     return _trigger(writer, available_now, processing_time).start()
 
 
-def _write_part(rows: DataFrame, path: str, stream: str, batch_id: int) -> None:
+def _write_part(rows: DataFrame, path: str, stream: str, batch_id: int, fmt: str = "parquet") -> None:
     """Rows of one batch, in a partition of its own that a replay writes again."""
     tagged = rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")})
-    writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("stream", "batch_id").parquet(path)
+    writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
+    writer.partitionBy("stream", "batch_id").format(fmt).save(path)
 
 
 def write_alerts(new: DataFrame, path: str, stream: str, batch_id: int) -> None:
@@ -190,6 +196,26 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("stream", "batch_id")
 
 
+def write_row_exports(new: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """A batch's new rows as further CSV parts of the row extracts of the BI exports, ``<path>/<name>/``.
+
+    Parts lie in a folder per stream and batch, so a replay writes its own again and what earlier batches wrote is
+    never touched; a batch without rows leaves no part."""
+    for name in sorted(ROW_EXPORTS):
+        _write_part(reports.BI_EXPORTS[name](new), f"{path.rstrip('/')}/{name}", stream, batch_id, "csv")
+
+
+def read_row_export(spark: SparkSession, path: str, name: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A row extract as all batches so far have written it; None of its rows before the first batch that had one."""
+    folder = f"{path.rstrip('/')}/{name}"
+    if not path_exists(spark, folder) or not any(n.startswith("stream=") for n in list_names(spark, folder)):
+        return reports.BI_EXPORTS[name](spark.createDataFrame([], model.WAREHOUSE_SCHEMA))
+    rows = spark.read.option("header", True)
+    if schema is not None:
+        rows = rows.schema(schema)
+    return rows.csv(folder).drop("stream", "batch_id")
+
+
 def write_batch_metrics(staged: DataFrame, decided: DataFrame, path: str, stream: str, batch_id: int) -> None:
     """One row per micro-batch: rows read, valid and rejected; of the valid those written and their alerts, those
     in conflict with the table or each other, and the rest, which repeat a reading."""

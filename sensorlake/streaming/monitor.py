@@ -1,6 +1,7 @@
 """Live monitor (R4), periodic export refresh (R5) and hourly trends (X2), from
 the views that ``start_ingest`` keeps (``sensorlake.streaming.latest``): they
-show exactly what the table received, and nothing is dropped as late."""
+show exactly what the table received, and nothing is dropped as late.
+``sensorlake.streaming.windows`` has the trends as windows of the stream itself."""
 
 from __future__ import annotations
 
@@ -9,16 +10,18 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators import reports
 from sensorlake.operators.summary import Measures
-from sensorlake.session import move_over
+from sensorlake.session import part_files, remove_path, replace_file
 from sensorlake.sources.warehouse import read_warehouse
 from sensorlake.streaming.latest import read_latest, read_summary
 
 
 def _publish(df: DataFrame, path: str) -> None:
-    """Replaces a small published table by one rename, so that readers find the old or the new one."""
-    aside = f"{path}.next"
+    """Replaces the one file of a small published table in one step, so that readers find the old or the new rows."""
+    spark, aside = df.sparkSession, f"{path.rstrip('/')}.next"
     df.coalesce(1).write.mode("overwrite").parquet(aside)
-    move_over(df.sparkSession, aside, path)
+    (part,) = part_files(spark, aside)
+    replace_file(spark, part, f"{path.rstrip('/')}/part-published.parquet")
+    remove_path(spark, aside)
 
 
 def monitor_publisher(
@@ -64,10 +67,11 @@ def export_refresher(
     exports after every micro-batch.
 
     With ``summary_path`` (the summary ``start_ingest`` keeps current) the
-    aggregate exports roll up that summary: no table scan per trigger.
-    Row-level extracts (every reading, every alert) grow with the table;
-    they are left to a scheduled batch ``export_all`` unless
-    ``include_row_exports``.
+    aggregate exports roll up that summary: no table scan per trigger.  The row
+    extracts (every reading, every alert) grow with the table; ``start_ingest``
+    appends each batch's own rows to them (``row_exports_path``, the same
+    ``reports_dir``).  ``include_row_exports`` rewrites them whole instead,
+    which suits small tables.
     """
 
     def refresh(spark: SparkSession, batch_id: int) -> None:
