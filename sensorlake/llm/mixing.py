@@ -12,7 +12,9 @@ run of that source's permuted blocks, so the shards' blocks are disjoint; a
 shard shuffles what it holds by itself.
 
 Block sums, permutations and running totals are Spark aggregates and windows;
-only the quotas, one number a source, pass through the driver.
+only the quotas, one number a source, pass through the driver, and the sources
+are ranked in one task: there may be up to ``MOST_SOURCES`` of them, which is
+checked.  Finer keys than that (a page's address) are no sources to be weighed.
 """
 
 from __future__ import annotations
@@ -29,8 +31,17 @@ from sensorlake.llm.common import materialise, slices, utf8
 
 #: No document is drawn more often.
 EPOCHS = 3
-#: Blocks into which each source is dealt; a block that the target cuts is divided by documents.
+#: Blocks into which each source is dealt, at least; a block that the target cuts is divided by documents.
 BLOCKS = 1024
+#: Documents of a block on the average, at most: with more documents there are more blocks.
+BLOCK_ROWS = 1 << 16
+#: Sources that are mixed.
+MOST_SOURCES = 100_000
+
+
+def blocks_for(rows: int) -> int:
+    """A power of two of blocks, ``BLOCKS`` at least, so that a source with all rows has ``BLOCK_ROWS`` in each at most."""
+    return max(BLOCKS, 1 << max(0, -(-rows // BLOCK_ROWS) - 1).bit_length())
 
 
 def n_words(texts: pa.Array) -> pa.Array:
@@ -122,7 +133,10 @@ def _plan(placed: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFra
     order = epochs.withColumn("until", F.sum("size").over(turn)).withColumn("nth", F.row_number().over(turn))
     drawn = order.filter(F.col("until") - F.col("size") < F.col("target")).withColumn("whole", F.col("until") <= F.col("target"))
 
-    quotas = drawn.groupBy("source").agg(F.max("nth").cast("long").alias("quota")).orderBy(F.col("source").isNull(), "source").collect()
+    by_quota = drawn.groupBy("source").agg(F.max("nth").cast("long").alias("quota")).orderBy(F.col("source").isNull(), "source")
+    quotas = by_quota.limit(MOST_SOURCES + 1).collect()
+    if len(quotas) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     shares_of = split_quotas(np.array([q["quota"] for q in quotas], np.int64), shards, seed) if quotas else np.zeros((shards, 0), np.int64)
     ends = spark.createDataFrame(
         [(q["source"], np.cumsum(shares_of[:, i]).tolist()) for i, q in enumerate(quotas)],
@@ -158,12 +172,15 @@ def _drawn(rows: DataFrame, plan: DataFrame, source: str) -> DataFrame:
     return joined.withColumn("_drawn", F.concat(F.coalesce("_whole", none), part)).drop("_s", "_b", "_whole", "cut_one", "cut_at")
 
 
-def _sizes(docs: DataFrame, ident: str, source: str, text: str, blocks: int, seed: int) -> DataFrame:
+def _sizes(docs: DataFrame, ident: str, source: str, text: str, blocks: int | None, seed: int) -> tuple[DataFrame, int]:
+    """Every row's source, size and place, and the number of blocks."""
     named = docs.select(docs[ident].alias("ident"), docs[source].alias("source"), docs[text].alias("text"))
-    return _placed(materialise(sized(named), "sizes"), "ident", blocks, seed)
+    sizes = materialise(sized(named), "sizes")
+    blocks = blocks or blocks_for(sizes.count())
+    return _placed(sizes, "ident", blocks, seed), blocks
 
 
-def draws(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", shards: int = 64, seed: int = 11, blocks: int = BLOCKS) -> DataFrame:
+def draws(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", shards: int = 64, seed: int = 11, blocks: int | None = None) -> DataFrame:
     """One row per row of ``docs``: ``ident``, ``source``, ``size``, ``source_size``, ``target``
     and ``drawn``, an array of (epoch, shard), one element for each time that the mix takes the document.
 
@@ -172,21 +189,34 @@ def draws(docs: DataFrame, ident: str = "doc_id", source: str = "source", text:
     their place and are drawn together.  Documents of size 0 cost nothing and
     are drawn with their block.  Reruns agree.
     """
-    placed = _sizes(docs, ident, source, text, blocks, seed)
+    placed, _ = _sizes(docs, ident, source, text, blocks, seed)
     plan, shares = _plan(placed, shards, seed)
     info = shares.select(F.col("source").alias("s"), "source_size", "target")
     known = _drawn(placed, plan, "source").join(info, F.col("source").eqNullSafe(F.col("s")))
     return known.select(F.col("ident").alias(ident), F.col("source").alias(source), "size", "source_size", "target", F.col("_drawn").alias("drawn"))
 
 
-def mix(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", shards: int = 64, seed: int = 11, blocks: int = BLOCKS) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    ident: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    shards: int = 64,
+    seed: int = 11,
+    blocks: int | None = None,
+    shard: str | None = None,
+) -> DataFrame:
     """The mixed rows with the columns of ``docs``, a row as often as it is drawn, dealt to the output
-    shards and shuffled inside each.  See ``draws``.
-
-    What is drawn depends on a row's source and hash and on the plan alone, so
-    the texts are moved once, to their shards."""
-    plan, _ = _plan(_sizes(docs, ident, source, text, blocks, seed), shards, seed)
+    shards and shuffled inside each.  See ``draws``.  ``shard``: name of a further column with the shard's number.
+
+    A shard is one partition.  What is drawn depends on a row's source and hash
+    and on the plan alone, so the texts are moved once, to their shards.  Null
+    and empty texts have size 0 and go with their block."""
+    if shard in docs.columns:
+        raise ValueError(f"column name in use: {shard}")
+    placed, blocks = _sizes(docs, ident, source, text, blocks, seed)
+    plan, _ = _plan(placed, shards, seed)
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), docs[ident].alias("_ident"), docs[source].alias("_source"))
     taken = _drawn(_placed(rows, "_ident", blocks, seed), plan, "_source").select("_row", "_ident", F.explode("_drawn").alias("_one"))
-    dealt = taken.repartition(shards, "_one.shard").sortWithinPartitions(_unit(seed + 3, F.col("_one.epoch"), F.col("_ident")))
-    return dealt.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+    dealt = taken.repartitionById(shards, F.col("_one.shard")).sortWithinPartitions(_unit(seed + 3, F.col("_one.epoch"), F.col("_ident")))
+    return dealt.select(*(F.col("_row")[c].alias(c) for c in docs.columns), *([F.col("_one.shard").alias(shard)] if shard else []))

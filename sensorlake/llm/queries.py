@@ -112,7 +112,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.draws(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("drawn")).alias("taken"))
+    shards = F.array_join(F.transform("drawn", lambda d: F.concat_ws(":", d["epoch"], d["shard"])), ",")
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("drawn")).alias("taken"), shards.alias("shards"))
 
 
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

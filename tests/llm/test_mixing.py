@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import SF, docs, sample  # noqa: F401
+from sensorlake.llm import mixing as M
 from sensorlake.llm import queries
 from sensorlake.llm.mixing import draws, mix, split_quotas, targets
 
@@ -82,6 +83,47 @@ def test_mixed_rows(docs):
     assert got == +want
 
 
+def test_a_shard_is_a_partition(docs):
+    rows = corpus(random.Random(3), 1500)
+    for shards in (16, 64):
+        out = mix(docs(rows), shards=shards, shard="part").withColumn("at", F.spark_partition_id()).collect()
+        where = {}
+        for r in out:
+            where.setdefault(r["part"], set()).add(r["at"])
+        assert len(where) == shards and all(len(at) == 1 for at in where.values()) and len({min(at) for at in where.values()}) == shards
+        want = Counter((r["doc_id"], d["shard"]) for r in draws(docs(rows), shards=shards).collect() for d in r["drawn"])
+        assert Counter((r["doc_id"], r["part"]) for r in out) == want
+    with pytest.raises(ValueError):
+        mix(docs(rows), shard="text")
+
+
+def test_shards_hold_what_the_tree_gave_them(docs):
+    """Blocks per source and shard are the tree's shares of the sources' quotas."""
+    rows, shards, seed = corpus(random.Random(4), 1200), 8, 11
+    placed, blocks = M._sizes(docs(rows), "doc_id", "source", "text", None, seed)
+    assert blocks == M.BLOCKS
+    plan, _ = M._plan(placed, shards, seed)
+    got = {}
+    for r in plan.collect():
+        for d in [*(r["drawn"] or []), *([r["cut_one"]] if r["cut_one"] else [])]:
+            got.setdefault(r["source"], [0] * shards)[d["shard"]] += 1
+    names = sorted((s for s in got if s is not None)) + [None]
+    quotas = np.array([sum(got[s]) for s in names])
+    parts = split_quotas(quotas, shards, seed)
+    assert [got[s] for s in names] == parts.T.tolist()
+
+
+def test_blocks_grow_with_the_documents():
+    assert M.blocks_for(0) == M.blocks_for(1 << 26) == M.BLOCKS and M.blocks_for((1 << 26) + 1) == 2 * M.BLOCKS
+    assert all(n / M.blocks_for(n) <= M.BLOCK_ROWS for n in (10**6, 10**9, 10**12))
+
+
+def test_too_many_sources_are_refused(docs, monkeypatch):
+    monkeypatch.setattr(M, "MOST_SOURCES", 3)
+    with pytest.raises(ValueError):
+        draws(docs(corpus(random.Random(5), 50)))
+
+
 def test_nulls_repeats_long_texts_and_empty_tables(docs):
     rows = [(1, None, "a"), (2, "", "a"), (3, "x y", "a"), (3, "x y", "a"), (None, "z " * 50_000, None), (None, "q", "b"), (4, "u v w", "b")]
     got = draws(docs(rows, size=F.lit("s"), block=F.lit(1))).collect()
