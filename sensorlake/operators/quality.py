@@ -88,6 +88,61 @@ def schema_drift(spark: SparkSession, declared: T.StructType, inferred: dict[str
     return spark.createDataFrame(rows, columns)
 
 
+#: What a variant's kind may be for a declared type, by its first word; nothing (VOID) fits all of them.
+_FITTING = {"string": ("STRING",), "double": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")}
+
+
+def field_drift(texts: DataFrame, declared: T.StructType = model.RAW_SCHEMA) -> DataFrame:
+    """Q5 at the grain of files: per ``sensor_type`` and ``day``, the fields of JSON objects that are missing, extra or of
+    another type than declared, with the number of readings and the first file that has it.
+
+    ``texts``: one row per reading, with ``text``, ``sensor_type``, ``day`` and ``file``.  Every text is parsed once, as
+    VARIANT, and its fields are counted by name and kind in one aggregate; a text that is no object counts as
+    ``unreadable``.  A field that is null is neither missing nor of another type."""
+    said = F.try_parse_json("text")
+    names = [f.name for f in declared.fields]
+    entry = lambda name, kind: F.struct(F.lit(name).alias("name") if isinstance(name, str) else name.alias("name"), kind.alias("kind"))
+    absent = [F.when(F.try_variant_get("v", f"$.{n}", "variant").isNull(), entry(n, F.lit("ABSENT"))) for n in names]
+    parsed = texts.select("sensor_type", "day", "file", said.alias("v")).withColumn("is_object", F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
+    parsed = parsed.withColumn("absent", F.when(F.col("is_object"), F.array_compact(F.array(*absent))).otherwise(F.array(entry("", F.lit("UNREADABLE")))))
+    fields = texts.sparkSession.tvf.variant_explode_outer(F.when(F.col("is_object"), F.col("v")).outer())
+    each = parsed.lateralJoin(fields.select("pos", "key", F.schema_of_variant("value").alias("kind")))
+    own = F.when(F.col("key").isNotNull(), F.array(entry(F.col("key"), F.col("kind"))))
+    # What a text lacks goes with its first field, or with the one row of a text without fields.
+    with_first = F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("absent"))
+    none = F.array().cast("array<struct<name:string,kind:string>>")
+    told = each.select("sensor_type", "day", "file", F.explode(F.concat(F.coalesce(own, none), F.coalesce(with_first, none))).alias("f"))
+    counted = told.groupBy("sensor_type", "day", "f.name", "f.kind").agg(F.count(F.lit(1)).alias("readings"), F.min("file").alias("first_file"))
+    kind_of = F.regexp_extract("kind", "^[A-Z]+", 0)
+    fits = F.col("kind") == "VOID"
+    for f in declared.fields:
+        kinds = _FITTING.get(f.dataType.simpleString(), (f.dataType.simpleString().upper(),))
+        fits = fits | ((F.col("name") == f.name) & kind_of.isin(*kinds))
+    types = F.create_map(*[F.lit(x) for f in declared.fields for x in (f.name, f.dataType.simpleString())])
+    issue = (
+        F.when(F.col("kind") == "UNREADABLE", "unreadable")
+        .when(F.col("kind") == "ABSENT", "missing")
+        .when(~F.col("name").isin(*names), "extra")
+        .otherwise("type_differs")
+    )
+    return counted.filter(~fits).select(
+        "sensor_type", "day", F.col("name").alias("column_name"), issue.alias("issue"), F.try_element_at(types, "name").alias("declared_type"),
+        F.when(~F.col("kind").isin("ABSENT", "UNREADABLE"), F.col("kind")).alias("found_type"), "readings", "first_file",
+    )
+
+
+def reading_texts(spark: SparkSession, paths: Sequence[str], glob: str = "*.json") -> DataFrame:
+    """The lines of line-delimited files as ``field_drift`` takes them: the type is the files' folder, the day that of their
+    modification."""
+    lines = spark.read.text(list(paths), pathGlobFilter=glob).filter(F.trim("value") != "")
+    return lines.select(
+        F.col("value").alias("text"),
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("sensor_type"),
+        F.to_date(F.col("_metadata.file_modification_time")).alias("day"),
+        F.col("_metadata.file_path").alias("file"),
+    )
+
+
 def reject_reason_counts(df: DataFrame) -> DataFrame:
     """Q6: rejected rows per reason (a row with several reasons counts in each)."""
     tagged = df if "reject_reasons" in df.columns else with_reject_reasons(df)

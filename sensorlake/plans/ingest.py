@@ -125,20 +125,21 @@ def ingest_frame(
         if not profile.empty:
             # Decided once, before the write: afterwards the table holds the new rows.
             clashes = observation("conflicts")
-            met = F.count_if(F.col(STATUS) == CONFLICTING).alias("n")
-            decisions.observe(clashes, met).write.parquet(f"{stage_path}-decided")
+            met = [F.count_if(F.col(STATUS) == s).alias(s) for s in (NEW, CONFLICTING)]
+            decisions.observe(clashes, *met).write.parquet(f"{stage_path}-decided")
             decided = spark.read.schema(decisions.schema).parquet(f"{stage_path}-decided")
-            report.conflicting = int(clashes.get["n"] or 0)
+            n_new, report.conflicting = (int(clashes.get[s] or 0) for s in (NEW, CONFLICTING))
             if quarantine_path and (report.rejected or report.conflicting):
                 rejected = rejected_rows(table)
                 if report.conflicting:
                     rejected = rejected.unionByName(conflict_rows(with_status(decided, CONFLICTING), table))
                 report.quarantined = write_quarantine(rejected, quarantine_path, fmt)
-            fresh = with_status(decided, NEW)
-            if on_new is not None:
-                on_new(fresh)
-            result = write_warehouse(fresh, warehouse_path, mode, fmt, writer_count(spark, profile))
-            report.written, report.alerts = result.written, result.alerts
+            if n_new:
+                fresh = with_status(decided, NEW)
+                if on_new is not None:
+                    on_new(fresh)
+                result = write_warehouse(fresh, warehouse_path, mode, fmt, writer_count(spark, profile))
+                report.written, report.alerts = result.written, result.alerts
             report.repeated = report.valid - report.written - report.conflicting
         elif quarantine_path and report.rejected:
             report.quarantined = write_quarantine(rejected_rows(table), quarantine_path, fmt)

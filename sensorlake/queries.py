@@ -84,6 +84,7 @@ def registry() -> dict[str, Query]:
         "reject_reasons": reject_reasons,
         "valid_by_type": valid_by_type,
         "schema_drift": schema_drift,
+        "field_drift": field_drift,
         "ingest_stream": ingest_stream,
         "stream_batch_metrics": stream_batch_metrics,
         "stream_dedup": stream_dedup,
@@ -361,6 +362,18 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.schema_drift(spark, model.RAW_SCHEMA, inferred)
 
 
+def field_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 by field and kind, in one pass over the files: values sent as text, and a field that only some readings have."""
+    root = scratch_path(spark, "landing")
+    readings = raw_readings(spark, sf_dir)
+    newer = F.when(F.col("sensor_id").cast("long") % 5 == 0, F.lit(2))
+    land_readings(readings.withColumn("firmware", newer), root, value_as_text=F.col("type") == "signup")
+    found = quality.field_drift(quality.reading_texts(spark, sensor_dirs(spark, root)))
+    return found.groupBy("column_name", "issue", "declared_type", "found_type").agg(
+        F.sum("readings").alias("readings"), F.count_if(F.col("first_file").isNull()).alias("without_file")
+    )
+
+
 def bom_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4: landing files with a byte-order mark, and files that do not begin with a reading."""
     files = quality.bom_check(spark, sensor_dirs(spark, _landing(spark, sf_dir)))
@@ -856,6 +869,10 @@ SELECT * FROM (VALUES
   ('evolution_pression_horaire', (SELECT COUNT(*) FROM (SELECT DISTINCT site, hour FROM sensor_data WHERE type = 'pressure')), {of('pressure')})
 ) t(name, rows, readings)""")
     out["export_refresh_all"], out["stream_windows"] = out["export_all"], out["stream_hourly"]
+    out["field_drift"] = """
+SELECT 'value' AS column_name, 'type_differs' AS issue, 'double' AS declared_type, 'STRING' AS found_type, COUNT(*) AS readings, 0 AS without_file
+FROM events WHERE event_type = 'signup' HAVING COUNT(*) > 0
+UNION ALL SELECT 'firmware', 'extra', NULL, 'BIGINT', COUNT(*), 0 FROM events WHERE event_id % 5 = 0 HAVING COUNT(*) > 0"""
     out["bom_check"] = "SELECT 0 AS with_bom, 0 AS other_start"
     out["sql_view"] = _w(f"SELECT site, type, COUNT(*) AS total, {ALERTS} AS alertes FROM sensor_data GROUP BY site, type")
     return out

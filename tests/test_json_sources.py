@@ -138,3 +138,26 @@ def test_corrupt_records_and_null_profile(spark, tmp_path):
     reasons = {r.reason: r.n for r in quality.reject_reason_counts(normalise(df)).collect()}
     assert reasons["corrupt_record"] == 1 and reasons["sensor_id_missing"] == 1
     assert quality.sample_rows(df, 1).count() == 1
+
+
+def test_field_drift_by_type_and_file(spark, tmp_path):
+    lines = [
+        json.dumps(reading(sensor_id="1")), json.dumps(reading(sensor_id="2", value="3.5")), json.dumps(reading(sensor_id="3", value=4, firmware={"v": 1})),
+        json.dumps({"sensor_id": None, "type": "temperature"}), "{}", "no json", "[1]", "", '{"value": null, "unit": 5}',
+    ]
+    write_text(str(tmp_path / "temperature" / "b.json"), "\n".join(lines))
+    write_text(str(tmp_path / "temperature" / "a.json"), json.dumps(reading(value={"is": 1})) + "\n" + json.dumps(reading(value="x")))
+    write_text(str(tmp_path / "pressure" / "c.json"), json.dumps(reading(type="pressure")))
+    drift = quality.field_drift(quality.reading_texts(spark, [str(tmp_path / "temperature"), str(tmp_path / "pressure")]))
+    assert drift._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {(r.sensor_type, r.column_name, r.issue, r.found_type): (r.readings, r.declared_type, os.path.basename(r.first_file)) for r in drift.collect()}
+    missing = {c: n for c, n in (("sensor_id", 2), ("type", 2), ("value", 2), ("unit", 2), ("site", 3), ("machine", 3), ("timestamp", 3))}
+    want = {("temperature", c, "missing", None): (n, "double" if c == "value" else "string", "b.json") for c, n in missing.items()}
+    want |= {
+        ("temperature", "value", "type_differs", "STRING"): (2, "double", "a.json"),
+        ("temperature", "value", "type_differs", "OBJECT<is: BIGINT>"): (1, "double", "a.json"),
+        ("temperature", "unit", "type_differs", "BIGINT"): (1, "string", "b.json"),
+        ("temperature", "firmware", "extra", "OBJECT<v: BIGINT>"): (1, None, "b.json"),
+        ("temperature", "", "unreadable", None): (2, None, "b.json"),
+    }
+    assert got == want
