@@ -22,9 +22,9 @@ from sensorlake.functions.timestamps import require_fixed_zone
 from sensorlake.operators.cleaning import normalise, with_reject_reasons
 from sensorlake.operators.dedup import CONFLICTING, CONTENT, IDENTITY, NEW, STATUS, decide, partition_profile
 from sensorlake.operators.derive import EVENT_TIME, STAMP, warehouse_columns, with_calendar, with_event_time
-from sensorlake.session import observation, remove_path, scratch_path
-from sensorlake.sinks.warehouse import decided_rows, with_status, write_quarantine, write_warehouse, writer_count
-from sensorlake.sources.json_files import JSON_GLOB, read_json, sensor_dirs
+from sensorlake.session import list_names, observation, remove_path, scratch_path
+from sensorlake.sinks.warehouse import append_new, decided_rows, with_status, write_quarantine, write_warehouse, writer_count
+from sensorlake.sources.json_files import JSON_GLOB, path_exists, read_json, sensor_dirs
 from sensorlake.sources.json_values import read_values, recover_types
 from sensorlake.sources.ledger import changed_corrupt_files, note_files, unread_files
 from sensorlake.sources.warehouse import table_exists
@@ -169,24 +169,45 @@ def merge_late(
 
     An idempotent batch ingest of the landed files: what the table holds stays as it is.  Pass the paths that
     the stream has: late conflicts go to the quarantine, late readings to the alerts and kept views, before the
-    table.  A merge that failed and runs again over the same files writes none of them twice.  The stream must
-    not run meanwhile."""
+    table.  The late rows are staged beside the table (``<warehouse_path>.late``) under the merge's own number; a
+    merge that failed is finished from there, steps that ended are not repeated, and only then are the landed files
+    read again, so nothing is counted twice whatever has landed meanwhile.  The stream must not run meanwhile."""
     from sensorlake.streaming.ingest import write_alerts
-    from sensorlake.streaming.latest import stream_id, update_latest, update_summary
+    from sensorlake.streaming.latest import Steps, stream_id, update_latest, update_summary
 
-    def keep(new: DataFrame) -> None:
-        named = new.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64(*IDENTITY, *CONTENT), F.lit(1 << 31)))).first()
-        if not named[0]:
-            return
-        stream, batch = stream_id(f"{warehouse_path.rstrip('/')}/late"), int(named[1])
+    root = f"{warehouse_path.rstrip('/')}.late"
+    stream, done = stream_id(root), f"{root}/_steps"
+
+    def views(number: int) -> DataFrame:
+        new = spark.read.schema(model.WAREHOUSE_SCHEMA).parquet(f"{root}/{number}")
+        steps = Steps(spark, done, number)
         if alerts_path:
-            write_alerts(new, alerts_path, stream, batch)
+            steps.once("alerts", lambda: write_alerts(new, alerts_path, stream, number))
         if latest_path:
-            update_latest(new, latest_path, stream, batch, latest_n)
+            steps.once("latest", lambda: update_latest(new, latest_path, stream, number, latest_n))
         if summary_path:
-            update_summary(new, summary_path, stream, batch)
+            steps.once("summary", lambda: update_summary(new, summary_path, stream, number))
+        return new
+
+    staged = sorted(int(n) for n in list_names(spark, root) if n.isdigit())
+    last = max([*staged, *(int(n) for n in list_names(spark, done) if n.isdigit())], default=-1)
+    finished = 0
+    for number in staged:
+        if path_exists(spark, f"{root}/{number}/_SUCCESS"):
+            finished += append_new(views(number), warehouse_path, fmt).written
+        remove_path(spark, f"{root}/{number}")
+    number = last + 1
 
-    return ingest_batch(spark, raw_root, warehouse_path, quarantine_path, fmt=fmt, glob=glob, multi_line=multi_line, on_new=keep).written
+    def keep(new: DataFrame) -> None:
+        new.write.mode("overwrite").parquet(f"{root}/{number}")
+        views(number)
+
+    report = ingest_batch(spark, raw_root, warehouse_path, quarantine_path, fmt=fmt, glob=glob, multi_line=multi_line, on_new=keep)
+    remove_path(spark, f"{root}/{number}")
+    steps = Steps(spark, done, number)
+    steps.once("merged", lambda: None)  # the number is spent, also without late rows
+    steps.forget_older()
+    return finished + report.written
 
 
 def ingest_batch(

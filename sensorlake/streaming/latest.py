@@ -7,8 +7,8 @@ the view's own, so a new checkpoint goes on where the old one stopped; a
 batch that has its marker is skipped, so a replay changes nothing.  Readers
 take the newest finished version and never meet a file that is being written.
 
-The summary has a version per day: a trigger reads and writes the days that
-its rows touch, and no other.
+The summary has its versions and their markers in a folder per day: a trigger
+lists, reads and writes the days that its rows touch, and no other.
 """
 
 from __future__ import annotations
@@ -107,42 +107,45 @@ def read_latest(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
     return reports.latest_readings(spark.read.schema(LATEST_SCHEMA).parquet(f"{path}/v={done[-1].name}"), n)
 
 
-def _day_versions(spark: SparkSession, path: str, day: str, names: set[str]) -> list[str]:
-    """Finished versions of a day, oldest first."""
-    return sorted(n[2:] for n in list_names(spark, f"{path}/{DAY}={day}") if n[2:] in names)
+DONE = "_done-"
+
+
+def _day_versions(spark: SparkSession, path: str, day: str) -> list[Version]:
+    """Finished versions of a day, oldest first: those whose markers lie beside them."""
+    names = [n.removeprefix(DONE) for n in list_names(spark, f"{path}/{DAY}={day}") if n.startswith(DONE)]
+    return sorted((Version.of(n) for n in names), key=lambda v: v.number)
 
 
 def update_summary(new_rows: DataFrame, path: str, stream: str, batch_id: int) -> list[str]:
-    """Merge the summary of a batch's new rows into the kept one; returns the days rewritten."""
+    """Merge the summary of a batch's new rows into the kept one; returns the days rewritten (a day that has the batch
+    already is left alone, so a replay goes on where it was broken off)."""
     spark = new_rows.sparkSession
-    version = next_version(spark, path, stream, batch_id)
-    if version is None:
-        return []
     day = F.make_date("year", "month", "day").cast("string")
-    days = [r[0] for r in new_rows.select(day).distinct().collect()]
-    if days:
-        names = {v.name for v in finished(spark, path)}
-        newest = {d: _day_versions(spark, path, d, names) for d in days}
-        dirs = [f"{path}/{DAY}={d}/v={v[-1]}" for d, v in newest.items() if v]
-        merged = reading_summary(new_rows)
-        if dirs:
-            merged = merge_summaries(spark.read.schema(merged.schema).parquet(*dirs), merged)
-        writer = merged.withColumns({DAY: day, "v": F.lit(version.name)}).repartition(DAY).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(DAY, "v").parquet(path)
-        for d, v in newest.items():
-            for old in v[: -KEPT]:
-                remove_path(spark, f"{path}/{DAY}={d}/v={old}")
-    finish(spark, path, version)
-    return sorted(days)
+    held = {r[0]: _day_versions(spark, path, r[0]) for r in new_rows.select(day).distinct().collect()}
+    held = {d: vs for d, vs in held.items() if not any((v.stream, v.batch) == (stream, batch_id) for v in vs)}
+    if not held:
+        return []
+    version = Version(1 + max((vs[-1].number for vs in held.values() if vs), default=0), stream, batch_id)
+    merged = reading_summary(new_rows.filter(day.isin(*held)))
+    dirs = [f"{path}/{DAY}={d}/v={vs[-1].name}" for d, vs in held.items() if vs]
+    if dirs:
+        merged = merge_summaries(spark.read.schema(merged.schema).parquet(*dirs), merged)
+    writer = merged.withColumns({DAY: day, "v": F.lit(version.name)}).repartition(DAY, "site", "type").write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(DAY, "v").parquet(path)
+    for d, vs in held.items():
+        touch(spark, f"{path}/{DAY}={d}/{DONE}{version.name}")
+        for old in vs[: -KEPT]:
+            remove_path(spark, f"{path}/{DAY}={d}/{DONE}{old.name}")
+            remove_path(spark, f"{path}/{DAY}={d}/v={old.name}")
+    return sorted(held)
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame | None:
     """The kept reading summary (None before the first batch with a row)."""
-    names = {v.name for v in finished(spark, path)}
     dirs = []
     for d in list_names(spark, path):
         if d.startswith(f"{DAY}="):
-            dirs += [f"{path}/{d}/v={v}" for v in _day_versions(spark, path, d.removeprefix(f"{DAY}="), names)[-1:]]
+            dirs += [f"{path}/{d}/v={v.name}" for v in _day_versions(spark, path, d.removeprefix(f"{DAY}="))[-1:]]
     return spark.read.parquet(*dirs) if dirs else None
 
 

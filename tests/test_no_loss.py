@@ -190,6 +190,42 @@ def test_state_mode_accounts_for_conflicts_rejected_and_late_rows(spark, tmp_pat
     assert reports.stats_by_type(read_summary(spark, summary)).first().total_mesures == 3 and len(reasons()) == 5
 
 
+@pytest.mark.parametrize("place", ["alerts", "summary", "table"])
+def test_a_merge_that_failed_counts_nothing_twice(spark, tmp_path, monkeypatch, place):
+    """It fails before or behind the views, more late files land, and it is run again."""
+    from sensorlake.plans import ingest as plan
+    from sensorlake.streaming import ingest as stream, latest as kept
+
+    root, wh, alerts, summary = (str(tmp_path / n) for n in ("raw", "wh", "alerts", "summary"))
+    options = dict(multi_line=True, alerts_path=alerts, summary_path=summary)
+    land(root, reading(sensor_id="a", value=99.0), "a")
+    module, name = {"alerts": (stream, "write_alerts"), "summary": (kept, "update_summary"), "table": (plan, "write_warehouse")}[place]
+
+    def broken(*args, **kwargs):
+        raise OSError("crash")
+
+    monkeypatch.setattr(module, name, broken)
+    with pytest.raises(OSError):
+        merge_late(spark, root, wh, **options)
+    monkeypatch.undo()
+    land(root, [reading(sensor_id="b", value=98.0), reading(sensor_id="c")], "b")
+    assert merge_late(spark, root, wh, **options) == 3
+    assert [s for s, _, _ in stored(spark, wh)] == ["a", "b", "c"]
+    assert sorted(r.sensor_id for r in read_alerts(spark, alerts).collect()) == ["a", "b"]
+    assert reports.stats_by_type(read_summary(spark, summary)).first().total_mesures == 3
+    assert merge_late(spark, root, wh, **options) == 0
+    assert reports.stats_by_type(read_summary(spark, summary)).first().total_mesures == 3
+
+
+def test_markers_of_the_summary_do_not_pile_up(spark, tmp_path):
+    path = str(tmp_path / "summary")
+    for i in range(6):
+        update_summary(to_warehouse(frame(spark, [reading(sensor_id=f"r{i}")])), path, "s", i)
+    (day,) = (d for d in os.listdir(path) if d.startswith("_day="))
+    assert len([n for n in os.listdir(f"{path}/{day}") if n.startswith(("v=", "_done"))]) == 4
+    assert reports.stats_by_type(read_summary(spark, path)).first().total_mesures == 6
+
+
 def test_a_missing_source_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         start_ingest(spark, str(tmp_path / "none"), str(tmp_path / "wh"), str(tmp_path / "ck"), multi_line=True)
