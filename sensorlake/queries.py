@@ -24,7 +24,7 @@ from sensorlake.plans.exports import export_all, run_reports
 from sensorlake.plans.ingest import ingest_batch, ingest_frame, merge_late
 from sensorlake.session import remove_path, scratch_path
 from sensorlake.sinks.csv import export_single_csv, write_csv
-from sensorlake.sources.events import land_arrays, land_damaged, land_readings, raw_readings, read_table, time_text_variants, warehouse_rows
+from sensorlake.sources.events import land_arrays, land_damaged, land_readings, land_texts, raw_readings, read_table, time_text_variants, warehouse_rows
 from sensorlake.sources.json_files import infer_schema, read_sensor_dirs, sensor_dirs
 from sensorlake.sources.ledger import read_ledger
 from sensorlake.sources.warehouse import read_csv_warehouse, read_warehouse, register_view
@@ -108,6 +108,7 @@ def registry() -> dict[str, Query]:
         "large_values": large_values,
         "export_all": export_all_query,
         "run_reports": run_reports_query,
+        "export_values": export_values,
         "single_csv": single_csv,
         "csv_warehouse": csv_warehouse,
         "export_refresh": export_refresh,
@@ -320,7 +321,8 @@ def large_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports over readings of 1e13, beyond the exact range; infinite ones are rejected."""
     big = F.when(F.col("sensor_id").cast("long") % 100 == 0, F.lit(1e13)).when(F.col("sensor_id").cast("long") % 101 == 0, F.lit(float("inf")))
     rows = to_warehouse(raw_readings(spark, sf_dir).withColumn("value", F.coalesce(big, "value")))
-    return reports.stats_by_type(rows).select("type", "total_mesures", "valeur_min", "valeur_max", "nombre_alertes")
+    rough = [F.round(c, -4).alias(c) for c in ("valeur_moyenne", "ecart_type")]  # of 1e10 and more
+    return reports.stats_by_type(rows).select("type", "total_mesures", "valeur_min", "valeur_max", "nombre_alertes", *rough)
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,8 +377,12 @@ def field_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bom_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4: landing files with a byte-order mark, and files that do not begin with a reading."""
-    files = quality.bom_check(spark, sensor_dirs(spark, _landing(spark, sf_dir)))
+    """Q4: landing files with a byte-order mark (one of each type is landed beside the others), and files that do not
+    begin with a reading."""
+    root = _landing(spark, sf_dir)
+    first = raw_readings(spark, sf_dir).filter(F.col("type").isin(*model.SENSOR_TYPES)).groupBy(F.col("type").alias("_dir")).agg(F.min("sensor_id").alias("sensor_id"))
+    land_texts(first.select("_dir", F.concat(F.lit("\ufeff"), F.to_json(F.struct("sensor_id"))).alias("value")), root)
+    files = quality.bom_check(spark, sensor_dirs(spark, root), glob="part-*")
     starts = F.startswith(F.col("head"), F.lit('{"sensor_id":"'))
     return files.agg(F.count_if("has_bom").alias("with_bom"), F.count_if((F.col("length") > 0) & ~starts).alias("other_start"))
 
@@ -410,6 +416,37 @@ def _read_back(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return out
 
 
+#: Written report or export -> the query of the same report, and its numbers.
+EXPORTED = {
+    "temperature_moyenne": ("temperature_by_machine_day", ("temperature_moyenne", "temperature_min", "temperature_max", "nombre_mesures")),
+    "alertes_critiques": ("alerts_by_type", ("total_mesures", "alertes_critiques")),
+    "top5_variabilite_vibration": ("vibration_top5", ("nombre_mesures", "ecart_type", "min_val", "max_val")),
+    "evolution_pression_horaire": ("pressure_hourly", ("heure", "pression_moyenne", "nombre_mesures")),
+    "raw_data": ("raw_export", ("value", "day", "hour")),
+    "stats_by_type": ("stats_by_type", ("total_mesures", "valeur_moyenne", "valeur_min", "valeur_max", "ecart_type", "nombre_alertes")),
+    "stats_by_site": ("stats_by_site", ("total_mesures", "valeur_moyenne", "alertes")),
+    "stats_by_machine": ("stats_by_machine", ("total_mesures", "valeur_moyenne", "alertes")),
+    "hourly_trends": ("hourly_trends", ("heure", "nombre_mesures", "valeur_moyenne", "alertes")),
+    "critical_alerts": ("critical_alerts", ("value",)),
+    "dashboard_summary": ("dashboard_summary", ("total_mesures", "nombre_sites", "nombre_machines", "total_alertes", "taux_alerte_pct")),
+}
+
+
+def export_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every report and export written as CSV and read back: the sum of each of its columns of numbers."""
+    rows, out = warehouse_rows(spark, sf_dir), scratch_path(spark, "exports")
+    export_all(rows, out)
+    paths = run_reports(rows, scratch_path(spark, "reports"))
+    paths |= {n: f"{out}/{n}" if n in ("raw_data", "critical_alerts") else f"{out}/{n}.csv" for n in reports.BI_EXPORTS}
+    found = None
+    for name, (_, columns) in EXPORTED.items():
+        read = spark.read.option("header", True).csv(paths[name])
+        sums = read.agg(*[F.round(F.sum(F.col(c).cast("decimal(38,6)")), 3).cast("double").alias(c) for c in columns])
+        part = sums.unpivot([], list(columns), "column_name", "total").select(F.lit(name).alias("name"), "column_name", "total")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 _SITE_STATS = "site string, type string, total_mesures bigint, valeur_moyenne double, alertes bigint, derniere_mesure timestamp"
 _TYPE_STATS = (
     "type string, total_mesures bigint, valeur_moyenne double, valeur_min double, valeur_max double, "
@@ -848,7 +885,8 @@ SELECT (SELECT COUNT(*) * 2 + COUNT(*) FILTER (WHERE CAST(sensor_id AS BIGINT) %
 FROM (SELECT *, CAST(sensor_id AS BIGINT) % 10 = 0 AS tenth FROM sensor_data)""")
     big = "CASE WHEN CAST(sensor_id AS BIGINT) % 100 = 0 THEN 1e13 ELSE value END"
     out["large_values"] = _w(f"""
-SELECT type, COUNT(*) AS total_mesures, ROUND(MIN(value) + 1e-9, 2) AS valeur_min, ROUND(MAX(value) + 1e-9, 2) AS valeur_max, {ALERTS} AS nombre_alertes
+SELECT type, COUNT(*) AS total_mesures, ROUND(MIN(value) + 1e-9, 2) AS valeur_min, ROUND(MAX(value) + 1e-9, 2) AS valeur_max, {ALERTS} AS nombre_alertes,
+  ROUND(AVG(value), -4) AS valeur_moyenne, ROUND(STDDEV_SAMP(value), -4) AS ecart_type
 FROM (SELECT type, value, {ALERT_SQL} AS is_alert FROM (SELECT type, {big} AS value FROM sensor_data
       WHERE CAST(sensor_id AS BIGINT) % 100 = 0 OR CAST(sensor_id AS BIGINT) % 101 <> 0)) GROUP BY type""")
     total, alerts = "(SELECT COUNT(*) FROM sensor_data)", "(SELECT COUNT(*) FROM sensor_data WHERE is_alert)"
@@ -873,6 +911,11 @@ SELECT * FROM (VALUES
 SELECT 'value' AS column_name, 'type_differs' AS issue, 'double' AS declared_type, 'STRING' AS found_type, COUNT(*) AS readings, 0 AS without_file
 FROM events WHERE event_type = 'signup' HAVING COUNT(*) > 0
 UNION ALL SELECT 'firmware', 'extra', NULL, 'BIGINT', COUNT(*), 0 FROM events WHERE event_id % 5 = 0 HAVING COUNT(*) > 0"""
-    out["bom_check"] = "SELECT 0 AS with_bom, 0 AS other_start"
+    out["bom_check"] = _w("SELECT COUNT(DISTINCT type) AS with_bom, COUNT(DISTINCT type) AS other_start FROM raw WHERE type IN ('temperature', 'vibration', 'pressure')")
+    out["export_values"] = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS name, '{c}' AS column_name, CAST(ROUND(SUM(CAST(\"{c}\" AS DECIMAL(38, 6))), 3) AS DOUBLE) AS total FROM ({out[report]})"
+        for name, (report, columns) in EXPORTED.items()
+        for c in columns
+    )
     out["sql_view"] = _w(f"SELECT site, type, COUNT(*) AS total, {ALERTS} AS alertes FROM sensor_data GROUP BY site, type")
     return out

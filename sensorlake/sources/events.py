@@ -105,10 +105,10 @@ def _in_files(readings: DataFrame, per_file: int) -> DataFrame:
     return routed.withColumn("_file", F.pmod(F.xxhash64("sensor_id"), files))
 
 
-def _write_texts(texts: DataFrame, root: str) -> str:
-    """One file for each row (``_dir``, ``value``) under ``root/<type>/``."""
+def land_texts(texts: DataFrame, root: str) -> str:
+    """One file for each row (``_dir``, ``value``) under ``root/<type>/``, of Spark's own names (``part-*``)."""
     for t in model.SENSOR_TYPES:
-        texts.filter(F.col("_dir") == t).select("value").write.option("maxRecordsPerFile", 1).option("lineSep", "\n").mode("append").text(f"{root}/{t}")
+        texts.filter(F.col("_dir") == t).select("value").write.option("maxRecordsPerFile", 1).mode("append").text(f"{root}/{t}")
     return root
 
 
@@ -118,7 +118,7 @@ def land_arrays(readings: DataFrame, root: str, per_file: int = 500) -> str:
     ``multi_line=True`` and ``glob="part-*"``."""
     names = [c for c, _ in model.RAW_FIELDS]
     array = F.to_json(F.collect_list(F.struct(*names)), {"pretty": "true", "ignoreNullFields": "false"})
-    return _write_texts(_in_files(readings, per_file).groupBy("_dir", "_file").agg(array.alias("value")), root)
+    return land_texts(_in_files(readings, per_file).groupBy("_dir", "_file").agg(array.alias("value")), root)
 
 
 #: What is wrong with a reading's text in `land_damaged`, by its id modulo 10: cut off before its last brace, no value, junk before it.
@@ -144,7 +144,7 @@ def land_damaged(readings: DataFrame, root: str, per_file: int = 50) -> str:
         F.when(layout == 0, array).when(layout == 1, F.array_join("all", " ")).when(layout == 2, F.array_join("all", "\n"))
         .otherwise(F.concat(F.lit("\ufeff"), array))
     )
-    return _write_texts(texts.select("_dir", value.alias("value")), root)
+    return land_texts(texts.select("_dir", value.alias("value")), root)
 
 
 # Sensor time text in the forms found in the field (separator, fraction,
