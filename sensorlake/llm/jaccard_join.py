@@ -509,8 +509,9 @@ def near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", widt
     each link by their own text.  A null identifier names a component only
     where it has no other.
     """
-    placed = _grouped(docs, ident, text, width, percent, buckets)
-    smallest = placed.filter("n > 0").groupBy("component").agg(F.min("doc").alias("component_id"))
+    placed = materialise(_grouped(docs, ident, text, width, percent, buckets), "placed")
+    # Written, so that the join has a shuffle of its own on either side and a component of many rows can be split.
+    smallest = materialise(placed.filter("n > 0").groupBy("component").agg(F.min("doc").alias("component_id")), "smallest")
     named = placed.join(smallest, "component", "left")
     return named.select(
         F.col("doc").alias(ident), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id")).alias("component_id")
@@ -523,7 +524,7 @@ def keep_one(docs: DataFrame, ident: str = "doc_id", text: str = "text", width:
     stay, and so do all rows that repeat identifier and text of one that stays."""
     placed = materialise(_grouped(docs, ident, text, width, percent, buckets).filter("n > 0"), "placed")
     order = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash")
-    first = placed.groupBy("component").agg(F.min(order).alias("first"))
+    first = materialise(placed.groupBy("component").agg(F.min(order).alias("first")), "first")
     gone = placed.join(first, "component").filter(order != F.col("first")).select(F.col("doc").alias("d"), F.col("text_hash").alias("h")).distinct()
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[ident].alias("i"), F.xxhash64(docs[text]).alias("x"))
     stay = rows.join(gone, F.col("i").eqNullSafe(F.col("d")) & (F.col("x") == F.col("h")), "left_anti")

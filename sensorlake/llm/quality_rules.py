@@ -202,8 +202,9 @@ def fit(stats: DataFrame, labels: DataFrame, ident: str = "doc_id", quality: str
     threshold counts all labelled rows, in ``CLASSES`` classes of the score.
     """
     names = [*COUNTS, *MORE]
-    marked = labels.select(labels[ident].alias("i"), labels[quality].cast("int").alias("good")).filter("good in (0, 1)")
-    rows = stats.join(marked, stats[ident] == F.col("i")).select("i", "good", *names)
+    marked = labels.select(labels[ident].alias("labelled"), labels[quality].cast("int").alias("good")).filter("good in (0, 1)")
+    own = stats.select(stats[ident].alias("i"), *(stats[c] for c in names))
+    rows = own.join(marked, F.col("i") == F.col("labelled")).select("i", "good", *names)
     rows = materialise(rows.filter((F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= MAX_REPEATED_PERCENT * F.col("n_words"))), "labelled")
     # A share by hash, chosen for fewer than FIT_ROWS rows; the limit holds where rows repeat in masses.
     share = min(1.0, 0.95 * FIT_ROWS / max(1, rows.count()))
@@ -234,7 +235,8 @@ def fit(stats: DataFrame, labels: DataFrame, ident: str = "doc_id", quality: str
 
 
 def judge(stats: DataFrame, rules: Rules) -> DataFrame:
-    """``stats`` with ``base_failed``, ``score`` and ``kept``."""
+    """``stats`` with ``base_failed``, ``score`` and ``kept``, which replace columns of the same names.  The statistics are
+    never null (a null text has those of an empty one, which the base rules reject); other columns pass as they are."""
     added = T.StructType([T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())])
     kept = [c for c in stats.columns if c not in added.names]
 

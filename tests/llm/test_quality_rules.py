@@ -95,7 +95,7 @@ def test_without_labels_only_the_base_rules_reject(spark, docs):
 def test_nulls_repeats_clashing_columns_and_empty_tables(spark, docs):
     _, labels, _ = frames(spark, docs, 10)
     labels = labels.unionByName(spark.createDataFrame([(None, 1), (3, None), (3, 7)], "doc_id long, quality int"))
-    frame = docs([(1, None), (2, ""), (3, "w " * 30), (3, "w " * 30), (None, "one two")], score=F.lit("mine"), n_words=F.lit("x"), kept=F.lit("y"))
+    frame = docs([(1, None), (2, ""), (3, "w " * 30), (3, "w " * 30), (None, "one two")], score=F.lit("mine"), n_words=F.lit("x"), kept=F.lit("y"), i=F.lit(0), good=F.lit(1), labelled=F.lit(2))
     rules = Q.fit(Q.with_statistics(frame), labels)
     rows = Q.judge(Q.with_statistics(frame), rules).collect()
     assert sorted((str(r["doc_id"]), r["n_words"], r["base_failed"]) for r in rows) == [("1", 0, True), ("2", 0, True), ("3", 30, True), ("3", 30, True), ("None", 2, True)]
