@@ -23,7 +23,7 @@ from sensorlake import model
 from sensorlake.operators.dedup import CONFLICTING, NEW, STATUS, PartitionProfile, decide, partition_profile
 from sensorlake.session import observation, remove_path, rename, touch
 from sensorlake.sources.json_files import path_exists
-from sensorlake.sources.warehouse import FILE_FORMATS, NEXT, OLD, SWAP, read_partitions, read_warehouse, table_exists
+from sensorlake.sources.warehouse import FILE_FORMATS, NEXT, OLD, SWAP, read_partitions, table_exists
 
 
 @dataclass
@@ -174,26 +174,53 @@ def write_quarantine(rejected: DataFrame, path: str, fmt: str = "parquet") -> in
     return int(obs.get.get("n") or 0)
 
 
-def compact(spark, path: str, days: DataFrame | None = None, fmt: str = "parquet") -> int:
-    """Rewrite the partitions of the given days as few, large files.
+#: A file below this many bytes is small: compaction writes it again together with others.
+SMALL_FILE = 64 << 20
+#: Small files that are compacted in one job.
+FILES_AT_ONCE = 5_000
+
+
+def _small_files(spark: SparkSession, path: str, days: DataFrame | None, small: int) -> DataFrame:
+    """``folder`` and ``path`` of the table's small files, where a partition has two or more; no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
+    files = listed.select("path", F.col("_metadata.file_size").alias("size"), F.regexp_extract("path", "^(.*)/", 1).alias("folder")).filter(F.col("size") < small)
+    if days is not None:
+        named = F.concat(F.lit("year="), "year", F.lit("/month="), "month", F.lit("/day="), "day")
+        files = files.withColumn("_day", F.regexp_extract("folder", "(year=[^/]*/month=[^/]*/day=[^/]*)$", 1))
+        files = files.join(days.select(named.alias("_day")).distinct(), "_day", "left_semi")
+    several = files.groupBy("folder").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("folder")
+    return files.join(several, "folder", "left_semi").select("folder", "path").orderBy("folder", "path")
+
+
+def compact(spark, path: str, days: DataFrame | None = None, fmt: str = "parquet", small: int = SMALL_FILE) -> int:
+    """Rewrite the small files of the given days' partitions as few, large ones.
 
     Stream micro-batches leave many small files per day.  ``days`` is a
     DataFrame with ``year, month, day`` (e.g. the days a stream touched); None
-    compacts every day.  The files that are there at the start are read and
-    written again beside themselves, then exactly those files are deleted, so
-    rows appended meanwhile stay.  A failure before the new files are complete
+    compacts every day.  Files of ``small`` bytes or more, and a small one that
+    is alone in its partition, stay as they are.  Some thousand files at a
+    time, whole partitions, are read and written again beside themselves, then
+    exactly those files are deleted, so rows appended meanwhile stay and the
+    driver holds one such list.  A failure before the new files are complete
     leaves the old ones; one while the old are being deleted leaves rows twice,
     never none.  Between the two steps readers see rows twice; a table format
     with transactions avoids that.  Returns the rows rewritten.
     """
-    rows = read_warehouse(spark, path, fmt).select("year", "month", "day", F.col("_metadata.file_path").alias("_file"))
-    if days is not None:
-        rows = rows.join(days.select("year", "month", "day").distinct(), ["year", "month", "day"], "left_semi")
-    files = [r[0] for r in rows.select("_file").distinct().collect()]
-    if not files:
-        return 0
-    old = spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).option("basePath", path).load(files)
-    written = write_warehouse(old, path, "append", fmt).written
-    for f in files:
-        remove_path(spark, f)
-    return written
+    if fmt not in FILE_FORMATS:
+        raise ValueError(f"{fmt} compacts its files itself")
+    written, held, folder = 0, [], None
+
+    def rewrite() -> int:
+        old = spark.read.format(fmt).schema(model.WAREHOUSE_SCHEMA).option("basePath", path).load(held)
+        n = write_warehouse(old, path, "append", fmt).written
+        for f in held:
+            remove_path(spark, f)
+        return n
+
+    for r in _small_files(spark, path, days, small).toLocalIterator():
+        if r["folder"] != folder and len(held) >= FILES_AT_ONCE:
+            written += rewrite()
+            held = []
+        folder = r["folder"]
+        held.append(r["path"])
+    return written + (rewrite() if held else 0)

@@ -94,6 +94,21 @@ def test_a_failed_compaction_keeps_the_files(spark, tmp_path, monkeypatch):
     assert len(stored(spark, wh)) == 3
 
 
+def test_compaction_takes_small_files_of_the_given_days_in_portions(spark, tmp_path, monkeypatch):
+    wh = str(tmp_path / "wh")
+    for day in (1, 2, 3):
+        for i in range(3):
+            ingest_frame(frame(spark, [reading(sensor_id=f"{day}-{i}", site="A/B %d", timestamp=f"2026-01-0{day}T10:00:00")]), wh)
+    ingest_frame(frame(spark, [reading(sensor_id="alone", timestamp="2026-01-09T10:00:00")]), wh)
+    files = lambda: sorted(f.split("day=")[1].split("/")[0] for f in read_warehouse(spark, wh).inputFiles())
+    before = stored(spark, wh)
+    assert sink.compact(spark, wh, small=1) == 0 and len(files()) == 10
+    monkeypatch.setattr(sink, "FILES_AT_ONCE", 2)
+    some = read_warehouse(spark, wh).filter("day < 3").select("year", "month", "day")
+    assert sink.compact(spark, wh, days=some) == 6 and files() == ["1", "2", "3", "3", "3", "9"]
+    assert sink.compact(spark, wh) == 3 and files() == ["1", "2", "3", "9"] and stored(spark, wh) == before
+
+
 def land(root, rows, name, age_days=0):
     path = write_pretty(f"{root}/temperature/{name}.json", rows)
     if age_days:
