@@ -185,6 +185,7 @@ def pressure_hourly_std(df: DataFrame) -> DataFrame:
 
 # --- BI extracts -------------------------------------------------------------
 
+# The columns of the extract, in order.
 RAW_EXPORT_COLUMNS = (
     "sensor_id", "type", "value", "unit", "site", "machine",
     "timestamp", "year", "month", "day", "hour", "is_alert",
@@ -388,6 +389,7 @@ def value_summary(df: DataFrame) -> DataFrame:
 
 # --- registry (A5) ----------------------------------------------------------------
 
+# The names under which the reports and the exports are written.
 DECISION_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "temperature_moyenne": temperature_by_machine_day,
     "alertes_critiques": alerts_by_type,

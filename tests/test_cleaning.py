@@ -77,7 +77,7 @@ def test_warehouse_row_shape(spark):
     out = to_warehouse(_frame(spark, [reading()]))
     assert tuple(out.columns) == model.WAREHOUSE_COLUMNS
     row = out.first()
-    assert (row.year, row.month, row.day, row.hour) == (2026, 1, 8, 14)
+    assert (row.year, row.month, row.day, row.hour) == (2026, 1, 8, 6)
     assert row.ingestion_timestamp is not None
 
 
