@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorlake import model
 from sensorlake.functions.timestamps import require_fixed_zone
 from sensorlake.operators.derive import EVENT_TIME
 from sensorlake.operators.summary import Measures
