@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake import model
 from sensorlake.operators import reports
 from sensorlake.operators.summary import Measures
 from sensorlake.session import part_files, remove_path, replace_file
-from sensorlake.sources.warehouse import read_warehouse
+from sensorlake.sources.warehouse import read_warehouse, table_exists
 from sensorlake.streaming.latest import read_latest, read_summary
 
 
@@ -24,6 +25,11 @@ def _publish(df: DataFrame, path: str) -> None:
     remove_path(spark, aside)
 
 
+def _table_so_far(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The table as the batches have written it; no rows before the first valid one, as a batch may have none."""
+    return read_warehouse(spark, path, fmt) if table_exists(spark, path) else spark.createDataFrame([], model.WAREHOUSE_SCHEMA)
+
+
 def monitor_publisher(
     warehouse_path: str,
     out_dir: str,
@@ -45,11 +51,11 @@ def monitor_publisher(
     def publish(spark: SparkSession, batch_id: int) -> None:
         batch = F.lit(batch_id).cast("long")
         summary = read_summary(spark, summary_path) if summary_path else None
-        stats = reports.monitor_stats(summary if summary is not None else read_warehouse(spark, warehouse_path, fmt))
+        stats = reports.monitor_stats(summary if summary is not None else _table_so_far(spark, warehouse_path, fmt))
         if latest_path:
             latest = read_latest(spark, latest_path, n)
         else:
-            latest = reports.latest_readings(read_warehouse(spark, warehouse_path, fmt), n)
+            latest = reports.latest_readings(_table_so_far(spark, warehouse_path, fmt), n)
         _publish(stats.withColumn("batch_id", batch), f"{out_dir}/stats")
         _publish(latest.withColumn("batch_id", batch), f"{out_dir}/latest")
 
@@ -81,7 +87,7 @@ def export_refresher(
             k: v for k, v in reports.BI_EXPORTS.items() if include_row_exports or k not in ROW_EXPORTS
         }
         summary = read_summary(spark, summary_path) if summary_path else None
-        export_all(read_warehouse(spark, warehouse_path, fmt), reports_dir, registry, summary=summary)
+        export_all(_table_so_far(spark, warehouse_path, fmt), reports_dir, registry, summary=summary)
 
     return refresh
 

@@ -1,5 +1,6 @@
 """Ingestion parity, idempotence, restart and replay."""
 
+import os
 from functools import partial
 
 import pytest
@@ -162,6 +163,29 @@ def test_export_refresh_after_each_batch(spark, tmp_path):
     assert header.startswith("total_mesures,") and row.startswith("6,")
 
 
+@pytest.mark.parametrize("kept", [False, True])
+def test_callbacks_before_the_first_valid_row(spark, tmp_path, kept):
+    """A first batch without a valid row: there is no table yet; the exports and the monitor show nothing, then the later rows."""
+    from sensorlake.streaming.monitor import export_refresher, monitor_publisher
+
+    root, wh, out = (str(tmp_path / n) for n in ("raw", "wh", "out"))
+    views = {"summary_path": str(tmp_path / "summary")} if kept else {}
+    refresh, publish, seen = export_refresher(wh, out, **views), monitor_publisher(wh, out, **views), []
+
+    def both(spark_, batch_id):
+        refresh(spark_, batch_id)
+        publish(spark_, batch_id)
+        with open(f"{out}/stats_by_type.csv") as f:
+            seen.append(len(f.read().strip().splitlines()) - 1)
+
+    write_text(f"{root}/temperature/r-empty.json", "")
+    os.utime(f"{root}/temperature/r-empty.json", (1, 1))
+    _land(root, 2)
+    start_ingest(spark, root, wh, str(tmp_path / "ck"), available_now=True, max_files_per_trigger=1, on_batch=both, **views).awaitTermination()
+    assert seen == [0, 1, 1]
+    assert [(r.type, r["count"]) for r in spark.read.parquet(f"{out}/stats").collect()] == [("temperature", 2)]
+
+
 def test_raw_archive_stream(spark, tmp_path):
     from sensorlake.streaming.ingest import start_raw_archive
 
