@@ -69,12 +69,13 @@ def start_windows(
 
     def upsert(changed: DataFrame, batch_id: int) -> None:
         session = changed.sparkSession
-        _write_part(changed.coalesce(1), path, stream, batch_id)
+        # Shuffled, not coalesced: one task over all partitions of the state would hold the buffers of each until its end.
+        _write_part(changed.repartition(1), path, stream, batch_id)
         if (batch_id + 1) % fold == 0:
             # All windows in this batch's part; a crash before the earlier parts are gone leaves rows that lose to these.
             folder = f"{path.rstrip('/')}/stream={stream}"
             aside = f"{folder}/_folded"
-            read_windows(session, path, stream, drop=False).coalesce(1).write.mode("overwrite").parquet(aside)
+            read_windows(session, path, stream, drop=False).repartition(1).write.mode("overwrite").parquet(aside)
             _write_part(session.read.schema(WINDOWS_SCHEMA).parquet(aside).drop("stream", "batch_id"), path, stream, batch_id)
             for n in list_names(session, folder):
                 if n.startswith("batch_id=") and int(n.removeprefix("batch_id=")) < batch_id:

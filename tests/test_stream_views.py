@@ -42,6 +42,23 @@ def test_windows_take_readings_in_any_order(spark, tmp_path, fold):
     assert read_windows(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_windows_are_not_computed_in_one_task(spark, tmp_path, monkeypatch):
+    """What a trigger and a fold write is shuffled into its one file: a coalesce would pull the state's partitions into one task."""
+    from sensorlake.streaming import windows
+
+    plans, write = [], windows._write_part
+
+    def noted(rows, *args):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(rows, *args)
+
+    monkeypatch.setattr(windows, "_write_part", noted)
+    land(str(tmp_path / "raw"), "a", at("1", 10), at("2", 11))
+    start_windows(spark, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"), multi_line=False, available_now=True, fold=1).awaitTermination()
+    assert len(plans) == 2 and not [p for p in plans if "Repartition 1, false" in p]
+    assert len(shown(spark, str(tmp_path / "out"))) == 2
+
+
 def test_late_readings_are_counted(spark, tmp_path):
     root, out, ck = (str(tmp_path / n) for n in ("raw", "out", "ck"))
     land(root, "a", at("1", 10), at("2", 11))
