@@ -3,6 +3,8 @@
 import os
 from functools import partial
 
+import pytest
+
 from sensorlake import model
 from sensorlake.operators import reports
 from sensorlake.plans.exports import export_all, run_reports
@@ -179,3 +181,26 @@ def test_only_touched_partitions_are_listed(spark, tmp_path):
     ingest_batch(spark, new, wh)
     assert ingest_batch(spark, new, wh).written == 0  # odd names are found again
     assert read_partitions(spark, wh, [("none", "pressure", 2026, 1, 8)]) is None
+
+
+@pytest.mark.parametrize("name", ["export_all_query", "run_reports_query", "export_values"])
+def test_exports_read_rows_that_were_derived_once(spark, tmp_path, monkeypatch, name):
+    """The many reads of the exports are of kept rows; none parses the readings again."""
+    from sensorlake import queries
+
+    sources = []
+
+    def noted(fn):
+        def run(rows, *args):
+            sources.extend(rows.inputFiles())
+            return fn(rows, *args)
+        return run
+
+    monkeypatch.setattr(queries, "export_all", noted(queries.export_all))
+    monkeypatch.setattr(queries, "run_reports", noted(queries.run_reports))
+    events = spark.range(40).selectExpr(
+        "id AS event_id", "timestamp_ntz'2026-01-08 06:12:07' AS ts", "id AS user_id", "element_at(array('click', 'view', 'purchase'), int(id % 3) + 1) AS event_type", "double(id) AS value"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    assert getattr(queries, name)(spark, str(tmp_path)).count() > 0
+    assert sources and not [f for f in sources if "events.parquet" in f]
