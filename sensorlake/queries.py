@@ -24,7 +24,7 @@ from sensorlake.plans.exports import export_all, run_reports
 from sensorlake.plans.ingest import ingest_batch, ingest_frame, merge_late
 from sensorlake.session import remove_path, scratch_path
 from sensorlake.sinks.csv import export_single_csv, write_csv
-from sensorlake.sources.events import land_arrays, land_damaged, land_readings, land_texts, raw_readings, read_table, time_text_variants, warehouse_rows
+from sensorlake.sources.events import STREAM_FILES, land_arrays, land_damaged, land_readings, land_texts, raw_readings, read_table, time_text_variants, warehouse_rows
 from sensorlake.sources.json_files import infer_schema, read_sensor_dirs, sensor_dirs
 from sensorlake.sources.ledger import read_ledger
 from sensorlake.sources.warehouse import read_csv_warehouse, read_warehouse, register_view
@@ -248,7 +248,7 @@ def ingest_batch_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_stream_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 as the sensors write: one pretty-printed JSON value per file, some files a batch."""
     root, wh = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
-    land_arrays(raw_readings(spark, sf_dir), root, per_file=20_000)
+    land_arrays(raw_readings(spark, sf_dir), root, per_file=20_000, most=STREAM_FILES)
     _stream(spark, root, wh, glob="part-*", multi_line=True, max_files_per_trigger=4)
     _forget(spark, root)
     return _table(spark, wh)
@@ -279,7 +279,7 @@ def ingest_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_salvage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same in a stream, some files a batch."""
     root, wh, qu = (scratch_path(spark, n) for n in ("landing", "warehouse", "quarantine"))
-    land_damaged(raw_readings(spark, sf_dir), root, per_file=5_000)
+    land_damaged(raw_readings(spark, sf_dir), root, per_file=5_000, most=STREAM_FILES)
     _stream(spark, root, wh, glob="part-*", multi_line=True, max_files_per_trigger=4, quarantine_path=qu)
     _forget(spark, root)
     return _salvaged(spark, wh, qu)

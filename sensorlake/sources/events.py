@@ -14,6 +14,8 @@ mapping (also written in SQL in ``__spark_entry__.oracle_sql``):
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,32 +78,49 @@ def landing_dir_column() -> Column:
     return F.when(F.col("type").isin(*types), F.col("type")).otherwise(routed)
 
 
+#: Line-delimited files that one landing writes for a sensor type, and the readings from which on it writes a further one.
+LINE_FILES, READINGS_PER_FILE = 2, 500_000
+
+
+def _to_files(part: DataFrame, count: int) -> DataFrame:
+    """``part`` in as many partitions as files are to be written for its ``count`` rows, of about the same size each."""
+    return part.repartition(max(1, min(LINE_FILES, -(-count // READINGS_PER_FILE))))
+
+
 def land_readings(readings: DataFrame, root: str, value_as_text: Column | None = None) -> str:
     """Write raw readings as line-delimited JSON files under ``root/<type>/``.
 
+    Line-delimited files are split inside by their readers, so with more readings the files grow, not their number: a
+    stream that takes one file a batch compares each batch with the table, which batches in proportion to the readings
+    would make quadratic.
+
     ``value_as_text``: rows for which it holds carry ``value`` as a JSON
     string (a type error the JSON reader sends to ``_corrupt_record``).
     Returns ``root``.  Read back with ``multi_line=False``.
     """
-    routed = readings.withColumn("_dir", landing_dir_column())
-    for t in model.SENSOR_TYPES:
-        part = routed.filter(F.col("_dir") == F.lit(t)).drop("_dir")
-        if value_as_text is None:
-            part.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
-        else:
-            ok = part.filter(~F.coalesce(value_as_text, F.lit(False)))
-            bad = part.filter(F.coalesce(value_as_text, F.lit(False))).withColumn("value", F.col("value").cast("string"))
-            ok.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
-            bad.write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
+    as_text = F.lit(False) if value_as_text is None else F.coalesce(value_as_text, F.lit(False))
+    routed = readings.withColumns({"_dir": landing_dir_column(), "_text": as_text})
+    counts = {(r["_dir"], r["_text"]): r["count"] for r in routed.groupBy("_dir", "_text").count().collect()}  # two rows a sensor type
+
+    def land(t: str) -> None:
+        for text in (False,) if value_as_text is None else (False, True):
+            part = routed.filter((F.col("_dir") == F.lit(t)) & (F.col("_text") == F.lit(text))).drop("_dir", "_text")
+            if text:
+                part = part.withColumn("value", F.col("value").cast("string"))
+            _to_files(part, counts.get((t, text), 0)).write.mode("append").option("ignoreNullFields", False).json(f"{root}/{t}")
+
+    with ThreadPoolExecutor(len(model.SENSOR_TYPES)) as pool:  # few files each: the types' jobs run beside each other
+        list(pool.map(land, model.SENSOR_TYPES))
     return root
 
 
-def _in_files(readings: DataFrame, per_file: int) -> DataFrame:
-    """``readings`` with their directory ``_dir`` and a number ``_file``, about ``per_file`` of them with one number."""
+def _in_files(readings: DataFrame, per_file: int, most: int) -> DataFrame:
+    """``readings`` with their directory ``_dir`` and a number ``_file``, about ``per_file`` of them with one number, or
+    more where that would take more than ``most`` files a directory."""
     routed = readings.withColumn("_dir", landing_dir_column())
     files = F.lit(1)
     for r in routed.groupBy("_dir").count().collect():  # one row a sensor type
-        files = F.when(F.col("_dir") == r["_dir"], F.lit(-(-r["count"] // per_file))).otherwise(files)
+        files = F.when(F.col("_dir") == r["_dir"], F.lit(min(most, -(-r["count"] // per_file)))).otherwise(files)
     return routed.withColumn("_file", F.pmod(F.xxhash64("sensor_id"), files))
 
 
@@ -112,25 +131,30 @@ def land_texts(texts: DataFrame, root: str) -> str:
     return root
 
 
-def land_arrays(readings: DataFrame, root: str, per_file: int = 500) -> str:
+#: Files of many values that one landing writes for a sensor type at most; from there on the files grow.  A batch reads
+#: thousands of files, a stream takes some a trigger and compares them with the table.
+BATCH_FILES, STREAM_FILES = 1_000, 32
+
+
+def land_arrays(readings: DataFrame, root: str, per_file: int = 500, most: int = BATCH_FILES) -> str:
     """Write raw readings as files of one pretty-printed JSON array of about
-    ``per_file`` readings each, under ``root/<type>/``; read back with
-    ``multi_line=True`` and ``glob="part-*"``."""
+    ``per_file`` readings each, more where there would be more than ``most`` files of a type, under ``root/<type>/``;
+    read back with ``multi_line=True`` and ``glob="part-*"``."""
     names = [c for c, _ in model.RAW_FIELDS]
     array = F.to_json(F.collect_list(F.struct(*names)), {"pretty": "true", "ignoreNullFields": "false"})
-    return land_texts(_in_files(readings, per_file).groupBy("_dir", "_file").agg(array.alias("value")), root)
+    return land_texts(_in_files(readings, per_file, most).groupBy("_dir", "_file").agg(array.alias("value")), root)
 
 
 #: What is wrong with a reading's text in `land_damaged`, by its id modulo 10: cut off before its last brace, no value, junk before it.
 CUT_OFF, NO_VALUE, JUNK = 3, 7, 9
 
 
-def land_damaged(readings: DataFrame, root: str, per_file: int = 50) -> str:
+def land_damaged(readings: DataFrame, root: str, per_file: int = 50, most: int = BATCH_FILES) -> str:
     """Raw readings as files in four layouts (array, one object behind the other, line by line, array behind a byte-order
     mark), two readings of ten damaged and one with a stray word before it; read back like ``land_arrays``."""
     names = [c for c, _ in model.RAW_FIELDS]
     kind = F.col("sensor_id").cast("long") % 10
-    said = _in_files(readings, per_file).withColumn("said", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
+    said = _in_files(readings, per_file, most).withColumn("said", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
     damaged = (
         F.when(kind == CUT_OFF, F.expr("substring(said, 1, length(said) - 1)"))
         .when(kind == NO_VALUE, F.regexp_replace("said", '"value":[^,]*,', '"value":,'))
