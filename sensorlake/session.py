@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +63,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sensorlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: State partitions that a stream has at least, if there are as many shuffle partitions, and those for each core.
+LEAST_STATE_PARTITIONS, STATE_PARTITIONS_PER_CORE = 32, 2
+
+
+@contextmanager
+def bounded_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in a number of partitions that follows the cores, not the data.
+
+    Every task on a state sends the driver a figure for each of the state's partitions, so what a batch sends grows with
+    their square, and each partition is loaded and committed in every batch.  A stream takes its settings when it is
+    started and keeps this number in its checkpoint: one that was begun with another goes on with that."""
+    name, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    held = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(held), max(LEAST_STATE_PARTITIONS, STATE_PARTITIONS_PER_CORE * cores))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, held)
+
+
 def observation(name: str):
     """An ``Observation`` with a session-unique name (names must not repeat)."""
     from pyspark.sql import Observation

@@ -44,7 +44,7 @@ from sensorlake.operators.dedup import CONFLICTING, CONTENT, IDENTITY, NEW, STAT
 from sensorlake.operators.derive import EVENT_TIME, STAMP
 from sensorlake.plans.exports import ROW_EXPORTS
 from sensorlake.plans.ingest import accepted_rows, conflict_rows, rejected_rows, staged_rows, valid_flag
-from sensorlake.session import list_names, remove_path
+from sensorlake.session import bounded_state, list_names, remove_path
 from sensorlake.sinks.warehouse import append_new, decided_rows, with_status, write_quarantine, write_warehouse
 from sensorlake.sources.json_files import JSON_GLOB, path_exists, sensor_glob, stream_json
 from sensorlake.sources.json_values import recover_types, stream_values
@@ -136,7 +136,9 @@ def start_ingest(
     stream, markers = stream_id(checkpoint), f"{checkpoint.rstrip('/')}/_steps"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
+        # The caller's session: in that of a stream with state, whose number of partitions must not change, Spark plans
+        # nothing adaptively, and each step would have as many tasks as there are shuffle partitions.
+        session = spark
         steps = Steps(session, markers, batch_id)
         folder = f"{checkpoint.rstrip('/')}/_staged/{batch_id}"
         replay = path_exists(session, f"{folder}/decided/_SUCCESS")
@@ -176,7 +178,8 @@ def start_ingest(
     writer = staged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, available_now, processing_time).start()
+    with bounded_state(spark):
+        return _trigger(writer, available_now, processing_time).start()
 
 
 def _write_part(rows: DataFrame, path: str, stream: str, batch_id: int, fmt: str = "parquet") -> None:

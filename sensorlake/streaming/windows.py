@@ -25,7 +25,7 @@ from sensorlake.functions.timestamps import require_fixed_zone
 from sensorlake.operators.derive import EVENT_TIME
 from sensorlake.operators.summary import Measures
 from sensorlake.plans.ingest import staged_rows, valid_flag
-from sensorlake.session import list_names, remove_path
+from sensorlake.session import bounded_state, list_names, remove_path
 from sensorlake.sources.json_files import JSON_GLOB, path_exists
 from sensorlake.streaming.ingest import DEFAULT_MAX_FILES, DEFAULT_TRIGGER, _trigger, _write_part, readings_stream
 from sensorlake.streaming.latest import stream_id
@@ -84,7 +84,8 @@ def start_windows(
 
     rows = windowed(staged_rows(raw).filter(valid_flag()), delay, width)
     writer = rows.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, processing_time).start()
+    with bounded_state(spark):
+        return _trigger(writer, available_now, processing_time).start()
 
 
 def read_windows(spark: SparkSession, path: str, stream: str | None = None, drop: bool = True) -> DataFrame:
