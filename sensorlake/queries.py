@@ -22,7 +22,7 @@ from sensorlake.operators.dedup import dedup_stream
 from sensorlake.operators.derive import to_warehouse
 from sensorlake.plans.exports import export_all, run_reports
 from sensorlake.plans.ingest import ingest_batch, ingest_frame, merge_late
-from sensorlake.session import remove_path, scratch_path
+from sensorlake.session import bounded_state, remove_path, scratch_path
 from sensorlake.sinks.csv import export_single_csv, write_csv
 from sensorlake.sources.events import STREAM_FILES, land_arrays, land_damaged, land_readings, land_texts, raw_readings, read_table, time_text_variants, warehouse_rows
 from sensorlake.sources.json_files import infer_schema, read_sensor_dirs, sensor_dirs
@@ -554,8 +554,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
     raw = stream_ingest.readings_stream(spark, root, max_files_per_trigger=1, multi_line=False)
     rows = dedup_stream(to_warehouse(raw).drop("ingestion_timestamp"), delay="3650 days")
-    _run(rows.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out)
-         .trigger(availableNow=True).start())
+    with bounded_state(spark):
+        query = rows.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out).trigger(availableNow=True).start()
+    _run(query)
     _forget(spark, root, ckpt)
     return ntz(spark.read.parquet(out).select(*WAREHOUSE_OUT))
 

@@ -61,3 +61,18 @@ def test_steps_of_a_stream_with_state_are_planned_adaptively(spark, tmp_path, mo
     land(str(tmp_path / "raw"), "a", "1")
     start_ingest(spark, str(tmp_path / "raw"), str(tmp_path / "wh"), str(tmp_path / "ck"), multi_line=False, dedup="state", available_now=True).awaitTermination()
     assert set(seen) == {"true"}
+
+
+def test_stream_dedup_bounds_its_state(spark, tmp_path, monkeypatch, many):
+    """Two events, each landed twice, pass once."""
+    from sensorlake import queries
+
+    events = "1L AS event_id, timestamp_ntz'2024-01-02 03:04:05' AS ts, 7L AS user_id, 'click' AS event_type, 20.5D AS value, '' AS props"
+    rows = spark.range(1).selectExpr(*events.split(", "))
+    rows.unionByName(rows.withColumn("event_id", rows.event_id + 1)).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    left = []
+    monkeypatch.setattr(queries, "_forget", lambda _, *paths: left.extend(paths))
+    found = queries.stream_dedup(spark, str(tmp_path))
+    assert sorted(r.sensor_id for r in found.collect()) == ["1", "2"]
+    checkpoint = left[-1].removeprefix("file://").removeprefix("file:")
+    assert partitions(checkpoint) == many
