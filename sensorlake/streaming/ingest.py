@@ -133,6 +133,10 @@ def start_ingest(
             .drop("_time")
         )
         staged = once.unionByName(staged.filter(~valid_flag()))
+    # Rejected rows and raw fields are staged for those who ask for them; the table takes the valid ones.
+    whole = bool(quarantine_path or metrics_path)
+    if not whole:
+        staged = accepted_rows(staged)
     stream, markers = stream_id(checkpoint), f"{checkpoint.rstrip('/')}/_steps"
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -141,14 +145,15 @@ def start_ingest(
         session = spark
         steps = Steps(session, markers, batch_id)
         folder = f"{checkpoint.rstrip('/')}/_staged/{batch_id}"
+        held = f"{folder}/{'rows' if whole else 'valid'}"
         replay = path_exists(session, f"{folder}/decided/_SUCCESS")
-        if replay:  # the rows are there; the batch is run for Spark's own state
+        if replay and path_exists(session, f"{held}/_SUCCESS"):  # the rows are there; the batch is run for Spark's own state
             batch.write.format("noop").mode("overwrite").save()
-        else:
-            batch.write.mode("overwrite").parquet(f"{folder}/rows")
-        rows = session.read.schema(batch.schema).parquet(f"{folder}/rows")
+        else:  # also where the attempt before did not ask for the rejected rows
+            batch.write.mode("overwrite").parquet(held)
+        rows = session.read.schema(batch.schema).parquet(held)
         if not replay:
-            decided_rows(accepted_rows(rows), warehouse_path, fmt)[0].write.mode("overwrite").parquet(f"{folder}/decided")
+            decided_rows(accepted_rows(rows) if whole else rows, warehouse_path, fmt)[0].write.mode("overwrite").parquet(f"{folder}/decided")
         decided = session.read.schema(DECIDED_SCHEMA).parquet(f"{folder}/decided")
         new = with_status(decided, NEW)
         if quarantine_path:
